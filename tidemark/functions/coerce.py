@@ -1,75 +1,86 @@
-"""Typed reads of dirty text leaves.
+"""Typed reads of dirty text leaves, as SQL expressions over column names.
 
 Every JSON leaf arrives as text. A read has three outcomes that must stay apart: blank (null or a
-default), parsed, and bad. ``read`` gives the value, ``is_bad`` tells the third outcome from the first.
+default), parsed, and bad. The steps are separate so that each builds on the finished one before it:
+``present`` drops blank texts, ``number`` parses what is left, ``or_default`` and ``any_bad`` compare
+the two.
+
+They are SQL text because a projection has dozens of them: one parsed expression costs far less on
+the driver than a tree of single column calls.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 DECIMAL = "decimal(20,4)"
 
 # Texts that count as "no value".
-BLANK_TEXTS = ("", "null", "NULL")
+BLANK_TEXTS = "('', 'null', 'NULL')"
 
-WHITESPACE = " \t\r\n"
-
-# 0001-01-02 and 9999-12-31 in epoch milliseconds: the range TIMESTAMP_NTZ arithmetic accepts in any zone.
+# 0001-01-02 and 9999-12-31 in epoch milliseconds: the range where days are exact in any zone.
 MIN_MILLIS = -62_135_510_400_000
 MAX_MILLIS = 253_402_214_400_000
 
+DAY_MILLIS = 86_400_000
+
+
+def present(text: str) -> str:
+    """The text, or null when it is blank."""
+    return f"CASE WHEN {text} NOT IN {BLANK_TEXTS} THEN {text} END"
+
+
+def number(text: str, data_type: str) -> str:
+    """Number in a present text without thousands commas; null when malformed. A cast would accept
+    outer blanks, the contract does not."""
+    return f"CASE WHEN trim({text}) = {text} THEN try_cast(replace({text}, ',', '') AS {data_type}) END"
+
 
-def is_blank(text: Column) -> Column:
-    return text.isNull() | text.isin(*BLANK_TEXTS)
+def present_count(texts: list[str]) -> str:
+    """How many of the texts of ``present`` are there."""
+    return f"size(filter(array({', '.join(texts)}), t -> t IS NOT NULL))"
 
 
-def _unpadded(text: Column) -> Column:
-    """The text, or null when it has outer whitespace: casts would trim it, the contract calls it bad."""
-    return F.when(text == F.btrim(text, F.lit(WHITESPACE)), text)
+def any_bad(count: str, values: list[str]) -> str:
+    """True when fewer of ``values`` were parsed than ``count`` texts were present."""
+    return f"{count} > {' + '.join(f'int({value} IS NOT NULL)' for value in values)}"
 
 
-def read(text: Column, data_type: str, default: int | None = None) -> Column:
-    """Number in ``text`` without thousands commas; blank gives ``default``, malformed text gives null."""
-    digits = F.replace(_unpadded(text), F.lit(","), F.lit(""))
-    parsed = F.when(~is_blank(text), digits.try_cast(data_type))
-    if default is None:
-        return parsed
-    return F.when(is_blank(text), F.lit(default).cast(data_type)).otherwise(parsed)
+def or_default(text: str, value: str, default: int) -> str:
+    return f"CASE WHEN {text} IS NULL THEN {default} ELSE {value} END"
 
 
-def is_bad(text: Column, value: Column) -> Column:
-    """True when ``text`` holds something that did not parse into ``value``."""
-    return value.isNull() & ~is_blank(text)
+_DATE = "^[0-9]{4}-[0-9]{2}-[0-9]{2}"
 
 
-def _epoch() -> Column:
-    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+def _usual_date(text: str) -> str:
+    """A date, or a date and time to the second, told by length and separators without a pattern."""
+    length = f"length({text})"
+    return f"substr({text}, 5, 1) = '-' AND ({length} = 10 OR ({length} = 19 AND substr({text}, 17, 1) = ':'))"
 
 
-def instant_millis(text: Column) -> Column:
-    """Epoch milliseconds of a text that names an instant: plain digits, or a date and time with Z or
-    an offset. Null for everything else, and outside years 1 to 9999."""
-    millis = F.when(text.rlike(r"^-?[0-9]+$"), text.try_cast("bigint")).when(
-        text.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ].*(Z|[+-][0-9]{2}:?[0-9]{2})$"),
-        F.unix_millis(text.try_cast("timestamp")),
-    )
-    # greatest/least keep ``millis`` once in the plan; a clamped value is out of range
-    clamped = F.least(F.greatest(millis, F.lit(MIN_MILLIS)), F.lit(MAX_MILLIS))
-    return F.nullif(F.nullif(clamped, F.lit(MIN_MILLIS)), F.lit(MAX_MILLIS))
+def instant_millis(text: str) -> str:
+    """Epoch milliseconds of a present text that names an instant: digits, or a date and time with Z
+    or an offset. Null for local and malformed text."""
+    return f"""CASE
+        WHEN {_usual_date(text)} OR trim({text}) <> {text} THEN NULL
+        WHEN {text} RLIKE '^-?[0-9]+$' THEN try_cast({text} AS BIGINT)
+        WHEN {text} RLIKE '{_DATE}[T ].*(Z|[+-][0-9]{{2}}:?[0-9]{{2}})$' THEN unix_millis(try_cast({text} AS TIMESTAMP))
+    END"""
 
 
-def wall_clock(text: Column, millis: Column, zone: str) -> Column:
-    """Wall-clock time in ``zone`` of an instant, or of a text that starts with a full local date.
-    Independent of the session time zone; null for blank and malformed text."""
-    shifted = F.convert_timezone(F.lit("UTC"), F.lit(zone), F.timestamp_add("MILLISECOND", millis, _epoch()))
-    local = text == F.btrim(text, F.lit(WHITESPACE))
-    dated = text.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([T ][^Z+-]*)?$")
-    return F.when(millis.isNotNull(), shifted).when(local & dated, text.try_cast("timestamp_ntz"))
+def local_day(text: str, millis: str, zone: str) -> str:
+    """Days since 1970-01-01 of the local day in ``zone`` that a present text falls on, given its
+    ``instant_millis``. Text that is no instant must start with a full date and is local. Null for
+    malformed text; independent of the session time zone."""
+    shifted = f"unix_millis(from_utc_timestamp(timestamp_millis({millis}), '{zone}'))"
+    in_range = f"{millis} >= {MIN_MILLIS} AND {millis} <= {MAX_MILLIS}"
+    return f"""CASE
+        WHEN {in_range} THEN CAST(floor({shifted} / {DAY_MILLIS}D) AS INT)
+        WHEN {millis} IS NOT NULL OR trim({text}) <> {text} THEN NULL
+        WHEN ({_usual_date(text)}) OR {text} RLIKE '{_DATE}[T ][^Z+-]*$'
+            THEN unix_date(CAST(try_cast({text} AS TIMESTAMP_NTZ) AS DATE))
+    END"""
 
 
-def midnight_seconds(wall_clock: Column, zone: str) -> Column:
-    """Epoch seconds (BIGINT) of local midnight in ``zone`` on the day of ``wall_clock``."""
-    midnight = wall_clock.cast("date").cast("timestamp_ntz")
-    return F.timestamp_diff("SECOND", _epoch(), F.convert_timezone(F.lit(zone), F.lit("UTC"), midnight))
+def midnight_seconds(day: str, zone: str) -> str:
+    """Epoch seconds (BIGINT) at which the local ``day`` starts in ``zone``."""
+    return f"unix_seconds(to_utc_timestamp(timestamp_seconds({day} * 86400L), '{zone}'))"

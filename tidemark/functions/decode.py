@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidemark.functions.coerce import is_blank, midnight_seconds
-
 # The placeholder for missing text.
 BLANK = " "
 
@@ -63,12 +61,6 @@ def label(code: Column, labels: Sequence[str]) -> Column:
     return F.when(code.between(1, len(labels)), F.get(entries, code - 1))
 
 
-def day_epoch(text: Column, clock: Column, zone: str) -> Column:
-    """INT epoch seconds of local midnight on the day of ``clock``; blank text gives 0, text that
-    did not parse and days outside INT give null."""
-    return F.when(is_blank(text), F.lit(0)).otherwise(midnight_seconds(clock, zone).try_cast("int"))
-
-
 def order_status(sign_time: Column, ship_time: Column, submit_time: Column) -> Column:
     """First rule that holds wins; an unsigned order has the blank placeholder by contract."""
     return (

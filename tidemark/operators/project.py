@@ -8,13 +8,13 @@ records are parsed once.
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions import decode
-from tidemark.functions.coerce import DECIMAL, instant_millis, is_bad, read, wall_clock
+from tidemark.functions import coerce, decode
+from tidemark.functions.coerce import DECIMAL
 from tidemark.operators.envelope import first_reason, parse_envelope, settle
 from tidemark.scratch import stage
 from tidemark.sources.records import RECORD_COLUMNS
@@ -29,6 +29,8 @@ ORDER_VALUES = ["customer_id", "order_id", *ORDER_COLUMNS]
 
 ORDINAL = ["offset", "partition"]
 
+Numbers = dict[str, tuple[str, int | None]]
+
 # image field -> (type, default); no default keeps null
 CUSTOMER_NUMBERS = {
     "customer_id": ("bigint", None),
@@ -62,29 +64,62 @@ ORDER_NUMBERS = {"customer_id": ("bigint", None), "order_id": ("bigint", None),
 ORDER_DATES = ["ship_date", "sign_date"]
 
 
-def _any(conditions: list[Column]) -> Column:
-    return reduce(Column.__or__, conditions)
+def read_numbers(rows: DataFrame, texts: str, numbers: Numbers) -> DataFrame:
+    """Reads the numbers in the struct ``texts``: adds ``num``, a struct of their values with
+    defaults, and ``bad``, whether one of them is malformed.
+
+    The count's lambda sits in the projection that parses: it keeps that projection out of
+    whole-stage code generation, which would put a wide one into a single method too big for the JVM
+    to compile (six times slower on the customer log). Outside, the generated code is split up.
+    """
+    present = {name: coerce.present(f"{texts}.{name}") for name in numbers}
+    parsed = {name: coerce.number(f"txt.{name}", kind) for name, (kind, _) in numbers.items()}
+    count = coerce.present_count([f"txt.{name}" for name in numbers])
+    values = {
+        name: f"val.{name}" if default is None else coerce.or_default(f"txt.{name}", f"val.{name}", default)
+        for name, (_, default) in numbers.items()
+    }
+    bad = coerce.any_bad("present_count", [f"val.{name}" for name in numbers])
+    return (
+        rows.withColumn("txt", _struct(present))
+        .withColumns({"val": _struct(parsed), "present_count": F.expr(count)})
+        .withColumns({"num": _struct(values), "bad": F.expr(bad)})
+        .drop("txt", "val", "present_count")
+    )
 
 
-def _read_numbers(parsed: DataFrame, numbers: dict[str, tuple[str, int | None]]) -> DataFrame:
-    """Adds ``num``, the typed numbers, next to ``img``."""
-    typed = [read(F.col("img")[name], kind, default).alias(name) for name, (kind, default) in numbers.items()]
-    return parsed.withColumn("num", F.struct(*typed))
+def add_day_epochs(rows: DataFrame, texts: str, dates: list[str], zone: str) -> DataFrame:
+    """Adds ``day``, INT epoch seconds of local midnight for the dates in the struct ``texts``: 0 for
+    blank text, null for text that does not parse and for days outside INT."""
+    rows = rows.withColumn("date_txt", _struct({d: coerce.present(f"{texts}.{d}") for d in dates}))
+    rows = rows.withColumn("date_ms", _struct({d: coerce.instant_millis(f"date_txt.{d}") for d in dates}))
+    days = {d: coerce.local_day(f"date_txt.{d}", f"date_ms.{d}", zone) for d in dates}
+    rows = rows.withColumn("date_num", _struct(days))
+    midnights = {
+        d: coerce.or_default(
+            f"date_txt.{d}", f"try_cast({coerce.midnight_seconds(f'date_num.{d}', zone)} AS INT)", 0
+        )
+        for d in dates
+    }
+    return rows.withColumn("day", _struct(midnights)).drop("date_txt", "date_ms", "date_num")
+
 
+def _struct(fields: dict[str, str]) -> Column:
+    return F.expr(f"named_struct({', '.join(f"'{name}', {sql}" for name, sql in fields.items())})")
 
-def _bad_numbers(numbers: dict[str, tuple[str, int | None]]) -> Column:
-    return _any([is_bad(F.col("img")[name], F.col("num")[name]) for name in numbers])
+
+def _any_of(conditions: Iterable[str]) -> Column:
+    return F.expr(" OR ".join(conditions))
 
 
 def project_customer(log: DataFrame) -> DataFrame:
-    parsed = _read_numbers(parse_envelope(log, [*CUSTOMER_NUMBERS, *CUSTOMER_TEXTS]), CUSTOMER_NUMBERS)
-    img, num = F.col("img"), F.col("num")
-    columns = {name: num[name] for name in CUSTOMER_VALUES if name in CUSTOMER_NUMBERS}
-    columns |= {
+    parsed = read_numbers(parse_envelope(log, [*CUSTOMER_NUMBERS, *CUSTOMER_TEXTS]), "img", CUSTOMER_NUMBERS)
+    img, calendar = F.col("img"), F.col("num.calendar")
+    columns = {name: F.col(f"num.{name}") for name in CUSTOMER_NUMBERS} | {
         "name": img["customer_name"],
-        "gender": decode.gender(num["gender"]),
-        "birthday": decode.solar_birthday(num["calendar"], img["birthday"]),
-        "luna_birthday": decode.lunar_birthday(num["calendar"], img["birthday"]),
+        "gender": decode.gender(F.col("num.gender")),
+        "birthday": decode.solar_birthday(calendar, img["birthday"]),
+        "luna_birthday": decode.lunar_birthday(calendar, img["birthday"]),
         "district": img["district"],
         "ty_code": img["ty_code"],
         "traced_at": decode.blank_fill(img["last_trace_date"]),
@@ -93,79 +128,61 @@ def project_customer(log: DataFrame) -> DataFrame:
     }
     reason = F.coalesce(
         "reason",
-        first_reason(("bad_value", _bad_numbers(CUSTOMER_NUMBERS)), ("null_key", num["customer_id"].isNull())),
+        first_reason(("bad_value", F.col("bad")), ("null_key", F.col("num.customer_id").isNull())),
     )
     values = [columns[name].alias(name) for name in CUSTOMER_VALUES]
     return settle(parsed, RECORD_COLUMNS, [*values, reason.alias("reason")])
 
 
 def project_skin(log: DataFrame) -> DataFrame:
-    parsed = _read_numbers(parse_envelope(log, SKIN_NUMBERS), SKIN_NUMBERS)
-    num = F.col("num")
-    labelled = parsed.withColumn(
-        "text", F.struct(*[decode.label(num[name], labels).alias(name) for name, labels in SKIN_LABELS.items()])
-    )
-    text = F.col("text")
+    parsed = read_numbers(parse_envelope(log, SKIN_NUMBERS), "img", SKIN_NUMBERS)
+    # a missing code is 0, which no list has: both end as no label
+    labels = [decode.label(F.col(f"num.{name}"), texts).alias(name) for name, texts in SKIN_LABELS.items()]
+    labelled = parsed.withColumn("text", F.struct(*labels))
     reason = F.coalesce(
         "reason",
         first_reason(
-            ("bad_value", _bad_numbers(SKIN_NUMBERS)),
-            ("bad_code", _any([text[name].isNull() for name in SKIN_COLUMNS])),
-            ("null_key", num["customer_id"].isNull()),
+            ("bad_value", F.col("bad")),
+            ("bad_code", _any_of(f"text.{name} IS NULL" for name in SKIN_COLUMNS)),
+            ("null_key", F.col("num.customer_id").isNull()),
         ),
     )
-    values = [num["customer_id"].alias("customer_id"), *[text[name].alias(name) for name in SKIN_COLUMNS]]
+    values = [F.col("num.customer_id"), *[F.col(f"text.{name}") for name in SKIN_COLUMNS]]
     return settle(labelled, RECORD_COLUMNS, [*values, reason.alias("reason")])
 
 
 def project_staff(log: DataFrame) -> DataFrame:
-    parsed = _read_numbers(parse_envelope(log, STAFF_NUMBERS), STAFF_NUMBERS)
-    num = F.col("num")
+    parsed = read_numbers(parse_envelope(log, STAFF_NUMBERS), "img", STAFF_NUMBERS)
     reason = F.coalesce(
         "reason",
         first_reason(
-            ("bad_value", _bad_numbers(STAFF_NUMBERS)),
-            ("null_staff", _any([num[name].isNull() for name in STAFF_COLUMNS])),
+            ("bad_value", F.col("bad")),
+            ("null_staff", _any_of(f"num.{name} IS NULL" for name in STAFF_COLUMNS)),
         ),
     )
-    values = [num["customer_id_se"].alias("customer_id"), *[num[name].alias(name) for name in STAFF_COLUMNS]]
+    values = [F.col("num.customer_id_se").alias("customer_id"), *[F.col(f"num.{name}") for name in STAFF_COLUMNS]]
     return settle(parsed, RECORD_COLUMNS, [*values, reason.alias("reason")])
 
 
-def add_day_epochs(rows: DataFrame, dates: dict[str, Column], zone: str) -> DataFrame:
-    """Adds ``day``, a struct of day epochs. Stepwise, because each step uses the one before it twice."""
-    rows = rows.withColumn("millis", F.struct(*[instant_millis(text).alias(d) for d, text in dates.items()]))
-    clocks = [wall_clock(text, F.col("millis")[d], zone).alias(d) for d, text in dates.items()]
-    rows = rows.withColumn("clock", F.struct(*clocks))
-    days = [decode.day_epoch(text, F.col("clock")[d], zone).alias(d) for d, text in dates.items()]
-    return rows.withColumn("day", F.struct(*days)).drop("millis", "clock")
-
-
 def project_order(log: DataFrame, zone: str = DEFAULT_ZONE) -> DataFrame:
-    parsed = _read_numbers(parse_envelope(log, [*ORDER_NUMBERS, *ORDER_DATES]), ORDER_NUMBERS)
-    img, num = F.col("img"), F.col("num")
-    timed = add_day_epochs(parsed, {d: img[d] for d in ORDER_DATES}, zone)
-    day = F.col("day")
+    parsed = read_numbers(parse_envelope(log, [*ORDER_NUMBERS, *ORDER_DATES]), "img", ORDER_NUMBERS)
+    timed = add_day_epochs(parsed, "img", ORDER_DATES, zone)
+    submit_time, ship_time, sign_time = F.col("num.submit_time"), F.col("day.ship_date"), F.col("day.sign_date")
+    unread = _any_of(["num.submit_time IS NULL", *[f"day.{d} IS NULL" for d in ORDER_DATES]])
     reason = F.coalesce(
         "reason",
         first_reason(
-            (
-                "bad_value",
-                _bad_numbers(ORDER_NUMBERS)
-                | num["submit_time"].isNull()
-                | _any([day[d].isNull() for d in ORDER_DATES]),
-            ),
-            ("null_key", num["order_id"].isNull() | num["customer_id"].isNull()),
+            ("bad_value", F.col("bad") | unread),
+            ("null_key", _any_of(["num.order_id IS NULL", "num.customer_id IS NULL"])),
         ),
     )
-    status = decode.order_status(day["sign_date"], day["ship_date"], num["submit_time"])
     values = [
-        num["customer_id"].alias("customer_id"),
-        num["order_id"].alias("order_id"),
-        num["submit_time"].alias("submit_time"),
-        day["ship_date"].alias("ship_time"),
-        day["sign_date"].alias("sign_time"),
-        status.alias("status"),
+        F.col("num.customer_id"),
+        F.col("num.order_id"),
+        submit_time,
+        ship_time.alias("ship_time"),
+        sign_time.alias("sign_time"),
+        decode.order_status(sign_time, ship_time, submit_time).alias("status"),
     ]
     return settle(timed, RECORD_COLUMNS, [*values, reason.alias("reason")])
 

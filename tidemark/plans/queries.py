@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import decode
-from tidemark.functions.coerce import DECIMAL, is_bad, read
+from tidemark.functions.coerce import DECIMAL
 from tidemark.operators import gate, keyed, merge
 from tidemark.operators import project as p
 from tidemark.operators.envelope import first_images, valid_objects
@@ -123,23 +123,14 @@ def coerce_types(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == 5, F.concat(F.lit("x"), e))
         .when(kind == 6, F.concat(F.lit("98765432"), F.lpad((e % 1000).cast("string"), 3, "0")))
     )
-    texts = events.withColumn("text", text)
-    t = F.col("text")
-    typed = texts.select(
-        "event_id",
-        "text",
-        read(t, "bigint").alias("as_long"),
-        read(t, "bigint", 0).alias("as_long_or_zero"),
-        read(t, "int").alias("as_int"),
-        read(t, "int", 0).alias("as_int_or_zero"),
-        read(t, DECIMAL).alias("as_decimal"),
-    )
-    return _plain(
-        typed.withColumn("bad_long", is_bad(t, F.col("as_long")))
-        .withColumn("bad_int", is_bad(t, F.col("as_int")))
-        .withColumn("bad_decimal", is_bad(t, F.col("as_decimal")))
-        .drop("text")
-    )
+    kinds = {"long": "bigint", "int": "int", "decimal": DECIMAL}
+    rows = events.withColumn("img", F.struct(text.alias("value")))
+    for name, kind in kinds.items():
+        rows = p.read_numbers(rows, "img", {"value": (kind, None)}).withColumnsRenamed({"num": name, "bad": f"bad_{name}"})
+        rows = p.read_numbers(rows, "img", {"value": (kind, 0)}).withColumnRenamed("num", f"{name}_or_zero").drop("bad")
+    numbers = [F.col(f"{name}.value").alias(f"as_{name}") for name in kinds]
+    with_default = [F.col(f"{name}_or_zero.value").alias(f"as_{name}_or_zero") for name in ("long", "int")]
+    return _plain(rows.select("event_id", *numbers, *with_default, *[f"bad_{name}" for name in kinds]))
 
 
 def preview_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -181,7 +172,8 @@ def day_epoch(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(k % 5 == 2, (seconds * 1000 + 57_599_999).cast("string"))
         .when(k % 5 == 3, (seconds * 1000 + 57_600_000).cast("string"))
     )
-    rows = p.add_day_epochs(lines.withColumn("text", text), {"ship": F.col("text")}, p.DEFAULT_ZONE)
+    rows = lines.withColumn("text", text).withColumn("img", F.struct(text.alias("ship")))
+    rows = p.add_day_epochs(rows, "img", ["ship"], p.DEFAULT_ZONE)
     return rows.select("l_orderkey", "l_linenumber", "text", F.col("day.ship").alias("day_epoch"))
 
 

@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming.query import StreamingQuery
 
 from tidemark.operators import gate, merge
 from tidemark.operators import project as p
@@ -62,15 +63,16 @@ def order_job(name: str, group: str, *, scope: str = "order", zone: str = p.DEFA
     return Job(name, group, lambda log: p.project_order(log, zone), p.ORDER_VALUES, rule)
 
 
-def apply_batch(root: str, job: Job, batch: DataFrame, batch_id: int, preview: int = 0) -> None:
-    """Apply one batch to the store at ``root``. A batch that is already published is skipped, so a
-    replay changes nothing; tables, ledger and batch id become current in one publication."""
-    spark = batch.sparkSession
+def apply_batch(root: str, job: Job, projected: DataFrame, batch_id: int, preview: int = 0) -> None:
+    """Apply one batch of projected records to the store at ``root``. A batch that is already
+    published is skipped, so a replay changes nothing; tables, ledger and batch id become current in
+    one publication."""
+    spark = projected.sparkSession
     store = TableStore(spark, root)
     with store.writer, stage_scope(spark):
         if store.has_batch(job.name, batch_id):
             return
-        projected = p.stage_projection(job.project(batch))
+        projected = p.stage_projection(projected)
         if projected.isEmpty():
             return
         valid, quarantine = p.split(projected, job.values)
@@ -84,6 +86,19 @@ def apply_batch(root: str, job: Job, batch: DataFrame, batch_id: int, preview: i
         store.publish(job.name, batch_id, changed)
 
 
+def run_job(
+    records: DataFrame, root: str, job: Job, checkpoint: str, *, available_now: bool = False, preview: int = 0
+) -> StreamingQuery:
+    """Stream ``records`` through ``job`` into the store. The projection is part of the stream, so its
+    plan is built once; only the write rule is planned per batch."""
+    return start(
+        job.project(records),
+        lambda batch, batch_id: apply_batch(root, job, batch, batch_id, preview),
+        checkpoint,
+        available_now=available_now,
+    )
+
+
 def replay_in_slices(
     spark: SparkSession, slices: Iterable[DataFrame], tables: dict[str, DataFrame], job: Job
 ) -> TableStore:
@@ -93,11 +108,6 @@ def replay_in_slices(
     store = TableStore.create(spark, root, tables)
     for rows in slices:
         rows.write.mode("append").parquet(log)
-        query = start(
-            scan_log(spark, log, stream=True),
-            lambda batch, batch_id: apply_batch(root, job, batch, batch_id),
-            checkpoint,
-            available_now=True,
-        )
+        query = run_job(scan_log(spark, log, stream=True), root, job, checkpoint, available_now=True)
         query.awaitTermination()
     return store
