@@ -21,6 +21,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def source(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
+    """A table that a log is made of. A topic's records are spread over many tasks; a table that is
+    one small file is not, so it is spread by ``key``. Tables with enough splits are left alone."""
+    rows = table(spark, sf_dir, name)
+    tasks = spark.sparkContext.defaultParallelism
+    return rows.repartition(tasks, key) if rows.rdd.getNumPartitions() < tasks else rows
+
+
 def _records(rows: DataFrame, topic: str, key: Column, value: Column, partition: Column, offset: Column) -> DataFrame:
     return rows.select(
         key.cast("string").alias("key"),
@@ -39,7 +47,8 @@ def _envelope(image: dict[str, Column]) -> Column:
 def customer_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two events per customer; the second has changed codes. Four partitions."""
     revisions = F.explode(F.array(F.lit(0), F.lit(1))).alias("rev")
-    rows = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment", revisions)
+    customers = source(spark, sf_dir, "customer", "c_custkey")
+    rows = customers.select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment", revisions)
     k, rev = F.col("c_custkey"), F.col("rev")
     day = F.concat(F.lit("1980-01-"), F.lpad((k % 28 + 1).cast("string"), 2, "0"))
     image = {
@@ -72,7 +81,7 @@ def customer_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def skin_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One event per customer; codes outside the lists occur. Key 0 and unknown customers too."""
-    rows = table(spark, sf_dir, "customer").select("c_custkey")
+    rows = source(spark, sf_dir, "customer", "c_custkey").select("c_custkey")
     k = F.col("c_custkey")
     image = {
         "customer_id": k,
@@ -86,7 +95,7 @@ def skin_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def staff_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One event per row of ``events``: many per key."""
-    rows = table(spark, sf_dir, "events").select("event_id", "user_id")
+    rows = source(spark, sf_dir, "events", "event_id").select("event_id", "user_id")
     e, user = F.col("event_id"), F.col("user_id")
     image = {
         "customer_id_se": F.when(user != 5, user),
@@ -100,11 +109,11 @@ def staff_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 def order_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One event per order, locally out of id order, and a later second one for finished orders."""
     shipped = (
-        table(spark, sf_dir, "lineitem")
+        source(spark, sf_dir, "lineitem", "l_orderkey")
         .groupBy("l_orderkey")
         .agg(F.min("l_shipdate").alias("first_ship"), F.max("l_shipdate").alias("last_ship"))
     )
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
+    orders = source(spark, sf_dir, "orders", "o_orderkey").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
     rows = orders.join(shipped, orders.o_orderkey == shipped.l_orderkey, "left")
     last_revision = F.when(F.col("o_orderstatus") == "F", 1).otherwise(0)
     rows = rows.withColumn("rev", F.explode(F.sequence(F.lit(0), last_revision)))
@@ -128,7 +137,7 @@ def order_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dirty_order_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The order log's shape over ``events``, with one kind of damage per event type and key."""
-    rows = table(spark, sf_dir, "events").select("event_id", "user_id")
+    rows = source(spark, sf_dir, "events", "event_id").select("event_id", "user_id")
     e = F.col("event_id")
     good = _envelope({"order_id": e, "customer_id": F.col("user_id"), "submit_time": e + 1})
     kind = e % 12
