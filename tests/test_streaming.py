@@ -2,7 +2,7 @@
 
 import random
 
-from helpers import log_of, rows_of
+from helpers import log_of, rows_of, table_of
 
 from tidemark import scratch
 from tidemark.operators import gate, merge
@@ -35,7 +35,8 @@ def test_sliced_stream_equals_one_batch(spark):
     valid, quarantine = p.split(p.project_order(log), p.ORDER_VALUES)
     want, rejects = gate.gated_upsert(empty_table(spark, "order_status"), valid)
     assert rows_of(store.read("order_status")) == rows_of(want)
-    assert store.current().version == 3
+    assert store.current().publication.version == 3
+    assert store.current().publication.marks == {"order_status": max(r[1] for r in rows_of(want))}
     places = ("offset", "partition", "reason")
     assert rows_of(store.read_notes("quarantine"), *places) == rows_of(quarantine, *places)
     assert rows_of(store.read_notes("rejects_orders"), *places) == rows_of(rejects, *places)
@@ -48,11 +49,11 @@ def test_replayed_batch_changes_nothing(spark):
     job = jobs.order_job("orders", "g")
     projected = job.project(log_of(spark, _order_values(2, 40)))
     jobs.apply_batch(root, job, projected, 0)
-    first = store.current(), rows_of(store.read("order_status"))
+    first = store.current().publication, rows_of(store.read("order_status"))
     jobs.apply_batch(root, job, projected, 0)
-    assert (store.current(), rows_of(store.read("order_status"))) == first
+    assert (store.current().publication, rows_of(store.read("order_status"))) == first
     jobs.apply_batch(root, job, projected.filter("offset < 0"), 1)
-    assert store.current() == first[0]
+    assert store.current().publication == first[0]
 
 
 def test_failed_batch_leaves_the_published_tables(spark):
@@ -60,8 +61,8 @@ def test_failed_batch_leaves_the_published_tables(spark):
     store = TableStore.create(spark, root, {"order_status": empty_table(spark, "order_status")})
     good = jobs.order_job("orders", "g")
 
-    def fails(tables, events):
-        gate.gated_upsert(tables("order_status"), events)[0].write.parquet(f"{root}/tables/order_status/version=1")
+    def fails(now, events):
+        gate.gated_upsert(now.read("order_status"), events)[0].write.parquet(f"{root}/tables/order_status/version=1")
         raise RuntimeError("lost")
 
     bad = jobs.Job(good.name, good.group, good.project, good.values, fails)
@@ -70,7 +71,7 @@ def test_failed_batch_leaves_the_published_tables(spark):
         jobs.apply_batch(root, bad, projected, 0)
     except RuntimeError:
         pass
-    assert store.current().version == 0
+    assert store.current().publication.version == 0
     assert store.read("order_status").count() == 0
     jobs.apply_batch(root, good, projected, 0)
     valid, _ = p.split(projected, p.ORDER_VALUES)
@@ -109,6 +110,33 @@ def test_three_jobs_share_a_store(spark):
     assert {r["groupid"]: r["untilOffset"] for r in store.read(LEDGER).collect()} == {"a": 3, "b": 3, "c": 2}
 
 
+def test_batch_rewrites_only_its_buckets(spark):
+    root = scratch.new_path(spark, "store")
+    prior = table_of(spark, "customer_info", [{"id": i + 1, "customer_id": i} for i in range(200)])
+    store = TableStore.create(spark, root, {"customer_info": prior}, buckets=64)
+    job = jobs.staff_job("staff", "g")
+    values = {"trace_staff_id": 7, "recom_staff_id": 8, "serve_staff_id": 9}
+    log = log_of(spark, [(0, i, {"customer_id_se": c, **values}) for i, c in enumerate((17, 1000))])
+    jobs.apply_batch(root, job, job.project(log), 0)
+    now = store.current()
+    rewritten = [b for b, version in now.publication.buckets["customer_info"].items() if version == 1]
+    assert 1 <= len(rewritten) <= 2
+    valid, _ = p.split(job.project(log), p.STAFF_VALUES)
+    assert rows_of(now.read("customer_info")) == rows_of(merge.upsert_staff(prior, valid))
+    assert now.publication.marks["customer_info"] == 201
+
+
+def test_customer_scope_moves_rows_between_buckets(spark):
+    root = scratch.new_path(spark, "store")
+    prior = table_of(spark, "order_status", [{"customer_id": 7, "order_id": o} for o in (3, 5, 9)])
+    store = TableStore.create(spark, root, {"order_status": prior}, buckets=64)
+    job = jobs.order_job("orders", "g", scope="customer")
+    log = log_of(spark, [(0, 0, {"order_id": 3, "customer_id": 7, "submit_time": 1})])
+    jobs.apply_batch(root, job, job.project(log), 0)
+    assert rows_of(store.read("order_status"), "order_id") == [(3,), (3,), (3,)]
+    assert store.current().publication.marks == {"order_status": 3}
+
+
 def test_interval_stream_stops_between_batches(spark):
     path = scratch.write_once(log_of(spark, _order_values(4, 20)), "log")
     seen = []

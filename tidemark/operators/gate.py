@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import Literal
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.keyed import before, high_water, latest_per_key, log_order, matching
@@ -16,15 +16,17 @@ KEY = "order_id"
 SCOPED_COLUMNS = [KEY, *ORDER_COLUMNS]
 
 
-def decide(orders: DataFrame, latest: DataFrame) -> DataFrame:
+def decide(orders: DataFrame, latest: DataFrame, start: Column | None = None) -> DataFrame:
     """``latest`` (one row per order id) with ``action`` of the id's first event: U, I or R.
 
     An id is inserted iff it is above the table's greatest id and above every id that came earlier
     in the log: rejected and updated ids never exceed that maximum, so all earlier ids may be counted.
     Only the first event of an id can insert it, so one row per id decides, which also takes hot
-    ids out of the ordered part.
+    ids out of the ordered part. ``start`` is the table's greatest id, to be given where ``orders`` is
+    only a part of the table.
     """
-    start = high_water(orders, KEY).scalar()
+    if start is None:
+        start = high_water(orders, KEY).scalar()
     above = latest.select(KEY, "first_ord").filter(F.col(KEY) > start)
     records = before(above, F.col(KEY), "max").filter(F.col("before").isNull() | (F.col(KEY) > F.col("before")))
     inserted = records.select(KEY, F.lit("I").alias("insert"))
@@ -34,10 +36,10 @@ def decide(orders: DataFrame, latest: DataFrame) -> DataFrame:
     return decided.select(*latest.columns, action.alias("action"))
 
 
-def decide_orders(orders: DataFrame, events: DataFrame) -> DataFrame:
+def decide_orders(orders: DataFrame, events: DataFrame, start: Column | None = None) -> DataFrame:
     """One row per order id of the batch: last values, first customer and first action."""
     latest = stage(latest_per_key(events, KEY, first_of=("customer_id",)), "latest")
-    return stage(decide(orders, latest), "decided")
+    return stage(decide(orders, latest, start), "decided")
 
 
 def gate(events: DataFrame, decided: DataFrame) -> DataFrame:
@@ -60,7 +62,10 @@ def _scope_changes(orders: DataFrame, events: DataFrame) -> DataFrame:
 
 
 def gated_upsert(
-    orders: DataFrame, events: DataFrame, scope: Literal["order", "customer"] = "order"
+    orders: DataFrame,
+    events: DataFrame,
+    scope: Literal["order", "customer"] = "order",
+    start: Column | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(``orders`` after the batch, rejected events).
 
@@ -68,7 +73,7 @@ def gated_upsert(
     is the literal rule: an event for a known order overwrites order id, times and status of every row
     of the event's customer. It is evaluated against the table as it was before the batch.
     """
-    decided = decide_orders(orders, events)
+    decided = decide_orders(orders, events, start)
     inserted = decided.filter(F.col("action") == "I").withColumn("customer_id", F.col("first_customer_id"))
     inserted = inserted.select(*orders.columns)
     if scope == "customer":

@@ -11,10 +11,10 @@ split a skewed target partition.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.keyed import assign_ids, latest_per_key, matching
+from tidemark.operators.keyed import assign_ids, high_water, latest_per_key, matching
 from tidemark.operators.project import nonzero_key
 from tidemark.scratch import stage
 from tidemark.sources.tables import BASE_COLUMNS, OA_COLUMNS, SKIN_COLUMNS, STAFF_COLUMNS
@@ -41,12 +41,16 @@ def lookup(target: DataFrame, changes: DataFrame, key: str, id_column: str = "id
     return hits.groupBy(key).agg(F.min(id_column).alias("known_id"))
 
 
-def link(target: DataFrame, latest: DataFrame, key: str, id_column: str = "id") -> DataFrame:
+def link(
+    target: DataFrame, latest: DataFrame, key: str, start: Column | None = None, id_column: str = "id"
+) -> DataFrame:
     """Adds ``id_column`` and ``is_new`` to ``latest``: the id of the target row with the same key,
-    else the next generated id in order of first appearance."""
+    else the next generated id after ``start`` in order of first appearance. ``start`` is the greatest
+    id of the target, to be given where ``target`` is only a part of the table."""
     known = stage(lookup(target, latest, key, id_column).withColumn("is_known", F.lit(True)), "known")
     unseen = latest.select(key, "first_ord").join(known, key, "left_anti")
-    start = target.agg(F.coalesce(F.max(id_column), F.lit(0).cast("bigint"))).scalar()
+    if start is None:
+        start = high_water(target, id_column).scalar()
     fresh = assign_ids(stage(unseen, "unseen"), start).select(key, F.col("id").alias("fresh_id"))
     linked = latest.join(known, key, "left").join(fresh, key, "left")
     return linked.select(
@@ -67,31 +71,35 @@ def _inserts(linked: DataFrame, target: DataFrame) -> DataFrame:
     )
 
 
-def upsert(target: DataFrame, events: DataFrame, key: str, columns: list[str]) -> DataFrame:
+def upsert(
+    target: DataFrame, events: DataFrame, key: str, columns: list[str], start: Column | None = None
+) -> DataFrame:
     """Plain upsert by ``key``; new rows get a generated id."""
     latest = stage(latest_per_key(events, key), "latest")
-    linked = stage(link(target, latest, key), "linked")
+    linked = stage(link(target, latest, key, start), "linked")
     updated = overwrite(target, linked.filter("not is_new"), key, columns)
     return updated.unionByName(_inserts(linked, target))
 
 
-def upsert_staff(customer_info: DataFrame, events: DataFrame) -> DataFrame:
-    return upsert(customer_info, events, "customer_id", list(STAFF_COLUMNS))
+def upsert_staff(customer_info: DataFrame, events: DataFrame, start: Column | None = None) -> DataFrame:
+    return upsert(customer_info, events, "customer_id", list(STAFF_COLUMNS), start)
 
 
-def link_customers(base: DataFrame, events: DataFrame) -> DataFrame:
+def link_customers(base: DataFrame, events: DataFrame, start: Column | None = None) -> DataFrame:
     """Last event of every customer with its parent id and whether that parent is new."""
     latest = stage(latest_per_key(events, "customer_id"), "latest")
-    return link(base, latest, "customer_id")
+    return link(base, latest, "customer_id", start)
 
 
-def linked_upsert(base: DataFrame, oa: DataFrame, events: DataFrame) -> tuple[DataFrame, DataFrame]:
+def linked_upsert(
+    base: DataFrame, oa: DataFrame, events: DataFrame, start: Column | None = None
+) -> tuple[DataFrame, DataFrame]:
     """Parent ``base`` and child ``oa`` after the batch.
 
     A known customer updates its parents and the children of the looked-up parent, and never creates
     a missing child. A new customer inserts both, the child linked by the generated id.
     """
-    linked = stage(link_customers(base, events), "linked")
+    linked = stage(link_customers(base, events, start), "linked")
     known = linked.filter("not is_new")
     base_after = overwrite(base, known, "customer_id", list(BASE_COLUMNS))
     base_after = base_after.unionByName(_inserts(linked, base))

@@ -49,11 +49,16 @@ TABLES = {
 }
 
 
+_TYPES = {
+    "bigint": T.LongType(),
+    "int": T.IntegerType(),
+    "string": T.StringType(),
+    DECIMAL: T.DecimalType(20, 4),
+}
+
+
 def table_schema(name: str) -> T.StructType:
-    schema = T.StructType()
-    for column, data_type in TABLES[name].items():
-        schema = schema.add(column, T.DataType.fromDDL(data_type))
-    return schema
+    return T.StructType([T.StructField(column, _TYPES[kind]) for column, kind in TABLES[name].items()])
 
 
 def empty_table(spark: SparkSession, name: str) -> DataFrame:

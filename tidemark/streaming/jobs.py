@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
+from typing import Literal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming.query import StreamingQuery
@@ -14,51 +15,64 @@ from tidemark.scratch import new_path, stage_scope
 from tidemark.sources.ledger import advance_ledger
 from tidemark.sources.records import scan_log
 from tidemark.streaming.run import start
-from tidemark.streaming.store import LEDGER, TableStore
+from tidemark.streaming.store import LEDGER, Snapshot, TableStore
 
-Tables = Callable[[str], DataFrame]
-Outcome = tuple[dict[str, DataFrame], DataFrame | None]
+@dataclass(frozen=True)
+class Outcome:
+    """Changed tables, each holding all rows of the buckets it replaces or, with ``whole``, of the
+    table, and the rejected events."""
+
+    tables: dict[str, DataFrame]
+    rejects: DataFrame | None = None
+    whole: bool = False
 
 
 @dataclass(frozen=True)
 class Job:
     """``name`` identifies the job's checkpoint: a new checkpoint needs a new name. ``rule`` takes the
-    current tables and the valid events and returns the changed tables and the rejected events."""
+    current tables and the valid events of a batch."""
 
     name: str
     group: str
     project: Callable[[DataFrame], DataFrame]
     values: list[str]
-    rule: Callable[[Tables, DataFrame], Outcome]
+    rule: Callable[[Snapshot, DataFrame], Outcome]
 
 
 def customer_job(name: str, group: str) -> Job:
-    def rule(tables: Tables, events: DataFrame) -> Outcome:
-        base, oa = merge.linked_upsert(tables("base"), tables("oa"), events)
-        return {"base": base, "oa": oa}, None
+    def rule(now: Snapshot, events: DataFrame) -> Outcome:
+        base, oa = now.read("base", events), now.read("oa", events)
+        base_after, oa_after = merge.linked_upsert(base, oa, events, now.mark("base"))
+        return Outcome({"base": base_after, "oa": oa_after})
 
     return Job(name, group, p.project_customer, p.CUSTOMER_VALUES, rule)
 
 
 def skin_job(name: str, group: str) -> Job:
-    def rule(tables: Tables, events: DataFrame) -> Outcome:
-        oa, rejects = merge.partial_update(tables("base"), tables("oa"), events)
-        return {"oa": oa}, rejects
+    def rule(now: Snapshot, events: DataFrame) -> Outcome:
+        oa, rejects = merge.partial_update(now.read("base", events), now.read("oa", events), events)
+        return Outcome({"oa": oa}, rejects)
 
     return Job(name, group, p.project_skin, p.SKIN_VALUES, rule)
 
 
 def staff_job(name: str, group: str) -> Job:
-    def rule(tables: Tables, events: DataFrame) -> Outcome:
-        return {"customer_info": merge.upsert_staff(tables("customer_info"), events)}, None
+    def rule(now: Snapshot, events: DataFrame) -> Outcome:
+        staff = merge.upsert_staff(now.read("customer_info", events), events, now.mark("customer_info"))
+        return Outcome({"customer_info": staff})
 
     return Job(name, group, p.project_staff, p.STAFF_VALUES, rule)
 
 
-def order_job(name: str, group: str, *, scope: str = "order", zone: str = p.DEFAULT_ZONE) -> Job:
-    def rule(tables: Tables, events: DataFrame) -> Outcome:
-        orders, rejects = gate.gated_upsert(tables("order_status"), events, scope)
-        return {"order_status": orders}, rejects
+def order_job(
+    name: str, group: str, *, scope: Literal["order", "customer"] = "order", zone: str = p.DEFAULT_ZONE
+) -> Job:
+    def rule(now: Snapshot, events: DataFrame) -> Outcome:
+        # a customer's rows lie in any bucket and may move to another
+        whole = scope == "customer"
+        orders = now.read("order_status") if whole else now.read("order_status", events)
+        after, rejects = gate.gated_upsert(orders, events, scope, now.mark("order_status"))
+        return Outcome({"order_status": after}, rejects, whole)
 
     return Job(name, group, lambda log: p.project_order(log, zone), p.ORDER_VALUES, rule)
 
@@ -70,7 +84,8 @@ def apply_batch(root: str, job: Job, projected: DataFrame, batch_id: int, previe
     spark = projected.sparkSession
     store = TableStore(spark, root)
     with store.writer, stage_scope(spark):
-        if store.has_batch(job.name, batch_id):
+        now = store.current()
+        if now.publication.batches.get(job.name, -1) >= batch_id:
             return
         projected = p.stage_projection(projected)
         if projected.isEmpty():
@@ -78,12 +93,12 @@ def apply_batch(root: str, job: Job, projected: DataFrame, batch_id: int, previe
         valid, quarantine = p.split(projected, job.values)
         if preview:
             p.preview(valid, preview).show(preview, truncate=False)
-        changed, rejects = job.rule(store.read, valid)
+        outcome = job.rule(now, valid)
         store.write_notes("quarantine", job.name, batch_id, quarantine)
-        if rejects is not None:
-            store.write_notes(f"rejects_{job.name}", job.name, batch_id, rejects)
-        changed[LEDGER] = advance_ledger(store.read(LEDGER), projected, job.group)
-        store.publish(job.name, batch_id, changed)
+        if outcome.rejects is not None:
+            store.write_notes(f"rejects_{job.name}", job.name, batch_id, outcome.rejects)
+        tables = {**outcome.tables, LEDGER: advance_ledger(now.read(LEDGER), projected, job.group)}
+        store.publish(now, job.name, batch_id, tables, whole=outcome.whole)
 
 
 def run_job(

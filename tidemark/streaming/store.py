@@ -1,8 +1,10 @@
 """Target tables in a shared folder, published together, one version per applied batch.
 
-A publication lists the path of every table and the last batch of every job. Tables are written to
-new paths first; the publication is a one-file write that makes them current at once. Whatever a
-failed attempt left behind is not listed anywhere and is overwritten by the next attempt.
+A table is split by a hash of its key into buckets. A batch reads and rewrites only the buckets its
+keys fall in; all others stay where an earlier version put them. The publication, one small file per
+version, lists for every table which version holds which bucket, the table's greatest id, and the
+last batch of every job. Tables are written to new paths first and become current at once with the
+publication. Whatever a failed attempt left behind is not listed and is overwritten by the next one.
 One application writes to a store; its jobs take turns.
 """
 
@@ -12,13 +14,28 @@ import threading
 from collections import defaultdict
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.sources.ledger import LEDGER_SCHEMA
+from tidemark.sources.tables import TABLES, table_schema
 
 LEDGER = "offset_manager"
 
-_PUBLICATION = "version bigint, paths map<string,string>, batches map<string,bigint>"
+SCHEMAS: dict[str, T.StructType] = {LEDGER: LEDGER_SCHEMA, **{name: table_schema(name) for name in TABLES}}
+
+# Bucket key of every table; the ledger has one row per topic partition and stays whole. A child row
+# carries its parent's customer, so parent and child of an event lie in the same bucket.
+KEYS = {"base": "customer_id", "oa": "customer_id", "customer_info": "customer_id", "order_status": "order_id"}
+
+# Columns whose maximum the write rules need. They only ever grow in a bucket-wise update.
+MARKS = {"base": "id", "customer_info": "id", "order_status": "order_id"}
+
+_PUBLICATION = (
+    "version bigint, bucket_count int, buckets map<string,map<string,bigint>>,"
+    " marks map<string,bigint>, batches map<string,bigint>"
+)
 
 _writers: defaultdict[str, threading.RLock] = defaultdict(threading.RLock)
 
@@ -26,10 +43,42 @@ _writers: defaultdict[str, threading.RLock] = defaultdict(threading.RLock)
 @dataclass(frozen=True)
 class Publication:
     version: int
-    paths: dict[str, str]
+    bucket_count: int
+    buckets: dict[str, dict[str, int]]
+    marks: dict[str, int]
     batches: dict[str, int]
 
 
+class Snapshot:
+    """The tables of one publication."""
+
+    def __init__(self, spark: SparkSession, root: str, publication: Publication):
+        self.spark = spark
+        self.root = root
+        self.publication = publication
+
+    def bucket(self, name: str) -> Column:
+        if name not in KEYS:
+            return F.lit(0)
+        return F.pmod(F.xxhash64(F.col(KEYS[name])), F.lit(self.publication.bucket_count)).cast("int")
+
+    def read(self, name: str, near: DataFrame | None = None) -> DataFrame:
+        """The table, or the buckets that hold the keys of ``near``, whole. At most ``bucket_count``
+        small numbers come to the driver for that."""
+        live = self.publication.buckets.get(name, {})
+        if near is not None:
+            hit = near.select(self.bucket(name).alias("bucket")).distinct().collect()
+            live = {b: live[b] for b in (str(row["bucket"]) for row in hit) if b in live}
+        paths = [f"{self.root}/tables/{name}/version={version}/bucket={b}" for b, version in live.items()]
+        if not paths:
+            return self.spark.createDataFrame([], SCHEMAS[name])
+        return self.spark.read.schema(SCHEMAS[name]).parquet(*paths)
+
+    def mark(self, name: str) -> Column:
+        """Greatest id of the whole table, 0 if it is empty."""
+        return F.lit(self.publication.marks.get(name, 0)).cast("bigint")
+
+
 class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -37,39 +86,59 @@ class TableStore:
         self.writer = _writers[root]
 
     @classmethod
-    def create(cls, spark: SparkSession, root: str, tables: dict[str, DataFrame]) -> TableStore:
-        """A store that starts with ``tables`` and, unless given, an empty ledger."""
+    def create(cls, spark: SparkSession, root: str, tables: dict[str, DataFrame], buckets: int = 16) -> TableStore:
+        """A store that starts with ``tables``. Choose ``buckets`` so that one bucket of the largest
+        table is a good file size, and well above the number of keys in a usual batch."""
         store = cls(spark, root)
-        tables = {LEDGER: spark.createDataFrame([], LEDGER_SCHEMA), **tables}
-        store._write(Publication(0, {}, {}), tables)
+        store._write(Publication(0, buckets, {}, {}, {}), tables, whole=True)
         return store
 
-    def current(self) -> Publication:
+    def current(self) -> Snapshot:
         pattern = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/publications/*/_SUCCESS")
         files = pattern.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(pattern)
         newest = max(files[i].getPath().getParent().getName() for i in range(len(files)))
         row = self.spark.read.schema(_PUBLICATION).json(f"{self.root}/publications/{newest}").head()
-        return Publication(row["version"], row["paths"], row["batches"])
+        return Snapshot(self.spark, self.root, Publication(**row.asDict()))
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/{self.current().paths[name]}")
-
-    def has_batch(self, job: str, batch_id: int) -> bool:
-        return self.current().batches.get(job, -1) >= batch_id
-
-    def publish(self, job: str, batch_id: int, tables: dict[str, DataFrame]) -> None:
-        """Make ``tables`` current together; the other tables stay as they are."""
-        now = self.current()
-        self._write(Publication(now.version + 1, now.paths, {**now.batches, job: batch_id}), tables)
-
-    def _write(self, publication: Publication, tables: dict[str, DataFrame]) -> None:
-        paths = dict(publication.paths)
+        return self.current().read(name)
+
+    def publish(
+        self, now: Snapshot, job: str, batch_id: int, tables: dict[str, DataFrame], *, whole: bool = False
+    ) -> None:
+        """Make ``tables`` current together. They hold every row of the buckets they replace, or with
+        ``whole`` every row of the table; other tables and buckets stay as they are in ``now``."""
+        last = now.publication
+        following = Publication(
+            last.version + 1, last.bucket_count, dict(last.buckets), dict(last.marks), {**last.batches, job: batch_id}
+        )
+        self._write(following, tables, whole)
+
+    def _write(self, publication: Publication, tables: dict[str, DataFrame], whole: bool) -> None:
+        layout = Snapshot(self.spark, self.root, publication)
         for name, rows in tables.items():
-            paths[name] = f"tables/{name}/version={publication.version}"
-            rows.write.mode("overwrite").parquet(f"{self.root}/{paths[name]}")
-        state = self.spark.createDataFrame([(publication.version, paths, publication.batches)], _PUBLICATION)
+            path = f"{self.root}/tables/{name}/version={publication.version}"
+            # rebalancing gathers a bucket's rows in few files and splits a bucket that is too big
+            bucketed = rows.withColumn("bucket", layout.bucket(name)).hint("rebalance", "bucket")
+            bucketed.write.mode("overwrite").partitionBy("bucket").parquet(path)
+            self._note_written(publication, name, path, whole)
+        state = self.spark.createDataFrame([tuple(vars(publication).values())], _PUBLICATION)
         state.coalesce(1).write.mode("overwrite").json(f"{self.root}/publications/{publication.version:020d}")
 
+    def _note_written(self, publication: Publication, name: str, path: str, whole: bool) -> None:
+        mark = F.max(MARKS[name]) if name in MARKS else F.lit(None)
+        schema = T.StructType([*SCHEMAS[name], T.StructField("bucket", T.IntegerType())])
+        written = self.spark.read.schema(schema).parquet(path).groupBy("bucket").agg(mark.alias("mark")).collect()
+        earlier = {} if whole else publication.buckets.get(name, {})
+        publication.buckets[name] = {**earlier, **{str(row["bucket"]): publication.version for row in written}}
+        marks = [row["mark"] for row in written if row["mark"] is not None]
+        if name in publication.marks and not whole:
+            marks.append(publication.marks[name])
+        if marks:
+            publication.marks[name] = max(marks)
+        else:
+            publication.marks.pop(name, None)
+
     def write_notes(self, name: str, job: str, batch_id: int, rows: DataFrame) -> None:
         """Side output of one batch (quarantine, rejects), replaced if the batch is run again."""
         rows.write.mode("overwrite").parquet(f"{self.root}/notes/{name}/job={job}/batch={batch_id}")
