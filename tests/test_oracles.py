@@ -1,6 +1,7 @@
 """Every registered query against its SQL twin on the driver tables."""
 
 import math
+import os
 from collections import Counter
 from pathlib import Path
 
@@ -9,7 +10,7 @@ import pytest
 
 import __spark_entry__ as driver
 
-SF_DIR = "/root/testdata/sf0.001"
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 QUERIES = driver.queries()
 ORACLES = driver.oracle_sql()
