@@ -125,6 +125,15 @@ def test_batch_rewrites_only_its_buckets(spark):
     assert rows_of(now.read("customer_info")) == rows_of(merge.upsert_staff(prior, valid))
     assert now.publication.marks["customer_info"] == 201
 
+    jobs.apply_batch(root, job, job.project(log), 1)
+    before = rows_of(store.read("customer_info"))
+    store.drop_superseded(keep=1)
+    assert rows_of(store.read("customer_info")) == before
+    live = {(int(b), v) for b, v in store.current().publication.buckets["customer_info"].items()}
+    folders = store._find("tables/customer_info/version=*/bucket=*")
+    left = {(int(f.getName()[7:]), int(f.getParent().getName()[8:])) for f in folders}
+    assert left == live and len(store._published()) == 1
+
 
 def test_customer_scope_moves_rows_between_buckets(spark):
     root = scratch.new_path(spark, "store")

@@ -26,7 +26,8 @@ def decide(orders: DataFrame, latest: DataFrame, start: Column | None = None) ->
     only a part of the table.
     """
     if start is None:
-        start = high_water(orders, KEY).scalar()
+        # one number on the driver, which as a literal also reaches the scan of ``latest`` as a filter
+        start = F.lit(high_water(orders, KEY).head()["high_water"])
     above = latest.select(KEY, "first_ord").filter(F.col(KEY) > start)
     records = before(above, F.col(KEY), "max").filter(F.col("before").isNull() | (F.col(KEY) > F.col("before")))
     inserted = records.select(KEY, F.lit("I").alias("insert"))

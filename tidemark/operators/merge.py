@@ -50,7 +50,7 @@ def link(
     known = stage(lookup(target, latest, key, id_column).withColumn("is_known", F.lit(True)), "known")
     unseen = latest.select(key, "first_ord").join(known, key, "left_anti")
     if start is None:
-        start = high_water(target, id_column).scalar()
+        start = F.lit(high_water(target, id_column).head()["high_water"])
     fresh = assign_ids(stage(unseen, "unseen"), start).select(key, F.col("id").alias("fresh_id"))
     linked = latest.join(known, key, "left").join(fresh, key, "left")
     return linked.select(

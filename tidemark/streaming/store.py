@@ -93,12 +93,41 @@ class TableStore:
         store._write(Publication(0, buckets, {}, {}, {}), tables, whole=True)
         return store
 
+    def _find(self, pattern: str) -> list:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{pattern}")
+        found = path.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(path)
+        return [found[i].getPath() for i in range(len(found))]
+
+    def _published(self) -> list[str]:
+        return sorted(path.getParent().getName() for path in self._find("publications/*/_SUCCESS"))
+
+    def _load(self, publication: str) -> Publication:
+        row = self.spark.read.schema(_PUBLICATION).json(f"{self.root}/publications/{publication}").head()
+        return Publication(**row.asDict())
+
     def current(self) -> Snapshot:
-        pattern = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/publications/*/_SUCCESS")
-        files = pattern.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(pattern)
-        newest = max(files[i].getPath().getParent().getName() for i in range(len(files)))
-        row = self.spark.read.schema(_PUBLICATION).json(f"{self.root}/publications/{newest}").head()
-        return Snapshot(self.spark, self.root, Publication(**row.asDict()))
+        return Snapshot(self.spark, self.root, self._load(self._published()[-1]))
+
+    def drop_superseded(self, keep: int = 2) -> None:
+        """Delete what only publications older than the last ``keep`` refer to. Readers of the kept
+        ones are not disturbed."""
+        with self.writer:
+            published = self._published()
+            kept = [self._load(name) for name in published[-keep:]]
+            live = {
+                (name, f"version={version}", f"bucket={bucket}")
+                for publication in kept
+                for name, buckets in publication.buckets.items()
+                for bucket, version in buckets.items()
+            }
+            old = [path.getParent() for path in self._find("publications/*/_SUCCESS")]
+            doomed = [path for path in old if path.getName() in published[:-keep]]
+            for path in self._find("tables/*/version=*/bucket=*"):
+                version = path.getParent()
+                if (version.getParent().getName(), version.getName(), path.getName()) not in live:
+                    doomed.append(path)
+            for path in doomed:
+                path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
     def read(self, name: str) -> DataFrame:
         return self.current().read(name)
