@@ -32,10 +32,13 @@ _LOGS = {
 
 
 def valid_events(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Valid events of a log, parsed once into typed columns that the rules then scan as needed."""
     build, project, values = _LOGS[name]
-    valid, _ = p.split(project(build(spark, sf_dir)), values)
-    return stage(valid, f"{name}_events")
+    return p.split(project(build(spark, sf_dir)), values)[0]
+
+
+def staged_events(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Valid events parsed once into typed columns, for rules that read them more than once."""
+    return stage(valid_events(spark, sf_dir, name), f"{name}_events")
 
 
 def _plain(rows: DataFrame) -> DataFrame:
@@ -98,16 +101,13 @@ def quarantine_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _projection(name: str) -> Callable[[SparkSession, str], DataFrame]:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        build, project, values = _LOGS[name]
-        valid, _ = p.split(project(build(spark, sf_dir)), values)
-        return _plain(valid)
+        return _plain(valid_events(spark, sf_dir, name))
 
     return query
 
 
 def nonzero_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    valid, _ = p.split(p.project_skin(logs.skin_log(spark, sf_dir)), p.SKIN_VALUES)
-    return p.nonzero_key(valid)
+    return p.nonzero_key(valid_events(spark, sf_dir, "skin"))
 
 
 def coerce_types(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -134,8 +134,7 @@ def coerce_types(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def preview_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    valid, _ = p.split(p.project_order(logs.order_log(spark, sf_dir)), p.ORDER_VALUES)
-    return p.preview(valid)
+    return p.preview(valid_events(spark, sf_dir, "order"))
 
 
 # scalar functions
@@ -257,7 +256,7 @@ def latest_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def running_high_water(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = valid_events(spark, sf_dir, "order").select(*PLACE, "order_id")
+    events = staged_events(spark, sf_dir, "order").select(*PLACE, "order_id")
     return keyed.running_high_water(events, logs.prior_orders(spark, sf_dir))
 
 
@@ -286,7 +285,7 @@ def linked_upsert_oa(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _skin_update(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     base, oa = logs.prior_base(spark, sf_dir), logs.prior_oa(spark, sf_dir)
-    return merge.partial_update(base, oa, valid_events(spark, sf_dir, "skin"))
+    return merge.partial_update(base, oa, staged_events(spark, sf_dir, "skin"))
 
 
 def partial_update(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -298,22 +297,22 @@ def upsert_staff(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gate_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = valid_events(spark, sf_dir, "order")
+    events = staged_events(spark, sf_dir, "order")
     decided = gate.decide_orders(logs.prior_orders(spark, sf_dir), events)
     return gate.gate(events, decided).select("order_id", *PLACE, "action")
 
 
 def gated_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gate.gated_upsert(logs.prior_orders(spark, sf_dir), valid_events(spark, sf_dir, "order"))[0]
+    return gate.gated_upsert(logs.prior_orders(spark, sf_dir), staged_events(spark, sf_dir, "order"))[0]
 
 
 def customer_scope_update(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = valid_events(spark, sf_dir, "order")
+    events = staged_events(spark, sf_dir, "order")
     return gate.gated_upsert(logs.prior_orders(spark, sf_dir), events, scope="customer")[0]
 
 
 def reject_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = gate.gated_upsert(logs.prior_orders(spark, sf_dir), valid_events(spark, sf_dir, "order"))[1]
+    orders = gate.gated_upsert(logs.prior_orders(spark, sf_dir), staged_events(spark, sf_dir, "order"))[1]
     skin = _skin_update(spark, sf_dir)[1]
     return orders.select(F.col("order_id").alias("key"), *PLACE, "reason").unionByName(
         skin.select(F.col("customer_id").alias("key"), *PLACE, "reason")
@@ -322,7 +321,7 @@ def reject_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def orders_into_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole order log applied to an empty table."""
-    return gate.gated_upsert(empty_table(spark, "order_status"), valid_events(spark, sf_dir, "order"))[0]
+    return gate.gated_upsert(empty_table(spark, "order_status"), staged_events(spark, sf_dir, "order"))[0]
 
 
 def orders_by_status(spark: SparkSession, sf_dir: str) -> DataFrame:
