@@ -8,6 +8,7 @@ from tidemark import scratch
 from tidemark.operators import gate, merge
 from tidemark.operators import project as p
 from tidemark.sources import ledger as led
+from tidemark.sources.jdbc import scan_options
 from tidemark.sources.records import RECORDS_PER_SECOND, scan_log, starting_offsets, topic_options
 from tidemark.sources.tables import empty_table
 from tidemark.streaming import jobs
@@ -182,6 +183,13 @@ def test_intake_cap_grows_with_partitions():
     assert options["startingOffsets"] == "earliest"
 
 
+def test_table_scan_is_split_by_key():
+    options = scan_options({"url": "jdbc:x"}, "t", key="id", lower=1, upper=1000, partitions=8)
+    assert options["url"] == "jdbc:x" and options["dbtable"] == "t"
+    assert (options["partitionColumn"], options["numPartitions"]) == ("id", "8")
+    assert (options["lowerBound"], options["upperBound"]) == ("1", "1000")
+
+
 def test_small_batch_does_not_shuffle_the_target(spark):
     """The target is streamed past a broadcast batch."""
     target = scratch.stage(

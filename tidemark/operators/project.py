@@ -200,6 +200,11 @@ def stage_projection(projected: DataFrame) -> DataFrame:
     return stage(projected.withColumns(slim), "projected")
 
 
+def count_reasons(set_aside: DataFrame) -> DataFrame:
+    """How many events were quarantined or rejected, per reason."""
+    return set_aside.groupBy("reason").agg(F.count("*").alias("events"))
+
+
 def nonzero_key(events: DataFrame, key: str = "customer_id") -> DataFrame:
     return events.filter(F.col(key) != 0)
 

@@ -207,6 +207,16 @@ def _skin_columns(table: str) -> str:
     return ", ".join(f"{table}.{name}" for name in SKIN_NAMES)
 
 
+_REJECTS = """SELECT order_id AS "key", "partition", "offset", 'below_high_water' AS reason
+    FROM gated_order_status WHERE action = 'R'
+    UNION ALL
+    SELECT customer_id, "partition", "offset", 'unknown_customer'
+    FROM skin_events ANTI JOIN base USING (customer_id) WHERE customer_id <> 0"""
+
+_QUARANTINE = """SELECT "key", "partition", "offset", CASE WHEN kind < 6 THEN 'not_object'
+        WHEN kind < 8 THEN 'bad_envelope' WHEN kind = 8 THEN 'bad_value' ELSE 'null_key' END AS reason
+    FROM dirty WHERE kind <= 9"""
+
 ORACLES: dict[str, str] = {
     "scan_records": """
         SELECT CAST(c_custkey AS VARCHAR) AS "key", 'customer' AS topic, CAST(c_custkey % 4 AS INTEGER) AS "partition",
@@ -240,12 +250,7 @@ ORACLES: dict[str, str] = {
             CASE WHEN kind = 8 THEN 'x' ELSE CAST(event_id + 1 AS VARCHAR) END AS submit_time
         FROM dirty WHERE kind >= 8""",
     ),
-    "quarantine_reasons": _with(
-        ["dirty"],
-        """SELECT "key", "partition", "offset", CASE WHEN kind < 6 THEN 'not_object' WHEN kind < 8 THEN 'bad_envelope'
-            WHEN kind = 8 THEN 'bad_value' ELSE 'null_key' END AS reason
-        FROM dirty WHERE kind <= 9""",
-    ),
+    "quarantine_reasons": _with(["dirty"], _QUARANTINE),
     "project_customer": _with(["customer_raw", "customer_events"], "SELECT * FROM customer_events"),
     "project_skin": _with(["skin_events"], "SELECT * FROM skin_events"),
     "project_staff": _with(["staff_events"], "SELECT * FROM staff_events"),
@@ -383,12 +388,10 @@ ORACLES: dict[str, str] = {
         FROM gated_order_status f JOIN gated_order_status l ON l.order_id = f.order_id AND l.nth_last = 1
         WHERE f.action = 'I'""",
     ),
-    "reject_report": _with(
-        [*_GATED, *_SKIN_KNOWN],
-        """SELECT order_id AS "key", "partition", "offset", 'below_high_water' AS reason
-        FROM gated_order_status WHERE action = 'R'
-        UNION ALL
-        SELECT customer_id, "partition", "offset", 'unknown_customer'
-        FROM skin_events ANTI JOIN base USING (customer_id) WHERE customer_id <> 0""",
+    "reject_report": _with([*_GATED, *_SKIN_KNOWN], _REJECTS),
+    "reject_counts": _with(
+        [*_GATED, *_SKIN_KNOWN, "dirty"],
+        f"""SELECT reason, count(*) AS events FROM (
+            SELECT reason FROM ({_REJECTS}) UNION ALL SELECT reason FROM ({_QUARANTINE})) GROUP BY reason""",
     ),
 }

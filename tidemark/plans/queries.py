@@ -319,6 +319,12 @@ def reject_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def reject_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, quarantine = p.split(p.project_order(logs.dirty_order_log(spark, sf_dir)), p.ORDER_VALUES)
+    rejects = reject_report(spark, sf_dir)
+    return p.count_reasons(rejects.select("reason").unionByName(quarantine.select("reason")))
+
+
 def orders_into_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole order log applied to an empty table."""
     return gate.gated_upsert(empty_table(spark, "order_status"), staged_events(spark, sf_dir, "order"))[0]
@@ -378,6 +384,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gated_upsert": gated_upsert,
     "customer_scope_update": customer_scope_update,
     "reject_report": reject_report,
+    "reject_counts": reject_counts,
     "orders_into_empty": orders_into_empty,
     "orders_by_status": orders_by_status,
     "stream_gated_upsert": stream_gated_upsert,
