@@ -10,6 +10,7 @@ One application writes to a store; its jobs take turns.
 
 from __future__ import annotations
 
+import json
 import threading
 from collections import defaultdict
 from dataclasses import dataclass
@@ -32,11 +33,6 @@ KEYS = {"base": "customer_id", "oa": "customer_id", "customer_info": "customer_i
 # Columns whose maximum the write rules need. They only ever grow in a bucket-wise update.
 MARKS = {"base": "id", "customer_info": "id", "order_status": "order_id"}
 
-_PUBLICATION = (
-    "version bigint, bucket_count int, buckets map<string,map<string,bigint>>,"
-    " marks map<string,bigint>, batches map<string,bigint>"
-)
-
 _writers: defaultdict[str, threading.RLock] = defaultdict(threading.RLock)
 
 
@@ -93,17 +89,39 @@ class TableStore:
         store._write(Publication(0, buckets, {}, {}, {}), tables, whole=True)
         return store
 
+    def _path(self, relative: str):
+        """A path below the root, with the file system it is on."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{relative}")
+        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
     def _find(self, pattern: str) -> list:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{pattern}")
-        found = path.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(path)
+        path, files = self._path(pattern)
+        found = files.globStatus(path)
         return [found[i].getPath() for i in range(len(found))]
 
     def _published(self) -> list[str]:
-        return sorted(path.getParent().getName() for path in self._find("publications/*/_SUCCESS"))
-
-    def _load(self, publication: str) -> Publication:
-        row = self.spark.read.schema(_PUBLICATION).json(f"{self.root}/publications/{publication}").head()
-        return Publication(**row.asDict())
+        return sorted(path.getName() for path in self._find("publications/*.json"))
+
+    def _load(self, name: str) -> Publication:
+        path, files = self._path(f"publications/{name}")
+        stream = files.open(path)
+        try:
+            return Publication(**json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")))
+        finally:
+            stream.close()
+
+    def _save(self, publication: Publication) -> None:
+        """Written aside and renamed, so that it appears complete or not at all."""
+        name = f"{publication.version:020d}"
+        aside, files = self._path(f"publications/{name}.part")
+        stream = files.create(aside, True)
+        try:
+            stream.write(json.dumps(vars(publication)).encode())
+        finally:
+            stream.close()
+        final, _ = self._path(f"publications/{name}.json")
+        if not files.rename(aside, final):
+            raise RuntimeError(f"version {publication.version} of {self.root} is already published")
 
     def current(self) -> Snapshot:
         return Snapshot(self.spark, self.root, self._load(self._published()[-1]))
@@ -120,8 +138,7 @@ class TableStore:
                 for name, buckets in publication.buckets.items()
                 for bucket, version in buckets.items()
             }
-            old = [path.getParent() for path in self._find("publications/*/_SUCCESS")]
-            doomed = [path for path in old if path.getName() in published[:-keep]]
+            doomed = [path for path in self._find("publications/*.json") if path.getName() in published[:-keep]]
             for path in self._find("tables/*/version=*/bucket=*"):
                 version = path.getParent()
                 if (version.getParent().getName(), version.getName(), path.getName()) not in live:
@@ -151,8 +168,7 @@ class TableStore:
             bucketed = rows.withColumn("bucket", layout.bucket(name)).hint("rebalance", "bucket")
             bucketed.write.mode("overwrite").partitionBy("bucket").parquet(path)
             self._note_written(publication, name, path, whole)
-        state = self.spark.createDataFrame([tuple(vars(publication).values())], _PUBLICATION)
-        state.coalesce(1).write.mode("overwrite").json(f"{self.root}/publications/{publication.version:020d}")
+        self._save(publication)
 
     def _note_written(self, publication: Publication, name: str, path: str, whole: bool) -> None:
         mark = F.max(MARKS[name]) if name in MARKS else F.lit(None)
