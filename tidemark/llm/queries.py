@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import mixing, sharding
+from tidemark.llm import bpe, mixing, records, sharding
 from tidemark.llm.shared import WORD
 
 SEED = 20
@@ -34,7 +35,21 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select(F.col("row.doc_id").alias("doc_id"), "size", "source_size", "target", "taken", "shards")
 
 
-QUERIES = {"op1_sharding": op1_sharding, "op2_mixing": op2_mixing}
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ids of every document and the bytes they decode to, as digests."""
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return bpe.encode(_documents(spark, sf_dir), "doc_id", "text", ranks=ranks, pattern=public_tokenizers.PATTERN)
+
+
+def op10_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids written to record files and read back."""
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    folder = records.write(_documents(spark, sf_dir), "doc_id", "text", tokenizer=tokenizer, end_id=1)
+    index = spark.read.parquet(f"{folder}/index")
+    return records.read(index, firsts=records.first_ids(index)).drop("ids")
+
+
+QUERIES = {"op1_sharding": op1_sharding, "op2_mixing": op2_mixing, "op3_bpe": op3_bpe, "op10_records": op10_records}
 
 #: SQL twins, where SQL can say the same.
 ORACLES: dict[str, str] = {}
