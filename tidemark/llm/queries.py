@@ -7,13 +7,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import bpe, mixing, records, sharding
-from tidemark.llm.shared import WORD
+from tidemark.llm.shared import WORD, with_package
 
 SEED = 20
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return with_package(spark).read.parquet(f"{sf_dir}/documents.parquet")
 
 
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

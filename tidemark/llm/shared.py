@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import re
 import tempfile
 from collections.abc import Iterable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +32,15 @@ def words(text: str) -> list[str]:
     return text.split()
 
 
+def with_package(spark: SparkSession) -> SparkSession:
+    """Lets Python workers find this package where it is not installed but lies at the same path, as in a local session."""
+    root, environment = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    known = environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [known, root]))
+    return spark
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder of ``spark.checkpoint.dir``; a local session that has none gets a temporary one."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
