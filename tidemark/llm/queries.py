@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, mixing, records, sharding
+from tidemark.llm import bpe, mixing, records, sharding, simhash
 from tidemark.llm.shared import WORD, with_package
 
 SEED = 20
@@ -41,6 +41,11 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(_documents(spark, sf_dir), "doc_id", "text", ranks=ranks, pattern=public_tokenizers.PATTERN)
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate component of every document."""
+    return simhash.near_duplicates(_documents(spark, sf_dir), "doc_id", "text", shingle=3, seed=42, reach=3)
+
+
 def op10_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's ids written to record files and read back."""
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
@@ -49,7 +54,7 @@ def op10_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.read(index, firsts=records.first_ids(index)).drop("ids")
 
 
-QUERIES = {"op1_sharding": op1_sharding, "op2_mixing": op2_mixing, "op3_bpe": op3_bpe, "op10_records": op10_records}
+QUERIES = {"op1_sharding": op1_sharding, "op2_mixing": op2_mixing, "op3_bpe": op3_bpe, "op6_simhash": op6_simhash, "op10_records": op10_records}
 
 #: SQL twins, where SQL can say the same.
 ORACLES: dict[str, str] = {}
