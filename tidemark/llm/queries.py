@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, mixing, records, sharding, simhash
-from tidemark.llm.shared import WORD, with_package
+from tidemark.llm import bpe, mixing, quality, records, sharding, simhash, sketch, toxicity
+from tidemark.llm.shared import WORD, id_remainder, with_package
 
 SEED = 20
 
@@ -41,11 +41,36 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(_documents(spark, sf_dir), "doc_id", "text", ranks=ranks, pattern=public_tokenizers.PATTERN)
 
 
+def _scored(docs: DataFrame, score: Column, folds: int, held_out: int) -> DataFrame:
+    """Every document's fold, score and decision at 0.3."""
+    rows = docs.select("doc_id", (id_remainder(F.col("doc_id"), folds) == held_out).alias("held_out"), score.alias("score"))
+    return rows.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality of every document."""
+    docs = _documents(spark, sf_dir)
+    model = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), folds=5, held_out=0)
+    return _scored(docs, quality.score_column(model, F.col("text")), 5, 0)
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The near-duplicate component of every document."""
     return simhash.near_duplicates(_documents(spark, sf_dir), "doc_id", "text", shingle=3, seed=42, reach=3)
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every document."""
+    docs = _documents(spark, sf_dir)
+    lexicon = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), folds=4, held_out=2)
+    return _scored(docs, toxicity.score_column(lexicon, F.col("text")), 4, 2)
+
+
+def op9_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint against that of its edited text and of the next document."""
+    return sketch.compare_with_next(_documents(spark, sf_dir), "doc_id", "text")
+
+
 def op10_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's ids written to record files and read back."""
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
@@ -54,7 +79,16 @@ def op10_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.read(index, firsts=records.first_ids(index)).drop("ids")
 
 
-QUERIES = {"op1_sharding": op1_sharding, "op2_mixing": op2_mixing, "op3_bpe": op3_bpe, "op6_simhash": op6_simhash, "op10_records": op10_records}
+QUERIES = {
+    "op1_sharding": op1_sharding,
+    "op2_mixing": op2_mixing,
+    "op3_bpe": op3_bpe,
+    "op4_quality": op4_quality,
+    "op6_simhash": op6_simhash,
+    "op8_toxicity": op8_toxicity,
+    "op9_sketch": op9_sketch,
+    "op10_records": op10_records,
+}
 
 #: SQL twins, where SQL can say the same.
 ORACLES: dict[str, str] = {}
