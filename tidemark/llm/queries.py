@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, mixing, quality, records, sharding, simhash, sketch, toxicity
+from tidemark.llm import bpe, mixing, quality, records, sharding, simhash, sketch, topk, toxicity
 from tidemark.llm.shared import WORD, id_remainder, with_package
 
 SEED = 20
@@ -54,6 +54,12 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(docs, quality.score_column(model, F.col("text")), 5, 0)
 
 
+def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best scores of every query."""
+    vectors = with_package(spark).read.parquet(f"{sf_dir}/embeddings.parquet")
+    return topk.top_scores(vectors, "vec_id", "embedding", F.col("id") % 20 == 0, k=20, scale=64)
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The near-duplicate component of every document."""
     return simhash.near_duplicates(_documents(spark, sf_dir), "doc_id", "text", shingle=3, seed=42, reach=3)
@@ -84,6 +90,7 @@ QUERIES = {
     "op2_mixing": op2_mixing,
     "op3_bpe": op3_bpe,
     "op4_quality": op4_quality,
+    "op5_topk": op5_topk,
     "op6_simhash": op6_simhash,
     "op8_toxicity": op8_toxicity,
     "op9_sketch": op9_sketch,
