@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, mixing, quality, records, sharding, simhash, sketch, topk, toxicity
+from tidemark.llm import bpe, lm, mixing, quality, records, sharding, simhash, sketch, topk, toxicity
 from tidemark.llm.shared import WORD, id_remainder, with_package
 
 SEED = 20
@@ -65,6 +65,11 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_documents(spark, sf_dir), "doc_id", "text", shingle=3, seed=42, reach=3)
 
 
+def op7_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log10 probability of every document."""
+    return lm.score(_documents(spark, sf_dir), "doc_id", "text", folds=7, held_out=2)
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The toxicity of every document."""
     docs = _documents(spark, sf_dir)
@@ -92,6 +97,7 @@ QUERIES = {
     "op4_quality": op4_quality,
     "op5_topk": op5_topk,
     "op6_simhash": op6_simhash,
+    "op7_lm": op7_lm,
     "op8_toxicity": op8_toxicity,
     "op9_sketch": op9_sketch,
     "op10_records": op10_records,
