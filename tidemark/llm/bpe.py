@@ -28,8 +28,8 @@ from tidemark.llm.shared import text_slices
 
 #: Pieces of more bytes are merged with a heap, as one step per contraction over all positions would be quadratic.
 LONG_PIECE = 256
-#: Entries of a worker's tables; a full table is emptied.
-MOST_UNITS = 400_000
+#: Entries that a worker's tables keep.
+MOST_UNITS = 600_000
 #: Where a cut before a blank need not be a cut of the pattern: a blank that is followed by white space or the end.
 _UNSAFE = re.compile(r" (?=\s|$)")
 
@@ -56,7 +56,8 @@ FROM steps JOIN vocabulary v USING (t) WHERE done GROUP BY w ORDER BY w
 
 
 class Encoder:
-    """The tables of one worker. ``units`` and ``pieces`` map text to (ids as decimal text, decoded bytes)."""
+    """The tables of one worker: ids as decimal text and decoded bytes of known pieces, and of units, which are a text's first word
+    (``heads``) or a later word with the blank before it (``ids`` and ``bytes`` by the word)."""
 
     def __init__(self, ranks: str, pattern: str):
         import duckdb
@@ -67,7 +68,8 @@ class Encoder:
         self.tokens = {rank: token for token, rank in self.ranks.items()}
         self.find = regex.compile(pattern).findall
         self.byte_ids = np.array([self.ranks[bytes([b])] for b in range(256)], dtype=np.int32)
-        self.units: dict[str, tuple[str, bytes]] = {}
+        self.ids: dict[str, str] = {}
+        self.bytes: dict[str, bytes] = {}
         self.pieces: dict[str, tuple[str, bytes]] = {}
         pairs = [
             (self.ranks[token[:i]] << 20 | self.ranks[token[i:]], rank)
@@ -122,47 +124,59 @@ class Encoder:
         ids = [t for t in tokens if t is not None]
         return " ".join(map(str, ids)), b"".join(spelled[t] for t in ids)
 
-    def _learn_pieces(self, new: list[str]) -> None:
-        if len(self.pieces) + len(new) > MOST_UNITS:
-            self.pieces.clear()
-        raw = [(piece, piece.encode("utf-8", "replace")) for piece in new]
+    def _encoded(self, pieces: list[str]) -> dict[str, tuple[str, bytes]]:
+        """Ids and decoded bytes of distinct pieces."""
+        raw = [(piece, piece.encode("utf-8", "replace")) for piece in pieces]
         short = [(piece, b) for piece, b in raw if b not in self.ranks and len(b) <= LONG_PIECE]
-        for piece, b in raw:
-            if b in self.ranks:  # a piece that is a token stays whole
-                self.pieces[piece] = (str(self.ranks[b]), self.tokens[self.ranks[b]])
-            elif len(b) > LONG_PIECE:
-                self.pieces[piece] = self._long(b)
+        # a piece that is a token stays whole
+        made = {piece: (str(self.ranks[b]), self.tokens[self.ranks[b]]) if b in self.ranks else self._long(b) for piece, b in raw if b in self.ranks or len(b) > LONG_PIECE}
         for start in range(0, len(short), 50_000):
             part = short[start : start + 50_000]
-            self.pieces.update(zip((piece for piece, _ in part), self._merged([b for _, b in part]), strict=True))
-
-    def _cut(self, text: str) -> list[str]:
-        """Units whose pieces are the text's pieces: words with the blank before them, else the whole text."""
-        if _UNSAFE.search(text):
-            return self.find(text)
-        first, *rest = text.split(" ")
-        return [first, *[" " + word for word in rest]] if first else [" " + word for word in rest]
-
-    def learn(self, texts: Iterable[str]) -> None:
-        """Encodes what is new in ``texts``."""
+            made.update(zip((piece for piece, _ in part), self._merged([b for _, b in part]), strict=True))
+        return made
+
+    def _joined(self, cuts: dict[str, list[str]]) -> dict[str, tuple[str, bytes]]:
+        """Ids and decoded bytes of texts that are cut into pieces."""
+        found = {piece for pieces in cuts.values() for piece in pieces}
+        known = {piece: self.pieces[piece] for piece in found if piece in self.pieces}
+        new = self._encoded([piece for piece in found if piece not in known])
+        if len(self.pieces) < MOST_UNITS:
+            self.pieces.update(new)
+        known.update(new)
+        return {
+            text: (" ".join([known[p][0] for p in pieces]), b"".join([known[p][1] for p in pieces])) for text, pieces in cuts.items()
+        }
+
+    def encode(self, texts: list[str]) -> list[tuple[str, bytes]]:
+        """The ids of each text as decimal text, and the bytes they decode to. What is new in all of them is encoded together."""
+        cut = [None if _UNSAFE.search(text) else text.split(" ") for text in texts]
         found: set[str] = set()
-        for text in texts:
-            found.update(self._cut(text))
-        if len(self.units) + len(found) > MOST_UNITS:
-            self.units.clear()
-        cut = {unit: self.find(unit) for unit in found if unit not in self.units}
-        new = {piece for pieces in cut.values() for piece in pieces if piece not in self.pieces}
-        if len(self.pieces) + len(new) > MOST_UNITS:
-            new = {piece for pieces in cut.values() for piece in pieces}
-        self._learn_pieces(list(new))
-        for unit, pieces in cut.items():
-            both = [self.pieces[piece] for piece in pieces]
-            self.units[unit] = (" ".join([ids for ids, _ in both]), b"".join([b for _, b in both]))
-
-    def encode(self, text: str) -> tuple[str, bytes]:
-        """The ids of a learned text as decimal text, and the bytes they decode to."""
-        both = [self.units[unit] for unit in self._cut(text)]
-        return " ".join([ids for ids, _ in both]), b"".join([b for _, b in both])
+        for words in cut:
+            if words is not None:
+                found.update(words)
+        found.difference_update(self.ids)
+        heads = {words[0] for words in cut if words is not None}
+        whole = {text for text, words in zip(texts, cut, strict=True) if words is None}
+        # a later word is matched with its blank, which is put before it as a key that no head or whole text has
+        made = self._joined({("", w): self.find(" " + w) for w in found} | {t: self.find(t) for t in heads | whole})
+        ids, decoded = self.ids, self.bytes
+        for w in found:
+            ids[w], decoded[w] = made.pop(("", w))
+        out = []
+        for text, words in zip(texts, cut, strict=True):
+            if words is None:
+                out.append(made[text])
+                continue
+            head, tail = made[words[0]], words[1:]
+            if not tail:
+                out.append(head)
+                continue
+            spelled = " ".join(map(ids.__getitem__, tail))
+            out.append((f"{head[0]} {spelled}" if head[0] else spelled, head[1] + b"".join(map(decoded.__getitem__, tail))))
+        if len(ids) > MOST_UNITS:  # what was met first stays: frequent words are among it
+            for w in list(ids)[MOST_UNITS:]:
+                del ids[w], decoded[w]
+        return out
 
 
 @lru_cache(maxsize=2)
@@ -180,10 +194,9 @@ def encode(docs: DataFrame, doc_id: str, text: str, *, ranks: str, pattern: str,
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(ranks, pattern)
-        for batch in text_slices(batches, "text"):
+        for batch in text_slices(batches, "text", 16_000_000):
             texts = [t or "" for t in batch.column("text").to_pylist()]
-            encoder.learn(texts)
-            made = [encoder.encode(t) for t in texts]
+            made = encoder.encode(texts)
             columns = {
                 "doc_id": batch.column("doc_id"),
                 "n_tokens": pa.array([ids.count(" ") + bool(ids) for ids, _ in made], pa.int64()),
