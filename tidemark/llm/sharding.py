@@ -65,13 +65,13 @@ def row_of(shard: int, slot: int, size: int, shards: int, seed: int) -> int:
 
 
 def deal(rows: DataFrame, *order: Column, shards: int, seed: int) -> DataFrame:
-    """``rows`` with ``row_number``, ``shard`` and ``slot``; columns of these names, ``part`` and ``place`` are replaced.
+    """``rows`` with ``row_number``, ``shard`` and ``slot``; columns of these names are replaced.
 
     The row number is the place in ``order``, with a hash of all columns for ties, so reruns agree and only rows
     that are equal throughout may swap. Pass narrow rows: all columns are sorted and written once. Nulls sort first; an
     empty table gives an empty result.
     """
-    kept = rows.drop("row_number", "shard", "slot", "part", "place")
+    kept = rows.drop("row_number", "shard", "slot")
     tie = F.xxhash64(*[F.to_json(F.struct(F.col(f"`{c}`"))) if "map" in kind else F.col(f"`{c}`") for c, kind in kept.dtypes])
     placed, firsts = number_rows(kept, *order, tie)
     size, starts = firsts[-1], np.array(firsts)
@@ -83,4 +83,4 @@ def deal(rows: DataFrame, *order: Column, shards: int, seed: int) -> DataFrame:
         return pd.DataFrame({"row_number": number, "shard": (spot % shards).astype(np.int32), "slot": spot // shards})
 
     columns = [F.col(f"`{c}`") for c in kept.columns]
-    return placed.select(*columns, dealt("part", "place").alias("dealt")).select(*columns, "dealt.*")
+    return placed.select(*columns, dealt("_part", "_place").alias("_dealt")).select(*columns, "_dealt.*")

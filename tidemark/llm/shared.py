@@ -83,14 +83,14 @@ def text_slices(batches: Iterable[pa.RecordBatch], text: str, most: int = 8_000_
 
 
 def number_rows(rows: DataFrame, *order: Column) -> tuple[DataFrame, list[int]]:
-    """``rows`` in the given total order, as a checkpoint, with ``part`` and ``place`` (the row's place in its
-    part, from 0), and the first row number of each part. The row number is ``firsts[part] + place``.
+    """``rows`` in the given total order, as a checkpoint, with ``_part`` and ``_place`` (the row's place in its
+    part, from 0), and the first row number of each part. The row number is ``firsts[_part] + _place``.
 
     One range shuffle. The driver sees one count per partition.
     """
     ordered = checkpointed(rows.orderBy(*order))
     mark = F.monotonically_increasing_id()
-    placed = ordered.select("*", F.shiftright(mark, 33).cast("int").alias("part"), mark.bitwiseAND((1 << 33) - 1).alias("place"))
-    counts = {r["part"]: r["n"] for r in placed.groupBy("part").agg(F.count("*").alias("n")).collect()}
+    placed = ordered.select("*", F.shiftright(mark, 33).cast("int").alias("_part"), mark.bitwiseAND((1 << 33) - 1).alias("_place"))
+    counts = {r["_part"]: r["n"] for r in placed.groupBy("_part").agg(F.count("*").alias("n")).collect()}
     sizes = [counts.get(p, 0) for p in range(max(counts, default=-1) + 1)]
     return placed, [0, *np.cumsum(sizes).tolist()]
