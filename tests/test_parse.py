@@ -1,5 +1,7 @@
 """Truth tables of the decodes and the reasons of bad records."""
 
+from decimal import Decimal
+
 import pytest
 from helpers import log_of, rows_of
 from pyspark.sql import functions as F
@@ -10,6 +12,8 @@ from tidemark.operators.envelope import valid_objects
 
 ORDER = {"order_id": 5, "customer_id": "7", "submit_time": "12"}
 
+GOOD = '{"data":[{"order_id":5,"customer_id":7,"submit_time":1}]}'
+
 REASONS = [
     (None, "not_object"),
     ("", "not_object"),
@@ -23,6 +27,12 @@ REASONS = [
     ('{"data":[{"order_id":1}]} {"data":[{"order_id":2}]}', "not_object"),
     ('{"data":[{"order_id":1}]},{"data":[{"order_id":2}]}', "not_object"),
     ('{"data":[{"order_id":1}]}]}', "not_object"),
+    (GOOD + '],"x":[1', "not_object"),
+    (GOOD + '],"end":2,"y":[3', "not_object"),
+    (GOOD + '],"root":[{"data":[{"order_id":9,"customer_id":7,"submit_time":1}]}', "not_object"),
+    (GOOD + '],x:[1', "not_object"),
+    (GOOD + ',{"tidemark_document":1}],"z":[5', "not_object"),
+    (GOOD + ',{"tidemark_document":1}],"tidemark_document":[' + GOOD, "not_object"),
     ("{}", "bad_envelope"),
     ('{"data":[]}', "bad_envelope"),
     ('{"data":{"a":1}}', "bad_envelope"),
@@ -42,6 +52,11 @@ REASONS = [
     ({**ORDER, "order_id": None}, "null_key"),
     ({**ORDER, "customer_id": "NULL"}, "null_key"),
     (ORDER, None),
+    ({**ORDER, "order_id": 5.0, "customer_id": "7.00", "submit_time": 1e3}, None),
+    ('{"data":[{"order_id":5e0,"customer_id":1.7E1,"submit_time":1e3}]}', None),
+    ({**ORDER, "order_id": "1.7e0"}, "bad_value"),
+    ({**ORDER, "order_id": "1e-30"}, "bad_value"),
+    (GOOD[:-1] + ',"tidemark_document":3}', None),
     ('{"data":[{"order_id":5,"customer_id":7,"submit_time":1},5]}', None),
     ('  {"data":[{"order_id":5,"customer_id":7,"submit_time":1}]}\n', None),
     ("{data:[{'order_id':5,'customer_id':7,'submit_time':1}]}", None),
@@ -154,3 +169,12 @@ def test_customer_defaults(spark):
         "reason",
     )
     assert row == [(1234, 0, "", " ", 0, None, " ", None)]
+
+
+def test_decimals_keep_every_digit_or_are_bad(spark):
+    texts = ["1.23456", 0.1, "12345678901234567890.5", "1.12345678900000", "1.12345678901", "1e-11", "1.5e3", "9" * 29, "-7", ".5", "5."]
+    log = log_of(spark, [(0, i, {"customer_id": 1, "total_cash": t}) for i, t in enumerate(texts)])
+    got = {r["offset"]: (r["total_cash"], r["reason"]) for r in p.project_customer(log).collect()}
+    want = ["1.23456", "0.1", "12345678901234567890.5", "1.123456789", None, None, "1500", None, "-7", "0.5", "5"]
+    for i, text in enumerate(want):
+        assert got[i] == ((Decimal(text), None) if text else (None, "bad_value")), texts[i]

@@ -11,7 +11,8 @@ the driver than a tree of single column calls.
 
 from __future__ import annotations
 
-DECIMAL = "decimal(20,4)"
+#: Keeps ten decimals and 28 digits before them; a number that needs more is bad, never rounded.
+DECIMAL = "decimal(38,10)"
 
 # Texts that count as "no value".
 BLANK_TEXTS = "('', 'null', 'NULL')"
@@ -29,9 +30,20 @@ def present(text: str) -> str:
 
 
 def number(text: str, data_type: str) -> str:
-    """Number in a present text without thousands commas; null when malformed. A cast would accept
-    outer blanks, the contract does not."""
-    return f"CASE WHEN trim({text}) = {text} THEN try_cast(replace({text}, ',', '') AS {data_type}) END"
+    """Number in a present text without thousands commas; null when malformed or when the type would
+    not keep it whole. A cast would accept outer blanks, the contract does not. A whole number may be
+    spelled ``5``, ``5.0`` or ``5e0`` for an integer type, too."""
+    plain = f"replace({text}, ',', '')"
+    wide = f"try_cast({plain} AS {DECIMAL})"
+    # a number with an exponent is kept if the decimal is the same double
+    scaled = f"{plain} RLIKE '[eE]' AND CAST({wide} AS DOUBLE) = try_cast({plain} AS DOUBLE)"
+    if data_type == DECIMAL:
+        read = f"CASE WHEN {plain} RLIKE '^[+-]?[0-9]*[.]?[0-9]{{0,10}}0*$' THEN {wide} WHEN {scaled} THEN {wide} END"
+    else:
+        read = f"""coalesce(try_cast({plain} AS {data_type}), CASE
+            WHEN {plain} RLIKE '^[+-]?[0-9]+[.]0*$' THEN try_cast(substring_index({plain}, '.', 1) AS {data_type})
+            WHEN {scaled} AND {wide} = floor({wide}) THEN try_cast({wide} AS {data_type}) END)"""
+    return f"CASE WHEN trim({text}) = {text} THEN {read} END"
 
 
 def present_count(texts: list[str]) -> str:

@@ -8,21 +8,28 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+# Wraps the record and ends it; no record has this name by accident, and one that has it is looked at again.
+WRAPPER = "tidemark_document"
+
+
 def parse_envelope(log: DataFrame, fields: Iterable[str]) -> DataFrame:
     """Adds ``img``, the first row image of ``data`` with text leaves, and ``reason``.
 
-    The record is read once, wrapped as ``{"root":[<value>],"end":1}``: text that is not exactly one
-    JSON document breaks the wrapper, so neither cut-off records nor trailing text can pass. Only a
-    record that has an object at its root but an odd ``data`` array is looked at a second time.
+    The record is read once, as ``{"<wrapper>":[<value>,{"<wrapper>":1}]}``. Text that is not exactly one JSON document breaks
+    the wrapper or changes the array's length: a record that closes the array early takes the end mark with it to
+    another place. Only a record that has an object at its root but an odd ``data`` array is looked at a second
+    time, and one that contains the wrapper's name has its outer keys listed.
     """
     image = ", ".join(f"`{name}` string" for name in fields)
-    schema = f"root array<struct<data array<struct<{image}>>>>, `end` string, broken string"
+    schema = f"{WRAPPER} array<struct<data array<struct<{image}>>, {WRAPPER} string>>, broken string"
     options = {"columnNameOfCorruptRecord": "broken", "allowUnquotedFieldNames": "true"}
-    wrapped = F.concat(F.lit('{"root":['), F.col("value"), F.lit('],"end":1}'))
+    wrapped = F.concat(F.lit(f'{{"{WRAPPER}":['), F.col("value"), F.lit(f',{{"{WRAPPER}":1}}]}}'))
 
     read = log.withColumn("doc", F.from_json(wrapped, schema, options))
-    root = F.get("doc.root", F.lit(0))
-    is_object = F.col("doc.end").isNotNull() & (F.size("doc.root") == 1) & root.isNotNull()
+    found = F.col(f"doc.{WRAPPER}")
+    root, end = F.get(found, F.lit(0)), F.get(found, F.lit(1))
+    alone = ~F.contains("value", F.lit(WRAPPER)) | (F.json_object_keys(wrapped) == F.array(F.lit(WRAPPER)))
+    is_object = end[WRAPPER].isNotNull() & (F.size(found) == 2) & root.isNotNull() & alone
     first_text = F.get_json_object("value", "$.data[0]")
     first_alone = F.when(first_text.startswith("{"), F.from_json(first_text, f"struct<{image}>"))
     img = (

@@ -53,7 +53,7 @@ _TYPES = {
     "bigint": T.LongType(),
     "int": T.IntegerType(),
     "string": T.StringType(),
-    DECIMAL: T.DecimalType(20, 4),
+    DECIMAL: T.DecimalType(38, 10),
 }
 
 
