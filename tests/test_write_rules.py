@@ -3,7 +3,7 @@
 import random
 
 import pytest
-from helpers import gate_loop, linked_loop, partial_loop, rows_of, table_of, upsert_loop
+from helpers import gate_loop, in_order, linked_loop, partial_loop, rows_of, table_of, upsert_loop
 
 from tidemark.operators import gate, keyed, merge
 from tidemark.operators import project as p
@@ -143,6 +143,56 @@ def test_prefix_over_many_chunks_and_groups(spark, fold):
         assert got[place] == (pick(values[:i]) if i else None)
 
 
+def _scope_loop(orders, events):
+    """The literal rule, event by event."""
+    table = [dict(r) for r in orders]
+    for event in in_order(events):
+        if any(r["order_id"] == event["order_id"] for r in table):
+            for row in table:
+                if row["customer_id"] == event["customer_id"]:
+                    row.update({c: event[c] for c in ("order_id", *ORDER_COLUMNS)})
+        elif event["order_id"] > max((r["order_id"] for r in table), default=0):
+            table.append({c: event[c] for c in ("customer_id", "order_id", *ORDER_COLUMNS)})
+    return table
+
+
+@pytest.mark.parametrize("slices", [1, 3])
+def test_customer_scope_equals_the_loop_where_no_id_is_erased(spark, slices):
+    """Every customer has one row at most and repeats only its own id."""
+    rng = random.Random(400)
+    for _ in range(2):
+        prior = [{"customer_id": c, "order_id": c, "status": "old"} for c in range(1, 6)]
+        events, last = [], 10
+        owner = {c: c for c in range(1, 6)}
+        for off in range(40):
+            if rng.random() < 0.4:
+                last += 1
+                customer, order = last + 100, last
+                owner[customer] = order
+            else:
+                customer = rng.choice(list(owner))
+                order = owner[customer]
+            events.append({"offset": off, "partition": 0, "customer_id": customer, "order_id": order, **{c: _value(rng, c) for c in ORDER_COLUMNS}})
+        orders = table_of(spark, "order_status", prior)
+        for i in range(slices):
+            part = [e for e in events if e["offset"] * slices // 40 == i]
+            orders = gate.gated_upsert(orders, _frame(spark, part, p.ORDER_VALUES), scope="customer")[0]
+        assert rows_of(orders) == _rows(_scope_loop(prior, events), orders.columns)
+
+
+def test_customer_scope_updates_rows_of_the_same_batch(spark):
+    """Customer 7 has order 3; order 12 comes and is then signed: both rows become order 12, however the log is cut."""
+    orders = table_of(spark, "order_status", [{"customer_id": 7, "order_id": 3}])
+    events = [
+        {"offset": i, "partition": 0, "customer_id": 7, "order_id": 12, "submit_time": i, "ship_time": 0, "sign_time": 0, "status": "x"} for i in range(2)
+    ]
+    whole = gate.gated_upsert(orders, _frame(spark, events, p.ORDER_VALUES), scope="customer")[0]
+    cut = orders
+    for event in events:
+        cut = gate.gated_upsert(cut, _frame(spark, [event], p.ORDER_VALUES), scope="customer")[0]
+    assert rows_of(whole) == rows_of(cut) == [(7, 12, 1, 0, 0, "x")] * 2
+
+
 def test_customer_scope(spark):
     orders = table_of(
         spark,

@@ -56,10 +56,22 @@ def rejected(events: DataFrame, decided: DataFrame) -> DataFrame:
     return events.join(ids, KEY, "left_semi").select(*events.columns, F.lit("below_high_water").alias("reason"))
 
 
-def _scope_changes(orders: DataFrame, events: DataFrame) -> DataFrame:
-    """Per customer, the last event whose order the table already had."""
-    known = matching(orders, events, KEY)
-    return latest_per_key(events.join(known, KEY, "left_semi"), "customer_id")
+def _literal_update(orders: DataFrame, events: DataFrame, decided: DataFrame) -> DataFrame:
+    """Every update, repeats of an id inserted in the batch included, overwrites all rows its customer has by then. The
+    last one of a customer shows in its prior rows and in those inserted before it; an inserted row starts
+    with the values of its inserting event."""
+    acted = gate(events, decided)
+    last = acted.filter(F.col("action") == "U").groupBy("customer_id").agg(
+        F.max_by(F.struct(*SCOPED_COLUMNS), log_order()).alias("last"), F.max(log_order()).alias("last_ord")
+    )
+    changes = last.select("customer_id", "last.*", "last_ord")
+    after = overwrite(orders, changes, "customer_id", SCOPED_COLUMNS)
+    fresh = acted.filter(F.col("action") == "I").join(last, "customer_id", "left")
+    later = F.col("last_ord") > log_order()
+    inserted = fresh.select(
+        *[F.when(later, F.col("last")[c]).otherwise(F.col(c)).alias(c) if c in SCOPED_COLUMNS else F.col(c) for c in orders.columns]
+    )
+    return after.unionByName(inserted)
 
 
 def gated_upsert(
@@ -72,14 +84,12 @@ def gated_upsert(
 
     ``scope="order"`` updates the row of the event's order and keeps its customer. ``scope="customer"``
     is the literal rule: an event for a known order overwrites order id, times and status of every row
-    of the event's customer. It is evaluated against the table as it was before the batch.
+    of the event's customer, rows inserted earlier in the batch included. Which ids are known is taken from the table as
+    it was before the batch and from the batch's inserts, so only ids that an update erases within the batch stay approximate.
     """
     decided = decide_orders(orders, events, start)
-    inserted = decided.filter(F.col("action") == "I").withColumn("customer_id", F.col("first_customer_id"))
-    inserted = inserted.select(*orders.columns)
     if scope == "customer":
-        changes = stage(_scope_changes(orders, events), "scope")
-        updated = overwrite(orders, changes, "customer_id", SCOPED_COLUMNS)
-    else:
-        updated = overwrite(orders, decided.filter(F.col("action") == "U"), KEY, list(ORDER_COLUMNS))
-    return updated.unionByName(inserted), rejected(events, decided)
+        return _literal_update(orders, events, decided), rejected(events, decided)
+    inserted = decided.filter(F.col("action") == "I").withColumn("customer_id", F.col("first_customer_id"))
+    updated = overwrite(orders, decided.filter(F.col("action") == "U"), KEY, list(ORDER_COLUMNS))
+    return updated.unionByName(inserted.select(*orders.columns)), rejected(events, decided)

@@ -14,11 +14,11 @@ from pyspark.sql.window import Window
 
 # A chunk spans 2**CHUNK_BITS offsets. It is the sort unit of one task and holds at most
 # 2**CHUNK_BITS x (topic partitions) rows, however the keys are distributed.
-CHUNK_BITS = 16
+CHUNK_BITS = 8
 
-# A group spans 2**GROUP_BITS chunks, so the top level has one row per 2**28 offsets: under 4,000
-# rows for a trillion records in every topic partition.
-GROUP_BITS = 12
+# A group spans 2**GROUP_BITS chunks and so many groups a block, so the top level has one row per 2**30
+# offsets: about a thousand rows for a trillion records in every topic partition.
+GROUP_BITS = 11
 
 
 def log_order() -> Column:
@@ -43,8 +43,8 @@ def latest_per_key(events: DataFrame, key: str, first_of: tuple[str, ...] = ())
 def before(rows: DataFrame, value: Column, fold: Literal["max", "sum"], chunk_bits: int = CHUNK_BITS) -> DataFrame:
     """Adds ``before``: ``fold`` of ``value`` over all rows earlier in ``first_ord`` (null for none).
 
-    Three levels replace the one-task global window: totals per chunk of offsets, a prefix over the
-    chunks of a group, a prefix over the groups. Chunks are offset ranges, so they are contiguous in
+    Four levels replace the one-task global window: totals per chunk of offsets, a prefix over the
+    chunks of a group, one over the groups of a block, one over the blocks. Chunks are offset ranges, so they are contiguous in
     the order and do not depend on how the rows happen to be partitioned. ``rows`` is read twice.
     """
     if fold == "max":
@@ -59,8 +59,14 @@ def before(rows: DataFrame, value: Column, fold: Literal["max", "sum"], chunk_bi
     chunks = chunks.withColumn("chunk_group", F.shiftright("chunk", GROUP_BITS))
 
     groups = chunks.groupBy("chunk_group").agg(total("chunk_total").alias("group_total"))
-    in_log = Window.orderBy("chunk_group").rowsBetween(*earlier)
-    groups = groups.select("chunk_group", total("group_total").over(in_log).alias("group_before"))
+    groups = groups.withColumn("block", F.shiftright("chunk_group", GROUP_BITS))
+    blocks = groups.groupBy("block").agg(total("group_total").alias("block_total"))
+    in_log = Window.orderBy("block").rowsBetween(*earlier)
+    blocks = blocks.select("block", total("block_total").over(in_log).alias("block_before"))
+
+    in_block = Window.partitionBy("block").orderBy("chunk_group").rowsBetween(*earlier)
+    group_before = combine(F.col("block_before"), total("group_total").over(in_block))
+    groups = groups.join(blocks, "block").select("chunk_group", group_before.alias("group_before"))
 
     in_group = Window.partitionBy("chunk_group").orderBy("chunk").rowsBetween(*earlier)
     chunk_before = combine(F.col("group_before"), total("chunk_total").over(in_group))
