@@ -7,6 +7,7 @@ from helpers import log_of, rows_of, table_of
 from tidemark import scratch
 from tidemark.operators import gate, merge
 from tidemark.operators import project as p
+from tidemark.plans import queries
 from tidemark.sources import ledger as led
 from tidemark.sources.jdbc import scan_options
 from tidemark.sources.records import RECORDS_PER_SECOND, scan_log, starting_offsets, topic_options
@@ -31,7 +32,7 @@ def test_sliced_stream_equals_one_batch(spark):
     log = log_of(spark, values)
     slices = [log.filter("offset < 30"), log.filter("offset >= 30 and offset < 60"), log.filter("offset >= 60")]
     job = jobs.order_job("orders", "g")
-    store = jobs.replay_in_slices(spark, slices, {"order_status": empty_table(spark, "order_status")}, job)
+    store = queries.replay_in_slices(spark, slices, {"order_status": empty_table(spark, "order_status")}, job)
 
     valid, quarantine = p.split(p.project_order(log), p.ORDER_VALUES)
     want, rejects = gate.gated_upsert(empty_table(spark, "order_status"), valid)
@@ -208,3 +209,54 @@ def test_stage_scope_drops_what_was_staged(spark):
         assert spark.read.parquet(path).count() == 3
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     assert not hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+
+
+def test_children_of_other_customers_are_updated_as_in_a_batch(spark):
+    """A child goes by its parent's id, whatever customer it carries."""
+    base = table_of(spark, "base", [{"id": i, "customer_id": i, "name": "old"} for i in range(1, 9)])
+    owners = [None, 2, 99, 4, None, 17, 7, 8]
+    oa = table_of(spark, "oa", [{"base_id": i, "customer_id": c, "customer_grade": 0} for i, c in enumerate(owners, start=1)])
+    root = scratch.new_path(spark, "store")
+    store = TableStore.create(spark, root, {"base": base, "oa": oa}, buckets=64)
+    job = jobs.customer_job("customers", "a")
+    projected = job.project(log_of(spark, [(0, i, {"customer_id": c, "customer_grade": 5}) for i, c in enumerate((1, 3, 5, 6, 2, 40))]))
+    jobs.apply_batch(root, job, projected, 0)
+    want = merge.linked_upsert(base, oa, p.split(projected, job.values)[0])
+    assert rows_of(store.read("oa")) == rows_of(want[1])
+    assert rows_of(store.read("base")) == rows_of(want[0])
+
+
+def test_a_lost_checkpoint_resumes_from_the_ledger(spark):
+    log = log_of(spark, _order_values(5, 60))
+    root, path = scratch.new_path(spark, "store"), scratch.new_path(spark, "log")
+    store = TableStore.create(spark, root, {"order_status": empty_table(spark, "order_status")})
+    job = jobs.order_job("orders", "g")
+    for part, name in ((log.filter("offset < 30"), "a"), (log.filter("offset >= 30"), "b")):
+        part.write.mode("append").parquet(path)
+        query = jobs.resume_job(scan_log(spark, path, stream=True), root, job, scratch.new_path(spark, name), available_now=True)
+        query.awaitTermination()
+    valid, _ = p.split(p.project_order(log), p.ORDER_VALUES)
+    want, rejects = gate.gated_upsert(empty_table(spark, "order_status"), valid)
+    assert rows_of(store.read("order_status")) == rows_of(want)
+    assert store.current().publication.version == 2
+    assert sum(store.read_notes(f"rejects_{name}").count() for name in store.current().publication.batches) == rejects.count()
+
+
+def test_a_query_that_is_never_idle_stops_after_a_batch(spark):
+    """Batches longer than the interval follow each other without a pause."""
+    import time
+
+    done = []
+
+    def slow(batch, batch_id):
+        batch.count()
+        time.sleep(1.5)
+        done.append(batch_id)
+
+    rows = spark.readStream.format("rate").option("rowsPerSecond", 50).load()
+    query = start(rows, slow, scratch.new_path(spark, "cp"), seconds=1)
+    run_until(query, lambda: len(done) >= 2)
+    seen = len(done)
+    assert not query.isActive and seen <= 4
+    time.sleep(2)
+    assert len(done) == seen

@@ -15,9 +15,6 @@ LEDGER_SCHEMA = T.StructType(
     ]
 )
 
-# A ledger has one narrow row per topic partition; up to this many rows (a few MB) it is broadcast.
-BROADCAST_ROWS = 100_000
-
 
 def group_offsets(ledger: DataFrame, group: str) -> DataFrame:
     return ledger.filter(F.col("groupid") == group).select("topic", "partition", "untilOffset")
@@ -40,13 +37,10 @@ def resume_plan(partitions: DataFrame, ledger: DataFrame, group: str) -> DataFra
 def resume(log: DataFrame, ledger: DataFrame, group: str) -> DataFrame:
     """Records at or after the stored offset of their partition; unknown partitions are read whole.
 
-    A log has few (topic, partition) values, so shuffling it on them would be badly skewed. The
-    ledger is counted and broadcast within ``BROADCAST_ROWS``; beyond that the join falls back to
-    the planner's choice with its skew handling.
+    A log has few (topic, partition) values. The ledger has one narrow row for each, so the planner broadcasts it by
+    its size, and otherwise splits the skewed partitions of the join.
     """
     offsets = group_offsets(ledger, group)
-    if offsets.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        offsets = F.broadcast(offsets)
     joined = log.join(offsets, ["topic", "partition"], "left")
     pending = F.col("untilOffset").isNull() | (F.col("offset") >= F.col("untilOffset"))
     return joined.filter(pending).select(*log.columns)

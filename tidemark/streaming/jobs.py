@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
-from dataclasses import dataclass
+import zlib
+from collections.abc import Callable
+from dataclasses import dataclass, replace
 from typing import Literal
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from tidemark.operators import gate, merge
 from tidemark.operators import project as p
-from tidemark.scratch import new_path, stage_scope
-from tidemark.sources.ledger import advance_ledger
-from tidemark.sources.records import scan_log
+from tidemark.scratch import stage_scope
+from tidemark.sources.ledger import advance_ledger, resume
 from tidemark.streaming.run import start
 from tidemark.streaming.store import LEDGER, Snapshot, TableStore
 
@@ -41,7 +42,11 @@ class Job:
 
 def customer_job(name: str, group: str) -> Job:
     def rule(now: Snapshot, events: DataFrame) -> Outcome:
-        base, oa = now.read("base", events), now.read("oa", events)
+        base = now.read("base", events)
+        # children are updated by their parent's id, whatever customer they carry: a narrow scan finds their buckets
+        hit = merge.lookup(base, events, "customer_id").select(F.col("known_id").alias("base_id"))
+        children = now.read("oa").select("base_id", "customer_id").join(hit, "base_id", "left_semi")
+        oa = now.read("oa", events.select("customer_id").unionByName(children.select("customer_id")))
         base_after, oa_after = merge.linked_upsert(base, oa, events, now.mark("base"))
         return Outcome({"base": base_after, "oa": oa_after})
 
@@ -114,15 +119,16 @@ def run_job(
     )
 
 
-def replay_in_slices(
-    spark: SparkSession, slices: Iterable[DataFrame], tables: dict[str, DataFrame], job: Job
-) -> TableStore:
-    """Run ``job`` as a stream that is stopped and restarted from its checkpoint after every slice of
-    the log. Slices follow the order of the log."""
-    root, log, checkpoint = (new_path(spark, name) for name in ("store", "log", "checkpoint"))
-    store = TableStore.create(spark, root, tables)
-    for rows in slices:
-        rows.write.mode("append").parquet(log)
-        query = run_job(scan_log(spark, log, stream=True), root, job, checkpoint, available_now=True)
-        query.awaitTermination()
-    return store
+def resume_job(
+    records: DataFrame, root: str, job: Job, checkpoint: str, *, available_now: bool = False, preview: int = 0
+) -> StreamingQuery:
+    """``run_job`` from the offsets in the store's ledger on, for a new or lost checkpoint: records below their partition's
+    stored offset are left out, partitions that the ledger lacks are read whole. Batches count from 0 with a new
+    checkpoint, so they go by the checkpoint's name. For a topic, pass ``starting_offsets`` of
+    ``stored_offsets`` to the scan as well, so that it does not read what is left out here."""
+    spark = records.sparkSession
+    ledger = TableStore(spark, root).read(LEDGER)
+    # one row per topic partition, kept by value: the version it is in may be dropped while the query runs
+    known = spark.createDataFrame(ledger.collect(), ledger.schema)
+    named = replace(job, name=f"{job.name}-{zlib.crc32(checkpoint.encode()):08x}")
+    return run_job(resume(records, known, job.group), root, named, checkpoint, available_now=available_now, preview=preview)
