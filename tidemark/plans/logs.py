@@ -22,11 +22,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def source(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
-    """A table that a log is made of. A topic's records are spread over many tasks; a table that is
-    one small file is not, so it is spread by ``key``. Tables with enough splits are left alone."""
-    rows = table(spark, sf_dir, name)
-    tasks = spark.sparkContext.defaultParallelism
-    return rows.repartition(tasks, key) if rows.rdd.getNumPartitions() < tasks else rows
+    """A table that a log is made of, spread by ``key`` like a topic's records."""
+    return table(spark, sf_dir, name).repartition(F.col(key))
 
 
 def _records(rows: DataFrame, topic: str, key: Column, value: Column, partition: Column, offset: Column) -> DataFrame:
@@ -85,10 +82,11 @@ def skin_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("c_custkey")
     image = {
         "customer_id": k,
-        "skin_type": k % 6,
-        "is_allergy": k % 5,
-        "skin_color": (k % 6).cast("string"),
-        "improve_type": k % 9,
+        # key 0 has valid codes, so that only its filter drops it
+        "skin_type": F.when(k == 0, 2).otherwise(k % 6),
+        "is_allergy": F.when(k == 0, 2).otherwise(k % 5),
+        "skin_color": F.when(k == 0, 2).otherwise(k % 6).cast("string"),
+        "improve_type": F.when(k == 0, 2).otherwise(k % 9),
     }
     return _records(rows, "skin", k, _envelope(image), k % 3, k)
 
@@ -140,7 +138,7 @@ def dirty_order_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = source(spark, sf_dir, "events", "event_id").select("event_id", "user_id")
     e = F.col("event_id")
     good = _envelope({"order_id": e, "customer_id": F.col("user_id"), "submit_time": e + 1})
-    kind = e % 12
+    kind = e % 15
     value = (
         F.when(kind == 0, F.lit(None).cast("string"))
         .when(kind == 1, F.lit("not json"))
@@ -153,6 +151,9 @@ def dirty_order_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == 8, F.regexp_replace(good, r'"submit_time":\d+', '"submit_time":"x"'))
         .when(kind == 9, F.regexp_replace(good, r'"order_id":\d+', '"order_id":null'))
         .when(kind == 10, F.regexp_replace(good, r"\]\}$", ",5]}"))
+        .when(kind == 12, F.concat(good, F.lit('],"x":[1')))
+        .when(kind == 13, F.concat(good, F.lit('],"end":2,"y":[3')))
+        .when(kind == 14, F.regexp_replace(good, r'"order_id":(\d+)', '"order_id":$1.0'))
         .otherwise(good)
     )
     return _records(rows, "dirty", e, value, e % 4, F.shiftright(e, 2))

@@ -2,22 +2,34 @@
 
 from __future__ import annotations
 
-from tidemark.functions import decode
-
 GROUP = "profile"
 
 SKIN_NAMES = ("skin_type", "is_allergy", "skin_color", "improve_type")
 
 
+# Fixed values of the code lists, written out so that a wrong one in the engine shows.
+SKIN_TYPES = ("", "中性", "干性", "混合性", "油性")
+ALLERGIES = ("", "从不", "偶尔", "易过敏")
+SKIN_COLORS = ("", "白皙", "粉嫩", "暗黄", "大麦色")
+IMPROVEMENTS = (
+    "", "敏感/脆弱", "黑头粉刺/毛孔粗大/皮肤粗糙", "痘痘", "细纹/皮肤松弛", "暗黄/色斑", "黑眼圈/轻度眼袋/脂肪粒", "严重眼袋/眼纹",
+)
+SUBMITTED, SHIPPED, SIGNED = "已提交", "已发货", "已签收"
+
+
 def _label(code: str, texts: tuple[str, ...]) -> str:
     cases = " ".join(f"WHEN {i} THEN '{text}'" for i, text in enumerate(texts, start=1))
-    return f"CASE {code} {cases} END"
+    return f"CASE ({code}) {cases} END"
+
+
+def _skin_code(codes: int) -> str:
+    return f"CASE WHEN c_custkey = 0 THEN 2 ELSE c_custkey % {codes} END"
 
 
 def _status(sign: str, ship: str, submit: str) -> str:
     return (
-        f"CASE WHEN {sign} = 0 THEN ' ' WHEN {ship} = 0 THEN '{decode.SUBMITTED}' "
-        f"WHEN {submit} = 0 THEN '{decode.SHIPPED}' ELSE '{decode.SIGNED}' END"
+        f"CASE WHEN {sign} = 0 THEN ' ' WHEN {ship} = 0 THEN '{SUBMITTED}' "
+        f"WHEN {submit} = 0 THEN '{SHIPPED}' ELSE '{SIGNED}' END"
     )
 
 
@@ -53,7 +65,7 @@ CTES = {
             CASE WHEN rev = 0 THEN 13100000000 + k ELSE 0 END AS handset2,
             CASE WHEN k % 4 <> 0 THEN k * 10 ELSE 0 END AS qq_code,
             'T' || k AS ty_code,
-            CAST(CAST(c_acctbal AS DECIMAL(20, 4)) AS DOUBLE) AS total_cash,
+            CAST(CAST(c_acctbal AS DECIMAL(38, 10)) AS DOUBLE) AS total_cash,
             CAST(k % 6 AS INTEGER) AS customer_grade,
             CAST(CASE WHEN k % 2 = 0 THEN k % 3 ELSE 0 END AS INTEGER) AS customer_type,
             CAST((k + rev) % 9 AS INTEGER) AS customer_source,
@@ -78,12 +90,13 @@ CTES = {
     # skin events
     "skin_events": f"""
         SELECT c_custkey AS "offset", CAST(c_custkey % 3 AS INTEGER) AS "partition", c_custkey AS customer_id,
-            {_label("c_custkey % 6", decode.SKIN_TYPES)} AS skin_type,
-            {_label("c_custkey % 5", decode.ALLERGIES)} AS is_allergy,
-            {_label("c_custkey % 6", decode.SKIN_COLORS)} AS skin_color,
-            {_label("c_custkey % 9", decode.IMPROVEMENTS)} AS improve_type
+            {_label(_skin_code(6), SKIN_TYPES)} AS skin_type,
+            {_label(_skin_code(5), ALLERGIES)} AS is_allergy,
+            {_label(_skin_code(6), SKIN_COLORS)} AS skin_color,
+            {_label(_skin_code(9), IMPROVEMENTS)} AS improve_type
         FROM customer
-        WHERE c_custkey % 6 BETWEEN 1 AND 5 AND c_custkey % 5 BETWEEN 1 AND 4 AND c_custkey % 9 BETWEEN 1 AND 8""",
+        WHERE c_custkey = 0
+            OR c_custkey % 6 BETWEEN 1 AND 5 AND c_custkey % 5 BETWEEN 1 AND 4 AND c_custkey % 9 BETWEEN 1 AND 8""",
     # staff events
     "staff_events": """
         SELECT event_id // 4 AS "offset", CAST(event_id % 4 AS INTEGER) AS "partition",
@@ -185,7 +198,7 @@ CTES["linked"] = """
 
 _DIRTY = """
     SELECT CAST(event_id AS VARCHAR) AS "key", event_id, user_id, event_id // 4 AS "offset",
-        CAST(event_id % 4 AS INTEGER) AS "partition", event_id % 12 AS kind FROM events"""
+        CAST(event_id % 4 AS INTEGER) AS "partition", event_id % 15 AS kind FROM events"""
 
 _LEDGER_PARTS = """
     SELECT 'order' AS topic, "partition", max("offset") AS last, max(max("partition")) OVER () AS newest
@@ -213,9 +226,9 @@ _REJECTS = """SELECT order_id AS "key", "partition", "offset", 'below_high_water
     SELECT customer_id, "partition", "offset", 'unknown_customer'
     FROM skin_events ANTI JOIN base USING (customer_id) WHERE customer_id <> 0"""
 
-_QUARANTINE = """SELECT "key", "partition", "offset", CASE WHEN kind < 6 THEN 'not_object'
+_QUARANTINE = """SELECT "key", "partition", "offset", CASE WHEN kind < 6 OR kind IN (12, 13) THEN 'not_object'
         WHEN kind < 8 THEN 'bad_envelope' WHEN kind = 8 THEN 'bad_value' ELSE 'null_key' END AS reason
-    FROM dirty WHERE kind <= 9"""
+    FROM dirty WHERE kind <= 9 OR kind IN (12, 13)"""
 
 ORACLES: dict[str, str] = {
     "scan_records": """
@@ -242,13 +255,13 @@ ORACLES: dict[str, str] = {
         f"""SELECT '{GROUP}' AS groupid, topic, "partition", last + 1 AS "untilOffset" FROM ledger_parts
         UNION ALL SELECT * FROM ledger WHERE groupid <> '{GROUP}'""",
     ),
-    "valid_objects": _with(["dirty"], """SELECT "key", "partition", "offset" FROM dirty WHERE kind >= 6"""),
+    "valid_objects": _with(["dirty"], """SELECT "key", "partition", "offset" FROM dirty WHERE kind BETWEEN 6 AND 11 OR kind = 14"""),
     "first_image": _with(
         ["dirty"],
         """SELECT "key", "partition", "offset", CAST(user_id AS VARCHAR) AS customer_id,
-            CASE WHEN kind <> 9 THEN CAST(event_id AS VARCHAR) END AS order_id,
+            CASE WHEN kind = 14 THEN event_id || '.0' WHEN kind <> 9 THEN CAST(event_id AS VARCHAR) END AS order_id,
             CASE WHEN kind = 8 THEN 'x' ELSE CAST(event_id + 1 AS VARCHAR) END AS submit_time
-        FROM dirty WHERE kind >= 8""",
+        FROM dirty WHERE kind BETWEEN 8 AND 11 OR kind = 14""",
     ),
     "quarantine_reasons": _with(["dirty"], _QUARANTINE),
     "project_customer": _with(["customer_raw", "customer_events"], "SELECT * FROM customer_events"),
@@ -258,18 +271,17 @@ ORACLES: dict[str, str] = {
     "nonzero_key": _with(["skin_events"], "SELECT * FROM skin_events WHERE customer_id <> 0"),
     "coerce_types": """
         SELECT event_id,
-            CASE kind WHEN 0 THEN event_id WHEN 3 THEN 12000 + event_id % 1000
-                WHEN 6 THEN 98765432000 + event_id % 1000 END AS as_long,
-            CASE kind WHEN 0 THEN event_id WHEN 3 THEN 12000 + event_id % 1000
-                WHEN 6 THEN 98765432000 + event_id % 1000 WHEN 1 THEN 0 WHEN 2 THEN 0 WHEN 7 THEN 0 END
-                AS as_long_or_zero,
-            CAST(CASE kind WHEN 0 THEN event_id WHEN 3 THEN 12000 + event_id % 1000 END AS INTEGER) AS as_int,
-            CAST(CASE kind WHEN 0 THEN event_id WHEN 3 THEN 12000 + event_id % 1000
-                WHEN 1 THEN 0 WHEN 2 THEN 0 WHEN 7 THEN 0 END AS INTEGER) AS as_int_or_zero,
-            CAST(CASE kind WHEN 0 THEN event_id WHEN 3 THEN 12000 + event_id % 1000 WHEN 4 THEN event_id + 0.5
-                WHEN 6 THEN 98765432000 + event_id % 1000 END AS DOUBLE) AS as_decimal,
-            kind IN (4, 5) AS bad_long, kind IN (4, 5, 6) AS bad_int, kind = 5 AS bad_decimal
-        FROM (SELECT event_id, event_id % 8 AS kind FROM events)""",
+            whole AS as_long,
+            CASE WHEN kind IN (1, 2, 7) THEN 0 ELSE whole END AS as_long_or_zero,
+            CAST(CASE WHEN kind <> 6 THEN whole END AS INTEGER) AS as_int,
+            CAST(CASE WHEN kind IN (1, 2, 7) THEN 0 WHEN kind <> 6 THEN whole END AS INTEGER) AS as_int_or_zero,
+            CASE kind WHEN 4 THEN CAST(event_id || '.5' AS DOUBLE) WHEN 10 THEN CAST(event_id || '.123456' AS DOUBLE)
+                ELSE CAST(whole AS DOUBLE) END AS as_decimal,
+            kind IN (4, 5, 10) AS bad_long, kind IN (4, 5, 6, 10) AS bad_int, kind = 5 AS bad_decimal
+        FROM (SELECT event_id, event_id % 11 AS kind,
+            CASE event_id % 11 WHEN 0 THEN event_id WHEN 3 THEN 12000 + event_id % 1000 WHEN 8 THEN event_id
+                WHEN 6 THEN 98765432000 + event_id % 1000 WHEN 9 THEN event_id % 1000 * 100 END AS whole
+            FROM events)""",
     "preview_limit": _with(
         ["order_raw", "order_times", "order_events"],
         """SELECT * FROM order_events ORDER BY "offset", "partition" LIMIT 10""",
@@ -298,10 +310,10 @@ ORACLES: dict[str, str] = {
     "order_status_label": f"""
         SELECT o_orderkey, {_status("o_orderkey % 3", "o_orderkey % 5", "o_orderkey % 7")} AS status FROM orders""",
     "decode_labels": f"""
-        SELECT c_custkey, {_label("c_custkey % 11 - 1", decode.SKIN_TYPES)} AS skin_type,
-            {_label("c_custkey % 11 - 1", decode.ALLERGIES)} AS is_allergy,
-            {_label("c_custkey % 11 - 1", decode.SKIN_COLORS)} AS skin_color,
-            {_label("c_custkey % 11 - 1", decode.IMPROVEMENTS)} AS improve_type
+        SELECT c_custkey, {_label("c_custkey % 11 - 1", SKIN_TYPES)} AS skin_type,
+            {_label("c_custkey % 11 - 1", ALLERGIES)} AS is_allergy,
+            {_label("c_custkey % 11 - 1", SKIN_COLORS)} AS skin_color,
+            {_label("c_custkey % 11 - 1", IMPROVEMENTS)} AS improve_type
         FROM customer""",
     "decode_flag": """
         SELECT c_custkey, CASE c_custkey % 3 WHEN 0 THEN 'n' WHEN 1 THEN 'y' END AS flag FROM customer""",
@@ -327,7 +339,7 @@ ORACLES: dict[str, str] = {
         ["staff_events", "staff"],
         """SELECT DISTINCT customer_id, customer_id IN (SELECT customer_id FROM staff) AS found FROM staff_events""",
     ),
-    "high_water": _with(["order_status"], "SELECT coalesce(max(order_id), 0) AS high_water FROM order_status"),
+    "high_water": "SELECT coalesce(max(o_orderkey), 0) AS high_water FROM orders",
     "latest_per_key": _with(
         ["staff_events", "staff_latest"],
         """SELECT customer_id, trace_staff_id, recom_staff_id, serve_staff_id, first_offset, first_partition
@@ -379,14 +391,13 @@ ORACLES: dict[str, str] = {
         """SELECT t.customer_id, coalesce(e.order_id, t.order_id) AS order_id,
             coalesce(e.submit_time, t.submit_time) AS submit_time, coalesce(e.ship_time, t.ship_time) AS ship_time,
             coalesce(e.sign_time, t.sign_time) AS sign_time, coalesce(e.status, t.status) AS status
-        FROM order_status t
-        LEFT JOIN (SELECT * FROM order_events SEMI JOIN order_status USING (order_id)
+        FROM (SELECT *, -1 AS "offset", -1 AS "partition" FROM order_status
+            UNION ALL
+            SELECT customer_id, order_id, submit_time, ship_time, sign_time, status, "offset", "partition"
+            FROM gated_order_status WHERE action = 'I') t
+        LEFT JOIN (SELECT * FROM gated_order_status WHERE action = 'U'
             QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY "offset" DESC, "partition" DESC) = 1) e
-            ON e.customer_id = t.customer_id
-        UNION ALL
-        SELECT f.customer_id, l.order_id, l.submit_time, l.ship_time, l.sign_time, l.status
-        FROM gated_order_status f JOIN gated_order_status l ON l.order_id = f.order_id AND l.nth_last = 1
-        WHERE f.action = 'I'""",
+            ON e.customer_id = t.customer_id AND (e."offset", e."partition") > (t."offset", t."partition")""",
     ),
     "reject_report": _with([*_GATED, *_SKIN_KNOWN], _REJECTS),
     "reject_counts": _with(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,11 +13,12 @@ from tidemark.operators import gate, keyed, merge
 from tidemark.operators import project as p
 from tidemark.operators.envelope import first_images, valid_objects
 from tidemark.plans import logs
-from tidemark.scratch import stage, write_once
+from tidemark.scratch import new_path, stage, write_once
 from tidemark.sources import ledger
 from tidemark.sources.records import scan_log
 from tidemark.sources.tables import empty_table
-from tidemark.streaming.jobs import order_job, replay_in_slices
+from tidemark.streaming.jobs import Job, order_job, run_job
+from tidemark.streaming.store import TableStore
 
 GROUP = "profile"
 
@@ -113,7 +114,7 @@ def nonzero_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 def coerce_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = logs.table(spark, sf_dir, "events").select("event_id")
     e = F.col("event_id")
-    kind = e % 8
+    kind = e % 11
     text = (
         F.when(kind == 0, e.cast("string"))
         .when(kind == 1, F.lit(""))
@@ -122,6 +123,9 @@ def coerce_types(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == 4, F.concat(e, F.lit(".5")))
         .when(kind == 5, F.concat(F.lit("x"), e))
         .when(kind == 6, F.concat(F.lit("98765432"), F.lpad((e % 1000).cast("string"), 3, "0")))
+        .when(kind == 8, F.concat(e, F.lit(".0")))
+        .when(kind == 9, F.concat(e % 1000, F.lit("e2")))
+        .when(kind == 10, F.concat(e, F.lit(".123456")))
     )
     kinds = {"long": "bigint", "int": "int", "decimal": DECIMAL}
     rows = events.withColumn("img", F.struct(text.alias("value")))
@@ -242,7 +246,7 @@ def probe_staff(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def high_water(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return keyed.high_water(logs.prior_orders(spark, sf_dir), "order_id")
+    return keyed.high_water(logs.table(spark, sf_dir, "orders"), "o_orderkey")
 
 
 def latest_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -334,6 +338,18 @@ def orders_by_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders_into_empty(spark, sf_dir).groupBy("status").agg(F.count("*").alias("orders"))
 
 
+def replay_in_slices(spark: SparkSession, slices: Iterable[DataFrame], tables: dict[str, DataFrame], job: Job) -> TableStore:
+    """Run ``job`` as a stream that is stopped and restarted from its checkpoint after every slice of
+    the log. Slices follow the order of the log."""
+    root, log, checkpoint = (new_path(spark, name) for name in ("store", "log", "checkpoint"))
+    store = TableStore.create(spark, root, tables)
+    for rows in slices:
+        rows.write.mode("append").parquet(log)
+        query = run_job(scan_log(spark, log, stream=True), root, job, checkpoint, available_now=True)
+        query.awaitTermination()
+    return store
+
+
 def stream_gated_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The order log as a stream of two slices with a restart between them; same table as one batch."""
     log = stage(logs.order_log(spark, sf_dir), "log")
