@@ -17,7 +17,7 @@ SCOPED_COLUMNS = [KEY, *ORDER_COLUMNS]
 
 
 def decide(orders: DataFrame, latest: DataFrame, start: Column | None = None) -> DataFrame:
-    """``latest`` (one row per order id) with ``action`` of the id's first event: U, I or R.
+    """order_id, first_ord and ``action`` of the id's first event, U, I or R, for each row of ``latest`` (one per order id).
 
     An id is inserted iff it is above the table's greatest id and above every id that came earlier
     in the log: rejected and updated ids never exceed that maximum, so all earlier ids may be counted.
@@ -32,15 +32,14 @@ def decide(orders: DataFrame, latest: DataFrame, start: Column | None = None) ->
     records = before(above, F.col(KEY), "max").filter(F.col("before").isNull() | (F.col(KEY) > F.col("before")))
     inserted = records.select(KEY, F.lit("I").alias("insert"))
     known = matching(orders, latest, KEY).withColumn("update", F.lit("U"))
-    decided = latest.join(known, KEY, "left").join(inserted, KEY, "left")
-    action = F.coalesce("update", "insert", F.lit("R"))
-    return decided.select(*latest.columns, action.alias("action"))
+    decided = latest.select(KEY, "first_ord").join(known, KEY, "left").join(inserted, KEY, "left")
+    return decided.select(KEY, "first_ord", F.coalesce("update", "insert", F.lit("R")).alias("action"))
 
 
 def decide_orders(orders: DataFrame, events: DataFrame, start: Column | None = None) -> DataFrame:
-    """One row per order id of the batch: last values, first customer and first action."""
-    latest = stage(latest_per_key(events, KEY, first_of=("customer_id",)), "latest")
-    return stage(decide(orders, latest, start), "decided")
+    """The first action of every order id of the batch."""
+    firsts = events.groupBy(KEY).agg(F.min(log_order()).alias("first_ord"))
+    return stage(decide(orders, stage(firsts, "firsts"), start), "decided")
 
 
 def gate(events: DataFrame, decided: DataFrame) -> DataFrame:
@@ -87,9 +86,13 @@ def gated_upsert(
     of the event's customer, rows inserted earlier in the batch included. Which ids are known is taken from the table as
     it was before the batch and from the batch's inserts, so only ids that an update erases within the batch stay approximate.
     """
-    decided = decide_orders(orders, events, start)
     if scope == "customer":
+        decided = decide_orders(orders, events, start)
         return _literal_update(orders, events, decided), rejected(events, decided)
-    inserted = decided.filter(F.col("action") == "I").withColumn("customer_id", F.col("first_customer_id"))
-    updated = overwrite(orders, decided.filter(F.col("action") == "U"), KEY, list(ORDER_COLUMNS))
-    return updated.unionByName(inserted.select(*orders.columns)), rejected(events, decided)
+    latest = stage(latest_per_key(events, KEY, first_of=("customer_id",)), "latest")
+    decided = stage(decide(orders, latest, start), "decided")
+    inserted = latest.join(decided.filter(F.col("action") == "I").select(KEY), KEY, "left_semi")
+    inserted = inserted.withColumn("customer_id", F.col("first_customer_id")).select(*orders.columns)
+    # an order of the table is always an update, so all of ``latest`` may be offered
+    updated = overwrite(orders, latest, KEY, list(ORDER_COLUMNS))
+    return updated.unionByName(inserted), rejected(events, decided)

@@ -43,29 +43,24 @@ def lookup(target: DataFrame, changes: DataFrame, key: str, id_column: str = "id
 
 def link(
     target: DataFrame, latest: DataFrame, key: str, start: Column | None = None, id_column: str = "id"
-) -> DataFrame:
-    """Adds ``id_column`` and ``is_new`` to ``latest``: the id of the target row with the same key,
-    else the next generated id after ``start`` in order of first appearance. ``start`` is the greatest
+) -> tuple[DataFrame, DataFrame]:
+    """Ids of the keys of ``latest``, as two narrow staged maps: (key, ``known_id``) of the keys that the target has, and
+    (key, ``fresh_id``) of the others, numbered after ``start`` in order of first appearance. ``start`` is the greatest
     id of the target, to be given where ``target`` is only a part of the table."""
-    known = stage(lookup(target, latest, key, id_column).withColumn("is_known", F.lit(True)), "known")
-    unseen = latest.select(key, "first_ord").join(known, key, "left_anti")
+    known = stage(lookup(target, latest, key, id_column), "known")
+    unseen = stage(latest.select(key, "first_ord").join(known, key, "left_anti"), "unseen")
     if start is None:
         start = F.lit(high_water(target, id_column).head()["high_water"])
-    fresh = assign_ids(stage(unseen, "unseen"), start).select(key, F.col("id").alias("fresh_id"))
-    linked = latest.join(known, key, "left").join(fresh, key, "left")
-    return linked.select(
-        *[F.col(name) for name in latest.columns if name != "first_ord"],
-        F.coalesce("known_id", "fresh_id").alias(id_column),
-        F.col("is_known").isNull().alias("is_new"),
-    )
+    fresh = assign_ids(unseen, start).select(key, F.col("id").alias("fresh_id"))
+    return known, stage(fresh, "fresh")
 
 
-def _inserts(linked: DataFrame, target: DataFrame) -> DataFrame:
+def _inserts(latest: DataFrame, fresh: DataFrame, target: DataFrame, key: str, id_column: str = "id") -> DataFrame:
     """New rows in the target's shape; columns the event does not have stay unset."""
-    fresh = linked.filter("is_new")
-    return fresh.select(
+    rows = latest.join(fresh.withColumnRenamed("fresh_id", id_column), key)
+    return rows.select(
         *[
-            (F.col(field.name) if field.name in linked.columns else F.lit(None)).cast(field.dataType).alias(field.name)
+            (F.col(field.name) if field.name in rows.columns else F.lit(None)).cast(field.dataType).alias(field.name)
             for field in target.schema
         ]
     )
@@ -76,21 +71,15 @@ def upsert(
 ) -> DataFrame:
     """Plain upsert by ``key``; new rows get a generated id."""
     latest = stage(latest_per_key(events, key), "latest")
-    linked = stage(link(target, latest, key, start), "linked")
-    updated = overwrite(target, linked.filter("not is_new"), key, columns)
-    return updated.unionByName(_inserts(linked, target))
+    _, fresh = link(target, latest, key, start)
+    # a key of the target is never new, so all of ``latest`` may be offered
+    return overwrite(target, latest, key, columns).unionByName(_inserts(latest, fresh, target, key))
 
 
 def upsert_staff(customer_info: DataFrame, events: DataFrame, start: Column | None = None) -> DataFrame:
     return upsert(customer_info, events, "customer_id", list(STAFF_COLUMNS), start)
 
 
-def link_customers(base: DataFrame, events: DataFrame, start: Column | None = None) -> DataFrame:
-    """Last event of every customer with its parent id and whether that parent is new."""
-    latest = stage(latest_per_key(events, "customer_id"), "latest")
-    return link(base, latest, "customer_id", start)
-
-
 def linked_upsert(
     base: DataFrame, oa: DataFrame, events: DataFrame, start: Column | None = None
 ) -> tuple[DataFrame, DataFrame]:
@@ -99,15 +88,14 @@ def linked_upsert(
     A known customer updates its parents and the children of the looked-up parent, and never creates
     a missing child. A new customer inserts both, the child linked by the generated id.
     """
-    linked = stage(link_customers(base, events, start), "linked")
-    known = linked.filter("not is_new")
-    base_after = overwrite(base, known, "customer_id", list(BASE_COLUMNS))
-    base_after = base_after.unionByName(_inserts(linked, base))
-
-    children = linked.withColumnRenamed("id", "base_id")
-    oa_after = overwrite(oa, children.filter("not is_new"), "base_id", list(OA_COLUMNS))
-    oa_after = oa_after.unionByName(_inserts(children, oa))
-    return base_after, oa_after
+    key = "customer_id"
+    latest = stage(latest_per_key(events, key), "latest")
+    known, fresh = link(base, latest, key, start)
+    base_after = overwrite(base, latest, key, list(BASE_COLUMNS)).unionByName(_inserts(latest, fresh, base, key))
+
+    children = latest.join(known.withColumnRenamed("known_id", "base_id"), key)
+    oa_after = overwrite(oa, children, "base_id", list(OA_COLUMNS))
+    return base_after, oa_after.unionByName(_inserts(latest, fresh, oa, key, "base_id"))
 
 
 def partial_update(base: DataFrame, oa: DataFrame, events: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -1,4 +1,4 @@
-"""Target tables kept in a relational store, read and written as whole tables over JDBC.
+"""Target tables kept in a relational store, read as whole tables over JDBC.
 
 The connection options (url, user, password, driver) come from the caller.
 """
@@ -25,17 +25,3 @@ def scan_options(
 
 def scan_table(spark: SparkSession, options: dict[str, str]) -> DataFrame:
     return spark.read.format("jdbc").options(**options).load()
-
-
-def write_table(rows: DataFrame, connection: dict[str, str], table: str, *, connections: int = 10) -> None:
-    """Replace ``table`` with ``rows`` over at most ``connections`` concurrent connections."""
-    (
-        rows.write.format("jdbc")
-        .options(**connection)
-        .option("dbtable", table)
-        .option("numPartitions", connections)
-        .option("batchsize", 10000)
-        .option("truncate", "true")
-        .mode("overwrite")
-        .save()
-    )
