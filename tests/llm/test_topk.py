@@ -1,8 +1,9 @@
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import topk
+from tidemark.llm import queries, topk
 
 
 def _brute(rows, k):
@@ -53,3 +54,14 @@ def test_odd_rows(llm):
     assert _query(llm, rows, k=50) == _brute(rows, 50)
     assert _query(llm, rows[:2]) == set()
     assert _query(llm, rows[3:6]) == set()
+
+
+def test_query_equals_its_sql(llm):
+    sf_dir = "/root/testdata/sf0.001"
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{sf_dir}/embeddings.parquet'")
+    columns = ["query_id", "rank", "vec_id", "score"]
+    got = queries.QUERIES["op5_topk"](llm, sf_dir).select(columns).collect()
+    want = duck.sql(queries.ORACLES["op5_topk"])
+    assert [str(t) for t in want.types] == ["BIGINT", "INTEGER", "BIGINT", "BIGINT"] and want.columns == columns
+    assert sorted(map(tuple, got)) == sorted(want.fetchall())
