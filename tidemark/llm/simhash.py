@@ -17,6 +17,7 @@ from collections.abc import Iterator
 from math import comb
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -199,40 +200,57 @@ def far_links(grouped: DataFrame, probes: list[tuple[list[int], int]], reach: in
     return met.where(F.bit_count(F.col("x").bitwiseXOR(F.col("y"))) <= reach).select(F.col("x_root").alias("a"), F.col("y_root").alias("b"))
 
 
-def near_duplicates(docs: DataFrame, doc_id: str, text: str, *, shingle: int = 3, seed: int = 42, reach: int = 3) -> DataFrame:
-    """Per row: doc_id, ``fingerprint`` (16 hex digits) and ``component_id``, the smallest doc_id that links of at most ``reach``
-    differing bits lead to, itself included.
-
-    Null, empty and blank texts have fingerprint zero and link like any other. Repeated rows give a row each. A null doc_id
-    is never the smallest unless its component has no other. An empty table gives an empty result. Other columns are left out.
-    """
+def _grouped(docs: DataFrame, doc_id: str, text: str, shingle: int, seed: int, reach: int) -> tuple[DataFrame, DataFrame]:
+    """``doc_id`` and ``fp`` of every row; and per distinct ``fp`` its component, ``top``, and the component's smallest doc_id."""
     from tidemark.llm.components import components
 
     rows = checkpointed(fingerprints(docs, doc_id, text, shingle=shingle, seed=seed))
     fps = checkpointed(rows.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    nodes = None
     grouped = fps.select("fp", F.col("fp").alias("root"))
     if reach >= 2:
-        nodes = checkpointed(components(near_links(fps)))
-        grouped = fps.join(nodes, fps["fp"] == nodes["node"], "left").select("fp", F.coalesce("root", "fp").alias("root"))
-    bridges = components(far_links(grouped, choose_probes(fps, reach), reach))
-    bridges = checkpointed(bridges.select(F.col("node").alias("root"), F.col("root").alias("top")))
+        nodes = components(near_links(fps))
+        grouped = checkpointed(fps.join(nodes, fps["fp"] == nodes["node"], "left").select("fp", F.coalesce("root", "fp").alias("root")))
+    bridges = components(far_links(grouped, choose_probes(fps, reach), reach)).select(F.col("node").alias("root"), F.col("root").alias("top"))
     grouped = checkpointed(grouped.join(bridges, "root", "left").select("fp", F.coalesce("top", "root").alias("top")))
     linked = grouped.join(fps, "fp").groupBy("top").agg(F.min("first").alias("component_id"))
-    named = grouped.join(linked, "top").select("fp", "component_id")
+    return rows, grouped.join(linked, "top").select("fp", "top", "component_id")
+
+
+def near_duplicates(docs: DataFrame, doc_id: str, text: str, *, shingle: int = 3, seed: int = 42, reach: int = 3) -> DataFrame:
+    """Per row: doc_id, ``fingerprint`` (16 hex digits) and ``component_id``, the smallest doc_id that links of at most ``reach``
+    differing bits lead to, itself included.
+
+    Null, empty and blank texts have fingerprint zero and link like any other. Repeated rows give a row each. A null doc_id
+    is never the smallest unless its component has no other. An empty table gives an empty result. Other columns are left out.
+    """
+    rows, named = _grouped(docs, doc_id, text, shingle, seed, reach)
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return rows.join(named, "fp").select("doc_id", hexed.alias("fingerprint"), "component_id")
 
 
-def one_per_group(docs: DataFrame, doc_id: str, text: str, **how) -> DataFrame:
-    """The rows of ``docs`` whose id is their component's smallest, all columns kept. Of rows that share that id, or have
-    none, one stays."""
-    groups = near_duplicates(docs, doc_id, text, **how)
-    kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(F.count("*").alias("n"))
-    kept = checkpointed(kept.withColumnsRenamed({"doc_id": "_kept_id", "n": "_kept_n"}))
-    own = F.col(f"`{doc_id}`")
-    single = docs.join(kept.where("_kept_n = 1"), own.eqNullSafe(F.col("_kept_id")), "left_semi")
-    repeated = kept.where("_kept_n > 1")
+def one_per_group(docs: DataFrame, doc_id: str, text: str, *, shingle: int = 3, seed: int = 42, reach: int = 3) -> DataFrame:
+    """One row of each component, of its smallest id, all columns kept. Where several rows of a component have that id, or
+    none has one, any of them stays."""
+    rows, named = _grouped(docs, doc_id, text, shingle, seed, reach)
+    named = checkpointed(named)
+    own = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    ids = rows.join(named, "fp").groupBy("doc_id").agg(F.count("*").alias("_n"), F.max(own).alias("_own")).where("_own")
+    ids = checkpointed(ids.select(F.col("doc_id").alias("_kept_id"), "_n"))
+    match = F.col(f"`{doc_id}`").eqNullSafe(F.col("_kept_id"))
+    single = docs.join(ids.where("_n = 1"), match, "left_semi")
+    repeated = ids.where("_n > 1")
     if repeated.isEmpty():
         return single
-    return single.unionByName(docs.join(repeated, own.eqNullSafe(F.col("_kept_id")), "left_semi").dropDuplicates([doc_id]))
+
+    # an id of several rows does not tell them apart: their fingerprints do
+    @F.pandas_udf("long")
+    def marked(texts: pd.Series) -> pd.Series:
+        hashes = [shingle_hashes(t, shingle, seed) for t in texts]
+        counts = np.array([len(h) for h in hashes], dtype=np.int64)
+        flat = np.fromiter((h for each in hashes for h in each), dtype=np.uint64, count=int(counts.sum()))
+        return pd.Series(fold_bits(flat, counts).view(np.int64))
+
+    told = named.select(F.col("fp").alias("_fp"), F.col("top").alias("_top"), F.col("component_id").alias("_id"))
+    several = docs.join(repeated, match, "left_semi").withColumn("_mark", marked(F.col(f"`{text}`")))
+    several = several.join(told, F.col("_mark") == F.col("_fp")).where(F.col(f"`{doc_id}`").eqNullSafe(F.col("_id")))
+    return single.unionByName(several.dropDuplicates(["_top"]).select(docs.columns))
