@@ -4,14 +4,15 @@ A table is split by a hash of its key into buckets. A batch reads and rewrites o
 keys fall in; all others stay where an earlier version put them. The publication, one small file per
 version, lists for every table which version holds which bucket, the table's greatest id, and the
 last batch of every job. Tables are written to new paths first and become current at once with the
-publication. Whatever a failed attempt left behind is not listed and is overwritten by the next one.
-One application writes to a store; its jobs take turns.
+publication. Every attempt writes to folders of its own; what a failed one left behind is not listed.
+One application writes to a store; its jobs take turns. A second one that publishes the same version fails.
 """
 
 from __future__ import annotations
 
 import json
 import threading
+import uuid
 from collections import defaultdict
 from dataclasses import dataclass
 
@@ -33,6 +34,9 @@ KEYS = {"base": "customer_id", "oa": "customer_id", "customer_info": "customer_i
 # Columns whose maximum the write rules need. They only ever grow in a bucket-wise update.
 MARKS = {"base": "id", "customer_info": "id", "order_status": "order_id"}
 
+# Publications that stay listed, so that finding the newest one stays cheap.
+KEPT_PUBLICATIONS = 100
+
 _writers: defaultdict[str, threading.RLock] = defaultdict(threading.RLock)
 
 
@@ -40,7 +44,7 @@ _writers: defaultdict[str, threading.RLock] = defaultdict(threading.RLock)
 class Publication:
     version: int
     bucket_count: int
-    buckets: dict[str, dict[str, int]]
+    buckets: dict[str, dict[str, str]]
     marks: dict[str, int]
     batches: dict[str, int]
 
@@ -113,15 +117,19 @@ class TableStore:
     def _save(self, publication: Publication) -> None:
         """Written aside and renamed, so that it appears complete or not at all."""
         name = f"{publication.version:020d}"
-        aside, files = self._path(f"publications/{name}.part")
+        aside, files = self._path(f"publications/{name}-{uuid.uuid4().hex}.part")
         stream = files.create(aside, True)
         try:
             stream.write(json.dumps(vars(publication)).encode())
         finally:
             stream.close()
         final, _ = self._path(f"publications/{name}.json")
-        if not files.rename(aside, final):
+        # some file systems rename over an existing file
+        if files.exists(final) or not files.rename(aside, final):
+            files.delete(aside, False)
             raise RuntimeError(f"version {publication.version} of {self.root} is already published")
+        old, _ = self._path(f"publications/{publication.version - KEPT_PUBLICATIONS:020d}.json")
+        files.delete(old, False)
 
     def current(self) -> Snapshot:
         return Snapshot(self.spark, self.root, self._load(self._published()[-1]))
@@ -162,20 +170,21 @@ class TableStore:
 
     def _write(self, publication: Publication, tables: dict[str, DataFrame], whole: bool) -> None:
         layout = Snapshot(self.spark, self.root, publication)
+        attempt = f"{publication.version}-{uuid.uuid4().hex[:8]}"
         for name, rows in tables.items():
-            path = f"{self.root}/tables/{name}/version={publication.version}"
+            path = f"{self.root}/tables/{name}/version={attempt}"
             # rebalancing gathers a bucket's rows in few files and splits a bucket that is too big
             bucketed = rows.withColumn("bucket", layout.bucket(name)).hint("rebalance", "bucket")
-            bucketed.write.mode("overwrite").partitionBy("bucket").parquet(path)
-            self._note_written(publication, name, path, whole)
+            bucketed.write.partitionBy("bucket").parquet(path)
+            self._note_written(publication, name, path, attempt, whole)
         self._save(publication)
 
-    def _note_written(self, publication: Publication, name: str, path: str, whole: bool) -> None:
+    def _note_written(self, publication: Publication, name: str, path: str, attempt: str, whole: bool) -> None:
         mark = F.max(MARKS[name]) if name in MARKS else F.lit(None)
         schema = T.StructType([*SCHEMAS[name], T.StructField("bucket", T.IntegerType())])
         written = self.spark.read.schema(schema).parquet(path).groupBy("bucket").agg(mark.alias("mark")).collect()
         earlier = {} if whole else publication.buckets.get(name, {})
-        publication.buckets[name] = {**earlier, **{str(row["bucket"]): publication.version for row in written}}
+        publication.buckets[name] = {**earlier, **{str(row["bucket"]): attempt for row in written}}
         marks = [row["mark"] for row in written if row["mark"] is not None]
         if name in publication.marks and not whole:
             marks.append(publication.marks[name])
