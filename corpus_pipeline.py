@@ -52,7 +52,7 @@ def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """The byte-level token ids of every row, with their digests."""
     with_package(spark)
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    return bpe.encode(docs, "doc_id", "text", ranks=ranks, pattern=public_tokenizers.PATTERN, with_ids=True)
+    return bpe.encode(docs, "doc_id", "text", ranks=ranks, pattern=public_tokenizers.PATTERN, with_ids=True, keep_tables=False)
 
 
 STAGES = [

@@ -28,8 +28,10 @@ from tidemark.llm.shared import text_slices
 
 #: Pieces of more bytes are merged with a heap, as one step per contraction over all positions would be quadratic.
 LONG_PIECE = 256
+#: Pieces that one query encodes.
+CHUNK = 10_000
 #: Entries that a worker's tables keep.
-MOST_UNITS = 600_000
+MOST_UNITS = 200_000
 #: Where a cut before a blank need not be a cut of the pattern: a blank that is followed by white space or the end.
 _UNSAFE = re.compile(r" (?=\s|$)")
 
@@ -77,7 +79,7 @@ class Encoder:
             for i in range(1, len(token))
             if token[:i] in self.ranks and token[i:] in self.ranks
         ]
-        self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "500MB"})
+        self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "200MB"})
         self.db.register("pairs_in", pa.table({"pair": [p for p, _ in pairs], "merged": [r for _, r in pairs]}))
         self.db.execute("CREATE TABLE merges AS SELECT pair::BIGINT AS pair, merged::BIGINT AS merged FROM pairs_in")
         self.db.register("tokens_in", pa.table({"t": list(self.tokens), "bytes": [b.decode("latin-1") for b in self.tokens.values()]}))
@@ -130,8 +132,8 @@ class Encoder:
         short = [(piece, b) for piece, b in raw if b not in self.ranks and len(b) <= LONG_PIECE]
         # a piece that is a token stays whole
         made = {piece: (str(self.ranks[b]), self.tokens[self.ranks[b]]) if b in self.ranks else self._long(b) for piece, b in raw if b in self.ranks or len(b) > LONG_PIECE}
-        for start in range(0, len(short), 50_000):
-            part = short[start : start + 50_000]
+        for start in range(0, len(short), CHUNK):
+            part = short[start : start + CHUNK]
             made.update(zip((piece for piece, _ in part), self._merged([b for _, b in part]), strict=True))
         return made
 
@@ -184,17 +186,20 @@ def _encoder(ranks: str, pattern: str) -> Encoder:
     return Encoder(ranks, pattern)
 
 
-def encode(docs: DataFrame, doc_id: str, text: str, *, ranks: str, pattern: str, with_ids: bool = False) -> DataFrame:
+def encode(
+    docs: DataFrame, doc_id: str, text: str, *, ranks: str, pattern: str, with_ids: bool = False, keep_tables: bool = True
+) -> DataFrame:
     """Per document: doc_id, n_tokens, ids_sha256 (of the decimal ids joined by blanks), decoded_sha256 (of the bytes the
     ids decode to) and, on demand, ``ids``.
 
     ``ranks`` is a file of base64 tokens and ranks that every executor has. A null text is the empty text, which has no
-    ids. Rows are independent: repeated rows and null ids give a row each. Other columns are left out.
+    ids. Rows are independent: repeated rows and null ids give a row each. Other columns are left out. With ``keep_tables`` a worker's
+    tables serve its later tasks, too; without, each task has its own and leaves the worker's memory to other work.
     """
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(ranks, pattern)
-        for batch in text_slices(batches, "text", 16_000_000):
+        encoder = _encoder(ranks, pattern) if keep_tables else Encoder(ranks, pattern)
+        for batch in text_slices(batches, "text", 4_000_000):
             texts = [t or "" for t in batch.column("text").to_pylist()]
             made = encoder.encode(texts)
             columns = {
@@ -206,6 +211,9 @@ def encode(docs: DataFrame, doc_id: str, text: str, *, ranks: str, pattern: str,
             if with_ids:
                 columns["ids"] = pa.array([np.array(ids.split(), dtype=np.int32) for ids, _ in made], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_pydict(columns)
+        if not keep_tables:
+            encoder.db.close()
+            pa.default_memory_pool().release_unused()
 
     kind = docs.select(F.col(f"`{doc_id}`")).schema[0].dataType.simpleString()
     schema = f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids

@@ -70,7 +70,7 @@ def broadcast_if_small(rows: DataFrame, count: int, most: int = 200_000) -> Data
     return F.broadcast(rows) if count <= most else rows
 
 
-def text_slices(batches: Iterable[pa.RecordBatch], text: str, most: int = 8_000_000) -> Iterator[pa.RecordBatch]:
+def text_slices(batches: Iterable[pa.RecordBatch], text: str, most: int = 4_000_000) -> Iterator[pa.RecordBatch]:
     """Cuts Arrow batches so that each holds about ``most`` bytes of ``text``, one row at least."""
     for batch in batches:
         if not batch.num_rows:

@@ -76,9 +76,9 @@ def fingerprints(docs: DataFrame, doc_id: str, text: str, *, shingle: int, seed:
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, "text"):
-            hashes = [shingle_hashes(t, shingle, seed) for t in batch.column("text").to_pylist()]
+            hashes = [np.array(shingle_hashes(t, shingle, seed), dtype=np.uint64) for t in batch.column("text").to_pylist()]
             counts = np.fromiter(map(len, hashes), dtype=np.int64, count=len(hashes))
-            flat = np.fromiter((h for each in hashes for h in each), dtype=np.uint64, count=int(counts.sum()))
+            flat = np.concatenate(hashes)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fold_bits(flat, counts).view(np.int64))], ["doc_id", "fp"])
 
     kind = docs.select(F.col(f"`{doc_id}`")).schema[0].dataType.simpleString()
