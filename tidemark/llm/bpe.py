@@ -30,8 +30,8 @@ from tidemark.llm.shared import text_slices
 LONG_PIECE = 256
 #: Pieces that one query encodes.
 CHUNK = 10_000
-#: Entries that a worker's tables keep.
-MOST_UNITS = 200_000
+#: Entries that a worker's tables keep, and those of a single task.
+MOST_UNITS, TASK_UNITS = 200_000, 80_000
 #: Where a cut before a blank need not be a cut of the pattern: a blank that is followed by white space or the end.
 _UNSAFE = re.compile(r" (?=\s|$)")
 
@@ -61,7 +61,7 @@ class Encoder:
     """The tables of one worker: ids as decimal text and decoded bytes of known pieces, and of units, which are a text's first word
     (``heads``) or a later word with the blank before it (``ids`` and ``bytes`` by the word)."""
 
-    def __init__(self, ranks: str, pattern: str):
+    def __init__(self, ranks: str, pattern: str, most: int | None = None):
         import duckdb
         import regex
 
@@ -70,6 +70,7 @@ class Encoder:
         self.tokens = {rank: token for token, rank in self.ranks.items()}
         self.find = regex.compile(pattern).findall
         self.byte_ids = np.array([self.ranks[bytes([b])] for b in range(256)], dtype=np.int32)
+        self.most = most or MOST_UNITS
         self.ids: dict[str, str] = {}
         self.bytes: dict[str, bytes] = {}
         self.pieces: dict[str, tuple[str, bytes]] = {}
@@ -142,7 +143,7 @@ class Encoder:
         found = {piece for pieces in cuts.values() for piece in pieces}
         known = {piece: self.pieces[piece] for piece in found if piece in self.pieces}
         new = self._encoded([piece for piece in found if piece not in known])
-        if len(self.pieces) < MOST_UNITS:
+        if len(self.pieces) < self.most:
             self.pieces.update(new)
         known.update(new)
         return {
@@ -175,8 +176,8 @@ class Encoder:
                 continue
             spelled = " ".join(map(ids.__getitem__, tail))
             out.append((f"{head[0]} {spelled}" if head[0] else spelled, head[1] + b"".join(map(decoded.__getitem__, tail))))
-        if len(ids) > MOST_UNITS:  # what was met first stays: frequent words are among it
-            for w in list(ids)[MOST_UNITS:]:
+        if len(ids) > self.most:  # what was met first stays: frequent words are among it
+            for w in list(ids)[self.most:]:
                 del ids[w], decoded[w]
         return out
 
@@ -198,7 +199,7 @@ def encode(
     """
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(ranks, pattern) if keep_tables else Encoder(ranks, pattern)
+        encoder = _encoder(ranks, pattern) if keep_tables else Encoder(ranks, pattern, TASK_UNITS)
         for batch in text_slices(batches, "text", 4_000_000):
             texts = [t or "" for t in batch.column("text").to_pylist()]
             made = encoder.encode(texts)
@@ -209,7 +210,7 @@ def encode(
                 "decoded_sha256": pa.array([hashlib.sha256(b).hexdigest() for _, b in made]),
             }
             if with_ids:
-                columns["ids"] = pa.array([np.array(ids.split(), dtype=np.int32) for ids, _ in made], pa.list_(pa.int32()))
+                columns["ids"] = pa.array([np.fromstring(ids, dtype=np.int32, sep=" ") for ids, _ in made], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_pydict(columns)
         if not keep_tables:
             encoder.db.close()
