@@ -65,6 +65,20 @@ def test_model_beats_the_base_on_held_out_texts_with_an_order(llm):
     _check([tuple(r) for r in got.itertuples(index=False)], rows)
 
 
+def test_every_round_trains_on_every_document(llm, monkeypatch):
+    # 6 million tokens
+    training = llm.range(60).selectExpr("id as doc_id", "repeat('a b ', 50000) as text")
+    seen = []
+
+    def trained(rows, weights, *_):
+        seen.append(sorted(r["doc_id"] for r in rows.select("doc_id").collect()))
+        return weights
+
+    monkeypatch.setattr(lm, "_trained", trained)
+    lm.learn(training)
+    assert seen == [list(range(60))] * lm.ROUNDS
+
+
 def test_spelling_is_a_distribution(llm):
     counts = llm.createDataFrame([(bytearray(w), 1) for w in [b"ab", b"abc", b"ba", b"a", b"b", b"aab"]], "word binary, c long")
     by_last = np.zeros(256)

@@ -4,7 +4,8 @@ A word's probability is that of its symbol in the recurrent model (``gru``) and,
 word within its tail class, which goes by the last byte: a mixture of the word's share in all training tokens of the class
 and of a letter model that spells any word from its end, so unseen words have a proper probability, too. Counts, class
 sums and the letter model come from all training documents. The recurrent weights are trained by replicas: every task runs over
-a fixed share of its training documents and the replicas are averaged, for a few rounds, so training grows with the input.
+a fixed share of the training documents and the replicas are averaged; each round passes over all training documents, so
+training grows with the input.
 
 Counts of the commonest words, bounded in number, go to every task; the others of each document meet their counts in one
 join.
@@ -30,9 +31,8 @@ from tidemark.llm.shared import checkpointed, id_remainder, shared_folder
 END = b" "
 #: Modelled words, tail classes, hidden units; words whose counts go to every task.
 WORDS, TAILS, HIDDEN, HEAD = 1024, 24, 16, 200_000
-#: The recurrent weights are trained in so many rounds, each on all training tokens up to the first number and on one document
-#: in so many beyond 48 times that number (in between, on about that number of tokens).
-ROUNDS, TRAIN_TOKENS, SHARE = 3, 2_500_000, 48
+#: The recurrent weights are trained in so many rounds, each on all training documents.
+ROUNDS = 3
 #: Bytes that the letter model tells apart; words that occur this often at most teach it.
 LETTERS, RARE = 95, 5
 SIDE = LETTERS + 2
@@ -232,15 +232,13 @@ def learn(training: DataFrame) -> tuple[Model | None, DataFrame]:
     weights = gru.start(shape, np.concatenate([head_counts[:modelled], tail_tokens]), seed=7)
     model = Model(int(tokens), int(types), head, head_counts, tail_of, tail_tokens, np.clip(new_share, 1e-6, 1 - 1e-6), _letters(counts, by_last, tail_of), shape, weights)
     inputs = {w: i for w, i in head.items() if i < modelled}
-    one_in = max(1, min(SHARE, int(tokens) // TRAIN_TOKENS))
-    for round_ in range(ROUNDS):
-        share = training.where(F.pmod(F.xxhash64("doc_id", F.lit(round_)), F.lit(one_in)) == 0)
-        model.weights = _trained(share, model.weights, shape, tail_of, inputs)
+    for _ in range(ROUNDS):
+        model.weights = _trained(training, model.weights, shape, tail_of, inputs)
     return model, counts
 
 
-def _trained(share: DataFrame, weights: dict, shape: gru.Shape, tail_of: np.ndarray, inputs: dict[bytes, int]) -> dict:
-    """``weights`` after a pass over ``share``: one replica per task, averaged by the symbols it saw. The driver gets one set of weights."""
+def _trained(training: DataFrame, weights: dict, shape: gru.Shape, tail_of: np.ndarray, inputs: dict[bytes, int]) -> dict:
+    """``weights`` after a pass over ``training``: one replica per task, averaged by the symbols it saw. The driver gets one set of weights."""
     names = list(weights)
     flat = np.concatenate([weights[n].ravel() for n in names])
     piece = 4096
@@ -262,7 +260,7 @@ def _trained(share: DataFrame, weights: dict, shape: gru.Shape, tail_of: np.ndar
         mean = (each * seen[:, None]).sum(axis=0) / seen.sum()
         return pa.table({"block": table["block"][:1], "w": pa.array([mean], pa.list_(pa.float64()))})
 
-    parts = share.select("text").mapInArrow(replica, "block int, seen double, w array<double>")
+    parts = training.select("text").mapInArrow(replica, "block int, seen double, w array<double>")
     # first among a few tasks each, then all: no task meets the replicas of all tasks at once
     near = parts.withColumn("some", F.pmod(F.spark_partition_id(), F.lit(64)))
 
