@@ -90,3 +90,17 @@ def test_spelling_is_a_distribution(llm):
     p = 10.0 ** letters.spell(known)
     assert 0.05 < p.sum() < 1 and p[known.index(b"ab")] > p[known.index(b"cc")]
     assert letters.spell([b"ab", b"abc"]) == pytest.approx(np.concatenate([letters.spell([b"ab"]), letters.spell([b"abc"])]))
+
+
+def test_dropped_letter_contexts_take_nothing_from_the_rest(llm, monkeypatch):
+    some = [b"abcd", b"abcde", b"xbcd", b"xbcdf", b"ybcd", b"zzbcd", b"bcd"]
+    counts = llm.createDataFrame([(bytearray(w), 1) for w in some], "word binary, c long")
+    by_last = np.zeros(256)
+    for b in b"abcdefxyz":
+        by_last[b] = 2
+    for most in (lm.MOST_CELLS, 1):
+        monkeypatch.setattr(lm, "MOST_CELLS", most)
+        letters = lm._letters(counts, by_last, np.zeros(256, dtype=np.int64))
+        # every symbol before each context of a word: "bcd" has kept cells and dropped ones
+        x1, x2, x3 = ([letters.symbol[b]] * lm.SIDE for b in b"bcd")
+        assert (10.0 ** letters.before(np.arange(lm.SIDE), np.array(x1), np.array(x2), np.array(x3))).sum() == pytest.approx(1, abs=1e-4)

@@ -77,11 +77,11 @@ def word_counts(texts: DataFrame) -> DataFrame:
 @dataclass
 class Letters:
     """Spells words from their end: the probability of a byte before the three that follow it, backed off to two. Symbol ``SIDE`` - 1 is either
-    end of a word. ``counts`` has the counts of three symbols (the latest first), ``three`` the log10 probabilities; ``cells`` and ``fours`` the
-    counts of four."""
+    end of a word. ``three`` has the log10 probabilities after two symbols (the latest first); ``cells`` and ``fours`` the counts of four, ``totals``
+    their sums by the first three. What is not among the cells counts in neither, so the probabilities after any context sum to one."""
 
     symbol: np.ndarray
-    counts: np.ndarray
+    totals: np.ndarray
     three: np.ndarray
     cells: np.ndarray
     fours: np.ndarray
@@ -94,15 +94,19 @@ class Letters:
             return np.zeros(0)
         raw, starts = _separated(some)
         x, x1, x2, x3 = _events(self.symbol[raw])
+        each = self.before(x, x1, x2, x3) + self.extra[raw[: len(x)]]
+        each[x1 == SIDE - 1] = 0.0
+        sizes = np.fromiter(map(len, some), dtype=np.int64, count=len(some))
+        return np.add.reduceat(each, starts) + self.last[raw[starts + sizes]]
+
+    def before(self, x: np.ndarray, x1: np.ndarray, x2: np.ndarray, x3: np.ndarray) -> np.ndarray:
+        """The log10 probability of the symbol ``x`` before the three that follow it."""
         backoff = self.three[x2, x1, x]
-        context = self.counts[x3, x2, x1]
+        total = self.totals[x3, x2, x1]
         cell = _cell(x3, x2, x1, x)
         at = np.minimum(np.searchsorted(self.cells, cell), len(self.cells) - 1)
         found = np.where(self.cells[at] == cell, self.fours[at], 0)
-        each = np.where(context > 0, np.log10((found + BACK * 10.0**backoff) / (context + BACK)), backoff) + self.extra[raw[: len(x)]]
-        each[x1 == SIDE - 1] = 0.0
-        sizes = np.fromiter(map(len, some), dtype=np.int64, count=len(some))
-        return np.add.reduceat(each, starts) + self.last[raw[starts + sizes]]
+        return np.where(total > 0, np.log10((found + BACK * 10.0**backoff) / (total + BACK)), backoff)
 
 
 def _separated(some: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -190,12 +194,13 @@ def _letters(counts: DataFrame, by_last: np.ndarray, tail_of: np.ndarray) -> Let
     cells, fours = four["cell"].to_numpy() - SIDE**3, four["n"].to_numpy()
     if not len(cells):
         cells, fours = np.array([-1]), np.array([0])
+    totals = np.bincount(np.maximum(cells, 0) // SIDE, weights=fours, minlength=SIDE**3).reshape(SIDE, SIDE, SIDE)
     others = max(1, 255 - LETTERS)
     extra = np.where((symbol == LETTERS), -np.log10(others), 0.0)
     last = by_last + 0.1
     last[0x20] = 0
     share = last / np.bincount(tail_of, weights=last, minlength=TAILS)[tail_of]
-    return Letters(symbol, seen.astype(np.float32), np.log10(three).astype(np.float32), cells, fours, extra, np.log10(np.maximum(share, 1e-300)))
+    return Letters(symbol, totals.astype(np.float32), np.log10(three).astype(np.float32), cells, fours, extra, np.log10(np.maximum(share, 1e-300)))
 
 
 def learn(training: DataFrame) -> tuple[Model | None, DataFrame]:
