@@ -54,3 +54,14 @@ def test_sketches_estimate_containment_and_merge():
     assert (sketch.read_sketch(mark) == own).all() and (np.diff(own.astype(np.int64)) > 0).all()
     assert sketch.likeness(sketch.fingerprint("a"), sketch.fingerprint("b")) == 0.0
     assert sketch.likeness(sketch.fingerprint("a"), sketch.fingerprint("a")) == 1.0
+
+
+def test_short_near_copies_look_related():
+    rng = random.Random(5)
+    lost = 0
+    for i in range(200):
+        words = [f"w{i}x{rng.randrange(10**6)}" for _ in range(20)]
+        # the first 8 of 16 shingles are shared
+        one, other = " ".join(words), " ".join([*words[:12], *(f"v{w}" for w in words[12:])])
+        lost += sketch.likeness(sketch.fingerprint(one), sketch.fingerprint(other)) == 0
+    assert lost < 6

@@ -23,7 +23,7 @@ from tidemark.llm.shared import text_slices
 
 SHINGLE = 5
 #: One in so many shingle hashes is kept.
-SCALE = 8
+SCALE = 2
 _KEEP_BELOW = np.uint64((1 << 64) // SCALE)
 #: Entries of a worker's table of word hashes; a full table is emptied.
 MOST_WORDS = 500_000
