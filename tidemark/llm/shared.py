@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import uuid
 from collections.abc import Iterable, Iterator
 from pathlib import Path
 
@@ -60,6 +61,13 @@ def checkpointed(rows: DataFrame) -> DataFrame:
     return rows.checkpoint()
 
 
+def written(rows: DataFrame, name: str) -> DataFrame:
+    """``rows`` as a parquet table in the shared folder; a lost executor costs a re-read, a reader takes only its columns."""
+    path = f"{shared_folder(rows.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def id_remainder(doc_id: Column, folds: int) -> Column:
     """crc32 of the id as text, modulo ``folds``; a null id counts as the empty text."""
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(folds))
