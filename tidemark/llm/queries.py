@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, divergence, lm, mixing, negatives, quality, records, sharding, simhash, sketch, topk, toxicity
+from tidemark.llm import bpe, divergence, jaccard, lm, mixing, negatives, quality, records, sharding, simhash, sketch, topk, toxicity
 from tidemark.llm.shared import WORD, id_remainder, with_package
 
 SEED = 20
@@ -90,6 +90,11 @@ def op10_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.read(index, firsts=records.first_ids(index)).drop("ids")
 
 
+def op11_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The component of every document under links of 90 % common 3-word shingles."""
+    return jaccard.near_documents(_documents(spark, sf_dir), "doc_id", "text", shingle=3, percent=90)
+
+
 def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How far each source of a language is from its others, and the terms that set it off."""
     return divergence.audit(_documents(spark, sf_dir), "text", "lang", "source", least=10, top=10)
@@ -113,6 +118,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_sketch": op9_sketch,
     "op10_records": op10_records,
+    "op11_jaccard": op11_jaccard,
     "op12_divergence": op12_divergence,
     "op13_negatives": op13_negatives,
 }
