@@ -98,13 +98,13 @@ def test_groups_of_equal_prefix(llm, monkeypatch):
     """Sets that differ only in frequent shingles have one prefix and meet inside their group."""
     monkeypatch.setattr(jaccard, "FREQUENT", 3)
     passage = " ".join(f"c{i}" for i in range(200))
-    tails = [" ".join(f"t{v}x{i}" for i in range(size)) for v, size in enumerate((5, 5, 5, 25, 25, 25))]
-    rows = [(7 * i % 101, " ".join([*[f"o{i % 3}x{j}" for j in range(30)], passage, tails[i // 3 % 6]])) for i in range(54)]
+    tails = [" ".join(f"t{v}x{i}" for i in range(size)) for v, size in enumerate((5, 5, 25, 25))]
+    rows = [(7 * i % 101, " ".join([*[f"o{i % 9}x{j}" for j in range(30)], passage, tails[i // 9 % 4]])) for i in range(54)]
     docs = llm.createDataFrame(rows, "doc_id long, text string").coalesce(1)
     sets = jaccard._sketched(docs, 3, 90)
-    assert sets.select("digest").distinct().count() == 18 and sets.select("key").distinct().count() == 6
+    assert sets.select("digest").distinct().count() == 36 and sets.select("key").distinct().count() == 18
     want = _brute(rows)
-    assert _query(llm, rows, parts=1) == want and len({c for _, _, c in want}) == 12
+    assert _query(llm, rows, parts=1) == want and len({c for _, _, c in want}) == 27
 
 
 def test_signatures_bound_the_difference():
