@@ -6,9 +6,9 @@ import pytest
 from helpers import log_of, rows_of
 from pyspark.sql import functions as F
 
-from tidemark.functions import decode
+from tidemark.functions import coerce, decode
 from tidemark.operators import project as p
-from tidemark.operators.envelope import valid_objects
+from tidemark.operators.envelope import first_images, valid_objects
 
 ORDER = {"order_id": 5, "customer_id": "7", "submit_time": "12"}
 
@@ -56,6 +56,13 @@ REASONS = [
     ('{"data":[{"order_id":5e0,"customer_id":1.7E1,"submit_time":1e3}]}', None),
     ({**ORDER, "order_id": "1.7e0"}, "bad_value"),
     ({**ORDER, "order_id": "1e-30"}, "bad_value"),
+    ({**ORDER, "order_id": 5.7, "customer_id": -0.2, "submit_time": True}, None),
+    ({**ORDER, "customer_id": True}, "bad_value"),
+    ({**ORDER, "submit_time": "true"}, "bad_value"),
+    ({**ORDER, "submit_time": 3e9}, "bad_value"),
+    ({**ORDER, "order_id": 1e19}, "bad_value"),
+    ({**ORDER, "order_id": {"a": 1}}, "bad_value"),
+    ({**ORDER, "order_id": [5]}, "bad_value"),
     (GOOD[:-1] + ',"tidemark_document":3}', None),
     ('{"data":[{"order_id":5,"customer_id":7,"submit_time":1},5]}', None),
     ('  {"data":[{"order_id":5,"customer_id":7,"submit_time":1}]}\n', None),
@@ -171,6 +178,24 @@ def test_customer_defaults(spark):
     assert row == [(1234, 0, "", " ", 0, None, " ", None)]
 
 
+def test_numbers_go_by_their_json_type(spark):
+    """The getters cut a JSON number towards zero, and refuse the same digits as text."""
+    values = [1.5, -1.5, "1.5", 1e2, "1e2", True, "true", 7, "7", None, "null", 2147483647.9, 2147483648.0, 1e-30, 0.1]
+    log = log_of(spark, [(0, i, {**ORDER, "submit_time": v, "ship_date": 1.584892799e12 if i % 2 else "1.584892799e12"}) for i, v in enumerate(values)])
+    got = {r["offset"]: (r["submit_time"], r["ship_time"]) for r in p.project_order(log).collect()}
+    want = [1, -1, None, 100, 100, 1, None, 7, 7, None, None, 2147483647, None, 0, 0]
+    assert [got[i][0] for i in range(len(values))] == want
+    assert [got[i][1] for i in range(len(values))] == [1584806400 if i % 2 else None for i in range(len(values))]
+
+
+def test_images_keep_json_types(spark):
+    image = '{"data":[{"a":1.50,"b":"1.50","c":true,"d":null,"e":{"x":[1]},"f":[2]}]}'
+    found = first_images(log_of(spark, [(0, 0, image)]), "abcdefg")
+    row = found.select(*[F.expr(read(c)).alias(f"{c}{i}") for c in "abcdefg" for i, read in enumerate((coerce.leaf_text, coerce.json_kind))]).head()
+    assert [row[f"{c}0"] for c in "abcdefg"] == ["1.5", "1.50", "true", None, '{"x":[1]}', "[2]", None]
+    assert [row[f"{c}1"] for c in "abcdefg"] == ["number", "text", "boolean", None, "object", "array", None]
+
+
 def test_decimals_keep_every_digit_or_are_bad(spark):
     texts = ["1.23456", 0.1, "12345678901234567890.5", "1.12345678900000", "1.12345678901", "1e-11", "1.5e3", "9" * 29, "-7", ".5", "5."]
     log = log_of(spark, [(0, i, {"customer_id": 1, "total_cash": t}) for i, t in enumerate(texts)])

@@ -1,9 +1,9 @@
-"""Typed reads of dirty text leaves, as SQL expressions over column names.
+"""Typed reads of dirty JSON leaves, as SQL expressions over column names.
 
-Every JSON leaf arrives as text. A read has three outcomes that must stay apart: blank (null or a
-default), parsed, and bad. The steps are separate so that each builds on the finished one before it:
-``present`` drops blank texts, ``number`` parses what is left, ``or_default`` and ``any_bad`` compare
-the two.
+A leaf that is read as a number or a date arrives as VARIANT, so that it keeps its JSON type: the number ``1.5`` in an
+integer field is cut to 1, the text ``"1.5"`` is bad. A read has three outcomes that must stay apart: blank (null or a
+default), parsed, and bad. The steps are separate so that each builds on the finished one before it: ``leaf_text`` is the
+leaf as text, ``present`` drops blank texts, ``number`` parses what is left, ``or_default`` and ``any_bad`` compare the two.
 
 They are SQL text because a projection has dozens of them: one parsed expression costs far less on
 the driver than a tree of single column calls.
@@ -24,6 +24,18 @@ MAX_MILLIS = 253_402_214_400_000
 DAY_MILLIS = 86_400_000
 
 
+def leaf_text(leaf: str) -> str:
+    """The leaf as text, whatever its JSON type; null for a missing leaf and for JSON's null."""
+    return f"try_variant_get({leaf}, '$', 'string')"
+
+
+def json_kind(leaf: str) -> str:
+    """``number``, ``text``, ``boolean``, ``object`` or ``array``; null for a missing leaf and for JSON's null."""
+    kind = f"schema_of_variant({leaf})"
+    return f"""CASE WHEN {kind} IN ('BIGINT', 'DOUBLE') OR startswith({kind}, 'DECIMAL') THEN 'number' WHEN {kind} = 'STRING' THEN 'text'
+        WHEN {kind} = 'BOOLEAN' THEN 'boolean' WHEN startswith({kind}, 'OBJECT') THEN 'object' WHEN startswith({kind}, 'ARRAY') THEN 'array' END"""
+
+
 def present(text: str) -> str:
     """The text, or null when it is blank."""
     return f"CASE WHEN {text} NOT IN {BLANK_TEXTS} THEN {text} END"
@@ -32,7 +44,7 @@ def present(text: str) -> str:
 def number(text: str, data_type: str) -> str:
     """Number in a present text without thousands commas; null when malformed or when the type would
     not keep it whole. A cast would accept outer blanks, the contract does not. A whole number may be
-    spelled ``5``, ``5.0`` or ``5e0`` for an integer type, too."""
+    spelled ``5``, ``5.0`` or ``5e0`` for an integer type, too. The usual spelling is tried first."""
     plain = f"replace({text}, ',', '')"
     wide = f"try_cast({plain} AS {DECIMAL})"
     # a number with an exponent is kept if the decimal is the same double
@@ -46,6 +58,20 @@ def number(text: str, data_type: str) -> str:
     return f"CASE WHEN trim({text}) = {text} THEN {read} END"
 
 
+def typed_number(leaf: str, text: str, data_type: str) -> str:
+    """``number`` of the leaf's present ``text``; what it does not read goes by the leaf's JSON type. For an integer type a JSON
+    number is cut towards zero, and true and false are 1 and 0 for ``int`` only. Numbers beyond the type stay bad."""
+    if data_type == DECIMAL:
+        return number(text, data_type)
+    kinds = "('number', 'boolean')" if data_type == "int" else "('number')"
+    return f"coalesce({number(text, data_type)}, CASE WHEN {text} IS NOT NULL AND {json_kind(leaf)} IN {kinds} THEN try_variant_get({leaf}, '$', '{data_type}') END)"
+
+
+def typed_millis(leaf: str, text: str) -> str:
+    """The present ``text`` of a date leaf; a JSON number that is not spelled in digits is one of whole milliseconds."""
+    return f"CASE WHEN {text} RLIKE '[.eE]' AND {json_kind(leaf)} = 'number' THEN CAST(try_variant_get({leaf}, '$', 'bigint') AS STRING) ELSE {text} END"
+
+
 def present_count(texts: list[str]) -> str:
     """How many of the texts of ``present`` are there."""
     return f"size(filter(array({', '.join(texts)}), t -> t IS NOT NULL))"

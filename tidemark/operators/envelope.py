@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,15 +12,20 @@ from pyspark.sql import functions as F
 WRAPPER = "tidemark_document"
 
 
-def parse_envelope(log: DataFrame, fields: Iterable[str]) -> DataFrame:
-    """Adds ``img``, the first row image of ``data`` with text leaves, and ``reason``.
+def leaves(typed: Iterable[str] = (), texts: Iterable[str] = ()) -> dict[str, str]:
+    """Fields of a row image: ``typed`` ones keep their JSON type, ``texts`` are read as text."""
+    return {**dict.fromkeys(typed, "variant"), **dict.fromkeys(texts, "string")}
+
+
+def parse_envelope(log: DataFrame, fields: Mapping[str, str]) -> DataFrame:
+    """Adds ``img``, the first row image of ``data`` with the leaves ``fields``, and ``reason``.
 
     The record is read once, as ``{"<wrapper>":[<value>,{"<wrapper>":1}]}``. Text that is not exactly one JSON document breaks
     the wrapper or changes the array's length: a record that closes the array early takes the end mark with it to
     another place. Only a record that has an object at its root but an odd ``data`` array is looked at a second
     time, and one that contains the wrapper's name has its outer keys listed.
     """
-    image = ", ".join(f"`{name}` string" for name in fields)
+    image = ", ".join(f"`{name}` {kind}" for name, kind in fields.items())
     schema = f"{WRAPPER} array<struct<data array<struct<{image}>>, {WRAPPER} string>>, broken string"
     options = {"columnNameOfCorruptRecord": "broken", "allowUnquotedFieldNames": "true"}
     wrapped = F.concat(F.lit(f'{{"{WRAPPER}":['), F.col("value"), F.lit(f',{{"{WRAPPER}":1}}]}}'))
@@ -59,13 +64,13 @@ def settle(rows: DataFrame, keep: list[str], values: list[Column]) -> DataFrame:
 
 def valid_objects(log: DataFrame) -> DataFrame:
     """Records whose value is exactly one JSON object, whatever its fields."""
-    checked = settle(parse_envelope(log, ["any"]), log.columns, [F.col("reason")])
+    checked = settle(parse_envelope(log, leaves(texts=["any"])), log.columns, [F.col("reason")])
     return checked.filter(~F.col("reason").eqNullSafe("not_object")).drop("reason")
 
 
 def first_images(log: DataFrame, fields: Iterable[str]) -> DataFrame:
-    """Records with a row image, with the image's fields as text columns."""
-    parsed = parse_envelope(log, list(fields))
+    """Records with a row image, with the image's fields as VARIANT columns, each with its JSON type."""
+    parsed = parse_envelope(log, leaves(fields))
     found = settle(parsed, log.columns, [F.col("img"), F.col("reason")])
     return found.filter(F.col("reason").isNull()).select(*log.columns, "img.*")
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import coerce, decode
 from tidemark.functions.coerce import DECIMAL
-from tidemark.operators.envelope import first_reason, parse_envelope, settle
+from tidemark.operators.envelope import first_reason, leaves, parse_envelope, settle
 from tidemark.scratch import stage
 from tidemark.sources.records import RECORD_COLUMNS
 from tidemark.sources.tables import BASE_COLUMNS, OA_COLUMNS, ORDER_COLUMNS, SKIN_COLUMNS, STAFF_COLUMNS
@@ -64,16 +64,17 @@ ORDER_NUMBERS = {"customer_id": ("bigint", None), "order_id": ("bigint", None),
 ORDER_DATES = ["ship_date", "sign_date"]
 
 
-def read_numbers(rows: DataFrame, texts: str, numbers: Numbers) -> DataFrame:
-    """Reads the numbers in the struct ``texts``: adds ``num``, a struct of their values with
+def read_numbers(rows: DataFrame, image: str, numbers: Numbers) -> DataFrame:
+    """Reads the numbers among the VARIANT leaves of the struct ``image``: adds ``num``, a struct of their values with
     defaults, and ``bad``, whether one of them is malformed.
 
     The count's lambda sits in the projection that parses: it keeps that projection out of
     whole-stage code generation, which would put a wide one into a single method too big for the JVM
     to compile (six times slower on the customer log). Outside, the generated code is split up.
     """
-    present = {name: coerce.present(f"{texts}.{name}") for name in numbers}
-    parsed = {name: coerce.number(f"txt.{name}", kind) for name, (kind, _) in numbers.items()}
+    texts = {name: coerce.leaf_text(f"{image}.{name}") for name in numbers}
+    present = {name: coerce.present(f"raw.{name}") for name in numbers}
+    parsed = {name: coerce.typed_number(f"{image}.{name}", f"txt.{name}", kind) for name, (kind, _) in numbers.items()}
     count = coerce.present_count([f"txt.{name}" for name in numbers])
     values = {
         name: f"val.{name}" if default is None else coerce.or_default(f"txt.{name}", f"val.{name}", default)
@@ -81,17 +82,20 @@ def read_numbers(rows: DataFrame, texts: str, numbers: Numbers) -> DataFrame:
     }
     bad = coerce.any_bad("present_count", [f"val.{name}" for name in numbers])
     return (
-        rows.withColumn("txt", _struct(present))
+        rows.withColumn("raw", _struct(texts))
+        .withColumn("txt", _struct(present))
         .withColumns({"val": _struct(parsed), "present_count": F.expr(count)})
         .withColumns({"num": _struct(values), "bad": F.expr(bad)})
-        .drop("txt", "val", "present_count")
+        .drop("raw", "txt", "val", "present_count")
     )
 
 
-def add_day_epochs(rows: DataFrame, texts: str, dates: list[str], zone: str) -> DataFrame:
-    """Adds ``day``, INT epoch seconds of local midnight for the dates in the struct ``texts``: 0 for
+def add_day_epochs(rows: DataFrame, image: str, dates: list[str], zone: str) -> DataFrame:
+    """Adds ``day``, INT epoch seconds of local midnight for the dates among the VARIANT leaves of the struct ``image``: 0 for
     blank text, null for text that does not parse and for days outside INT."""
-    rows = rows.withColumn("date_txt", _struct({d: coerce.present(f"{texts}.{d}") for d in dates}))
+    rows = rows.withColumn("date_raw", _struct({d: coerce.leaf_text(f"{image}.{d}") for d in dates}))
+    rows = rows.withColumn("date_spelled", _struct({d: coerce.present(f"date_raw.{d}") for d in dates}))
+    rows = rows.withColumn("date_txt", _struct({d: coerce.typed_millis(f"{image}.{d}", f"date_spelled.{d}") for d in dates}))
     rows = rows.withColumn("date_ms", _struct({d: coerce.instant_millis(f"date_txt.{d}") for d in dates}))
     days = {d: coerce.local_day(f"date_txt.{d}", f"date_ms.{d}", zone) for d in dates}
     rows = rows.withColumn("date_num", _struct(days))
@@ -101,7 +105,7 @@ def add_day_epochs(rows: DataFrame, texts: str, dates: list[str], zone: str) ->
         )
         for d in dates
     }
-    return rows.withColumn("day", _struct(midnights)).drop("date_txt", "date_ms", "date_num")
+    return rows.withColumn("day", _struct(midnights)).drop("date_raw", "date_spelled", "date_txt", "date_ms", "date_num")
 
 
 def _struct(fields: dict[str, str]) -> Column:
@@ -113,7 +117,7 @@ def _any_of(conditions: Iterable[str]) -> Column:
 
 
 def project_customer(log: DataFrame) -> DataFrame:
-    parsed = read_numbers(parse_envelope(log, [*CUSTOMER_NUMBERS, *CUSTOMER_TEXTS]), "img", CUSTOMER_NUMBERS)
+    parsed = read_numbers(parse_envelope(log, leaves(CUSTOMER_NUMBERS, CUSTOMER_TEXTS)), "img", CUSTOMER_NUMBERS)
     img, calendar = F.col("img"), F.col("num.calendar")
     columns = {name: F.col(f"num.{name}") for name in CUSTOMER_NUMBERS} | {
         "name": img["customer_name"],
@@ -135,7 +139,7 @@ def project_customer(log: DataFrame) -> DataFrame:
 
 
 def project_skin(log: DataFrame) -> DataFrame:
-    parsed = read_numbers(parse_envelope(log, SKIN_NUMBERS), "img", SKIN_NUMBERS)
+    parsed = read_numbers(parse_envelope(log, leaves(SKIN_NUMBERS)), "img", SKIN_NUMBERS)
     # a missing code is 0, which no list has: both end as no label
     labels = [decode.label(F.col(f"num.{name}"), texts).alias(name) for name, texts in SKIN_LABELS.items()]
     labelled = parsed.withColumn("text", F.struct(*labels))
@@ -152,7 +156,7 @@ def project_skin(log: DataFrame) -> DataFrame:
 
 
 def project_staff(log: DataFrame) -> DataFrame:
-    parsed = read_numbers(parse_envelope(log, STAFF_NUMBERS), "img", STAFF_NUMBERS)
+    parsed = read_numbers(parse_envelope(log, leaves(STAFF_NUMBERS)), "img", STAFF_NUMBERS)
     reason = F.coalesce(
         "reason",
         first_reason(
@@ -165,7 +169,7 @@ def project_staff(log: DataFrame) -> DataFrame:
 
 
 def project_order(log: DataFrame, zone: str = DEFAULT_ZONE) -> DataFrame:
-    parsed = read_numbers(parse_envelope(log, [*ORDER_NUMBERS, *ORDER_DATES]), "img", ORDER_NUMBERS)
+    parsed = read_numbers(parse_envelope(log, leaves([*ORDER_NUMBERS, *ORDER_DATES])), "img", ORDER_NUMBERS)
     timed = add_day_epochs(parsed, "img", ORDER_DATES, zone)
     submit_time, ship_time, sign_time = F.col("num.submit_time"), F.col("day.ship_date"), F.col("day.sign_date")
     unread = _any_of(["num.submit_time IS NULL", *[f"day.{d} IS NULL" for d in ORDER_DATES]])

@@ -259,8 +259,10 @@ ORACLES: dict[str, str] = {
     "first_image": _with(
         ["dirty"],
         """SELECT "key", "partition", "offset", CAST(user_id AS VARCHAR) AS customer_id,
-            CASE WHEN kind = 14 THEN event_id || '.0' WHEN kind <> 9 THEN CAST(event_id AS VARCHAR) END AS order_id,
-            CASE WHEN kind = 8 THEN 'x' ELSE CAST(event_id + 1 AS VARCHAR) END AS submit_time
+            CASE WHEN kind <> 9 THEN CAST(event_id AS VARCHAR) END AS order_id,
+            CASE WHEN kind = 8 THEN 'x' ELSE CAST(event_id + 1 AS VARCHAR) END AS submit_time,
+            'number' AS customer_id_kind, CASE WHEN kind <> 9 THEN 'number' END AS order_id_kind,
+            CASE WHEN kind = 8 THEN 'text' ELSE 'number' END AS submit_time_kind
         FROM dirty WHERE kind BETWEEN 8 AND 11 OR kind = 14""",
     ),
     "quarantine_reasons": _with(["dirty"], _QUARANTINE),
@@ -271,16 +273,19 @@ ORACLES: dict[str, str] = {
     "nonzero_key": _with(["skin_events"], "SELECT * FROM skin_events WHERE customer_id <> 0"),
     "coerce_types": """
         SELECT event_id,
-            whole AS as_long,
-            CASE WHEN kind IN (1, 2, 7) THEN 0 ELSE whole END AS as_long_or_zero,
-            CAST(CASE WHEN kind <> 6 THEN whole END AS INTEGER) AS as_int,
-            CAST(CASE WHEN kind IN (1, 2, 7) THEN 0 WHEN kind <> 6 THEN whole END AS INTEGER) AS as_int_or_zero,
+            CASE WHEN kind <> 13 THEN whole END AS as_long,
+            CASE WHEN kind IN (1, 2, 7) THEN 0 WHEN kind <> 13 THEN whole END AS as_long_or_zero,
+            CAST(CASE WHEN kind NOT IN (6, 14) THEN whole END AS INTEGER) AS as_int,
+            CAST(CASE WHEN kind IN (1, 2, 7) THEN 0 WHEN kind NOT IN (6, 14) THEN whole END AS INTEGER) AS as_int_or_zero,
             CASE kind WHEN 4 THEN CAST(event_id || '.5' AS DOUBLE) WHEN 10 THEN CAST(event_id || '.123456' AS DOUBLE)
-                ELSE CAST(whole AS DOUBLE) END AS as_decimal,
-            kind IN (4, 5, 10) AS bad_long, kind IN (4, 5, 6, 10) AS bad_int, kind = 5 AS bad_decimal
-        FROM (SELECT event_id, event_id % 11 AS kind,
-            CASE event_id % 11 WHEN 0 THEN event_id WHEN 3 THEN 12000 + event_id % 1000 WHEN 8 THEN event_id
-                WHEN 6 THEN 98765432000 + event_id % 1000 WHEN 9 THEN event_id % 1000 * 100 END AS whole
+                WHEN 11 THEN event_id + 0.75e0 WHEN 12 THEN -0.5e0 - event_id % 1000 WHEN 14 THEN whole + 0.5e0
+                WHEN 13 THEN NULL ELSE CAST(whole AS DOUBLE) END AS as_decimal,
+            kind IN (4, 5, 10, 13) AS bad_long, kind IN (4, 5, 6, 10, 14) AS bad_int, kind IN (5, 13) AS bad_decimal
+        FROM (SELECT event_id, event_id % 17 AS kind,
+            CASE event_id % 17 WHEN 0 THEN event_id WHEN 3 THEN 12000 + event_id % 1000 WHEN 8 THEN event_id
+                WHEN 6 THEN 98765432000 + event_id % 1000 WHEN 9 THEN event_id % 1000 * 100 WHEN 11 THEN event_id
+                WHEN 12 THEN -(event_id % 1000) WHEN 13 THEN 1 WHEN 14 THEN 98765432000 + event_id % 1000
+                WHEN 15 THEN event_id % 1000 * 100 WHEN 16 THEN event_id END AS whole
             FROM events)""",
     "preview_limit": _with(
         ["order_raw", "order_times", "order_events"],

@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions import decode
+from tidemark.functions import coerce, decode
 from tidemark.functions.coerce import DECIMAL
 from tidemark.operators import gate, keyed, merge
 from tidemark.operators import project as p
@@ -91,8 +91,11 @@ def valid_object_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def first_image(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The image's fields as text, and the JSON type that each has."""
     images = first_images(logs.dirty_order_log(spark, sf_dir), list(p.ORDER_NUMBERS))
-    return images.select("key", *PLACE, *p.ORDER_NUMBERS)
+    texts = [F.expr(coerce.leaf_text(name)).alias(name) for name in p.ORDER_NUMBERS]
+    kinds = [F.expr(coerce.json_kind(name)).alias(f"{name}_kind") for name in p.ORDER_NUMBERS]
+    return images.select("key", *PLACE, *texts, *kinds)
 
 
 def quarantine_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -112,9 +115,10 @@ def nonzero_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def coerce_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One JSON value per event, texts first, then numbers and truth values, read by every getter."""
     events = logs.table(spark, sf_dir, "events").select("event_id")
     e = F.col("event_id")
-    kind = e % 11
+    kind = e % 17
     text = (
         F.when(kind == 0, e.cast("string"))
         .when(kind == 1, F.lit(""))
@@ -127,8 +131,19 @@ def coerce_types(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == 9, F.concat(e % 1000, F.lit("e2")))
         .when(kind == 10, F.concat(e, F.lit(".123456")))
     )
+    bare = (
+        F.when(kind == 7, F.lit("null"))
+        .when(kind == 11, F.concat(e, F.lit(".75")))
+        .when(kind == 12, F.concat(F.lit("-"), e % 1000, F.lit(".5")))
+        .when(kind == 13, F.lit("true"))
+        .when(kind == 14, F.concat(F.lit("98765432"), F.lpad((e % 1000).cast("string"), 3, "0"), F.lit(".5")))
+        .when(kind == 15, F.concat(e % 1000, F.lit("e2")))
+        .when(kind == 16, e.cast("string"))
+    )
+    value = F.coalesce(bare, F.concat(F.lit('"'), text, F.lit('"')))
+    events = events.withColumn("img", F.from_json(F.concat(F.lit('{"value":'), value, F.lit("}")), "value variant"))
     kinds = {"long": "bigint", "int": "int", "decimal": DECIMAL}
-    rows = events.withColumn("img", F.struct(text.alias("value")))
+    rows = events
     for name, kind in kinds.items():
         rows = p.read_numbers(rows, "img", {"value": (kind, None)}).withColumnsRenamed({"num": name, "bad": f"bad_{name}"})
         rows = p.read_numbers(rows, "img", {"value": (kind, 0)}).withColumnRenamed("num", f"{name}_or_zero").drop("bad")
@@ -175,7 +190,8 @@ def day_epoch(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(k % 5 == 2, (seconds * 1000 + 57_599_999).cast("string"))
         .when(k % 5 == 3, (seconds * 1000 + 57_600_000).cast("string"))
     )
-    rows = lines.withColumn("text", text).withColumn("img", F.struct(text.alias("ship")))
+    leaf = F.from_json(F.to_json(F.struct(text.alias("ship"))), "ship variant")
+    rows = lines.withColumn("text", text).withColumn("img", leaf)
     rows = p.add_day_epochs(rows, "img", ["ship"], p.DEFAULT_ZONE)
     return rows.select("l_orderkey", "l_linenumber", "text", F.col("day.ship").alias("day_epoch"))
 
