@@ -5,7 +5,7 @@ import random
 import pytest
 from helpers import gate_loop, in_order, linked_loop, partial_loop, rows_of, table_of, upsert_loop
 
-from tidemark.operators import gate, keyed, merge
+from tidemark.operators import gate, keyed, merge, replay
 from tidemark.operators import project as p
 from tidemark.sources.tables import BASE_COLUMNS, OA_COLUMNS, ORDER_COLUMNS, SKIN_COLUMNS, STAFF_COLUMNS, TABLES
 
@@ -156,28 +156,61 @@ def _scope_loop(orders, events):
     return table
 
 
-@pytest.mark.parametrize("slices", [1, 3])
-def test_customer_scope_equals_the_loop_where_no_id_is_erased(spark, slices):
-    """Every customer has one row at most and repeats only its own id."""
-    rng = random.Random(400)
-    for _ in range(2):
-        prior = [{"customer_id": c, "order_id": c, "status": "old"} for c in range(1, 6)]
-        events, last = [], 10
-        owner = {c: c for c in range(1, 6)}
-        for off in range(40):
-            if rng.random() < 0.4:
-                last += 1
-                customer, order = last + 100, last
-                owner[customer] = order
-            else:
-                customer = rng.choice(list(owner))
-                order = owner[customer]
-            events.append({"offset": off, "partition": 0, "customer_id": customer, "order_id": order, **{c: _value(rng, c) for c in ORDER_COLUMNS}})
-        orders = table_of(spark, "order_status", prior)
-        for i in range(slices):
-            part = [e for e in events if e["offset"] * slices // 40 == i]
-            orders = gate.gated_upsert(orders, _frame(spark, part, p.ORDER_VALUES), scope="customer")[0]
-        assert rows_of(orders) == _rows(_scope_loop(prior, events), orders.columns)
+def _scope_case(rng, count):
+    """Few customers and ids, so that updates erase ids, others' too, and the greatest id falls; a third of the events is one customer's."""
+    customers, ids = list(range(1, 7)), list(range(0, 14))
+    prior = [{"customer_id": rng.choice([*customers, 50, None]), "order_id": rng.choice(ids), "status": "old"} for _ in range(rng.randrange(0, 9))]
+    places = rng.sample([(off, part) for off in range(count) for part in range(3)], count)
+    events = []
+    for i, (off, part) in enumerate(places):
+        customer = 3 if rng.random() < 0.33 else rng.choice(customers)
+        order = rng.choice(ids) if rng.random() < 0.6 else rng.randrange(30)
+        events.append({"offset": off, "partition": part, "customer_id": customer, "order_id": order, **{c: _value(rng, c) for c in ORDER_COLUMNS}, "submit_time": i})
+    return prior, events
+
+
+def _scope_rejects(orders, events):
+    """Places of the events that the loop rejects."""
+    out = []
+    for i, event in enumerate(in_order(events)):
+        before = _scope_loop(orders, in_order(events)[:i])
+        known = any(r["order_id"] == event["order_id"] for r in before)
+        if not known and event["order_id"] <= max((r["order_id"] for r in before), default=0):
+            out.append((event["offset"], event["partition"]))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_customer_scope_equals_the_loop(spark, seed, monkeypatch):
+    """Ids erased within the batch and a falling maximum included; small ranges of positions force all levels."""
+    monkeypatch.setattr(replay, "CHUNK_BITS", 2 if seed % 2 else 16)
+    rng = random.Random(seed)
+    prior, events = _scope_case(rng, 60)
+    orders = table_of(spark, "order_status", prior)
+    got, rejects = gate.gated_upsert(orders, _frame(spark, events, p.ORDER_VALUES), scope="customer")
+    assert rows_of(got) == _rows(_scope_loop(prior, events), orders.columns)
+    assert rows_of(rejects, "offset", "partition") == _scope_rejects(prior, events)
+
+
+def test_customer_scope_does_not_depend_on_the_cuts(spark):
+    rng = random.Random(77)
+    prior, events = _scope_case(rng, 30)
+    orders = table_of(spark, "order_status", prior)
+    for i in range(3):
+        part = [e for e in events if e["offset"] // 10 == i]
+        orders = gate.gated_upsert(orders, _frame(spark, part, p.ORDER_VALUES), scope="customer")[0]
+    assert rows_of(orders) == _rows(_scope_loop(prior, events), orders.columns)
+
+
+def test_greatest_held_equals_a_scan(spark):
+    rng = random.Random(3)
+    held = [(rng.randrange(100), b, rng.choice([None, b + rng.randrange(0, 40)])) for b in (rng.randrange(0, 70) for _ in range(60))]
+    asked = list(range(1, 101))
+    frames = spark.createDataFrame([(q,) for q in asked], "pos bigint"), spark.createDataFrame(held, "order_id bigint, begin bigint, end bigint")
+    got = dict(replay.greatest_held(*frames, 100).collect())
+    for q in asked:
+        inside = [o for o, b, e in held if b < q and (e is None or q <= e)]
+        assert got.get(q) == (max(inside) if inside else None)
 
 
 def test_customer_scope_updates_rows_of_the_same_batch(spark):

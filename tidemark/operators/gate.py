@@ -7,8 +7,9 @@ from typing import Literal
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.keyed import before, high_water, latest_per_key, log_order, matching
+from tidemark.operators.keyed import ROW, before, high_water, latest_per_key, log_order, matching, numbered
 from tidemark.operators.merge import overwrite
+from tidemark.operators.replay import exact_actions
 from tidemark.scratch import stage
 from tidemark.sources.tables import ORDER_COLUMNS
 
@@ -42,24 +43,35 @@ def decide_orders(orders: DataFrame, events: DataFrame, start: Column | None = N
     return stage(decide(orders, stage(firsts, "firsts"), start), "decided")
 
 
-def gate(events: DataFrame, decided: DataFrame) -> DataFrame:
+def event_columns(events: DataFrame) -> list[str]:
+    return [name for name in events.columns if name != ROW]
+
+
+def gate(events: DataFrame, decided: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Events with their ``action``: I for the inserting event, U for later events of its id."""
     by_id = decided.select(KEY, "first_ord", F.col("action").alias("id_action"))
     placed = events.join(by_id, KEY)
     repeats = (F.col("id_action") == "I") & (log_order() != F.col("first_ord"))
-    return placed.select(*events.columns, F.when(repeats, F.lit("U")).otherwise(F.col("id_action")).alias("action"))
+    return placed.select(*(keep or event_columns(events)), F.when(repeats, F.lit("U")).otherwise(F.col("id_action")).alias("action"))
 
 
 def rejected(events: DataFrame, decided: DataFrame) -> DataFrame:
     ids = decided.filter(F.col("action") == "R").select(KEY)
-    return events.join(ids, KEY, "left_semi").select(*events.columns, F.lit("below_high_water").alias("reason"))
+    return events.join(ids, KEY, "left_semi").select(*event_columns(events), F.lit("below_high_water").alias("reason"))
+
+
+def scoped_actions(orders: DataFrame, events: DataFrame, start: Column | None = None) -> DataFrame:
+    """Events with their ``action`` under the literal rule, exactly as event by event. The guess that the replay starts from takes ids
+    for known that the table had before the batch or that the batch inserts, whether or not an update erases them."""
+    events = numbered(events)
+    guess = gate(events, decide_orders(orders, events, start), keep=[ROW]).select(ROW, F.col("action").alias("act"))
+    exact = exact_actions(orders, events, guess)
+    return stage(events.join(exact.withColumnRenamed("act", "action"), ROW).drop(ROW), "acted")
 
 
-def _literal_update(orders: DataFrame, events: DataFrame, decided: DataFrame) -> DataFrame:
-    """Every update, repeats of an id inserted in the batch included, overwrites all rows its customer has by then. The
-    last one of a customer shows in its prior rows and in those inserted before it; an inserted row starts
-    with the values of its inserting event."""
-    acted = gate(events, decided)
+def _literal_update(orders: DataFrame, acted: DataFrame) -> DataFrame:
+    """Every update overwrites all rows its customer has by then. The last one of a customer shows in its prior rows and in
+    those inserted before it; an inserted row starts with the values of its inserting event."""
     last = acted.filter(F.col("action") == "U").groupBy("customer_id").agg(
         F.max_by(F.struct(*SCOPED_COLUMNS), log_order()).alias("last"), F.max(log_order()).alias("last_ord")
     )
@@ -83,12 +95,13 @@ def gated_upsert(
 
     ``scope="order"`` updates the row of the event's order and keeps its customer. ``scope="customer"``
     is the literal rule: an event for a known order overwrites order id, times and status of every row
-    of the event's customer, rows inserted earlier in the batch included. Which ids are known is taken from the table as
-    it was before the batch and from the batch's inserts, so only ids that an update erases within the batch stay approximate.
+    of the event's customer, rows inserted earlier in the batch included, which can erase ids and lower the greatest one. Its
+    result is that of the events one by one, however the log is cut.
     """
     if scope == "customer":
-        decided = decide_orders(orders, events, start)
-        return _literal_update(orders, events, decided), rejected(events, decided)
+        acted = scoped_actions(orders, events, start)
+        rejects = acted.filter(F.col("action") == "R").select(*event_columns(events), F.lit("below_high_water").alias("reason"))
+        return _literal_update(orders, acted), rejects
     latest = stage(latest_per_key(events, KEY, first_of=("customer_id",)), "latest")
     decided = stage(decide(orders, latest, start), "decided")
     inserted = latest.join(decided.filter(F.col("action") == "I").select(KEY), KEY, "left_semi")

@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tidemark.scratch import stage
+
 # A chunk spans 2**CHUNK_BITS offsets. It is the sort unit of one task and holds at most
 # 2**CHUNK_BITS x (topic partitions) rows, however the keys are distributed.
 CHUNK_BITS = 8
@@ -21,23 +23,51 @@ CHUNK_BITS = 8
 GROUP_BITS = 11
 
 
+#: Identity of a staged event, unique in its table.
+ROW = "row_id"
+
+
 def log_order() -> Column:
     return F.struct("offset", "partition")
 
 
+def numbered(events: DataFrame) -> DataFrame:
+    """``events`` written once, each with a ``row_id`` of its own; events that have one already are taken as they are."""
+    if ROW in events.columns:
+        return events
+    return stage(events.withColumn(ROW, F.monotonically_increasing_id()), "events")
+
+
+def _place() -> Column:
+    """``log_order`` as one number, which hash aggregation can hold: offset times 2^32, plus partition."""
+    return F.col("offset").cast("decimal(19,0)") * F.lit(1 << 32).cast("decimal(11,0)") + F.col("partition").cast("decimal(10,0)")
+
+
+def _order_of(place: str) -> Column:
+    """The ``log_order`` that a packed place stands for."""
+    return F.expr(f"named_struct('offset', {place} div 4294967296BD, 'partition', int({place} % 4294967296BD))")
+
+
 def latest_per_key(events: DataFrame, key: str, first_of: tuple[str, ...] = ()) -> DataFrame:
-    """Last event of every key, with ``first_ord``, the place of the key's first event.
+    """Last event of every key, with ``first_ord``, the place of the key's first event. Of several events at one place any
+    may be the last.
 
-    For columns in ``first_of`` the value of the first event is added as ``first_<name>``. Partial
-    aggregation reduces a hot key to one row per task before the shuffle.
+    For numeric columns in ``first_of`` the value of the first event is added as ``first_<name>``. The first of two steps
+    reads key and place only: a hash aggregation, which keeps one narrow row per key and task before the shuffle, so hot keys are
+    cheap. The second one fetches the winning rows by their ids; ids are unique, so no key weighs on that join.
     """
-    values = [name for name in events.columns if name not in (key, "offset", "partition")]
-    latest = events.groupBy(key).agg(
-        F.max_by(F.struct(*values), log_order()).alias("last"),
-        F.min(log_order()).alias("first_ord"),
-        *[F.min_by(name, log_order()).alias(f"first_{name}") for name in first_of],
+    events = numbered(events)
+    values = [name for name in events.columns if name not in (key, "offset", "partition", ROW)]
+    narrow = events.select(key, ROW, *first_of, _place().alias("place"))
+    winners = narrow.groupBy(key).agg(
+        F.max_by(ROW, "place").alias("last_row"),
+        F.min("place").alias("first_place"),
+        *[F.min_by(name, "place").alias(f"first_{name}") for name in first_of],
     )
-    return latest.select(key, "last.*", "first_ord", *[f"first_{name}" for name in first_of])
+    # any number of winners may be there: the planner broadcasts few, or joins by shuffles
+    firsts = [f"first_{name}" for name in first_of]
+    fetched = events.select(ROW, key, *values).join(winners.drop(key), F.col(ROW) == F.col("last_row"))
+    return fetched.select(key, *values, _order_of("first_place").alias("first_ord"), *firsts)
 
 
 def before(rows: DataFrame, value: Column, fold: Literal["max", "sum"], chunk_bits: int = CHUNK_BITS) -> DataFrame:

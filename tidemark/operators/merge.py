@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.keyed import assign_ids, high_water, latest_per_key, matching
+from tidemark.operators.keyed import ROW, assign_ids, high_water, latest_per_key, matching
 from tidemark.operators.project import nonzero_key
 from tidemark.scratch import stage
 from tidemark.sources.tables import BASE_COLUMNS, OA_COLUMNS, SKIN_COLUMNS, STAFF_COLUMNS
@@ -106,4 +106,4 @@ def partial_update(base: DataFrame, oa: DataFrame, events: DataFrame) -> tuple[D
     guarded = latest.join(known, "customer_id", "left_semi")
     oa_after = overwrite(oa, guarded, "customer_id", list(SKIN_COLUMNS))
     rejects = events.join(known, "customer_id", "left_anti").withColumn("reason", F.lit("unknown_customer"))
-    return oa_after, rejects.select(*events.columns, "reason")
+    return oa_after, rejects.drop(ROW)

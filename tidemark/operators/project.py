@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import coerce, decode
 from tidemark.functions.coerce import DECIMAL
 from tidemark.operators.envelope import first_reason, leaves, parse_envelope, settle
+from tidemark.operators.keyed import ROW
 from tidemark.scratch import stage
 from tidemark.sources.records import RECORD_COLUMNS
 from tidemark.sources.tables import BASE_COLUMNS, OA_COLUMNS, ORDER_COLUMNS, SKIN_COLUMNS, STAFF_COLUMNS
@@ -192,16 +193,17 @@ def project_order(log: DataFrame, zone: str = DEFAULT_ZONE) -> DataFrame:
 
 
 def split(projected: DataFrame, values: list[str]) -> tuple[DataFrame, DataFrame]:
-    """(valid events, quarantine). Valid events carry their place in the log and ``values``."""
-    valid = projected.filter(F.col("reason").isNull()).select(*ORDINAL, *values)
+    """(valid events, quarantine). Valid events carry their place in the log, ``values`` and, from a staged projection, their row id."""
+    row = [ROW] if ROW in projected.columns else []
+    valid = projected.filter(F.col("reason").isNull()).select(*ORDINAL, *row, *values)
     quarantine = projected.filter(F.col("reason").isNotNull()).select(*RECORD_COLUMNS, "reason")
     return valid, quarantine
 
 
 def stage_projection(projected: DataFrame) -> DataFrame:
-    """A projection written once for its several readers; raw text is kept for bad records only."""
+    """A projection written once for its several readers; raw text is kept for bad records only. Each record gets a row id."""
     slim = {name: F.when(F.col("reason").isNotNull(), F.col(name)) for name in ("key", "value")}
-    return stage(projected.withColumns(slim), "projected")
+    return stage(projected.withColumns({**slim, ROW: F.monotonically_increasing_id()}), "projected")
 
 
 def count_reasons(set_aside: DataFrame) -> DataFrame:
@@ -215,4 +217,4 @@ def nonzero_key(events: DataFrame, key: str = "customer_id") -> DataFrame:
 
 def preview(events: DataFrame, rows: int = 10) -> DataFrame:
     """First rows in log order: a top-k, so no full sort."""
-    return events.orderBy(*ORDINAL).limit(rows)
+    return events.drop(ROW).orderBy(*ORDINAL).limit(rows)

@@ -396,13 +396,40 @@ ORACLES: dict[str, str] = {
         """SELECT t.customer_id, coalesce(e.order_id, t.order_id) AS order_id,
             coalesce(e.submit_time, t.submit_time) AS submit_time, coalesce(e.ship_time, t.ship_time) AS ship_time,
             coalesce(e.sign_time, t.sign_time) AS sign_time, coalesce(e.status, t.status) AS status
-        FROM (SELECT *, -1 AS "offset", -1 AS "partition" FROM order_status
+        FROM (SELECT *, 0 AS pos FROM order_status
             UNION ALL
-            SELECT customer_id, order_id, submit_time, ship_time, sign_time, status, "offset", "partition"
-            FROM gated_order_status WHERE action = 'I') t
-        LEFT JOIN (SELECT * FROM gated_order_status WHERE action = 'U'
-            QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY "offset" DESC, "partition" DESC) = 1) e
-            ON e.customer_id = t.customer_id AND (e."offset", e."partition") > (t."offset", t."partition")""",
+            SELECT customer_id, order_id, submit_time, ship_time, sign_time, status, pos FROM scoped WHERE act = 'I') t
+        LEFT JOIN (SELECT * FROM scoped WHERE act = 'U' QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY pos DESC) = 1) e
+            ON e.customer_id = t.customer_id AND e.pos > t.pos""",
+    ).replace("WITH ", "WITH RECURSIVE ", 1).replace(
+        "\nSELECT t.customer_id",
+        """,
+        numbered AS (SELECT *, row_number() OVER (ORDER BY "offset", "partition") AS pos FROM gated_order_status),
+        rounds AS (
+            SELECT 0 AS round, pos, customer_id, order_id, action AS act FROM numbered
+            UNION ALL
+            SELECT round, pos, customer_id, order_id, act FROM (
+                WITH rows AS (
+                    SELECT customer_id, order_id, pos, act = 'U' AS updates FROM rounds WHERE act <> 'R'
+                    UNION ALL SELECT DISTINCT customer_id, order_id, 0, false FROM order_status),
+                spans AS (
+                    SELECT order_id, pos AS a, updates, min(CASE WHEN updates THEN pos END) OVER later AS b,
+                        min(CASE WHEN NOT updates THEN pos END) OVER earlier AS row_since
+                    FROM rows
+                    WINDOW later AS (PARTITION BY customer_id ORDER BY pos ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING),
+                        earlier AS (PARTITION BY customer_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+                seen AS (
+                    SELECT r.round, r.pos, r.customer_id, r.order_id, r.act AS old, coalesce(bool_or(s.order_id = r.order_id), false) AS found,
+                        coalesce(max(s.order_id), 0) AS high
+                    FROM rounds r LEFT JOIN spans s ON s.a < r.pos AND r.pos <= coalesce(s.b, 9223372036854775807) AND (NOT s.updates OR s.row_since IS NOT NULL)
+                    GROUP BY ALL),
+                decided AS (SELECT *, CASE WHEN found THEN 'U' WHEN order_id > high THEN 'I' ELSE 'R' END AS act FROM seen)
+                SELECT round + 1 AS round, pos, customer_id, order_id, act, bool_or(act <> old) OVER () AS moved FROM decided)
+            WHERE moved),
+        scoped AS (
+            SELECT n.customer_id, n.order_id, n.submit_time, n.ship_time, n.sign_time, n.status, n.pos, r.act
+            FROM numbered n JOIN rounds r USING (pos) WHERE r.round = (SELECT max(round) FROM rounds))
+SELECT t.customer_id""",
     ),
     "reject_report": _with([*_GATED, *_SKIN_KNOWN], _REJECTS),
     "reject_counts": _with(

@@ -39,7 +39,7 @@ def valid_events(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def staged_events(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Valid events parsed once into typed columns, for rules that read them more than once."""
-    return stage(valid_events(spark, sf_dir, name), f"{name}_events")
+    return keyed.numbered(valid_events(spark, sf_dir, name))
 
 
 def _plain(rows: DataFrame) -> DataFrame:
