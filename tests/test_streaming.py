@@ -4,6 +4,7 @@ import random
 
 import pytest
 from helpers import log_of, rows_of, table_of
+from pyspark.sql import functions as F
 
 from tidemark import scratch
 from tidemark.operators import gate, merge
@@ -15,7 +16,7 @@ from tidemark.sources.records import RECORDS_PER_SECOND, scan_log, starting_offs
 from tidemark.sources.tables import empty_table
 from tidemark.streaming import jobs
 from tidemark.streaming.run import run_until, start
-from tidemark.streaming.store import LEDGER, TableStore
+from tidemark.streaming.store import EMPTY, LEDGER, TableStore
 
 
 def _order_values(seed, count):
@@ -38,8 +39,8 @@ def test_sliced_stream_equals_one_batch(spark):
     valid, quarantine = p.split(p.project_order(log), p.ORDER_VALUES)
     want, rejects = gate.gated_upsert(empty_table(spark, "order_status"), valid)
     assert rows_of(store.read("order_status")) == rows_of(want)
-    assert store.current().publication.version == 3
-    assert store.current().publication.marks == {"order_status": max(r[1] for r in rows_of(want))}
+    assert store.current().version == 3
+    assert store.current().greatest == {"order_status": max(r[1] for r in rows_of(want))}
     places = ("offset", "partition", "reason")
     assert rows_of(store.read_notes("quarantine"), *places) == rows_of(quarantine, *places)
     assert rows_of(store.read_notes("rejects_orders"), *places) == rows_of(rejects, *places)
@@ -52,11 +53,11 @@ def test_replayed_batch_changes_nothing(spark):
     job = jobs.order_job("orders", "g")
     projected = job.project(log_of(spark, _order_values(2, 40)))
     jobs.apply_batch(root, job, projected, 0)
-    first = store.current().publication, rows_of(store.read("order_status"))
+    first = store.current(), rows_of(store.read("order_status"))
     jobs.apply_batch(root, job, projected, 0)
-    assert (store.current().publication, rows_of(store.read("order_status"))) == first
+    assert (store.current(), rows_of(store.read("order_status"))) == first
     jobs.apply_batch(root, job, projected.filter("offset < 0"), 1)
-    assert store.current().publication == first[0]
+    assert store.current() == first[0]
 
 
 def test_failed_batch_leaves_the_published_tables(spark):
@@ -65,7 +66,10 @@ def test_failed_batch_leaves_the_published_tables(spark):
     good = jobs.order_job("orders", "g")
 
     def fails(now, events):
-        gate.gated_upsert(now.read("order_status"), events)[0].write.parquet(f"{root}/tables/order_status/version=1")
+        # the attempt ends after its table is written, before it is published; the next one has other rows
+        after = gate.gated_upsert(now.open("order_status", events), events)[0]
+        placed = after.withColumn("bucket", now.bucket("order_status")).withColumn("slot", F.lit(0))
+        store._overwrite(placed.withColumn("status", F.lit("lost")), "tables/order_status", "bucket", "slot")
         raise RuntimeError("lost")
 
     bad = jobs.Job(good.name, good.group, good.project, good.values, fails)
@@ -74,8 +78,9 @@ def test_failed_batch_leaves_the_published_tables(spark):
         jobs.apply_batch(root, bad, projected, 0)
     except RuntimeError:
         pass
-    assert store.current().publication.version == 0
+    assert store.current().version == 0
     assert store.read("order_status").count() == 0
+    assert not store.current().batches
     jobs.apply_batch(root, good, projected, 0)
     valid, _ = p.split(projected, p.ORDER_VALUES)
     assert rows_of(store.read("order_status")) == rows_of(
@@ -122,20 +127,44 @@ def test_batch_rewrites_only_its_buckets(spark):
     log = log_of(spark, [(0, i, {"customer_id_se": c, **values}) for i, c in enumerate((17, 1000))])
     jobs.apply_batch(root, job, job.project(log), 0)
     now = store.current()
-    rewritten = [b for b, version in now.publication.buckets["customer_info"].items() if version.startswith("1-")]
-    assert 1 <= len(rewritten) <= 2
+    rewritten = [b for b, slot in enumerate(now.slots["customer_info"]) if slot == 1]
+    assert 1 <= len(rewritten) <= 2 and now.opened == {}
     valid, _ = p.split(job.project(log), p.STAFF_VALUES)
     assert rows_of(now.read("customer_info")) == rows_of(merge.upsert_staff(prior, valid))
-    assert now.publication.marks["customer_info"] == 201
+    assert now.greatest["customer_info"] == 201
 
+    # the same batch under a new number: the buckets go back to their first slot, no third copy is kept
     jobs.apply_batch(root, job, job.project(log), 1)
-    before = rows_of(store.read("customer_info"))
-    store.drop_superseded(keep=1)
-    assert rows_of(store.read("customer_info")) == before
-    live = {(int(b), v) for b, v in store.current().publication.buckets["customer_info"].items()}
-    folders = store._find("tables/customer_info/version=*/bucket=*")
-    left = {(int(f.getName()[7:]), f.getParent().getName()[8:]) for f in folders}
-    assert left == live and len(store._published()) == 1
+    assert rows_of(store.read("customer_info")) == rows_of(now.read("customer_info"))
+    assert all(store.current().slots["customer_info"][b] == 0 for b in rewritten if now.slots["customer_info"][b] == 1 and b in rewritten[:1])
+    folders = spark.read.format("binaryFile").load(f"{root}/tables/customer_info/*/*/*.parquet").select("path").collect()
+    kept = {row["path"].split("/")[-3] + row["path"].split("/")[-2] for row in folders}
+    assert len(kept) <= 64 + len(rewritten)
+
+
+def test_empty_buckets_do_not_show_leftovers(spark):
+    """A bucket that loses all its rows, and one that a failed attempt wrote to, stay empty."""
+    root = scratch.new_path(spark, "store")
+    store = TableStore.create(spark, root, {"order_status": table_of(spark, "order_status", [{"customer_id": 7, "order_id": 3}])}, buckets=8)
+    one, two = (table_of(spark, "order_status", [{"customer_id": 7, "order_id": o}]) for o in (4, 9))
+    for i, rows in enumerate((one, two, one, two)):
+        store.publish(store.current(), "a", i, {"order_status": rows}, whole=True)
+        assert rows_of(store.read("order_status"), "order_id") == [(rows.head()["order_id"],)]
+    assert sum(slot != EMPTY for slot in store.current().slots["order_status"]) == 1
+
+
+def test_notes_show_with_their_batch_and_are_counted(spark):
+    root = scratch.new_path(spark, "store")
+    store = TableStore.create(spark, root, {"order_status": empty_table(spark, "order_status")})
+    job = jobs.order_job("orders", "g")
+    projected = job.project(log_of(spark, _order_values(6, 40)))
+    jobs.apply_batch(root, job, projected, 0)
+    quarantined, rejected = store.read_notes("quarantine").count(), store.read_notes("rejects_orders").count()
+    assert store.current().counts == {"orders": {"quarantined": quarantined, "rejected": rejected}} and quarantined and rejected
+    # notes of an attempt that is not published
+    store.write_notes("quarantine", "orders", 1, store.read_notes("quarantine").drop("job", "batch"))
+    store.write_notes("quarantine", "others", 0, store.read_notes("quarantine").drop("job", "batch"))
+    assert store.read_notes("quarantine").count() == quarantined
 
 
 def test_customer_scope_moves_rows_between_buckets(spark):
@@ -146,7 +175,7 @@ def test_customer_scope_moves_rows_between_buckets(spark):
     log = log_of(spark, [(0, 0, {"order_id": 3, "customer_id": 7, "submit_time": 1})])
     jobs.apply_batch(root, job, job.project(log), 0)
     assert rows_of(store.read("order_status"), "order_id") == [(3,), (3,), (3,)]
-    assert store.current().publication.marks == {"order_status": 3}
+    assert store.current().greatest == {"order_status": 3}
 
 
 def test_interval_stream_stops_between_batches(spark):
@@ -239,8 +268,8 @@ def test_a_lost_checkpoint_resumes_from_the_ledger(spark):
     valid, _ = p.split(p.project_order(log), p.ORDER_VALUES)
     want, rejects = gate.gated_upsert(empty_table(spark, "order_status"), valid)
     assert rows_of(store.read("order_status")) == rows_of(want)
-    assert store.current().publication.version == 2
-    assert sum(store.read_notes(f"rejects_{name}").count() for name in store.current().publication.batches) == rejects.count()
+    assert store.current().version == 2
+    assert sum(store.read_notes(f"rejects_{name}").count() for name in store.current().batches) == rejects.count()
 
 
 def test_a_query_that_is_never_idle_stops_after_a_batch(spark):
@@ -268,6 +297,7 @@ def test_a_second_writer_of_the_same_version_fails(spark):
     store = TableStore.create(spark, root, {"order_status": empty_table(spark, "order_status")})
     now = store.current()
     one = table_of(spark, "order_status", [{"customer_id": 1, "order_id": 1}])
+    now.open("order_status", one)
     store.publish(now, "a", 0, {"order_status": one})
     with pytest.raises(RuntimeError):
         store.publish(now, "b", 0, {"order_status": table_of(spark, "order_status", [{"customer_id": 2, "order_id": 1}])})

@@ -42,11 +42,11 @@ class Job:
 
 def customer_job(name: str, group: str) -> Job:
     def rule(now: Snapshot, events: DataFrame) -> Outcome:
-        base = now.read("base", events)
+        base = now.open("base", events)
         # children are updated by their parent's id, whatever customer they carry: a narrow scan finds their buckets
         hit = merge.lookup(base, events, "customer_id").select(F.col("known_id").alias("base_id"))
         children = now.read("oa").select("base_id", "customer_id").join(hit, "base_id", "left_semi")
-        oa = now.read("oa", events.select("customer_id").unionByName(children.select("customer_id")))
+        oa = now.open("oa", events.select("customer_id").unionByName(children.select("customer_id")))
         base_after, oa_after = merge.linked_upsert(base, oa, events, now.mark("base"))
         return Outcome({"base": base_after, "oa": oa_after})
 
@@ -55,7 +55,7 @@ def customer_job(name: str, group: str) -> Job:
 
 def skin_job(name: str, group: str) -> Job:
     def rule(now: Snapshot, events: DataFrame) -> Outcome:
-        oa, rejects = merge.partial_update(now.read("base", events), now.read("oa", events), events)
+        oa, rejects = merge.partial_update(now.open("base", events), now.open("oa", events), events)
         return Outcome({"oa": oa}, rejects)
 
     return Job(name, group, p.project_skin, p.SKIN_VALUES, rule)
@@ -63,7 +63,7 @@ def skin_job(name: str, group: str) -> Job:
 
 def staff_job(name: str, group: str) -> Job:
     def rule(now: Snapshot, events: DataFrame) -> Outcome:
-        staff = merge.upsert_staff(now.read("customer_info", events), events, now.mark("customer_info"))
+        staff = merge.upsert_staff(now.open("customer_info", events), events, now.mark("customer_info"))
         return Outcome({"customer_info": staff})
 
     return Job(name, group, p.project_staff, p.STAFF_VALUES, rule)
@@ -75,7 +75,7 @@ def order_job(
     def rule(now: Snapshot, events: DataFrame) -> Outcome:
         # a customer's rows lie in any bucket and may move to another
         whole = scope == "customer"
-        orders = now.read("order_status") if whole else now.read("order_status", events)
+        orders = now.read("order_status") if whole else now.open("order_status", events)
         after, rejects = gate.gated_upsert(orders, events, scope, now.mark("order_status"))
         return Outcome({"order_status": after}, rejects, whole)
 
@@ -84,13 +84,13 @@ def order_job(
 
 def apply_batch(root: str, job: Job, projected: DataFrame, batch_id: int, preview: int = 0) -> None:
     """Apply one batch of projected records to the store at ``root``. A batch that is already
-    published is skipped, so a replay changes nothing; tables, ledger and batch id become current in
+    published is skipped, so a replay changes nothing; tables, ledger, notes, their counts and the batch id become current in
     one publication."""
     spark = projected.sparkSession
     store = TableStore(spark, root)
     with store.writer, stage_scope(spark):
         now = store.current()
-        if now.publication.batches.get(job.name, -1) >= batch_id:
+        if now.batches.get(job.name, -1) >= batch_id:
             return
         projected = p.stage_projection(projected)
         if projected.isEmpty():
@@ -99,11 +99,11 @@ def apply_batch(root: str, job: Job, projected: DataFrame, batch_id: int, previe
         if preview:
             p.preview(valid, preview).show(preview, truncate=False)
         outcome = job.rule(now, valid)
-        store.write_notes("quarantine", job.name, batch_id, quarantine)
+        counts = {"quarantined": store.write_notes("quarantine", job.name, batch_id, quarantine)}
         if outcome.rejects is not None:
-            store.write_notes(f"rejects_{job.name}", job.name, batch_id, outcome.rejects)
+            counts["rejected"] = store.write_notes(f"rejects_{job.name}", job.name, batch_id, outcome.rejects)
         tables = {**outcome.tables, LEDGER: advance_ledger(now.read(LEDGER), projected, job.group)}
-        store.publish(now, job.name, batch_id, tables, whole=outcome.whole)
+        store.publish(now, job.name, batch_id, tables, whole=outcome.whole, counts=counts)
 
 
 def run_job(
@@ -127,8 +127,8 @@ def resume_job(
     checkpoint, so they go by the checkpoint's name. For a topic, pass ``starting_offsets`` of
     ``stored_offsets`` to the scan as well, so that it does not read what is left out here."""
     spark = records.sparkSession
-    ledger = TableStore(spark, root).read(LEDGER)
-    # one row per topic partition, kept by value: the version it is in may be dropped while the query runs
+    ledger = TableStore(spark, root).read(LEDGER).filter(F.col("groupid") == job.group)
+    # one row per topic partition of the group, kept by value: its slot may be overwritten while the query runs
     known = spark.createDataFrame(ledger.collect(), ledger.schema)
     named = replace(job, name=f"{job.name}-{zlib.crc32(checkpoint.encode()):08x}")
     return run_job(resume(records, known, job.group), root, named, checkpoint, available_now=available_now, preview=preview)

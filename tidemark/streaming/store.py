@@ -1,22 +1,22 @@
-"""Target tables in a shared folder, published together, one version per applied batch.
-
-A table is split by a hash of its key into buckets. A batch reads and rewrites only the buckets its
-keys fall in; all others stay where an earlier version put them. The publication, one small file per
-version, lists for every table which version holds which bucket, the table's greatest id, and the
-last batch of every job. Tables are written to new paths first and become current at once with the
-publication. Every attempt writes to folders of its own; what a failed one left behind is not listed.
-One application writes to a store; its jobs take turns. A second one that publishes the same version fails.
+"""Target tables in a shared folder, written by Spark's own writer, and one small state table that makes a batch current.
+
+A table is split by a hash of its key into buckets, and a bucket has two slots, folders of its table's partitioning. A batch reads the
+live slots of the buckets that its keys fall in and overwrites their other slots (dynamic partition overwrite), so nothing that a reader
+sees changes, and what a failed attempt left behind is overwritten by the next one. The state table has one row: the version, the
+live slot of every bucket, each table's greatest id, and the last batch of every job with its counts. It alternates between two slots, too, so
+writing it is what publishes tables, ledger, counts and notes at once, and nothing is left to clean up.
+
+One application writes to a store; its jobs take turns. A snapshot can be read until its buckets have been published twice again.
 """
 
 from __future__ import annotations
 
-import json
 import threading
-import uuid
 from collections import defaultdict
-from dataclasses import dataclass
+from collections.abc import Iterable
+from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,49 +34,54 @@ KEYS = {"base": "customer_id", "oa": "customer_id", "customer_info": "customer_i
 # Columns whose maximum the write rules need. They only ever grow in a bucket-wise update.
 MARKS = {"base": "id", "customer_info": "id", "order_status": "order_id"}
 
-# Publications that stay listed, so that finding the newest one stays cheap.
-KEPT_PUBLICATIONS = 100
-
-_writers: defaultdict[str, threading.RLock] = defaultdict(threading.RLock)
+# A bucket without rows.
+EMPTY = -1
 
+STATE = """version bigint, buckets int, slots map<string, array<int>>, greatest map<string, bigint>,
+    batches map<string, bigint>, counts map<string, map<string, bigint>>"""
 
-@dataclass(frozen=True)
-class Publication:
-    version: int
-    bucket_count: int
-    buckets: dict[str, dict[str, str]]
-    marks: dict[str, int]
-    batches: dict[str, int]
+_writers: defaultdict[str, threading.RLock] = defaultdict(threading.RLock)
 
 
+@dataclass
 class Snapshot:
-    """The tables of one publication."""
+    """The tables of one version."""
 
-    def __init__(self, spark: SparkSession, root: str, publication: Publication):
-        self.spark = spark
-        self.root = root
-        self.publication = publication
+    spark: SparkSession
+    root: str
+    version: int
+    buckets: int
+    slots: dict[str, list[int]]
+    greatest: dict[str, int]
+    batches: dict[str, int]
+    counts: dict[str, dict[str, int]]
+    opened: dict[str, list[int]] = field(default_factory=dict)
 
     def bucket(self, name: str) -> Column:
         if name not in KEYS:
             return F.lit(0)
-        return F.pmod(F.xxhash64(F.col(KEYS[name])), F.lit(self.publication.bucket_count)).cast("int")
-
-    def read(self, name: str, near: DataFrame | None = None) -> DataFrame:
-        """The table, or the buckets that hold the keys of ``near``, whole. At most ``bucket_count``
-        small numbers come to the driver for that."""
-        live = self.publication.buckets.get(name, {})
-        if near is not None:
-            hit = near.select(self.bucket(name).alias("bucket")).distinct().collect()
-            live = {b: live[b] for b in (str(row["bucket"]) for row in hit) if b in live}
-        paths = [f"{self.root}/tables/{name}/version={version}/bucket={b}" for b, version in live.items()]
+        return F.pmod(F.xxhash64(F.col(KEYS[name])), F.lit(self.buckets)).cast("int")
+
+    def read(self, name: str) -> DataFrame:
+        return self._scan(name, range(len(self.slots.get(name, []))))
+
+    def open(self, name: str, near: DataFrame) -> DataFrame:
+        """The buckets that hold the keys of ``near``, whole, to be replaced by the batch. At most ``buckets`` small numbers come to the
+        driver for that."""
+        hit = near.select(self.bucket(name).alias("bucket")).distinct().collect()
+        self.opened[name] = sorted(row["bucket"] for row in hit)
+        return self._scan(name, self.opened[name])
+
+    def _scan(self, name: str, buckets: Iterable[int]) -> DataFrame:
+        live = self.slots.get(name, [])
+        paths = [f"{self.root}/tables/{name}/bucket={b}/slot={live[b]}" for b in buckets if b < len(live) and live[b] != EMPTY]
         if not paths:
             return self.spark.createDataFrame([], SCHEMAS[name])
         return self.spark.read.schema(SCHEMAS[name]).parquet(*paths)
 
     def mark(self, name: str) -> Column:
         """Greatest id of the whole table, 0 if it is empty."""
-        return F.lit(self.publication.marks.get(name, 0)).cast("bigint")
+        return F.lit(self.greatest.get(name, 0)).cast("bigint")
 
 
 class TableStore:
@@ -90,112 +95,74 @@ class TableStore:
         """A store that starts with ``tables``. Choose ``buckets`` so that one bucket of the largest
         table is a good file size, and well above the number of keys in a usual batch."""
         store = cls(spark, root)
-        store._write(Publication(0, buckets, {}, {}, {}), tables, whole=True)
+        store._write(Snapshot(spark, root, 0, buckets, {}, {}, {}, {}), tables, whole=True)
         return store
 
-    def _path(self, relative: str):
-        """A path below the root, with the file system it is on."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{relative}")
-        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-
-    def _find(self, pattern: str) -> list:
-        path, files = self._path(pattern)
-        found = files.globStatus(path)
-        return [found[i].getPath() for i in range(len(found))]
-
-    def _published(self) -> list[str]:
-        return sorted(path.getName() for path in self._find("publications/*.json"))
-
-    def _load(self, name: str) -> Publication:
-        path, files = self._path(f"publications/{name}")
-        stream = files.open(path)
-        try:
-            return Publication(**json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")))
-        finally:
-            stream.close()
-
-    def _save(self, publication: Publication) -> None:
-        """Written aside and renamed, so that it appears complete or not at all."""
-        name = f"{publication.version:020d}"
-        aside, files = self._path(f"publications/{name}-{uuid.uuid4().hex}.part")
-        stream = files.create(aside, True)
-        try:
-            stream.write(json.dumps(vars(publication)).encode())
-        finally:
-            stream.close()
-        final, _ = self._path(f"publications/{name}.json")
-        # some file systems rename over an existing file
-        if files.exists(final) or not files.rename(aside, final):
-            files.delete(aside, False)
-            raise RuntimeError(f"version {publication.version} of {self.root} is already published")
-        old, _ = self._path(f"publications/{publication.version - KEPT_PUBLICATIONS:020d}.json")
-        files.delete(old, False)
-
     def current(self) -> Snapshot:
-        return Snapshot(self.spark, self.root, self._load(self._published()[-1]))
-
-    def drop_superseded(self, keep: int = 2) -> None:
-        """Delete what only publications older than the last ``keep`` refer to. Readers of the kept
-        ones are not disturbed."""
-        with self.writer:
-            published = self._published()
-            kept = [self._load(name) for name in published[-keep:]]
-            live = {
-                (name, f"version={version}", f"bucket={bucket}")
-                for publication in kept
-                for name, buckets in publication.buckets.items()
-                for bucket, version in buckets.items()
-            }
-            doomed = [path for path in self._find("publications/*.json") if path.getName() in published[:-keep]]
-            for path in self._find("tables/*/version=*/bucket=*"):
-                version = path.getParent()
-                if (version.getParent().getName(), version.getName(), path.getName()) not in live:
-                    doomed.append(path)
-            for path in doomed:
-                path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        # the slot that is not current may be replaced meanwhile
+        state = self.spark.read.schema(STATE).option("ignoreMissingFiles", "true").parquet(f"{self.root}/state")
+        newest = state.drop("slot").orderBy(F.desc("version")).limit(1).collect()[0].asDict(recursive=True)
+        return Snapshot(self.spark, self.root, **newest)
 
     def read(self, name: str) -> DataFrame:
         return self.current().read(name)
 
     def publish(
-        self, now: Snapshot, job: str, batch_id: int, tables: dict[str, DataFrame], *, whole: bool = False
+        self, now: Snapshot, job: str, batch_id: int, tables: dict[str, DataFrame], *, whole: bool = False, counts: dict[str, int] | None = None
     ) -> None:
-        """Make ``tables`` current together. They hold every row of the buckets they replace, or with
-        ``whole`` every row of the table; other tables and buckets stay as they are in ``now``."""
-        last = now.publication
-        following = Publication(
-            last.version + 1, last.bucket_count, dict(last.buckets), dict(last.marks), {**last.batches, job: batch_id}
-        )
+        """Make ``tables`` current together. They hold every row of the buckets opened in ``now``, or with ``whole`` every row of
+        the table; other tables and buckets stay as they are."""
+        if self.current().version != now.version:
+            raise RuntimeError(f"version {now.version + 1} of {self.root} is already published")
+        following = Snapshot(
+            self.spark, self.root, now.version + 1, now.buckets, dict(now.slots), dict(now.greatest),
+            {**now.batches, job: batch_id}, {**now.counts, job: counts or {}}, now.opened,
+        )
         self._write(following, tables, whole)
 
-    def _write(self, publication: Publication, tables: dict[str, DataFrame], whole: bool) -> None:
-        layout = Snapshot(self.spark, self.root, publication)
-        attempt = f"{publication.version}-{uuid.uuid4().hex[:8]}"
+    def _write(self, following: Snapshot, tables: dict[str, DataFrame], whole: bool) -> None:
         for name, rows in tables.items():
-            path = f"{self.root}/tables/{name}/version={attempt}"
+            size = following.buckets if name in KEYS else 1
+            live = following.slots.get(name, [EMPTY] * size)
+            # another slot than the live one; an empty bucket may have leftovers in either
+            other = [0 if slot == EMPTY else 1 - slot for slot in live]
+            placed = rows.withColumn("bucket", following.bucket(name))
+            placed = placed.withColumn("slot", F.element_at(F.array(*map(F.lit, other)), F.col("bucket") + 1))
+            seen = Observation()
+            mark = F.max(MARKS[name] if name in MARKS else F.lit(None).cast("bigint"))
             # rebalancing gathers a bucket's rows in few files and splits a bucket that is too big
-            bucketed = rows.withColumn("bucket", layout.bucket(name)).hint("rebalance", "bucket")
-            bucketed.write.partitionBy("bucket").parquet(path)
-            self._note_written(publication, name, path, attempt, whole)
-        self._save(publication)
-
-    def _note_written(self, publication: Publication, name: str, path: str, attempt: str, whole: bool) -> None:
-        mark = F.max(MARKS[name]) if name in MARKS else F.lit(None)
-        schema = T.StructType([*SCHEMAS[name], T.StructField("bucket", T.IntegerType())])
-        written = self.spark.read.schema(schema).parquet(path).groupBy("bucket").agg(mark.alias("mark")).collect()
-        earlier = {} if whole else publication.buckets.get(name, {})
-        publication.buckets[name] = {**earlier, **{str(row["bucket"]): attempt for row in written}}
-        marks = [row["mark"] for row in written if row["mark"] is not None]
-        if name in publication.marks and not whole:
-            marks.append(publication.marks[name])
-        if marks:
-            publication.marks[name] = max(marks)
-        else:
-            publication.marks.pop(name, None)
-
-    def write_notes(self, name: str, job: str, batch_id: int, rows: DataFrame) -> None:
-        """Side output of one batch (quarantine, rejects), replaced if the batch is run again."""
-        rows.write.mode("overwrite").parquet(f"{self.root}/notes/{name}/job={job}/batch={batch_id}")
+            placed = placed.hint("rebalance", "bucket").observe(seen, F.collect_set("bucket").alias("written"), mark.alias("mark"))
+            self._overwrite(placed, f"tables/{name}", "bucket", "slot")
+            written = set(seen.get["written"])
+            replaced = range(size) if whole or name not in KEYS else following.opened[name]
+            after = list(live)
+            for b in replaced:
+                after[b] = other[b] if b in written else EMPTY
+            following.slots[name] = after
+            marks = [m for m in (seen.get["mark"], None if whole else following.greatest.get(name)) if m is not None]
+            following.greatest.pop(name, None)
+            if marks:
+                following.greatest[name] = max(marks)
+        row = (following.version, following.buckets, following.slots, following.greatest, following.batches, following.counts)
+        state = self.spark.createDataFrame([row], STATE).withColumn("slot", F.lit(following.version % 2))
+        self._overwrite(state.coalesce(1), "state", "slot")
+
+    def _overwrite(self, rows: DataFrame, folder: str, *partitions: str) -> None:
+        """Replace the partitions that ``rows`` have, and no others."""
+        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions)
+        writer.parquet(f"{self.root}/{folder}")
+
+    def write_notes(self, name: str, job: str, batch_id: int, rows: DataFrame) -> int:
+        """Side output of one batch (quarantine, rejects), replaced if the batch is run again and visible once the batch is
+        published. Returns the number of rows, counted as they are written."""
+        seen = Observation()
+        counted = rows.observe(seen, F.count(F.lit(1)).alias("rows"))
+        counted.write.mode("overwrite").parquet(f"{self.root}/notes/{name}/job={job}/batch={batch_id}")
+        return seen.get["rows"]
 
     def read_notes(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/notes/{name}")
+        """Notes of the published batches."""
+        notes = self.spark.read.parquet(f"{self.root}/notes/{name}")
+        batches = self.current().batches
+        last = F.coalesce(*[F.when(F.col("job") == job, F.lit(batch)) for job, batch in batches.items()], F.lit(-1))
+        return notes.filter(F.col("batch") <= last)
