@@ -55,7 +55,7 @@ def link(
     return known, stage(fresh, "fresh")
 
 
-def _inserts(latest: DataFrame, fresh: DataFrame, target: DataFrame, key: str, id_column: str = "id") -> DataFrame:
+def inserts(latest: DataFrame, fresh: DataFrame, target: DataFrame, key: str, id_column: str = "id") -> DataFrame:
     """New rows in the target's shape; columns the event does not have stay unset."""
     rows = latest.join(fresh.withColumnRenamed("fresh_id", id_column), key)
     return rows.select(
@@ -73,7 +73,7 @@ def upsert(
     latest = stage(latest_per_key(events, key), "latest")
     _, fresh = link(target, latest, key, start)
     # a key of the target is never new, so all of ``latest`` may be offered
-    return overwrite(target, latest, key, columns).unionByName(_inserts(latest, fresh, target, key))
+    return overwrite(target, latest, key, columns).unionByName(inserts(latest, fresh, target, key))
 
 
 def upsert_staff(customer_info: DataFrame, events: DataFrame, start: Column | None = None) -> DataFrame:
@@ -91,11 +91,11 @@ def linked_upsert(
     key = "customer_id"
     latest = stage(latest_per_key(events, key), "latest")
     known, fresh = link(base, latest, key, start)
-    base_after = overwrite(base, latest, key, list(BASE_COLUMNS)).unionByName(_inserts(latest, fresh, base, key))
+    base_after = overwrite(base, latest, key, list(BASE_COLUMNS)).unionByName(inserts(latest, fresh, base, key))
 
     children = latest.join(known.withColumnRenamed("known_id", "base_id"), key)
     oa_after = overwrite(oa, children, "base_id", list(OA_COLUMNS))
-    return base_after, oa_after.unionByName(_inserts(latest, fresh, oa, key, "base_id"))
+    return base_after, oa_after.unionByName(inserts(latest, fresh, oa, key, "base_id"))
 
 
 def partial_update(base: DataFrame, oa: DataFrame, events: DataFrame) -> tuple[DataFrame, DataFrame]:

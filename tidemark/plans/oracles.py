@@ -438,3 +438,7 @@ SELECT t.customer_id""",
             SELECT reason FROM ({_REJECTS}) UNION ALL SELECT reason FROM ({_QUARANTINE})) GROUP BY reason""",
     ),
 }
+
+# a stream leaves the same table as one batch
+ORACLES["stream_upsert_staff"] = ORACLES["upsert_staff"]
+ORACLES["stream_partial_update"] = ORACLES["partial_update"]

@@ -18,6 +18,7 @@ from tidemark.sources import ledger
 from tidemark.sources.records import scan_log
 from tidemark.sources.tables import empty_table
 from tidemark.streaming.jobs import Job, order_job, run_job
+from tidemark.streaming.keyed_state import KeyedJob, run_keyed, skin_state, staff_state
 from tidemark.streaming.store import TableStore
 
 GROUP = "profile"
@@ -375,6 +376,30 @@ def stream_gated_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replay_in_slices(spark, slices, tables, order_job("orders", "profile")).read("order_status")
 
 
+def _keyed_stream(spark: SparkSession, sf_dir: str, name: str, job: KeyedJob, tables: dict[str, DataFrame]) -> DataFrame:
+    """A log as two slices with a restart between them, applied through keyed state; the job's table afterwards."""
+    log = stage(_LOGS[name][0](spark, sf_dir), "log")
+    middle = log.agg((F.min("offset") + F.max("offset")) / 2).scalar()
+    root, path, checkpoint = (new_path(spark, part) for part in ("store", "log", "checkpoint"))
+    store = TableStore.create(spark, root, tables)
+    for rows in (log.filter(F.col("offset") <= middle), log.filter(F.col("offset") > middle)):
+        rows.write.mode("append").parquet(path)
+        run_keyed(scan_log(spark, path, stream=True), root, job, checkpoint, available_now=True).awaitTermination()
+    return store.read(job.table)
+
+
+def stream_upsert_staff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The staff log through keyed state; same table as one batch."""
+    tables = {"customer_info": logs.prior_staff(spark, sf_dir)}
+    return _keyed_stream(spark, sf_dir, "staff", staff_state("staff", GROUP), tables)
+
+
+def stream_partial_update(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The skin log through keyed state; same table as one batch."""
+    tables = {"base": logs.prior_base(spark, sf_dir), "oa": logs.prior_oa(spark, sf_dir)}
+    return _plain(_keyed_stream(spark, sf_dir, "skin", skin_state("skin", GROUP), tables))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_records": scan_records,
     "resume_plan": resume_plan,
@@ -420,4 +445,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "orders_into_empty": orders_into_empty,
     "orders_by_status": orders_by_status,
     "stream_gated_upsert": stream_gated_upsert,
+    "stream_upsert_staff": stream_upsert_staff,
+    "stream_partial_update": stream_partial_update,
 }
