@@ -12,6 +12,7 @@ its most central one, whose links join most of a cloud; then only members of dif
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 from math import log
 
 import numpy as np
@@ -29,47 +30,51 @@ LIST, PAIRS = 4096, 2_000_000
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
-class _WordHash(dict):
-    """XXH64 of words, remembered as long as they are not too many."""
-
-    def __missing__(self, word: bytes) -> int:
-        from xxhash import xxh64_intdigest
-
-        if len(self) > 300_000:
-            self.clear()
-        self[word] = found = xxh64_intdigest(word)
-        return found
-
-
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
 
 
-def shingle_set(text: bytes, length: int, known: _WordHash) -> np.ndarray:
-    """The distinct 64-bit hashes, ascending, of all runs of ``length`` words, of all words if they are fewer, none without words. Words are
-    the runs of anything but ASCII white space, A-Z in lower case."""
-    words = text.lower().split()
-    if not words:
-        return np.zeros(0, dtype=np.uint64)
-    each = np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=len(words))
-    size = min(length, len(words))
+def _runs(words: np.ndarray, size: int) -> np.ndarray:
+    """The hashes of all runs of ``size`` words, from theirs."""
     n = len(words) - size + 1
-    out = np.full(n, size, dtype=np.uint64)
-    for i in range(size):
-        out = _mixed(out * _GOLD + each[i : i + n])
-    return np.unique(out)
+    out = words[:n].copy()
+    for i in range(1, size):
+        out *= _GOLD
+        out += words[i : i + n]
+    return _mixed(out * _GOLD + np.uint64(size))
+
+
+def shingle_sets(texts: list[bytes], length: int) -> list[np.ndarray]:
+    """Per text the distinct 64-bit hashes, ascending, of all runs of ``length`` words, of all words if they are fewer, none without words. Words
+    are the runs of anything but ASCII white space, A-Z in lower case."""
+    from xxhash import xxh64_intdigest
+
+    words = [t.lower().split() for t in texts]
+    sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+    each = np.fromiter(map(xxh64_intdigest, chain.from_iterable(words)), dtype=np.uint64, count=int(sizes.sum()))
+    runs = _runs(each, length) if len(each) >= length else each[:0]
+    out = []
+    for start, size in zip((np.cumsum(sizes) - sizes).tolist(), sizes.tolist(), strict=True):
+        if size >= length:
+            some = np.sort(runs[start : start + size - length + 1])
+            new = np.empty(len(some), dtype=bool)
+            new[0] = True
+            np.not_equal(some[1:], some[:-1], out=new[1:])
+            out.append(some[new])
+        else:
+            out.append(_runs(each[start : start + size], size) if size else each[:0])
+    return out
 
 
 def _sets(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray], list[bytes | None]]]:
     """Bounded batches with the sets of their texts and the sets' 128-bit digests."""
     from xxhash import xxh3_128_digest
 
-    known = _WordHash()
     for batch in text_slices(batches, "text"):
-        sets = [shingle_set(t, length, known) for t in batch.column("text").to_pylist()]
-        yield batch, sets, [xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
+        sets = shingle_sets(batch.column("text").to_pylist(), length)
+        yield batch, sets, [xxh3_128_digest(s) if len(s) else None for s in sets]
 
 
 def least_overlap(n, m, percent: int):
@@ -147,13 +152,16 @@ def _sketched(docs: DataFrame, length: int, percent: int) -> DataFrame:
         for batch, sets, digests in _sets(batches, length):
             common, prefixes, keys, signatures = [], [], [], []
             for s in sets:
+                many = np.zeros(len(s), dtype=bool)
                 if len(frequent):
                     at = np.minimum(np.searchsorted(frequent, s), len(frequent) - 1)
-                    weight = np.where(frequent[at] == s, times[at], 0)
-                else:
-                    weight = np.zeros(len(s), dtype=np.int64)
-                first = s[np.argsort(weight, kind="stable")[: prefix_length(len(s), percent)]] if len(s) else s
-                common.append(int((weight > 0).sum()))
+                    many = frequent[at] == s
+                # the others by their hash, then the frequent ones by number and hash
+                first, wanted = s[~many], prefix_length(len(s), percent) if len(s) else 0
+                if len(first) < wanted:
+                    first = np.concatenate([first, s[many][np.argsort(times[at[many]], kind="stable")]])
+                first = first[:wanted]
+                common.append(int(many.sum()))
                 prefixes.append(first.view(np.int64))
                 keys.append(xxh3_128_digest(first.tobytes() + len(s).to_bytes(8)) if len(s) else None)
                 signatures.append(signature(s) if len(s) else None)
@@ -182,22 +190,30 @@ def _size_class(n: Column, percent: int) -> Column:
 
 def _postings(sets: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     """Each group (``g``) under its prefix's shingles and its size class, and as a guest under the next class, with ``pos``, as far as
-    another one is there, too."""
-    heads = sets.select("row", "n", "common", "prefix").join(groups.select(F.col("g").alias("row")), "row", "left_semi")
-    posted = written(heads.select(F.col("row").alias("g"), "n", "common", F.posexplode("prefix").alias("pos", "token")), "postings")
-    several = posted.groupBy("token").agg(F.count("*").alias("k")).where("k > 1").select("token")
-    met = posted.join(several, "token").withColumn("own", _size_class(F.col("n"), percent))
-    classes = met.select("*", F.explode(F.array(F.col("own"), F.col("own") + 1)).alias("cls"))
-    return written(classes.select("token", "cls", (F.col("own") == F.col("cls")).alias("own"), "g", "n", "pos", "common"), "lists")
-
-
-def _central_pairs(lists: DataFrame, percent: int) -> DataFrame:
-    """Each list's members with its most central one, the one with the most frequent shingles."""
+    another one is there, too, that may have a like size."""
+    heads = sets.select("row", "n", "prefix").join(groups.select(F.col("g").alias("row")), "row", "left_semi")
+    slim = heads.select(F.col("row").alias("g"), _size_class(F.col("n"), percent).alias("own"), F.posexplode("prefix").alias("pos", "token"))
+    posted = written(slim, "postings")
+    several = posted.groupBy("token").agg(F.count("*").alias("k"), F.min("own").alias("least"), F.max("own").alias("most"))
+    several = several.where("k > 2 OR k = 2 AND most - least <= 1").select("token", (F.col("most") > F.col("least")).alias("mixed"))
+    # a guest only where another class than its own is there
+    met = posted.join(several, "token").select("*", F.explode(F.when(F.col("mixed"), F.array("own", F.col("own") + 1)).otherwise(F.array("own"))).alias("cls"))
+    lists = met.select("token", "cls", (F.col("own") == F.col("cls")).alias("own"), "g", "pos")
+    return written(lists.join(sets.select(F.col("row").alias("g"), "n", "common"), "g").join(groups.select("g", "alone"), "g"), "lists")
+
+
+def _central_pairs(lists: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Each list's members with its most central one, the one with the most frequent shingles; and the lists (``token``, ``cls``, ``k``) that have
+    more pairs than those."""
     here = F.struct(F.col("common"), -F.col("g"))
-    central = lists.groupBy("token", "cls").agg(F.max_by(F.struct("g", "n", "pos"), here).alias("centre"), F.count("*").alias("k")).where("k > 1")
-    joined = lists.join(central, ["token", "cls"]).where(F.col("g") != F.col("centre.g"))
+    central = lists.groupBy("token", "cls").agg(
+        F.max_by(F.struct("g", "n", "pos"), here).alias("centre"), F.count("*").alias("k"), F.min("alone").alias("alone"), F.max("own").alias("own")
+    )
+    central = written(central.where("k > 1 AND own"), "central")
+    joined = lists.join(central.select("token", "cls", "centre"), ["token", "cls"]).where(F.col("g") != F.col("centre.g"))
     fine = joined.where(_may_link(F.col("n"), F.col("pos"), F.col("centre.n"), F.col("centre.pos"), percent))
-    return fine.select(F.least("g", "centre.g").alias("a"), F.greatest("g", "centre.g").alias("b")).distinct()
+    pairs = fine.select(F.least("g", "centre.g").alias("a"), F.greatest("g", "centre.g").alias("b")).distinct()
+    return pairs, central.where("k > 2 OR NOT alone").select("token", "cls", "k")
 
 
 _KEY = ["kind", "token", "cls", "one", "two"]
@@ -255,15 +271,15 @@ def _pairs_in(table: pa.Table, edges: np.ndarray, percent: int) -> pa.RecordBatc
     return pa.RecordBatch.from_arrays([pa.array(kinds, pa.int32()), pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["kind", "a", "b"])
 
 
-def _remaining_pairs(lists: DataFrame, reps: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
-    """Pairs of sets of different components that may still link: pairs of groups, from the lists, expanded to their members, and
+def _remaining_pairs(lists: DataFrame, open_lists: DataFrame, reps: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
+    """Pairs of sets of different components that may still link: pairs of groups, from the open lists, expanded to their members, and
     members of one group. ``reps`` has ``r``, ``g``, ``n`` and ``root``."""
     groups = reps.groupBy("g").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("members"))
-    posted = lists.join(groups, "g")
-    open_lists = posted.groupBy("token", "cls").agg(F.min("low").alias("l"), F.max("high").alias("h"), F.count("*").alias("k")).where("l <> h").select("token", "cls", "k")
+    posted = written(lists.join(open_lists, ["token", "cls"]).join(groups, "g"), "open")
+    several = posted.groupBy("token", "cls").agg(F.min("low").alias("l"), F.max("high").alias("h")).where("l <> h").select("token", "cls")
     alone = signatures.select(F.col("row").alias("member"), "signature")
     columns = ["kind", "token", "cls", "k", "own", "member", "n", "pos", "low", "high"]
-    between = posted.join(open_lists, ["token", "cls"]).select(F.lit(0).alias("kind"), "token", "cls", "k", "own", F.col("g").alias("member"), "n", "pos", "low", "high", "members")
+    between = posted.join(several, ["token", "cls"]).select(F.lit(0).alias("kind"), "token", "cls", "k", "own", F.col("g").alias("member"), "n", "pos", "low", "high", "members")
     between = between.join(alone, "member", "left").select(*columns, F.when(F.col("members") == 1, F.col("signature")).alias("signature"))
     mixed = groups.where("low <> high").select("g", F.col("members").alias("k"))
     inside = reps.join(mixed, "g").select(F.lit(1).alias("kind"), F.col("g").alias("token"), F.lit(0).alias("cls"), "k", F.lit(True).alias("own"), F.col("r").alias("member"), "n", F.lit(0).alias("pos"), F.col("root").alias("low"), F.col("root").alias("high"))
@@ -335,15 +351,16 @@ def near_documents(docs: DataFrame, doc_id: str, text: str, *, shingle: int = 3,
     sets = _sketched(docs, shingle, percent)
     equal = sets.where("n > 0").groupBy("digest").agg(F.min("doc_id").alias("first"), F.min("row").alias("r"), F.max("n").alias("n"), F.min("key").alias("key"))
     equal = written(equal, "equal")
-    groups = written(equal.groupBy("key").agg(F.min("r").alias("g")), "groups")
+    groups = written(equal.groupBy("key").agg(F.min("r").alias("g"), (F.count("*") == 1).alias("alone")), "groups")
     reps = written(equal.join(groups, "key").select("r", "g", "first", "digest", "n"), "reps")
 
     lists = _postings(sets, groups, percent)
-    first = _central_pairs(lists, percent).unionByName(reps.where("r <> g").select(F.col("g").alias("a"), F.col("r").alias("b")))
+    central, open_lists = _central_pairs(lists, percent)
+    first = central.unionByName(reps.where("r <> g").select(F.col("g").alias("a"), F.col("r").alias("b")))
     known = _links(first, sets, reps, docs, shingle, percent)
     roots = components(known)
     rooted = written(reps.join(roots, reps["r"] == roots["node"], "left").select("r", "g", "n", F.coalesce("root", "r").alias("root")), "rooted")
-    rest = _links(_remaining_pairs(lists, rooted, sets.select("row", "signature"), percent), sets, reps, docs, shingle, percent)
+    rest = _links(_remaining_pairs(lists, open_lists, rooted, sets.select("row", "signature"), percent), sets, reps, docs, shingle, percent)
 
     top = components(known.unionByName(rest))
     placed = written(reps.join(top, reps["r"] == top["node"], "left").select("digest", "first", F.coalesce("root", "r").alias("top")), "placed")
