@@ -1,4 +1,5 @@
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -17,6 +18,7 @@ def spark():
         .config("spark.sql.dataFrameQueryContext.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="tidemark-warehouse-"))
         .config("spark.ui.showConsoleProgress", "false")
         # a zone that is neither UTC nor the logs' zone: results may not depend on it
         .config("spark.sql.session.timeZone", "America/New_York")

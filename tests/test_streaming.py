@@ -7,12 +7,13 @@ from helpers import log_of, rows_of, table_of
 from pyspark.sql import functions as F
 
 from tidemark import scratch
-from tidemark.operators import gate, merge
+from tidemark.operators import gate, keyed, merge
 from tidemark.operators import project as p
 from tidemark.plans import queries
+from tidemark.sources import bucketed
 from tidemark.sources import ledger as led
 from tidemark.sources.jdbc import scan_options
-from tidemark.sources.records import RECORDS_PER_SECOND, scan_log, starting_offsets, topic_options
+from tidemark.sources.records import RECORDS_PER_SECOND, scan_log, scan_ranges, starting_offsets, topic_options, write_ranges
 from tidemark.sources.tables import empty_table
 from tidemark.streaming import jobs
 from tidemark.streaming.run import run_until, start
@@ -208,6 +209,72 @@ def test_resume_from_the_ledger(spark):
     assert rows_of(led.advance_ledger(stored, log.filter("false"), "g")) == rows_of(stored)
 
 
+def _spoil(spark, path):
+    """Put a file that is no parquet beside the others: whoever opens the folder fails."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/part-spoilt.parquet")
+    stream = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, False)
+    stream.write(b"not parquet, and long enough to be read as a footer")
+    stream.close()
+
+
+def test_resumed_scan_opens_pending_ranges_only(spark):
+    path = scratch.new_path(spark, "ranges")
+    log = log_of(spark, [(part, off, {"a": off}) for part in range(3) for off in range(64)])
+    write_ranges(log.filter("offset < 40"), path, bits=3)
+    write_ranges(log.filter("offset >= 40"), path, bits=3)
+    stored = {"t": {0: 64, 1: 21}, "other": {2: 7}}
+    for done in ("partition=0/range=7", "partition=1/range=0", "partition=1/range=1"):
+        _spoil(spark, f"{path}/topic=t/{done}")
+    rows = scan_ranges(spark, path, stored, bits=3)
+    want = [(1, off) for off in range(21, 64)] + [(2, off) for off in range(64)]
+    assert rows_of(rows, "partition", "offset") == sorted(want, key=repr)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "range" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    with pytest.raises(Exception, match="spoilt"):
+        scan_ranges(spark, path, {"t": {0: 60, 1: 21}}, bits=3).count()
+
+
+def test_customer_batch_opens_the_buckets_it_hits_only(spark):
+    base = table_of(spark, "base", [{"id": i, "customer_id": i} for i in range(1, 60)])
+    oa = table_of(spark, "oa", [{"base_id": i, "customer_id": 77 if i == 5 else i, "customer_grade": 0} for i in range(1, 60)])
+    root = scratch.new_path(spark, "store")
+    store = TableStore.create(spark, root, {"base": base, "oa": oa}, buckets=64)
+    assert rows_of(store.read("strays")) == [(5, 77)]
+    now = store.current()
+    wanted = {r[0] for r in spark.createDataFrame([(5,), (77,)], "customer_id bigint").select(now.bucket("oa")).collect()}
+    for bucket, slot in enumerate(now.slots["oa"]):
+        if slot != EMPTY and bucket not in wanted:
+            _spoil(spark, f"{root}/tables/oa/bucket={bucket}/slot={slot}")
+    job = jobs.customer_job("customers", "a")
+    jobs.apply_batch(root, job, job.project(log_of(spark, [(0, 0, {"customer_id": 5, "customer_grade": 9})])), 0)
+    after = store.current()
+    assert sorted(after.opened) == [] and sum(a != b for a, b in zip(now.slots["oa"], after.slots["oa"], strict=True)) == len(wanted)
+    child = after.near("oa", spark.createDataFrame([(77,)], "customer_id bigint")).filter("base_id = 5")
+    assert rows_of(child, "customer_id", "customer_grade") == [(77, 9)]
+
+
+def test_bucketed_target_is_not_shuffled(spark):
+    """Both sides too large to broadcast: the only exchanges are the batch's."""
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    prior = table_of(spark, "customer_info", [{"id": i + 1, "customer_id": i, "trace_staff_id": 0} for i in range(300)])
+    try:
+        bucketed.save(prior, "customer_info", "tidemark_staff", 4)
+        target = bucketed.target(spark, "tidemark_staff")
+        log = log_of(spark, [(0, i, {"customer_id_se": c, "trace_staff_id": 1, "recom_staff_id": 2, "serve_staff_id": 3}) for i, c in enumerate(range(200, 400))])
+        events = p.split(p.project_staff(log), p.STAFF_VALUES)[0]
+        latest = scratch.stage(keyed.latest_per_key(events, "customer_id"), "latest")
+        for joined in (merge.overwrite(target, latest, "customer_id", ["trace_staff_id"]), merge.lookup(target, latest, "customer_id"), keyed.matching(target, latest, "customer_id")):
+            plan = joined._jdf.queryExecution().sparkPlan().toString()
+            assert "SortMergeJoin" in plan
+            found = joined._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+            assert found.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in found
+        assert rows_of(merge.upsert_staff(target, events)) == rows_of(merge.upsert_staff(prior, events))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        spark.sql("DROP TABLE IF EXISTS tidemark_staff")
+
+
 def test_intake_cap_grows_with_partitions():
     options = topic_options("host:1", "t", 4)
     assert options["maxOffsetsPerTrigger"] == str(RECORDS_PER_SECOND * 5 * 4)

@@ -15,7 +15,7 @@ from tidemark.operators.envelope import first_images, valid_objects
 from tidemark.plans import logs
 from tidemark.scratch import new_path, stage, write_once
 from tidemark.sources import ledger
-from tidemark.sources.records import scan_log
+from tidemark.sources.records import scan_log, scan_ranges, write_ranges
 from tidemark.sources.tables import empty_table
 from tidemark.streaming.jobs import Job, order_job, run_job
 from tidemark.streaming.keyed_state import KeyedJob, run_keyed, skin_state, staff_state
@@ -76,8 +76,10 @@ def resume_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def resume_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stored = stage(_order_ledger(spark, sf_dir), "ledger")
-    return ledger.resume(logs.order_log(spark, sf_dir), stored, GROUP).select("key", *PLACE)
+    """The log laid out by ranges of 2^12 offsets, scanned from the ledger's offsets on."""
+    path = new_path(spark, "ranges")
+    write_ranges(logs.order_log(spark, sf_dir), path, bits=12)
+    return scan_ranges(spark, path, ledger.stored_offsets(_order_ledger(spark, sf_dir), GROUP), bits=12).select("key", *PLACE)
 
 
 def offset_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:

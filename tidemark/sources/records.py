@@ -74,3 +74,30 @@ def starting_offsets(stored: dict[str, dict[int, int]], partitions: dict[str, in
         topic: {str(p): stored.get(topic, {}).get(p, -2) for p in range(count)} for topic, count in partitions.items()
     }
     return json.dumps(plan, sort_keys=True)
+
+
+# Offsets of one folder of a laid-out log: 2**RANGE_BITS.
+RANGE_BITS = 20
+
+
+def write_ranges(records: DataFrame, path: str, bits: int = RANGE_BITS) -> None:
+    """Append ``records`` to a log laid out by topic, partition and range of offsets, so that a resumed scan opens what is pending only."""
+    placed = records.withColumn("range", F.shiftright("offset", bits))
+    # rebalancing gathers a range's rows in few files and splits a range that is too big
+    placed.hint("rebalance", "topic", "partition", "range").write.mode("append").partitionBy("topic", "partition", "range").parquet(path)
+
+
+def scan_ranges(spark: SparkSession, path: str, stored: dict[str, dict[int, int]] | None = None, bits: int = RANGE_BITS) -> DataFrame:
+    """Records of a laid-out log, from the ``stored`` offsets on (of ``ledger.stored_offsets``); partitions that are not stored are read whole.
+
+    The starts are a filter on the folders' columns, one literal per topic partition, so finished ranges are neither listed in the scan nor
+    opened; the offset filter is then pushed into the first pending range.
+    """
+    schema = T.StructType([*RECORD_SCHEMA, T.StructField("range", T.LongType())])
+    log = spark.read.schema(schema).parquet(path)
+    starts = [(f"{topic}/{partition}", start) for topic, found in (stored or {}).items() for partition, start in found.items()]
+    if starts:
+        known = F.create_map(*[F.lit(value) for pair in starts for value in pair])
+        start = F.coalesce(F.try_element_at(known, F.concat("topic", F.lit("/"), F.col("partition"))), F.lit(0)).cast("bigint")
+        log = log.filter(F.col("range") >= F.shiftright(start, bits)).filter(F.col("offset") >= start)
+    return log.select(*RECORD_COLUMNS)

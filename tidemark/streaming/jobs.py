@@ -13,10 +13,10 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from tidemark.operators import gate, merge
 from tidemark.operators import project as p
-from tidemark.scratch import stage_scope
+from tidemark.scratch import stage, stage_scope
 from tidemark.sources.ledger import advance_ledger, resume
 from tidemark.streaming.run import start
-from tidemark.streaming.store import LEDGER, Snapshot, TableStore
+from tidemark.streaming.store import LEDGER, STRAYS, Snapshot, TableStore
 
 @dataclass(frozen=True)
 class Outcome:
@@ -43,9 +43,9 @@ class Job:
 def customer_job(name: str, group: str) -> Job:
     def rule(now: Snapshot, events: DataFrame) -> Outcome:
         base = now.open("base", events)
-        # children are updated by their parent's id, whatever customer they carry: a narrow scan finds their buckets
-        hit = merge.lookup(base, events, "customer_id").select(F.col("known_id").alias("base_id"))
-        children = now.read("oa").select("base_id", "customer_id").join(hit, "base_id", "left_semi")
+        # children are updated by their parent's id, whatever customer they carry
+        hit = stage(merge.lookup(base, events, "customer_id").select(F.col("known_id").alias("base_id")), "hit")
+        children = now.near(STRAYS, hit).join(hit, "base_id", "left_semi")
         oa = now.open("oa", events.select("customer_id").unionByName(children.select("customer_id")))
         base_after, oa_after = merge.linked_upsert(base, oa, events, now.mark("base"))
         return Outcome({"base": base_after, "oa": oa_after})

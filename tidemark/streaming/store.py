@@ -25,11 +25,15 @@ from tidemark.sources.tables import TABLES, table_schema
 
 LEDGER = "offset_manager"
 
-SCHEMAS: dict[str, T.StructType] = {LEDGER: LEDGER_SCHEMA, **{name: table_schema(name) for name in TABLES}}
+# Children that carry another customer than their parent and so lie in another bucket, found by the parent's id.
+STRAYS = "strays"
+STRAYS_SCHEMA = T.StructType([T.StructField("base_id", T.LongType()), T.StructField("customer_id", T.LongType())])
+
+SCHEMAS: dict[str, T.StructType] = {LEDGER: LEDGER_SCHEMA, STRAYS: STRAYS_SCHEMA, **{name: table_schema(name) for name in TABLES}}
 
 # Bucket key of every table; the ledger has one row per topic partition and stays whole. A child row
 # carries its parent's customer, so parent and child of an event lie in the same bucket.
-KEYS = {"base": "customer_id", "oa": "customer_id", "customer_info": "customer_id", "order_status": "order_id"}
+KEYS = {"base": "customer_id", "oa": "customer_id", "customer_info": "customer_id", "order_status": "order_id", STRAYS: "base_id"}
 
 # Columns whose maximum the write rules need. They only ever grow in a bucket-wise update.
 MARKS = {"base": "id", "customer_info": "id", "order_status": "order_id"}
@@ -68,10 +72,16 @@ class Snapshot:
     def open(self, name: str, near: DataFrame) -> DataFrame:
         """The buckets that hold the keys of ``near``, whole, to be replaced by the batch. At most ``buckets`` small numbers come to the
         driver for that."""
-        hit = near.select(self.bucket(name).alias("bucket")).distinct().collect()
-        self.opened[name] = sorted(row["bucket"] for row in hit)
+        self.opened[name] = self._hit(name, near)
         return self._scan(name, self.opened[name])
 
+    def near(self, name: str, near: DataFrame) -> DataFrame:
+        """The buckets that hold the keys of ``near``, whole, only to be read."""
+        return self._scan(name, self._hit(name, near))
+
+    def _hit(self, name: str, near: DataFrame) -> list[int]:
+        return sorted(row["bucket"] for row in near.select(self.bucket(name).alias("bucket")).distinct().collect())
+
     def _scan(self, name: str, buckets: Iterable[int]) -> DataFrame:
         live = self.slots.get(name, [])
         paths = [f"{self.root}/tables/{name}/bucket={b}/slot={live[b]}" for b in buckets if b < len(live) and live[b] != EMPTY]
@@ -84,6 +94,14 @@ class Snapshot:
         return F.lit(self.greatest.get(name, 0)).cast("bigint")
 
 
+def strays(base: DataFrame, oa: DataFrame) -> DataFrame:
+    """(base_id, customer_id) of the children that do not carry their parent's customer, or have no parent. The write rules add none: they insert a
+    child with its parent's customer, and change neither's."""
+    parents = base.select(F.col("id").alias("base_id"), F.col("customer_id").alias("parent"))
+    children = oa.select("base_id", "customer_id").join(parents, "base_id", "left")
+    return children.filter(F.col("parent").isNull() | ~F.col("customer_id").eqNullSafe(F.col("parent"))).select("base_id", "customer_id").distinct()
+
+
 class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -95,6 +113,8 @@ class TableStore:
         """A store that starts with ``tables``. Choose ``buckets`` so that one bucket of the largest
         table is a good file size, and well above the number of keys in a usual batch."""
         store = cls(spark, root)
+        if {"base", "oa"} <= tables.keys():
+            tables = {**tables, STRAYS: strays(tables["base"], tables["oa"])}
         store._write(Snapshot(spark, root, 0, buckets, {}, {}, {}, {}), tables, whole=True)
         return store
 
