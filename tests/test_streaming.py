@@ -15,7 +15,7 @@ from tidemark.sources import ledger as led
 from tidemark.sources.jdbc import scan_options
 from tidemark.sources.records import RECORDS_PER_SECOND, scan_log, scan_ranges, starting_offsets, topic_options, write_ranges
 from tidemark.sources.tables import empty_table
-from tidemark.streaming import jobs
+from tidemark.streaming import ends, jobs
 from tidemark.streaming.run import run_until, start
 from tidemark.streaming.store import EMPTY, LEDGER, TableStore
 
@@ -275,6 +275,27 @@ def test_bucketed_target_is_not_shuffled(spark):
         spark.sql("DROP TABLE IF EXISTS tidemark_staff")
 
 
+def test_ledger_takes_the_source_ends(spark):
+    """A silent partition and a gap at the end of another one: the batch cannot see either."""
+    root = scratch.new_path(spark, "store")
+    store = TableStore.create(spark, root, {"order_status": empty_table(spark, "order_status")})
+    job = jobs.order_job("orders", "g")
+    jobs.apply_batch(root, job, job.project(log_of(spark, _order_values(8, 12))), 0)
+    before, tables = store.current(), rows_of(store.read("order_status"))
+    listener = ends.SourceEnds(spark, root, "orders", "g", "orders-query")
+    listener.record(['{"logOffset":3}', "17", None])
+    assert store.current() == before
+    listener.record(['{"t":{"0":10,"1":14,"2":9,"3":0}}'])
+    assert rows_of(store.read(LEDGER)) == [("g", "t", 0, 10), ("g", "t", 1, 14), ("g", "t", 2, 12), ("g", "t", 3, 0)]
+    now = store.current()
+    assert now.batches == before.batches and now.counts == before.counts and rows_of(store.read("order_status")) == tables
+    listener.record(['{"t":{"0":10,"1":14,"2":9,"3":0}}'])
+    assert store.current() == now
+    # the batch after it goes on from there
+    jobs.apply_batch(root, job, job.project(log_of(spark, [(3, 0, {"order_id": 99, "customer_id": 1, "submit_time": 1})])), 1)
+    assert led.stored_offsets(store.read(LEDGER), "g")["t"] == {0: 10, 1: 14, 2: 12, 3: 1}
+
+
 def test_intake_cap_grows_with_partitions():
     options = topic_options("host:1", "t", 4)
     assert options["maxOffsetsPerTrigger"] == str(RECORDS_PER_SECOND * 5 * 4)

@@ -76,10 +76,10 @@ def resume_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def resume_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The log laid out by ranges of 2^12 offsets, scanned from the ledger's offsets on."""
+    """The log laid out by ranges of 2^14 offsets, scanned from the ledger's offsets on."""
     path = new_path(spark, "ranges")
-    write_ranges(logs.order_log(spark, sf_dir), path, bits=12)
-    return scan_ranges(spark, path, ledger.stored_offsets(_order_ledger(spark, sf_dir), GROUP), bits=12).select("key", *PLACE)
+    write_ranges(logs.order_log(spark, sf_dir), path, bits=14)
+    return scan_ranges(spark, path, ledger.stored_offsets(_order_ledger(spark, sf_dir), GROUP), bits=14).select("key", *PLACE)
 
 
 def offset_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
