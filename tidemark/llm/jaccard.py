@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tidemark.llm.components import components
 from tidemark.llm.shared import text_slices, written
@@ -188,32 +189,49 @@ def _size_class(n: Column, percent: int) -> Column:
     return F.floor(F.log(n.cast("double")) / F.lit(log(100 / percent) * (1 + 1e-9))).cast("int") if percent < 100 else n.cast("int")
 
 
-def _postings(sets: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
-    """Each group (``g``) under its prefix's shingles and its size class, and as a guest under the next class, with ``pos``, as far as
-    another one is there, too, that may have a like size."""
-    heads = sets.select("row", "n", "prefix").join(groups.select(F.col("g").alias("row")), "row", "left_semi")
-    slim = heads.select(F.col("row").alias("g"), _size_class(F.col("n"), percent).alias("own"), F.posexplode("prefix").alias("pos", "token"))
-    posted = written(slim, "postings")
-    several = posted.groupBy("token").agg(F.count("*").alias("k"), F.min("own").alias("least"), F.max("own").alias("most"))
-    several = several.where("k > 2 OR k = 2 AND most - least <= 1").select("token", (F.col("most") > F.col("least")).alias("mixed"))
-    # a guest only where another class than its own is there
-    met = posted.join(several, "token").select("*", F.explode(F.when(F.col("mixed"), F.array("own", F.col("own") + 1)).otherwise(F.array("own"))).alias("cls"))
-    lists = met.select("token", "cls", (F.col("own") == F.col("cls")).alias("own"), "g", "pos")
-    return written(lists.join(sets.select(F.col("row").alias("g"), "n", "common"), "g").join(groups.select("g", "alone"), "g"), "lists")
-
-
-def _central_pairs(lists: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Each list's members with its most central one, the one with the most frequent shingles; and the lists (``token``, ``cls``, ``k``) that have
-    more pairs than those."""
-    here = F.struct(F.col("common"), -F.col("g"))
-    central = lists.groupBy("token", "cls").agg(
-        F.max_by(F.struct("g", "n", "pos"), here).alias("centre"), F.count("*").alias("k"), F.min("alone").alias("alone"), F.max("own").alias("own")
-    )
-    central = written(central.where("k > 1 AND own"), "central")
-    joined = lists.join(central.select("token", "cls", "centre"), ["token", "cls"]).where(F.col("g") != F.col("centre.g"))
-    fine = joined.where(_may_link(F.col("n"), F.col("pos"), F.col("centre.n"), F.col("centre.pos"), percent))
-    pairs = fine.select(F.least("g", "centre.g").alias("a"), F.greatest("g", "centre.g").alias("b")).distinct()
-    return pairs, central.where("k > 2 OR NOT alone").select("token", "cls", "k")
+def _added(rows: DataFrame, keys: list[str], totals: dict[str, Column], hot: bool) -> DataFrame:
+    """``rows`` with ``totals`` over the rows of equal ``keys``: by a window, or where one key may have any share of the rows by an
+    aggregation and a join, which can be split."""
+    if hot:
+        return rows.join(rows.groupBy(*keys).agg(*[value.alias(name) for name, value in totals.items()]), keys)
+    return rows.withColumns({name: value.over(Window.partitionBy(*keys)) for name, value in totals.items()})
+
+
+def _lists(sets: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
+    """Each group (``g``) under its prefix's shingles (``token``) and its size class (``cls``), and as a guest under the next class, as far as another one
+    is there, too, that may have a like size. A list of ``k`` has its most central group, the one with the largest share of frequent
+    shingles, as ``centre``, and is ``open`` if that one's pairs aren't all pairs of its members.
+
+    Only frequent shingles can have very long lists; a prefix has its others first."""
+    heads = sets.select("row", "n", "common", "prefix").join(groups.select(F.col("g").alias("row"), "alone"), "row")
+    # size, share of frequent shingles and whether the group is one set, in one number
+    share = F.floor(255 * F.col("common") / F.col("n")).cast("long")
+    mark = F.shiftleft("n", 9).bitwiseOR(F.shiftleft(share, 1)).bitwiseOR(F.col("alone").cast("long"))
+    light = F.least(F.col("n") - F.col("common"), F.size("prefix"))
+    slim = heads.select(F.col("row").alias("g"), mark.alias("mark"), light.alias("light"), F.posexplode("prefix").alias("pos", "token"))
+    posted = written(slim.select("token", "g", "mark", "pos", (F.col("pos") >= F.col("light")).alias("hot")), "postings")
+    kept = None
+    for hot in (False, True):
+        rows = posted.where(F.col("hot") == hot).select("token", "g", "mark", "pos").withColumn("class", _size_class(F.shiftright("mark", 9), percent))
+        rows = _added(rows, ["token"], {"k": F.count("*"), "least": F.min("class"), "most": F.max("class")}, hot).where("k > 2 OR k = 2 AND most - least <= 1")
+        # a guest only where another class than its own is there
+        classes = F.when(F.col("most") > F.col("least"), F.array("class", F.col("class") + 1)).otherwise(F.array("class"))
+        rows = rows.select("token", "g", "mark", "pos", "class", F.explode(classes).alias("cls"))
+        rows = rows.select("token", "cls", (F.col("class") == F.col("cls")).alias("own"), "g", "mark", "pos")
+        here = F.struct(F.shiftright("mark", 1).bitwiseAND(255).alias("share"), (-F.col("g")).alias("order"), "g", F.shiftright("mark", 9).alias("n"), "pos")
+        totals = {"k": F.count("*"), "centre": F.max(here), "alone": F.min(F.col("mark").bitwiseAND(1)), "owned": F.max("own")}
+        rows = _added(rows, ["token", "cls"], totals, hot).where("k > 1 AND owned")
+        opened = ((F.col("k") > 2) | (F.col("alone") == 0)).alias("open")
+        rows = rows.select("token", "cls", "own", "g", F.shiftright("mark", 9).alias("n"), "pos", "k", F.struct("centre.g", "centre.n", "centre.pos").alias("centre"), opened)
+        kept = rows if kept is None else kept.unionByName(rows)
+    return written(kept, "lists")
+
+
+def _central_pairs(lists: DataFrame, percent: int) -> DataFrame:
+    """Each list's members with its centre."""
+    others = lists.where(F.col("g") != F.col("centre.g"))
+    fine = others.where(_may_link(F.col("n"), F.col("pos"), F.col("centre.n"), F.col("centre.pos"), percent))
+    return fine.select(F.least("g", "centre.g").alias("a"), F.greatest("g", "centre.g").alias("b")).distinct()
 
 
 _KEY = ["kind", "token", "cls", "one", "two"]
@@ -271,11 +289,11 @@ def _pairs_in(table: pa.Table, edges: np.ndarray, percent: int) -> pa.RecordBatc
     return pa.RecordBatch.from_arrays([pa.array(kinds, pa.int32()), pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["kind", "a", "b"])
 
 
-def _remaining_pairs(lists: DataFrame, open_lists: DataFrame, reps: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
+def _remaining_pairs(lists: DataFrame, reps: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
     """Pairs of sets of different components that may still link: pairs of groups, from the open lists, expanded to their members, and
     members of one group. ``reps`` has ``r``, ``g``, ``n`` and ``root``."""
     groups = reps.groupBy("g").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("members"))
-    posted = written(lists.join(open_lists, ["token", "cls"]).join(groups, "g"), "open")
+    posted = written(lists.where("open").drop("centre", "open").join(groups, "g"), "open")
     several = posted.groupBy("token", "cls").agg(F.min("low").alias("l"), F.max("high").alias("h")).where("l <> h").select("token", "cls")
     alone = signatures.select(F.col("row").alias("member"), "signature")
     columns = ["kind", "token", "cls", "k", "own", "member", "n", "pos", "low", "high"]
@@ -354,13 +372,12 @@ def near_documents(docs: DataFrame, doc_id: str, text: str, *, shingle: int = 3,
     groups = written(equal.groupBy("key").agg(F.min("r").alias("g"), (F.count("*") == 1).alias("alone")), "groups")
     reps = written(equal.join(groups, "key").select("r", "g", "first", "digest", "n"), "reps")
 
-    lists = _postings(sets, groups, percent)
-    central, open_lists = _central_pairs(lists, percent)
-    first = central.unionByName(reps.where("r <> g").select(F.col("g").alias("a"), F.col("r").alias("b")))
+    lists = _lists(sets, groups, percent)
+    first = _central_pairs(lists, percent).unionByName(reps.where("r <> g").select(F.col("g").alias("a"), F.col("r").alias("b")))
     known = _links(first, sets, reps, docs, shingle, percent)
     roots = components(known)
     rooted = written(reps.join(roots, reps["r"] == roots["node"], "left").select("r", "g", "n", F.coalesce("root", "r").alias("root")), "rooted")
-    rest = _links(_remaining_pairs(lists, open_lists, rooted, sets.select("row", "signature"), percent), sets, reps, docs, shingle, percent)
+    rest = _links(_remaining_pairs(lists, rooted, sets.select("row", "signature"), percent), sets, reps, docs, shingle, percent)
 
     top = components(known.unionByName(rest))
     placed = written(reps.join(top, reps["r"] == top["node"], "left").select("digest", "first", F.coalesce("root", "r").alias("top")), "placed")
