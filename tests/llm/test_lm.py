@@ -65,18 +65,106 @@ def test_model_beats_the_base_on_held_out_texts_with_an_order(llm):
     _check([tuple(r) for r in got.itertuples(index=False)], rows)
 
 
-def test_every_round_trains_on_every_document(llm, monkeypatch):
+def test_every_document_is_trained_on_once(llm, monkeypatch):
     # 6 million tokens
     training = llm.range(60).selectExpr("id as doc_id", "repeat('a b ', 50000) as text")
-    seen = []
+    seen, replicas = [], []
 
-    def trained(rows, weights, *_):
+    def trained(rows, state, *rest):
         seen.append(sorted(r["doc_id"] for r in rows.select("doc_id").collect()))
-        return weights
+        replicas.append(rest[-1])
+        return state
 
     monkeypatch.setattr(lm, "_trained", trained)
     lm.learn(training)
-    assert seen == [list(range(60))] * lm.ROUNDS
+    assert len(seen) == lm.ROUNDS and all(seen) and sorted(sum(seen, [])) == list(range(60))
+    assert replicas == [2] * lm.ROUNDS
+
+
+def test_gradients_equal_differences():
+    rng = np.random.default_rng(2)
+    shape = gru.Shape(7, 2, 3, 5)
+    weights = {n: w.astype(np.float64) for n, w in gru.start(shape, rng.integers(1, 50, 9), 3).items()}
+    docs = [rng.integers(0, 9, n).astype(np.int32) for n in (5, 11, 1, 16, 9)]
+    for width in (1, 2):
+        laid = gru.even_lines(docs, width, 1)
+        source, target, _, alive = next(laid.windows(9))
+        h = rng.standard_normal((len(laid.lengths), 5)) * 0.3
+
+        def loss():
+            """The window's negative log probability, by the plain formulas."""
+            total, state = 0.0, h.copy()
+            for symbol, goal, n in zip(source, target, alive, strict=True):
+                state = state[:n] * (symbol[:n] != 9)[:, None]
+                x, a = weights["input"][symbol[:n]], state @ weights["state"]
+                r, z = (1 / (1 + np.exp(-(x[:, i : i + 5] + a[:, i : i + 5]))) for i in (0, 5))
+                new = np.tanh(x[:, 10:] + r * a[:, 10:])
+                state = new + z * (state - new)
+                for s, g in zip(state, goal[:n].tolist(), strict=True):
+                    c = g // 3 if g < 7 else g - 7 + shape.word_classes
+                    e = np.exp(s @ weights["cls"] + weights["cls0"])
+                    total -= np.log(e[c] / e.sum())
+                    if g < 7:
+                        span = shape.span(c)
+                        e = np.exp(weights["word"][span] @ s + weights["word0"][span])
+                        total -= np.log(e[g - span.start] / e.sum())
+            return total
+
+        grads, rows, _, n = gru.gradients(weights, shape, source, target, alive, h)
+        assert n == alive.sum()
+        dense = {name: np.zeros_like(w) for name, w in weights.items()}
+        for name, g in grads.items():
+            dense[name][rows if name == "input" else slice(None)] = g
+        for name, w in weights.items():
+            for at in map(tuple, rng.integers(0, w.shape, (25, w.ndim)).tolist()):
+                kept = w[at]
+                w[at] = kept + 1e-5
+                up = loss()
+                w[at] = kept - 1e-5
+                down = loss()
+                w[at] = kept
+                assert dense[name][at] == pytest.approx((up - down) / 2e-5, abs=2e-4)
+
+
+def test_replicas_are_averaged_by_what_they_saw(llm):
+    shape = gru.Shape(2, lm.TAILS, 32, 3)
+    start = gru.start(shape, np.ones(2 + lm.TAILS), 1)
+    state = {"w": start, "s": {n: np.zeros_like(w) for n, w in start.items()}}
+    rows = llm.createDataFrame([(i, "x " * (i + 1)) for i in range(3)], "doc_id long, text string").repartition(3, "doc_id")
+    tail_of = np.zeros(256, dtype=np.int64)
+    got = lm._trained(rows, state, shape, tail_of, {b"x": 0, lm.END: 1}, 3)
+    seen, mean = 0, {k: {n: 0.0 for n in start} for k in state}
+    for part in rows.rdd.glom().collect():
+        docs = [np.array([0] * len(r["text"].split()) + [1], dtype=np.int32) for r in part]
+        if docs:
+            own = {k: {n: w.copy() for n, w in v.items()} for k, v in state.items()}
+            n = gru.train(own["w"], shape, docs, own["s"])
+            seen += n
+            mean = {k: {name: mean[k][name] + n * own[k][name] for name in start} for k in state}
+    for k in state:
+        for name in start:
+            assert got[k][name] == pytest.approx(mean[k][name] / seen, abs=1e-5)
+
+
+def test_a_very_long_text_takes_memory_in_proportion(tmp_path):
+    """A million words beside 600 short texts, in scoring and in training."""
+    import subprocess
+    import sys
+
+    code = """
+import resource, numpy as np
+from tidemark.llm import gru
+rng = np.random.default_rng(0)
+docs = [rng.integers(0, 1048, 50).astype(np.int32) for _ in range(600)] + [rng.integers(0, 1048, 1_000_000).astype(np.int32)]
+shape = gru.Shape(1024, 24, 32, 16)
+weights = gru.start(shape, np.ones(1048), 1)
+gru.train(weights, shape, docs, {n: np.zeros_like(w) for n, w in weights.items()})
+scores = gru.log_likelihood(weights, shape, docs)
+assert scores.shape == (601,) and np.isfinite(scores).all() and scores[-1] < scores[:-1].min()
+print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss // 1024)
+"""
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True)
+    assert int(done.stdout) < 500
 
 
 def test_spelling_is_a_distribution(llm):

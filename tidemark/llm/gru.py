@@ -7,6 +7,7 @@ then the start mark. The first word classes hold ``per_class`` modelled words ea
 from __future__ import annotations
 
 import heapq
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -61,24 +62,56 @@ def streams(docs: list[np.ndarray], most: int) -> list[list[int]]:
     return sorted(out, key=lambda s: -sum(len(docs[d]) for d in s))
 
 
-def laid_out(docs: list[np.ndarray], most: int, start_mark: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Inputs, targets and documents by step and stream, and the number of streams that are alive at each step. A document's
-    first input is the start mark, its targets are its symbols."""
+@dataclass
+class Lines:
+    """Documents end to end in streams, the longest stream first. What a window needs is cut out of the flat symbols, so memory is
+    that of the documents, however unequal they are."""
+
+    flat: np.ndarray
+    first: np.ndarray
+    doc: np.ndarray
+    starts: np.ndarray
+    lengths: np.ndarray
+
+    def alive(self, steps: np.ndarray) -> np.ndarray:
+        """How many streams reach each step."""
+        return np.searchsorted(-self.lengths, -steps, side="left")
+
+    def windows(self, start_mark: int, cells: int = 0) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """Per window: inputs, targets and documents by step and stream, and the streams that are alive at each step. A document's first
+        input is the start mark, its targets are its symbols. With ``cells``, few streams have longer windows, of about that many cells."""
+        steps, end = int(self.lengths.max(initial=0)), 0
+        while end < steps:
+            begin, wide = end, max(WINDOW, cells // int(self.alive(np.array([end]))[0]))
+            end = min(begin + wide, steps)
+            at = np.arange(begin, end)
+            alive = self.alive(at)
+            place = np.minimum(self.starts[None, : alive[0]] + at[:, None], len(self.flat) - 1)
+            source = np.where(self.first[place], np.int32(start_mark), self.flat[place - 1])
+            yield source, self.flat[place], self.doc[place], alive
+
+
+def lines(docs: list[np.ndarray], most: int) -> Lines:
     order = streams(docs, most)
-    lengths = np.array([sum(len(docs[d]) for d in s) for s in order])
-    steps = int(lengths.max(initial=0))
-    target = np.zeros((steps, len(order)), dtype=np.int32)
-    source, doc = target.copy(), target.copy()
-    for i, s in enumerate(order):
-        if s:
-            line = np.concatenate([docs[d] for d in s])
-            target[: len(line), i] = line
-            doc[: len(line), i] = np.repeat(s, [len(docs[d]) for d in s])
-            firsts = np.cumsum([0, *[len(docs[d]) for d in s[:-1]]])
-            source[1 : len(line), i] = line[:-1]
-            source[firsts, i] = start_mark
-    alive = np.searchsorted(-lengths, -np.arange(steps), side="left")
-    return source, target, doc, alive
+    row = [d for s in order for d in s]
+    sizes = np.array([len(docs[d]) for d in row], dtype=np.int64)
+    flat = np.concatenate([np.zeros(0, dtype=np.int32), *[docs[d] for d in row]]).astype(np.int32, copy=False)
+    first = np.zeros(len(flat), dtype=bool)
+    first[(np.cumsum(sizes) - sizes)[sizes > 0]] = True
+    lengths = np.array([sum(len(docs[d]) for d in s) for s in order], dtype=np.int64)
+    return Lines(flat, first, np.repeat(np.array(row, dtype=np.int32), sizes), np.cumsum(lengths) - lengths, lengths)
+
+
+def even_lines(docs: list[np.ndarray], most: int, seed: int) -> Lines:
+    """The documents in random order, cut into streams of equal length, for training only: a document that goes over a cut starts a stream in its
+    middle. No stream ends early, so the last steps see as many documents as the first."""
+    row = np.random.default_rng(seed).permutation(len(docs)).tolist()
+    laid = lines([np.concatenate([np.zeros(0, dtype=np.int32), *[docs[d] for d in row]])], 1)
+    ends = np.cumsum([len(docs[d]) for d in row])
+    laid.first[ends[:-1][ends[:-1] < len(laid.flat)]] = True
+    each = -(-len(laid.flat) // max(1, most))
+    starts = np.arange(0, len(laid.flat), max(1, each))
+    return Lines(laid.flat, laid.first, laid.doc, starts, np.minimum(each, len(laid.flat) - starts))
 
 
 def _step(p: dict, x: np.ndarray, h: np.ndarray, hidden: int) -> tuple:
@@ -90,12 +123,18 @@ def _step(p: dict, x: np.ndarray, h: np.ndarray, hidden: int) -> tuple:
     return n + z * (h - n), r, z, n, inner
 
 
-def _softmax(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Probabilities, and the log of the sum."""
-    top = logits.max(axis=1, keepdims=True)
-    e = np.exp(logits - top)
-    total = e.sum(axis=1, keepdims=True)
-    return e / total, (top + np.log(total))[:, 0]
+def _softmax(logits: np.ndarray) -> np.ndarray:
+    """Probabilities, in place; logits above 80 would leave the range of 32 bits."""
+    np.minimum(logits, F32(80), out=logits)
+    np.exp(logits, out=logits)
+    logits /= (logits @ np.ones(logits.shape[1], dtype=logits.dtype))[:, None]
+    return logits
+
+
+def _logits(state: np.ndarray, weights: np.ndarray, constants: np.ndarray) -> np.ndarray:
+    out = state @ weights
+    out += constants
+    return out
 
 
 def _log_probability(logits: np.ndarray, chosen: np.ndarray) -> np.ndarray:
@@ -110,90 +149,103 @@ def _classes(shape: Shape, target: np.ndarray) -> np.ndarray:
     return np.where(target < shape.words, target // shape.per_class, target - shape.words + shape.word_classes)
 
 
+def _by_class(shape: Shape, goal: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[tuple[slice, slice]]]:
+    """Classes of symbols, an order that puts those of one word class together, and per class its range there and its words."""
+    cls = _classes(shape, goal)
+    order = np.argsort(cls.astype(np.int16) if shape.word_classes + shape.tails < 1 << 15 else cls, kind="stable")
+    edges = np.searchsorted(cls[order], np.arange(shape.word_classes + 1)).tolist()
+    return cls, order, [(slice(a, b), shape.span(c)) for c, (a, b) in enumerate(zip(edges, edges[1:], strict=False)) if a < b]
+
+
+def _cells(matrix: np.ndarray, alive: np.ndarray) -> np.ndarray:
+    """The living cells of a window, step by step."""
+    if alive[-1] == matrix.shape[1]:
+        return matrix.reshape(-1)
+    return np.concatenate([row[:n] for row, n in zip(matrix, alive.tolist(), strict=True)])
+
+
 def log_likelihood(p: dict, shape: Shape, docs: list[np.ndarray], width: int = 512) -> np.ndarray:
     """The natural log probability of each document's symbols, each document as a whole."""
     mark, hidden = shape.words + shape.tails, shape.hidden
-    source, target, doc, alive = laid_out(docs, width, mark)
+    laid = lines(docs, width)
     out = np.zeros(len(docs))
-    h = np.zeros((source.shape[1], hidden), dtype=F32)
-    for begin in range(0, len(source), WINDOW):
-        states, targets, of = [], [], []
-        for t in range(begin, min(begin + WINDOW, len(source))):
-            n = alive[t]
-            symbol = source[t, :n]
-            before = h[:n]
+    h = np.zeros((len(laid.lengths), hidden), dtype=F32)
+    for source, target, doc, alive in laid.windows(mark, cells=8192):
+        states = []
+        for symbol, n in zip(source, alive.tolist(), strict=True):
+            symbol, before = symbol[:n], h[:n]
             fresh = symbol == mark
             if fresh.any():
                 before = np.where(fresh[:, None], F32(0), before)
             h = _step(p, p["input"][symbol], before, hidden)[0]
             states.append(h)
-            targets.append(target[t, :n])
-            of.append(doc[t, :n])
-        state, goal, of = np.concatenate(states), np.concatenate(targets), np.concatenate(of)
-        cls = _classes(shape, goal)
-        found = _log_probability(state @ p["cls"] + p["cls0"], cls)
-        order = np.argsort(cls, kind="stable")
-        edges = np.searchsorted(cls[order], np.arange(shape.word_classes + 1))
+        state, goal, of = np.concatenate(states), _cells(target, alive), _cells(doc, alive)
+        cls, order, ranges = _by_class(shape, goal)
+        found = _log_probability(_logits(state, p["cls"], p["cls0"]), cls)
         state, goal, inside = state[order], goal[order], np.zeros(len(goal))
-        for c in range(shape.word_classes):
-            at = slice(edges[c], edges[c + 1])
-            if at.start < at.stop:
-                span = shape.span(c)
-                inside[at] = _log_probability(state[at] @ p["word"][span].T + p["word0"][span], goal[at] - span.start)
+        for at, span in ranges:
+            inside[at] = _log_probability(_logits(state[at], p["word"][span].T, p["word0"][span]), goal[at] - span.start)
         found[order] += inside
         out += np.bincount(of, weights=found, minlength=len(docs))
     return out
 
 
-def train(p: dict, shape: Shape, docs: list[np.ndarray], squares: dict, rate: float = 0.08, width: int = 32) -> int:
-    """One pass over ``docs`` in place, a step of Adagrad per window; ``squares`` are its running sums. Returns the symbols seen."""
+def gradients(p: dict, shape: Shape, source: np.ndarray, target: np.ndarray, alive: np.ndarray, h: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray, int]:
+    """Of one window: the gradients of the summed negative log probability, where ``input`` has a row for each of the symbols given next; those
+    symbols; the state after the window; and the number of targets."""
     mark, hidden = shape.words + shape.tails, shape.hidden
-    source, target, _, alive = laid_out(docs, width, mark)
-    h = np.zeros((source.shape[1], hidden), dtype=F32)
-    for begin in range(0, len(source), WINDOW):
-        kept, goals = [], []
-        for t in range(begin, min(begin + WINDOW, len(source))):
-            n = alive[t]
-            symbol = source[t, :n]
-            go = (symbol != mark).astype(F32)[:, None]
-            before = h[:n] * go
-            h, r, z, new, inner = _step(p, p["input"][symbol], before, hidden)
-            kept.append((symbol, go, before, h, r, z, new, inner))
-            goals.append(target[t, :n])
-        state, goal = np.concatenate([k[3] for k in kept]), np.concatenate(goals)
-        grads = {name: np.zeros_like(value) for name, value in p.items()}
-        cls = _classes(shape, goal)
-        error = _softmax(state @ p["cls"] + p["cls0"])[0]
-        error[np.arange(len(goal)), cls] -= 1
-        grads["cls"], grads["cls0"] = state.T @ error, error.sum(axis=0)
-        back = error @ p["cls"].T
-        order = np.argsort(cls, kind="stable")
-        edges = np.searchsorted(cls[order], np.arange(shape.word_classes + 1))
-        state, goal, inside = state[order], goal[order], np.zeros_like(back)
-        for c in range(shape.word_classes):
-            at = slice(edges[c], edges[c + 1])
-            if at.start < at.stop:
-                span = shape.span(c)
-                error = _softmax(state[at] @ p["word"][span].T + p["word0"][span])[0]
-                error[np.arange(len(error)), goal[at] - span.start] -= 1
-                grads["word"][span], grads["word0"][span] = error.T @ state[at], error.sum(axis=0)
-                inside[at] = error @ p["word"][span]
-        back[order] += inside
-        ends = np.cumsum([len(g) for g in goals])
-        later = np.zeros((0, hidden), dtype=F32)
-        for i in range(len(kept) - 1, -1, -1):
-            symbol, go, before, _, r, z, new, inner = kept[i]
-            d = back[ends[i] - len(symbol) : ends[i]]
-            d[: len(later)] += later
-            dn = d * (1 - z) * (1 - new * new)
-            dz = d * (before - new) * z * (1 - z)
-            dr = dn * inner * r * (1 - r)
-            outer = np.concatenate([dr, dz, dn * r], axis=1)
-            grads["state"] += before.T @ outer
-            np.add.at(grads["input"], symbol, np.concatenate([dr, dz, dn], axis=1))
-            later = (d * z + outer @ p["state"].T) * go
+    kept = []
+    for symbol, n in zip(source, alive.tolist(), strict=True):
+        symbol = symbol[:n]
+        go = (symbol != mark).astype(F32)[:, None]
+        before = h[:n] * go
+        h, r, z, new, inner = _step(p, p["input"][symbol], before, hidden)
+        kept.append((symbol, go, before, h, r, z, new, inner))
+    state, goal = np.concatenate([k[3] for k in kept]), _cells(target, alive)
+    grads = {"word": np.zeros_like(p["word"]), "word0": np.zeros_like(p["word0"])}
+    cls, order, ranges = _by_class(shape, goal)
+    error = _softmax(_logits(state, p["cls"], p["cls0"]))
+    error[np.arange(len(goal)), cls] -= 1
+    grads["cls"], grads["cls0"] = state.T @ error, error.sum(axis=0)
+    back = error @ p["cls"].T
+    state, goal, inside = state[order], goal[order], np.zeros_like(back)
+    for at, span in ranges:
+        error = _softmax(_logits(state[at], p["word"][span].T, p["word0"][span]))
+        error[np.arange(len(error)), goal[at] - span.start] -= 1
+        grads["word"][span], grads["word0"][span] = error.T @ state[at], error.sum(axis=0)
+        inside[at] = error @ p["word"][span]
+    back[order] += inside
+    ends = np.cumsum(alive)
+    later = np.zeros((0, hidden), dtype=F32)
+    of_input, of_state = [], []
+    for i in range(len(kept) - 1, -1, -1):
+        _, go, before, _, r, z, new, inner = kept[i]
+        d = back[ends[i] - alive[i] : ends[i]]
+        d[: len(later)] += later
+        dn = d * (1 - z) * (1 - new * new)
+        dz = d * (before - new) * z * (1 - z)
+        dr = dn * inner * r * (1 - r)
+        outer = np.concatenate([dr, dz, dn * r], axis=1)
+        of_state.append(outer)
+        of_input.append(np.concatenate([dr, dz, dn], axis=1))
+        later = (d * z + outer @ p["state"].T) * go
+    grads["state"] = np.concatenate([k[2] for k in reversed(kept)]).T @ np.concatenate(of_state)
+    symbols = np.concatenate([k[0] for k in reversed(kept)])
+    order = np.argsort(symbols, kind="stable")
+    rows, firsts = np.unique(symbols[order], return_index=True)
+    grads["input"] = np.add.reduceat(np.concatenate(of_input)[order], firsts, axis=0)
+    return grads, rows, h, len(goal)
+
+
+def train(p: dict, shape: Shape, docs: list[np.ndarray], squares: dict, rate: float = 0.35, width: int = 256, seed: int = 0) -> int:
+    """One pass over ``docs`` in place, a step of Adagrad per window; ``squares`` are its running sums. Returns the symbols seen."""
+    laid = even_lines(docs, width, seed)
+    h = np.zeros((len(laid.lengths), shape.hidden), dtype=F32)
+    for source, target, _, alive in laid.windows(shape.words + shape.tails):
+        grads, rows, h, n = gradients(p, shape, source, target, alive, h)
         for name, g in grads.items():
-            np.clip(g / F32(np.sqrt(len(goal))), -1, 1, out=g)
-            squares[name] += g * g
-            p[name] -= F32(rate) * g / (np.sqrt(squares[name]) + F32(1e-3))
+            at = rows if name == "input" else slice(None)
+            np.clip(g / F32(np.sqrt(n)), -1, 1, out=g)
+            squares[name][at] += g * g
+            p[name][at] -= F32(rate) * g / (np.sqrt(squares[name][at]) + F32(1e-3))
     return int(sum(map(len, docs)))

@@ -25,14 +25,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import gru
-from tidemark.llm.shared import checkpointed, id_remainder, shared_folder
+from tidemark.llm.shared import checkpointed, id_remainder, shared_folder, text_slices
 
 #: The token after each document's words; a word holds no blank.
 END = b" "
 #: Modelled words, tail classes, hidden units; words whose counts go to every task.
 WORDS, TAILS, HIDDEN, HEAD = 1024, 24, 16, 200_000
-#: The recurrent weights are trained in so many rounds, each on all training documents.
-ROUNDS = 3
+#: The training documents are dealt among so many rounds; tokens of a replica in a round, about, and bytes of text that a task takes at a time.
+ROUNDS, REPLICA, TAKEN = 3, 1_500_000, 16_000_000
 #: Bytes that the letter model tells apart; words that occur this often at most teach it.
 LETTERS, RARE = 95, 5
 SIDE = LETTERS + 2
@@ -237,25 +237,30 @@ def learn(training: DataFrame) -> tuple[Model | None, DataFrame]:
     weights = gru.start(shape, np.concatenate([head_counts[:modelled], tail_tokens]), seed=7)
     model = Model(int(tokens), int(types), head, head_counts, tail_of, tail_tokens, np.clip(new_share, 1e-6, 1 - 1e-6), _letters(counts, by_last, tail_of), shape, weights)
     inputs = {w: i for w, i in head.items() if i < modelled}
-    for _ in range(ROUNDS):
-        model.weights = _trained(training, model.weights, shape, tail_of, inputs)
+    state = {"w": model.weights, "s": {n: np.zeros_like(w) for n, w in model.weights.items()}}
+    dealt = F.pmod(F.xxhash64("doc_id", "text"), F.lit(ROUNDS))
+    for turn in range(ROUNDS):
+        state = _trained(training.where(dealt == turn), state, shape, tail_of, inputs, -(-int(tokens) // (ROUNDS * REPLICA)))
+    model.weights = state["w"]
     return model, counts
 
 
-def _trained(training: DataFrame, weights: dict, shape: gru.Shape, tail_of: np.ndarray, inputs: dict[bytes, int]) -> dict:
-    """``weights`` after a pass over ``training``: one replica per task, averaged by the symbols it saw. The driver gets one set of weights."""
+def _trained(training: DataFrame, state: dict[str, dict], shape: gru.Shape, tail_of: np.ndarray, inputs: dict[bytes, int], replicas: int) -> dict[str, dict]:
+    """Weights ``w`` and running squares ``s`` after a pass over ``training`` by ``replicas`` tasks at most, averaged by the symbols they saw. The driver
+    gets one set of both."""
+    weights = state["w"]
     names = list(weights)
-    flat = np.concatenate([weights[n].ravel() for n in names])
+    flat = np.concatenate([state[k][n].ravel() for k in ("w", "s") for n in names])
     piece = 4096
 
     def replica(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, squares, seen = _shaped(flat, shape), {n: np.zeros_like(weights[n]) for n in names}, 0
-        for batch in batches:
+        half, seen = len(flat) // 2, 0
+        own, squares = _shaped(flat[:half], shape), _shaped(flat[half:], shape)
+        for turn, batch in enumerate(text_slices(batches, "text", TAKEN)):
             docs = [_symbols(shape.words, tail_of, inputs, [*words(t), END]) for t in batch.column("text").to_pylist()]
-            if docs:
-                seen += gru.train(own, shape, docs, squares)
+            seen += gru.train(own, shape, docs, squares, seed=turn)
         if seen:
-            out = np.concatenate([own[n].ravel() for n in names])
+            out = np.concatenate([part[n].ravel() for part in (own, squares) for n in names])
             blocks = [out[i : i + piece].astype(np.float64) for i in range(0, len(out), piece)]
             yield pa.RecordBatch.from_arrays([pa.array(range(len(blocks)), pa.int32()), pa.array([float(seen)] * len(blocks)), pa.array(blocks, pa.list_(pa.float64()))], ["block", "seen", "w"])
 
@@ -265,7 +270,8 @@ def _trained(training: DataFrame, weights: dict, shape: gru.Shape, tail_of: np.n
         mean = (each * seen[:, None]).sum(axis=0) / seen.sum()
         return pa.table({"block": table["block"][:1], "w": pa.array([mean], pa.list_(pa.float64()))})
 
-    parts = training.select("text").mapInArrow(replica, "block int, seen double, w array<double>")
+    # coalesced, not shuffled: a replica takes whole partitions
+    parts = training.select(F.coalesce("text", F.lit("")).alias("text")).coalesce(max(1, replicas)).mapInArrow(replica, "block int, seen double, w array<double>")
     # first among a few tasks each, then all: no task meets the replicas of all tasks at once
     near = parts.withColumn("some", F.pmod(F.spark_partition_id(), F.lit(64)))
 
@@ -276,8 +282,9 @@ def _trained(training: DataFrame, weights: dict, shape: gru.Shape, tail_of: np.n
     some = near.groupBy("block", "some").applyInArrow(partly, "block int, w array<double>, seen double")
     rows = some.groupBy("block").applyInArrow(averaged, "block int, w array<double>").collect()
     if not rows:
-        return weights
-    return _shaped(np.concatenate([r["w"] for r in sorted(rows, key=lambda r: r["block"])]).astype(np.float32), shape)
+        return state
+    mean = np.concatenate([r["w"] for r in sorted(rows, key=lambda r: r["block"])]).astype(np.float32)
+    return {"w": _shaped(mean[: len(mean) // 2], shape), "s": _shaped(mean[len(mean) // 2 :], shape)}
 
 
 def _shaped(flat: np.ndarray, shape: gru.Shape) -> dict[str, np.ndarray]:
@@ -294,7 +301,8 @@ _PARTS = "row long, word binary, n long, known long, base double, score double,
 def score(docs: DataFrame, doc_id: str, text: str, *, folds: int = 7, held_out: int = 2) -> DataFrame:
     """Per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score, log10 probabilities of the whole text and its end.
 
-    A null text is the empty text, whose only token is the end. Repeated rows give a row each; the integer id may be null. Without training
+    A null text is the empty text, whose only token is the end. Very long texts are scored whole, in memory in proportion to one text. Repeated rows
+    give a row each; the integer id may be null. Without training
     documents the base of every token is log10(1) and the score equals it. Other columns are left out.
     """
     spark = docs.sparkSession
@@ -316,7 +324,7 @@ def score(docs: DataFrame, doc_id: str, text: str, *, folds: int = 7, held_out:
             inner[modelled:] = m.within(m.counts[modelled:], m.tail_of[np.array([w[-1] for w in rest])], m.letters.spell(rest))
         base = m.base(m.counts)
         get = m.head.get
-        for batch in batches:
+        for batch in text_slices(batches, "text", TAKEN):
             for start in range(0, batch.num_rows, 10_000):
                 part = batch.slice(start, 10_000)
                 n = part.num_rows
