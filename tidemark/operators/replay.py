@@ -24,7 +24,10 @@ from tidemark.scratch import stage
 CUSTOMER, ORDER = "customer_id", "order_id"
 
 # A range of positions: the rows of one key in it are one task's sort unit.
-CHUNK_BITS = 16
+CHUNK_BITS = 20
+
+# Ranges of positions in which events first look for a greater id together.
+RANGE_BITS = 10
 
 
 def positions(events: DataFrame) -> DataFrame:
@@ -34,27 +37,28 @@ def positions(events: DataFrame) -> DataFrame:
     return placed.select(ROW, CUSTOMER, ORDER, (F.coalesce("before", F.lit(0)) + 1).alias("pos"))
 
 
-def along(rows: DataFrame, key: str, order: list[str], folds: dict[str, tuple[Literal["sum", "min"], Column, bool]], chunk_bits: int | None = None) -> DataFrame:
+def along(rows: DataFrame, key: str, order: list[str], last: int, folds: dict[str, tuple[Literal["sum", "min"], Column, bool]]) -> DataFrame:
     """Adds to every row, per name in ``folds``, the sum or least of a value over the rows of its ``key`` that come before it, or with
-    the flag, after it, by ``order``, whose first column is a position. Null where there are none."""
-    bits = CHUNK_BITS if chunk_bits is None else chunk_bits
-    rows = rows.withColumns({"chunk": F.shiftright(order[0], bits), **{f"value_{name}": value for name, (_, value, _) in folds.items()}})
+    the flag, after it, by ``order``, whose first column is a position up to ``last``. Null where there are none."""
     combine = {"sum": (F.sum, lambda a, b: F.coalesce(a + b, a, b)), "min": (F.min, F.least)}
     earlier, later = (Window.unboundedPreceding, -1), (1, Window.unboundedFollowing)
 
+    def running(keys: list[str], by: list[str], values: dict[str, Column]) -> dict[str, Column]:
+        of_key = Window.partitionBy(*keys).orderBy(*by)
+        return {name: combine[kind][0](values[name]).over(of_key.rowsBetween(*(later if after else earlier))) for name, (kind, _, after) in folds.items()}
+
+    if last >> CHUNK_BITS == 0:  # one range of positions holds all
+        return rows.withColumns(running([key], order, {name: value for name, (_, value, _) in folds.items()}))
+    rows = rows.withColumns({"chunk": F.shiftright(order[0], CHUNK_BITS), **{f"value_{name}": value for name, (_, value, _) in folds.items()}})
     totals = rows.groupBy(key, "chunk").agg(*[combine[kind][0](f"value_{name}").alias(name) for name, (kind, _, _) in folds.items()])
-    of_key = Window.partitionBy(key).orderBy("chunk")
-    beyond = {f"beyond_{name}": combine[kind][0](name).over(of_key.rowsBetween(*(later if after else earlier))) for name, (kind, _, after) in folds.items()}
-    placed = rows.join(totals.select(key, "chunk", *[c.alias(name) for name, c in beyond.items()]), [key, "chunk"])
-    in_chunk = Window.partitionBy(key, "chunk").orderBy(*order)
-    own = {
-        name: combine[kind][1](F.col(f"beyond_{name}"), combine[kind][0](f"value_{name}").over(in_chunk.rowsBetween(*(later if after else earlier))))
-        for name, (kind, _, after) in folds.items()
-    }
-    return placed.withColumns(own).drop("chunk", *[f"value_{name}" for name in folds], *beyond)
-
-
-def spans(acts: DataFrame, held: DataFrame, chunk_bits: int | None = None) -> DataFrame:
+    beyond = running([key], ["chunk"], {name: F.col(name) for name in folds})
+    placed = rows.join(totals.select(key, "chunk", *[column.alias(f"beyond_{name}") for name, column in beyond.items()]), [key, "chunk"])
+    own = running([key, "chunk"], order, {name: F.col(f"value_{name}") for name in folds})
+    both = {name: combine[kind][1](F.col(f"beyond_{name}"), own[name]) for name, (kind, _, _) in folds.items()}
+    return placed.withColumns(both).drop("chunk", *[f"{part}_{name}" for name in folds for part in ("value", "beyond")])
+
+
+def spans(acts: DataFrame, held: DataFrame, last: int) -> DataFrame:
     """(order_id, ``begin``, ``end``): after which position a customer holds an id and the last at which it still does (null: for good).
     ``held`` has the rows of the batch's customers before it. An update of a customer without rows changes nothing."""
     update = F.col("act") == "U"
@@ -64,11 +68,11 @@ def spans(acts: DataFrame, held: DataFrame, chunk_bits: int | None = None) -> Da
         rows,
         CUSTOMER,
         ["pos"],
+        last,
         {
             "end": ("min", F.when(F.col("update"), F.col("pos")), True),
             "first_row": ("min", F.when(~F.col("update"), F.col("pos")), False),
         },
-        chunk_bits,
     )
     return followed.filter(~F.col("update") | F.col("first_row").isNotNull()).select(ORDER, F.col("pos").alias("begin"), "end")
 
@@ -85,20 +89,41 @@ def _cover(low: str, high: str, levels: int) -> Column:
 
 
 def greatest_held(asked: DataFrame, held_spans: DataFrame, last: int) -> DataFrame:
-    """(``pos``, ``held``) for each position in ``asked``: the greatest id of the spans that contain it. Spans are cut into aligned blocks, twice the
-    logarithm of ``last`` at most, which keep their greatest id; a position looks at the blocks that it lies in."""
-    levels = max(1, last).bit_length()
-    whole = held_spans.select(ORDER, (F.col("begin") + 1).alias("low"), F.coalesce("end", F.lit(last)).alias("high")).filter("low <= high")
-    blocks = whole.select(ORDER, F.explode(_cover("low", "high", levels)).alias("block")).groupBy("block.level", "block.node").agg(F.max(ORDER).alias("held"))
-    inside = F.expr(f"transform(sequence(0, {levels}), l -> named_struct('level', l, 'node', shiftright(pos, l)))")
-    asked = asked.select("pos", F.explode(inside).alias("block")).select("pos", "block.level", "block.node")
-    return asked.join(blocks, ["level", "node"]).groupBy("pos").agg(F.max("held").alias("held"))
-
-
-def next_round(acts: DataFrame, held: DataFrame, others: DataFrame, floor: int | None, last: int, chunk_bits: int | None = None) -> DataFrame:
+    """(``pos``, ``held``) for the events in ``asked`` (``pos``, order_id) that fall into a span: an id of such a span, the greatest one unless a
+    smaller one is above the event's id already.
+
+    Of the ranges of positions that a span covers whole, aligned blocks of ranges keep the greatest id, twice the logarithm of their number for a
+    span at most. They are looked up once per range, which settles most events. The others meet the spans that begin or end within
+    their range, of which there are no more than positions, as equal spans are one.
+    """
+    bits, size = RANGE_BITS, 1 << RANGE_BITS
+    levels = max(1, last >> bits).bit_length()
+    # rows of the table are held from position 0 on, so that they begin with a range
+    low = F.when(F.col("begin") == 0, F.lit(0).cast("bigint")).otherwise(F.col("begin") + 1).alias("low")
+    whole = held_spans.groupBy(low, F.coalesce("end", F.lit(((last >> bits) + 1 << bits) - 1)).alias("high")).agg(F.max(ORDER).alias("id")).filter("low <= high")
+    whole = stage(whole, "whole")
+    ranges = whole.select("id", F.shiftright(F.col("low") + (size - 1), bits).alias("first"), (F.shiftright(F.col("high") + 1, bits) - 1).alias("end"))
+    blocks = ranges.filter("first <= end").select("id", F.explode(_cover("first", "end", levels)).alias("block"))
+    blocks = blocks.groupBy("block.level", "block.node").agg(F.max("id").alias("held"))
+
+    asked = asked.withColumn("range", F.shiftright("pos", bits))
+    inside = F.expr(f"transform(sequence(0, {levels}), l -> named_struct('level', l, 'node', shiftright(range, l)))")
+    looked = asked.select("range").distinct().select("range", F.explode(inside).alias("block")).select("range", "block.level", "block.node")
+    wide = looked.join(blocks, ["level", "node"]).groupBy("range").agg(F.max("held").alias("wide"))
+    near = asked.join(wide, "range", "left")
+
+    edges = F.array(F.when(F.col("low") % size != 0, F.shiftright("low", bits)), F.when((F.col("high") + 1) % size != 0, F.shiftright("high", bits)))
+    partial = whole.select("id", "low", "high", F.explode(F.array_distinct(F.array_compact(edges))).alias("range"))
+    open_events = near.filter(F.col("wide").isNull() | (F.col(ORDER) > F.col("wide")))
+    narrow = open_events.join(partial, "range").filter("pos BETWEEN low AND high").groupBy("pos").agg(F.max("id").alias("narrow"))
+    found = near.join(narrow, "pos", "left").select("pos", F.greatest("wide", "narrow").alias("held"))
+    return found.filter("held IS NOT NULL")
+
+
+def next_round(acts: DataFrame, held: DataFrame, others: DataFrame, floor: int | None, last: int) -> DataFrame:
     """``acts`` with the decisions that follow from its own, and ``changed``. ``others`` has the ids of rows that the batch cannot change,
     as far as its events name them, ``floor`` the greatest of all those."""
-    known = stage(spans(acts, held, chunk_bits), "spans")
+    known = stage(spans(acts, held, last), "spans")
     none = F.lit(None).cast("bigint")
     # at one position an event asks before spans begin or end
     steps = acts.select(ORDER, F.col("pos").alias("at"), F.lit(0).alias("step"), F.lit(0).alias("delta"), ROW, CUSTOMER, "act")
@@ -107,7 +132,7 @@ def next_round(acts: DataFrame, held: DataFrame, others: DataFrame, floor: int |
         steps = steps.unionByName(some, allowMissingColumns=True)
     fixed = others.select(ORDER, F.lit(0).cast("bigint").alias("at"), F.lit(1).alias("step"), F.lit(1).alias("delta"))
     steps = steps.unionByName(fixed, allowMissingColumns=True)
-    counted = along(steps, ORDER, ["at", "step"], {"holders": ("sum", F.col("delta"), False)}, chunk_bits)
+    counted = along(steps, ORDER, ["at", "step"], last, {"holders": ("sum", F.col("delta"), False)})
     asked = counted.filter("step = 0").select(ROW, CUSTOMER, ORDER, F.col("at").alias("pos"), "act", (F.coalesce("holders", F.lit(0)) > 0).alias("found"))
     asked = stage(asked, "asked")
 
@@ -119,7 +144,7 @@ def next_round(acts: DataFrame, held: DataFrame, others: DataFrame, floor: int |
     return decided.select(ROW, CUSTOMER, ORDER, "pos", F.col("new").alias("act"), (F.col("new") != F.col("act")).alias("changed"))
 
 
-def exact_actions(orders: DataFrame, events: DataFrame, first_guess: DataFrame, chunk_bits: int | None = None) -> DataFrame:
+def exact_actions(orders: DataFrame, events: DataFrame, first_guess: DataFrame) -> DataFrame:
     """(row_id, ``act``) of every event under the literal rule, U, I or R. ``first_guess`` has (row_id, ``act``) to start from; any will do, a
     better one saves rounds. The driver sees two numbers and one count per round."""
     acts = stage(positions(events).join(first_guess, ROW), "acts")
@@ -131,6 +156,6 @@ def exact_actions(orders: DataFrame, events: DataFrame, first_guess: DataFrame,
     floor = beyond.agg(F.max(ORDER)).head()[0]
     others = stage(beyond.select(ORDER).join(acts.select(ORDER), ORDER, "left_semi").distinct(), "others")
     while True:
-        acts = stage(next_round(acts, held, others, floor, last, chunk_bits), "acts")
+        acts = stage(next_round(acts, held, others, floor, last), "acts")
         if acts.filter("changed").isEmpty():
             return acts.select(ROW, "act")
