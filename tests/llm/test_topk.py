@@ -1,3 +1,6 @@
+import math
+from collections import Counter
+
 import duckdb
 import numpy as np
 import pytest
@@ -7,28 +10,20 @@ from tidemark.llm import queries, topk
 
 
 def _brute(rows, k):
-    best = {}
-    for key, v in rows:
-        if key is None or v is None or any(x is None or not np.isfinite(x) for x in v):
-            continue
-        grid = [int(np.floor(64 * float(x))) for x in v]
-        best[key] = min(best.get(key, grid), grid)
-    ids = np.array(sorted(best))
-    width = max((len(v) for v in best.values()), default=0)
-    x = np.array([best[i] + [0] * (width - len(best[i])) for i in ids.tolist()], dtype=object).reshape(len(ids), width)
-    out = set()
-    for a, key in enumerate(ids.tolist()):
+    fine = [(key, [math.floor(64 * float(np.float32(x))) for x in v]) for key, v in rows if key is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
+    out = Counter()
+    for a, (key, v) in enumerate(fine):
         if key % 20 == 0:
-            scores = [(-int(x[a] @ x[b]), other) for b, other in enumerate(ids.tolist()) if other != key]
-            out |= {(key, r + 1, other, -s) for r, (s, other) in enumerate(sorted(scores)[:k])}
+            scores = [(-sum(x * y for x, y in zip(v, w, strict=False)), other) for b, (other, w) in enumerate(fine) if b != a]
+            for r, (s, other) in enumerate(sorted(scores)[:k], start=1):
+                out[key, r, other, min(max(-s, -(1 << 63)), (1 << 63) - 1)] += 1
     return out
 
 
 def _query(llm, rows, k=20):
-    vectors = llm.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("cell", F.lit("clash")).withColumn("v", F.lit(1))
-    got = topk.top_scores(vectors, "vec_id", "embedding", F.col("id") % 20 == 0, k=k).collect()
-    assert len(got) == len(set(got))
-    return {tuple(r) for r in got}
+    vectors = llm.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
+    vectors = vectors.select("*", *[F.lit("clash").alias(c) for c in ("cell", "v", "row", "id", "query", "slice", "block")])
+    return Counter(map(tuple, topk.top_scores(vectors, "vec_id", "embedding", F.col("id") % 20 == 0, k=k).collect()))
 
 
 @pytest.mark.parametrize("small", [False, True])
@@ -52,8 +47,15 @@ def test_odd_rows(llm):
     ]
     assert _query(llm, rows, k=4) == _brute(rows, 4)
     assert _query(llm, rows, k=50) == _brute(rows, 50)
-    assert _query(llm, rows[:2]) == set()
-    assert _query(llm, rows[3:6]) == set()
+    assert _query(llm, rows[:2]) == _brute(rows[:2], 20)
+    assert _query(llm, rows[:1]) == Counter()
+    assert _query(llm, rows[3:6]) == Counter()
+
+
+def test_components_of_any_size(llm):
+    rows = [(0, [1.0, 2.0]), (1, [4e7, 1.0]), (2, [0.5, 0.5]), (20, [4e7, -1.0]), (3, [1e18, 1.0]), (4, [-1e30, 3e38]), (40, [1e30, 1e30]), (5, [3e9, 7.0])]
+    got = _query(llm, rows, k=3)
+    assert got == _brute(rows, 3) and got[0, 1, 4, (1 << 63) - 1] == 1
 
 
 def test_query_equals_its_sql(llm):

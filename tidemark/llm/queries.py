@@ -127,13 +127,13 @@ QUERIES = {
 ORACLES: dict[str, str] = {
     "op5_topk": """
         WITH v AS (
-            SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS g FROM embeddings
+            SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS g FROM embeddings
             WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
                 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)
         SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
-            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM (
-                SELECT q.vec_id AS query_id, d.vec_id, CAST(list_inner_product(q.g, d.g) AS BIGINT) AS score
-                FROM v q JOIN v d ON q.vec_id <> d.vec_id WHERE q.vec_id % 20 = 0))
+            SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS rank FROM (
+                SELECT q.r, q.vec_id AS query_id, d.vec_id, CAST(list_inner_product(q.g, d.g) AS BIGINT) AS score
+                FROM v q JOIN v d ON q.r <> d.r WHERE q.vec_id % 20 = 0))
         WHERE rank <= 20""",
     "op12_divergence": r"""
         WITH d AS (

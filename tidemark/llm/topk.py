@@ -24,25 +24,30 @@ from tidemark.llm.shared import checkpointed
 #: Vectors that pivots are drawn from, and pivots. Queries of one block and data rows of one slice, about.
 SAMPLE, PIVOTS = 4000, 48
 BLOCK, SLICE = 1024, 16_384
-#: Components beyond this size would not fit the scores; such vectors take no part.
-MOST = float(1 << 31)
-
-
-def grid(vector: Column, scale: int) -> Column:
-    """floor(scale * x) of each component, as longs."""
-    return F.transform(vector, lambda x: F.floor(x.cast("double") * scale).cast("long"))
 
 
 def usable(vector: Column) -> Column:
-    """Not null, and every component finite and within range."""
-    fine = F.forall(vector, lambda x: F.coalesce(F.abs(x.cast("double")) < MOST / 64, F.lit(False)))
+    """Not null, and every component finite."""
+    fine = F.forall(vector, lambda x: F.coalesce(F.abs(x.cast("double")) < float("inf"), F.lit(False)))
     return F.coalesce(vector.isNotNull() & fine, F.lit(False))
 
 
-def _matrix(column: pa.Array, width: int) -> np.ndarray:
-    """Vectors as rows of doubles, shorter ones filled with zeros."""
+def exact(vectors: np.ndarray, others: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Both matrices of whole numbers in a type that keeps their products exact: doubles, 64-bit numbers, or Python's."""
+    most = float(np.abs(vectors).max(initial=0)) * float(np.abs(others).max(initial=0)) * max(1, vectors.shape[1])
+    if most < 2.0**53:
+        return vectors, others
+    if most < 2.0**62:
+        return vectors.astype(np.int64), others.astype(np.int64)
+    whole = [np.array([[int(x) for x in row] for row in m], dtype=object).reshape(m.shape) for m in (vectors, others)]
+    return whole[0], whole[1]
+
+
+def _matrix(column: pa.Array, width: int, scale: int) -> np.ndarray:
+    """floor(scale * x) of vectors as rows of doubles, shorter ones filled with zeros."""
     sizes = np.diff(column.offsets.to_numpy())
     values = column.values.to_numpy(zero_copy_only=False)[column.offsets[0].as_py() : column.offsets[-1].as_py()].astype(np.float64)
+    values = np.floor(values * scale)
     if len(sizes) and (sizes == width).all():
         return values.reshape(-1, width)
     out = np.zeros((len(sizes), width))
@@ -88,8 +93,8 @@ def bounds(pivots: np.ndarray, reach: np.ndarray, nearest: dict[int, list[float]
 
 def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     """Places of the ``k`` highest scores, ties to smaller ids; ``ids`` ascend."""
-    if len(scores) <= k:
-        return np.argsort(-scores, kind="stable")
+    if len(scores) <= k or scores.dtype == object:
+        return np.argsort(-scores, kind="stable")[:k]
     edge = np.partition(scores, len(scores) - k)[len(scores) - k]
     above = np.flatnonzero(scores > edge)
     level = np.flatnonzero(scores == edge)[: k - len(above)]
@@ -101,26 +106,27 @@ def top_scores(vectors: DataFrame, key: str, vector: str, is_query: Column, *, k
     """``query_id``, ``rank`` (from 1), ``vec_id`` and ``score``: for each query its ``k`` highest integer inner products of floor(scale * x)
     with all other vectors (all, if fewer), ties to the smaller id. ``is_query`` is a condition on the column ``id``.
 
-    Vectors that are null or have a null, non-finite or huge component take no part, nor do null ids. Repeated rows count once; of
-    different vectors under one id the smallest counts. A shorter vector is filled with zeros. Equal vectors, however many, meet in
+    Vectors that are null or have a null or non-finite component take no part, nor do null ids. Finite components of any size are multiplied
+    exactly; a score beyond 64 bits is returned as the nearest 64-bit number. Repeated rows and rows of one id count each, as queries, too; a
+    row is never its own hit. A shorter vector is filled with zeros. Equal vectors, however many, meet in
     slices of bounded size. The driver sees a bounded sample, ``PIVOTS`` pivots and ``k`` distances of each.
     """
     named = vectors.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{vector}`").alias("v")).where(F.col("id").isNotNull() & usable(F.col("v")))
-    rows = named.select("id", grid(F.col("v"), scale).alias("v")).groupBy("id").agg(F.min("v").alias("v"))
-    rows = checkpointed(rows.withColumn("query", is_query))
+    numbered = named.select(F.monotonically_increasing_id().alias("row"), "id", F.col("v").cast("array<double>").alias("v"))
+    rows = checkpointed(numbered.withColumn("query", F.coalesce(is_query, F.lit(False))))
     empty = "query_id long, rank int, vec_id long, score long"
     width = rows.agg(F.max(F.size("v"))).first()[0]
     if width is None:
         return rows.sparkSession.createDataFrame([], empty)
     sample = rows.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("v").toArrow().column("v").combine_chunks()
-    pivots = choose_pivots(_matrix(sample, width), PIVOTS)
+    pivots = choose_pivots(_matrix(sample, width, scale), PIVOTS)
 
     def grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            near, distance = _nearest(_matrix(batch.column("v"), width), pivots)
+            near, distance = _nearest(_matrix(batch.column("v"), width, scale), pivots)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(near.astype(np.int32)), pa.array(distance)], [*batch.schema.names, "cell", "distance"])
 
-    cells = checkpointed(rows.mapInArrow(grouped, "id long, v array<long>, query boolean, cell int, distance double"))
+    cells = checkpointed(rows.mapInArrow(grouped, "row long, id long, v array<double>, query boolean, cell int, distance double"))
     # k + 1 distances, as one of them may be the query's own
     order = Window.partitionBy("cell").orderBy("distance", "id")
 
@@ -148,44 +154,49 @@ def top_scores(vectors: DataFrame, key: str, vector: str, is_query: Column, *, k
     def wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Data rows for each query group that may want them, and its blocks of queries."""
         for batch in batches:
-            x = _matrix(batch.column("v"), width)
+            x = _matrix(batch.column("v"), width, scale)
             highest = x @ pivots.T + reach[None, :] * np.sqrt((x**2).sum(axis=1))[:, None]
-            row, cell = np.nonzero((reach >= 0)[None, :] & (highest >= (least - slack)[None, :]))
-            part = (batch.column("id").to_numpy()[row].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64) % slices
-            taken = batch.select(["id", "v"]).take(pa.array(row))
+            # rounding is in proportion to the lengths of both vectors
+            blur = 1e-9 * np.sqrt((x**2).sum(axis=1))[:, None] * (np.sqrt((pivots**2).sum(axis=1)) + np.maximum(reach, 0))[None, :]
+            row, cell = np.nonzero((reach >= 0)[None, :] & (highest + blur >= (least - slack)[None, :]))
+            part = (batch.column("row").to_numpy()[row].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64) % slices
+            taken = batch.select(["row", "id", "v"]).take(pa.array(row))
             for block in range(int(blocks.max(initial=0))):
                 some = np.flatnonzero(blocks[cell] > block)
                 if len(some):
                     mine = taken.take(pa.array(some))
                     yield pa.RecordBatch.from_arrays(
                         [*mine.columns, pa.array(cell[some].astype(np.int32)), pa.array(np.full(len(some), block, dtype=np.int32)), pa.array(part[some].astype(np.int32))],
-                        ["id", "v", "cell", "block", "slice"],
+                        ["row", "id", "v", "cell", "block", "slice"],
                     )
 
-    # blocks by a hash of the id, about BLOCK queries each
+    # blocks by a hash of the row, about BLOCK queries each
     count = F.element_at(F.array(*[F.lit(max(1, int(n))) for n in blocks]), F.col("cell") + 1)
-    asked = cells.where("query").select("id", "v", "cell", F.pmod(F.xxhash64("id"), count).cast("int").alias("block"))
+    asked = cells.where("query").select("row", "id", "v", "cell", F.pmod(F.xxhash64("row"), count).cast("int").alias("block"))
     asked = asked.select("*", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("slice"))
-    offered = cells.select("id", "v").mapInArrow(wanted, "id long, v array<long>, cell int, block int, slice int")
+    offered = cells.select("row", "id", "v").mapInArrow(wanted, "row long, id long, v array<double>, cell int, block int, slice int")
 
     def solved(queries: pa.Table, data: pa.Table) -> pa.Table:
-        columns = {"query_id": pa.int64(), "vec_id": pa.int64(), "score": pa.int64()}
+        columns = {"query": pa.int64(), "query_id": pa.int64(), "vec_id": pa.int64(), "score": pa.int64()}
         if not queries.num_rows or not data.num_rows:
             return pa.table({c: pa.array([], t) for c, t in columns.items()})
-        data = data.sort_by("id")
-        ids, x = data["id"].to_numpy(), _matrix(data["v"].combine_chunks(), width)
-        asking, q = queries["id"].to_numpy(), _matrix(queries["v"].combine_chunks(), width)
-        if np.abs(x).max() * np.abs(q).max() * width >= 2**53:  # doubles would round
-            x, q = x.astype(np.int64), q.astype(np.int64)
+        data = data.sort_by([("id", "ascending"), ("row", "ascending")])
+        ids, places, x = data["id"].to_numpy(), data["row"].to_numpy(), _matrix(data["v"].combine_chunks(), width, scale)
+        q = _matrix(queries["v"].combine_chunks(), width, scale)
+        x, q = exact(x, q)
+        asking = list(zip(queries["row"].to_pylist(), queries["id"].to_pylist(), strict=True))
         found = []
         for start in range(0, len(q), 128):
-            for own, scores in zip(asking[start : start + 128], q[start : start + 128] @ x.T, strict=True):
+            for (row, own), scores in zip(asking[start : start + 128], q[start : start + 128] @ x.T, strict=True):
                 best = _best(scores, ids, k + 1)
-                best = best[ids[best] != own][:k]
-                found.append((np.full(len(best), own), ids[best], scores[best].astype(np.int64)))
+                best = best[places[best] != row][:k]
+                top = scores[best]
+                if top.dtype == object:
+                    top = np.array([min(max(s, -(1 << 63)), (1 << 63) - 1) for s in top.tolist()], dtype=np.int64)
+                found.append((np.full(len(best), row), np.full(len(best), own), ids[best], top.astype(np.int64)))
         return pa.table({c: pa.array(np.concatenate(v), t) for (c, t), v in zip(columns.items(), zip(*found, strict=True), strict=True)})
 
     on = ["cell", "block", "slice"]
-    parts = asked.groupBy(*on).cogroup(offered.groupBy(*on)).applyInArrow(solved, "query_id long, vec_id long, score long")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    parts = asked.groupBy(*on).cogroup(offered.groupBy(*on)).applyInArrow(solved, "query long, query_id long, vec_id long, score long")
+    rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "vec_id"))
     return parts.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
