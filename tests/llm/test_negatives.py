@@ -71,7 +71,7 @@ def test_odd_rows(llm):
 
 
 def test_components_of_any_size(llm):
-    rows = [(0, [4e5, 1.0], 1), (1, [3e8, 0.5], 1), (2, [2e8, 0.5], 2), (3, [1.0, 1.0], 2), (4, [1e30, 1.0], 1), (5, [-1e30, 3e38], 2), (6, [2.5e8, 8.0], 3)]
+    rows = [(0, [4e5, 1.0], 1), (1, [3e8, 0.5], 1), (2, [2e8, 0.5], 2), (3, [1.0, 1.0], 2), (4, [1e30, 1.0], 1), (5, [-1e30, 3e38], 2), (6, [2.5e8, 8.0], 3), (8, [1e29, 1.0], 1), (9, [1e31, 1.0], 1), (10, [1e32, 2.0], 1), (11, [1e33, 2.0], 1)]
     got = _query(llm, rows)
     assert got == _brute(rows) and got
 

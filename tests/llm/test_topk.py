@@ -14,9 +14,9 @@ def _brute(rows, k):
     out = Counter()
     for a, (key, v) in enumerate(fine):
         if key % 20 == 0:
-            scores = [(-sum(x * y for x, y in zip(v, w, strict=False)), other) for b, (other, w) in enumerate(fine) if b != a]
+            scores = [(-min(max(sum(x * y for x, y in zip(v, w, strict=False)), -(1 << 63)), (1 << 63) - 1), other) for b, (other, w) in enumerate(fine) if b != a]
             for r, (s, other) in enumerate(sorted(scores)[:k], start=1):
-                out[key, r, other, min(max(-s, -(1 << 63)), (1 << 63) - 1)] += 1
+                out[key, r, other, -s] += 1
     return out
 
 
@@ -53,9 +53,9 @@ def test_odd_rows(llm):
 
 
 def test_components_of_any_size(llm):
-    rows = [(0, [1.0, 2.0]), (1, [4e7, 1.0]), (2, [0.5, 0.5]), (20, [4e7, -1.0]), (3, [1e18, 1.0]), (4, [-1e30, 3e38]), (40, [1e30, 1e30]), (5, [3e9, 7.0])]
+    rows = [(0, [1.0, 2.0]), (1, [4e7, 1.0]), (2, [0.5, 0.5]), (20, [4e7, -1.0]), (3, [1e18, 1.0]), (4, [-1e30, 3e38]), (40, [1e30, 1e30]), (5, [3e9, 7.0]), (6, [-1e30, 0.0]), (60, [1e30, -1e30])]
     got = _query(llm, rows, k=3)
-    assert got == _brute(rows, 3) and got[0, 1, 4, (1 << 63) - 1] == 1
+    assert got == _brute(rows, 3) and got[0, 1, 3, (1 << 63) - 1] == 1
 
 
 def test_query_equals_its_sql(llm):

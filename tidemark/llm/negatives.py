@@ -69,28 +69,21 @@ def whole(column: pa.Array, width: int, scale: int) -> np.ndarray:
 
 
 def scores(anchors: np.ndarray, data: np.ndarray) -> np.ndarray:
-    """Inner products of all anchors with all candidates, exact."""
+    """Inner products of all anchors with all candidates, exact; one beyond 64 bits is set to the nearest 64-bit number."""
     highest = [max(abs(int(x.max(initial=0))), abs(int(x.min(initial=0)))) for x in (anchors, data)]
-    if highest[0] * highest[1] * max(1, anchors.shape[1]) >= 1 << 63:
-        anchors, data = anchors.astype(object), data.astype(object)
-    return strassen(anchors, np.ascontiguousarray(data.T))
-
-
-def _longs(values: list) -> pa.Array:
-    """Scores as 64-bit numbers; one beyond is set to the nearest."""
-    return pa.array([min(max(int(v), -(1 << 63)), (1 << 63) - 1) for v in values], pa.int64())
+    if highest[0] * highest[1] * max(1, anchors.shape[1]) < 1 << 63:
+        return strassen(anchors, np.ascontiguousarray(data.T))
+    out = strassen(anchors.astype(object), data.astype(object).T)
+    return np.array([[min(max(int(x), -(1 << 63)), (1 << 63) - 1) for x in row] for row in out], dtype=np.int64).reshape(out.shape)
 
 
 def first(order: np.ndarray, k: int) -> np.ndarray:
     """Places of the ``k`` highest of ``order``, earlier places first among equals."""
-    if order.dtype != object and len(order) > 4 * k:
+    if len(order) > 4 * k:
         edge = np.partition(order, len(order) - k)[len(order) - k]
         some = np.flatnonzero(order >= edge)
-        return some[np.argsort(-order[some], kind="stable")][:k]
-    return np.argsort(-order, kind="stable")[:k]
-
-
-_BOUNDED = {"anchor": pa.int64(), "row": pa.int64(), "id": pa.int64()}
+        return some[np.lexsort((some, ~order[some]))][:k]
+    return np.argsort(~order, kind="stable")[:k]
 
 
 class _Tile:
@@ -129,7 +122,7 @@ def _positives(anchors: pa.Table, data: pa.Table, width: int, scale: int, k: int
             place += (best + part.start).tolist()
             score += line[best].tolist()
     found = data.take(pc.sort_indices(data["id"], null_placement="at_end")).select(["row", "id"]).take(pa.array(place, pa.int64()))
-    return pa.table({"row": pa.array(own, pa.int64()), "positive_row": found["row"], "positive_id": found["id"], "positive_score": _longs(score)})
+    return pa.table({"row": pa.array(own, pa.int64()), "positive_row": found["row"], "positive_id": found["id"], "positive_score": pa.array(score, pa.int64())})
 
 
 def _negatives(anchors: pa.Table, data: pa.Table, width: int, scale: int, k: int, low: int, high: int) -> pa.Table:
@@ -151,7 +144,7 @@ def _negatives(anchors: pa.Table, data: pa.Table, width: int, scale: int, k: int
                 score += line[best].tolist()
     of = anchors.select(["row", "id", "positive_row", "positive_id", "positive_score"]).take(pa.array(pair, pa.int64()))
     found = data.take(pc.sort_indices(data["id"], null_placement="at_end")).select(["row", "id"]).take(pa.array(place, pa.int64()))
-    return pa.table({**{c: of[c] for c in of.column_names}, "negative_row": found["row"], "negative_id": found["id"], "negative_score": _longs(score)})
+    return pa.table({**{c: of[c] for c in of.column_names}, "negative_row": found["row"], "negative_id": found["id"], "negative_score": pa.array(score, pa.int64())})
 
 
 def mine(
@@ -164,7 +157,7 @@ def mine(
 
     Rows with a null label, a null vector or a null or non-finite component take no part. A null id is never an anchor's and comes last among
     ties. Repeated rows and rows of one id each count, as anchors too; a row is never its own positive. A shorter vector is filled with zeros. Finite
-    components of any size are multiplied exactly; a score beyond 64 bits is returned as the nearest 64-bit number, and taken as that for its window.
+    components of any size are multiplied exactly; a score beyond 64 bits counts as the nearest 64-bit number.
     A negative positive score has an empty window. An empty table gives an empty result. Other columns are left out.
     """
     named = vectors.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{vector}`").alias("v"), F.col(f"`{label}`").alias("label"))

@@ -93,13 +93,15 @@ def bounds(pivots: np.ndarray, reach: np.ndarray, nearest: dict[int, list[float]
 
 def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     """Places of the ``k`` highest scores, ties to smaller ids; ``ids`` ascend."""
-    if len(scores) <= k or scores.dtype == object:
-        return np.argsort(-scores, kind="stable")[:k]
+    # the lowest 64-bit number has no negative
+    down = -scores if scores.dtype.kind == "f" else ~scores
+    if len(scores) <= k:
+        return np.argsort(down, kind="stable")
     edge = np.partition(scores, len(scores) - k)[len(scores) - k]
     above = np.flatnonzero(scores > edge)
     level = np.flatnonzero(scores == edge)[: k - len(above)]
     both = np.sort(np.concatenate([above, level]))
-    return both[np.argsort(-scores[both], kind="stable")]
+    return both[np.argsort(down[both], kind="stable")]
 
 
 def top_scores(vectors: DataFrame, key: str, vector: str, is_query: Column, *, k: int = 20, scale: int = 64) -> DataFrame:
@@ -107,7 +109,7 @@ def top_scores(vectors: DataFrame, key: str, vector: str, is_query: Column, *, k
     with all other vectors (all, if fewer), ties to the smaller id. ``is_query`` is a condition on the column ``id``.
 
     Vectors that are null or have a null or non-finite component take no part, nor do null ids. Finite components of any size are multiplied
-    exactly; a score beyond 64 bits is returned as the nearest 64-bit number. Repeated rows and rows of one id count each, as queries, too; a
+    exactly; a score beyond 64 bits counts as the nearest 64-bit number. Repeated rows and rows of one id count each, as queries, too; a
     row is never its own hit. A shorter vector is filled with zeros. Equal vectors, however many, meet in
     slices of bounded size. The driver sees a bounded sample, ``PIVOTS`` pivots and ``k`` distances of each.
     """
@@ -147,6 +149,8 @@ def top_scores(vectors: DataFrame, key: str, vector: str, is_query: Column, *, k
     for r in cells.where("query").groupBy("cell").agg(F.max("distance").alias("u"), F.count("*").alias("n")).collect():
         reach[r["cell"]], blocks[r["cell"]] = r["u"] * (1 + 1e-9) + 1e-6, -(-r["n"] // BLOCK)
     least = bounds(pivots, reach, nearest, k + 1)
+    # beyond 64 bits all scores are level
+    least = np.where(least < -(2.0**63), -np.inf, np.minimum(least, 2.0**63 * (1 - 1e-9)))
     slack = 1e-9 * (1 + np.abs(np.where(np.isfinite(least), least, 0)))
     total = {r["cell"]: r["n"] for r in cells.groupBy("cell").agg(F.count("*").alias("n")).collect()}
     slices = max(1, -(-sum(total.values()) // SLICE))
@@ -188,12 +192,11 @@ def top_scores(vectors: DataFrame, key: str, vector: str, is_query: Column, *, k
         found = []
         for start in range(0, len(q), 128):
             for (row, own), scores in zip(asking[start : start + 128], q[start : start + 128] @ x.T, strict=True):
+                if scores.dtype == object:
+                    scores = np.array([min(max(s, -(1 << 63)), (1 << 63) - 1) for s in scores.tolist()], dtype=np.int64)
                 best = _best(scores, ids, k + 1)
                 best = best[places[best] != row][:k]
-                top = scores[best]
-                if top.dtype == object:
-                    top = np.array([min(max(s, -(1 << 63)), (1 << 63) - 1) for s in top.tolist()], dtype=np.int64)
-                found.append((np.full(len(best), row), np.full(len(best), own), ids[best], top.astype(np.int64)))
+                found.append((np.full(len(best), row), np.full(len(best), own), ids[best], scores[best].astype(np.int64)))
         return pa.table({c: pa.array(np.concatenate(v), t) for (c, t), v in zip(columns.items(), zip(*found, strict=True), strict=True)})
 
     on = ["cell", "block", "slice"]
