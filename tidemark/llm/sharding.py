@@ -73,7 +73,9 @@ def deal(rows: DataFrame, *order: Column, shards: int, seed: int) -> DataFrame:
     """
     kept = rows.drop("row_number", "shard", "slot")
     tie = F.xxhash64(*[F.to_json(F.struct(F.col(f"`{c}`"))) if "map" in kind else F.col(f"`{c}`") for c, kind in kept.dtypes])
-    placed, firsts = number_rows(kept, *order, tie)
+    # the input's columns stay inside a struct, whatever their names
+    packed = kept.select(F.struct(*[F.col(f"`{c}`") for c in kept.columns]).alias("row"), *[o.alias(f"o{i}") for i, o in enumerate([*order, tie])])
+    placed, firsts = number_rows(packed, *[F.col(f"o{i}") for i in range(len(order) + 1)])
     size, starts = firsts[-1], np.array(firsts)
 
     @F.pandas_udf("row_number long, shard int, slot long")
@@ -82,5 +84,4 @@ def deal(rows: DataFrame, *order: Column, shards: int, seed: int) -> DataFrame:
         spot = permute(number, size, seed)
         return pd.DataFrame({"row_number": number, "shard": (spot % shards).astype(np.int32), "slot": spot // shards})
 
-    columns = [F.col(f"`{c}`") for c in kept.columns]
-    return placed.select(*columns, dealt("_part", "_place").alias("_dealt")).select(*columns, "_dealt.*")
+    return placed.select("row", dealt("_part", "_place").alias("dealt")).select(*[F.col("row")[c].alias(c) for c in kept.columns], "dealt.*")
