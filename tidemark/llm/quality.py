@@ -160,7 +160,11 @@ def score(model: Crf, texts: list[str]) -> np.ndarray:
 
 
 def train(docs: DataFrame, labels: DataFrame, *, folds: int = 5, held_out: int = 0, most: int = SAMPLE) -> Crf:
-    """The model from ``labels.quality``, without the held-out fold. Without labels of both kinds it gives every text their rate."""
+    """The model from ``labels.quality``, without the held-out fold. Without labels of both kinds, empty tables included, it gives every text their rate.
+
+    Null ids and labels do not teach; of several labels of one id the smallest counts, equal texts teach once, with the label that most of them have. A
+    null text is the empty one. Texts of more than ``SAMPLE_LINES`` lines do not teach. Other columns are not read.
+    """
 
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -185,7 +189,7 @@ def train(docs: DataFrame, labels: DataFrame, *, folds: int = 5, held_out: int =
 
 
 def score_column(model: Crf, text: Column) -> Column:
-    """The quality of a text column; a null text is the empty text."""
+    """The quality of a text column, from 0 to 1: a null text is the empty text, very long texts are scored whole, equal texts score alike."""
 
     @F.pandas_udf("double")
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

@@ -145,7 +145,11 @@ def _counted(sample: DataFrame, of: callable) -> DataFrame:
 
 def train(docs: DataFrame, labels: DataFrame, *, folds: int = 4, held_out: int = 2, most: int = SAMPLE) -> Lexicon:
     """Lexicon, exceptions and curve from ``labels.toxic``, without the held-out fold. Without labels of both kinds every text gets their
-    rate (0 without any)."""
+    rate (0 without any, as with empty tables).
+
+    Null ids and labels do not teach; of several labels of one id the smallest counts, equal texts teach once, with the label that most of them have. A
+    null text is the empty one; very long texts teach whole. Entries of equal weight are taken in their order. Other columns are not read.
+    """
     sample = labelled_sample(docs, labels, "toxic", folds=folds, held_out=held_out, most=most)
     known = {int(r["label"] > 0): r["n"] for r in sample.groupBy((F.col("label") > 0).alias("label")).agg(F.count("*").alias("n")).collect()}
     toxic, clean = known.get(1, 0), known.get(0, 0)
@@ -178,7 +182,7 @@ def train(docs: DataFrame, labels: DataFrame, *, folds: int = 4, held_out: int =
 
 
 def score_column(lexicon: Lexicon, text: Column) -> Column:
-    """The toxicity of a text column from 0 to 1; a null text is the empty text."""
+    """The toxicity of a text column from 0 to 1: a null text is the empty text, very long texts are scored whole, equal texts score alike."""
 
     @F.pandas_udf("double")
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
