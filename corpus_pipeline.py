@@ -4,6 +4,9 @@
 tables (for labels), and returns a DataFrame. ``run`` writes each stage's rows as parquet in the shared folder and reads them
 back, so a lost executor never costs more than one stage. All stages but the last return the columns of the documents.
 
+In every stage a null text is the empty one, very long texts are taken whole, an empty table gives an empty one, and rows that are equal throughout
+are treated alike but for the near copies, of which one row stays.
+
 No SQL twin: the classifiers and the near-duplicate components cannot be said in SQL.
 """
 
@@ -23,25 +26,27 @@ DECISION = 0.3
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops what the quality classifier rejects."""
+    """Drops what the quality classifier rejects. Rows without labels, or with a null id, are scored like any other."""
     model = quality.train(docs, with_package(spark).read.parquet(f"{sf_dir}/labels.parquet"), folds=5, held_out=0)
     return docs.where(quality.score_column(model, F.col("text")) >= DECISION)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops what the toxicity classifier rejects."""
+    """Drops what the toxicity classifier rejects. Rows without labels, or with a null id, are scored like any other."""
     lexicon = toxicity.train(docs, with_package(spark).read.parquet(f"{sf_dir}/labels.parquet"), folds=4, held_out=2)
     return docs.where(toxicity.score_column(lexicon, F.col("text")) < DECISION)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of the smallest id of each near-duplicate component."""
+    """Keeps the document of the smallest id of each near-duplicate component, one row where several have it; texts without words are near copies of
+    each other."""
     with_package(spark)
     return simhash.one_per_group(docs, "doc_id", "text", shingle=3, seed=42, reach=3)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Takes every document as often as the mix does: sources weigh 3, 1, 2 in turn and share 150% of all words, none more than twice its own."""
+    """Takes every document as often as the mix does: sources weigh 3, 1, 2 in turn and share 150% of all words, none more than twice its own. A null
+    source is one like any other, and the last."""
     with_package(spark)
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0))
     mixed = mixing.mix(docs, F.col("doc_id"), F.col("source"), size, weights=(3, 1, 2), share=1.5, most=2, shards=24, seed=20)
@@ -49,7 +54,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The byte-level token ids of every row, with their digests."""
+    """The byte-level token ids of every row, with their digests; repeated rows give a row each."""
     with_package(spark)
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return bpe.encode(docs, "doc_id", "text", ranks=ranks, pattern=public_tokenizers.PATTERN, with_ids=True, keep_tables=False)
