@@ -237,9 +237,10 @@ def gradients(p: dict, shape: Shape, source: np.ndarray, target: np.ndarray, ali
     return grads, rows, h, len(goal)
 
 
-def train(p: dict, shape: Shape, docs: list[np.ndarray], squares: dict, rate: float = 0.35, width: int = 256, seed: int = 0) -> int:
-    """One pass over ``docs`` in place, a step of Adagrad per window; ``squares`` are its running sums. Returns the symbols seen."""
-    laid = even_lines(docs, width, seed)
+def train(p: dict, shape: Shape, docs: list[np.ndarray], squares: dict, rate: float = 0.4, width: int = 512, seed: int = 0) -> int:
+    """One pass over ``docs`` in place, a step of Adagrad per window; ``squares`` are its running sums. Streams last a few windows at least. Returns
+    the symbols seen."""
+    laid = even_lines(docs, min(width, max(1, sum(map(len, docs)) // (4 * WINDOW))), seed)
     h = np.zeros((len(laid.lengths), shape.hidden), dtype=F32)
     for source, target, _, alive in laid.windows(shape.words + shape.tails):
         grads, rows, h, n = gradients(p, shape, source, target, alive, h)

@@ -17,6 +17,7 @@ import uuid
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -156,7 +157,7 @@ class Model:
 def _symbols(model_words: int, tail_of: np.ndarray, head: dict[bytes, int], tokens: list[bytes]) -> np.ndarray:
     """Symbols of words: the place among the modelled words, else the tail class."""
     get = head.get
-    at = np.fromiter((get(w, -1) for w in tokens), dtype=np.int64, count=len(tokens))
+    at = np.fromiter(map(get, tokens, repeat(-1)), dtype=np.int64, count=len(tokens))
     beyond = np.flatnonzero((at < 0) | (at >= model_words))
     if len(beyond):
         at[beyond] = model_words + tail_of[np.fromiter((tokens[i][-1] for i in beyond.tolist()), dtype=np.int64, count=len(beyond))]
@@ -313,16 +314,16 @@ def score(docs: DataFrame, doc_id: str, text: str, *, folds: int = 7, held_out:
         n = F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long") + 1
         zero = F.lit(0.0)
         return rows.select("doc_id", "held_out", n.alias("n_tokens"), F.lit(0).cast("long").alias("n_known"), F.lit(0).cast("long").alias("train_tokens"), zero.alias("base_score"), zero.alias("score"))
-    shared = spark.sparkContext.broadcast(model)
+    # what a word of the common ones adds to a score is the same everywhere
+    modelled = model.shape.words
+    inner = np.zeros(len(model.head))
+    if len(model.head) > modelled:
+        rest = list(model.head)[modelled:]
+        inner[modelled:] = model.within(model.counts[modelled:], model.tail_of[np.array([w[-1] for w in rest])], model.letters.spell(rest))
+    shared = spark.sparkContext.broadcast((model, inner, model.base(model.counts)))
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m: Model = shared.value
-        modelled = m.shape.words
-        inner = np.zeros(len(m.head))
-        if len(m.head) > modelled:
-            rest = list(m.head)[modelled:]
-            inner[modelled:] = m.within(m.counts[modelled:], m.tail_of[np.array([w[-1] for w in rest])], m.letters.spell(rest))
-        base = m.base(m.counts)
+        m, inner, base = shared.value
         get = m.head.get
         for batch in text_slices(batches, "text", TAKEN):
             for start in range(0, batch.num_rows, 10_000):
@@ -332,7 +333,7 @@ def score(docs: DataFrame, doc_id: str, text: str, *, folds: int = 7, held_out:
                 for i, t in enumerate(part.column("text").to_pylist()):
                     tokens = words(t)
                     tokens.append(END)
-                    at = np.fromiter([get(w, -1) for w in tokens], dtype=np.int64, count=len(tokens))
+                    at = np.fromiter(map(get, tokens, repeat(-1)), dtype=np.int64, count=len(tokens))
                     inside = at[at >= 0]
                     sums[i], knowns[i], within[i] = base[inside].sum(), len(inside), inner[inside].sum()
                     beyond = np.flatnonzero(at >= modelled)
@@ -357,12 +358,15 @@ def score(docs: DataFrame, doc_id: str, text: str, *, folds: int = 7, held_out:
                 if flat:
                     at = np.repeat([i for i, _ in rare], [len(f) for _, f in rare])
                     k = len(flat)
+                    # a word is spelled once, however many documents have it
+                    known = {w: i for i, w in enumerate(dict.fromkeys(flat))}
+                    spelled = m.letters.spell(list(known))[np.fromiter(map(known.__getitem__, flat), dtype=np.int64, count=k)]
                     tails = m.tail_of[np.fromiter([w[-1] for w in flat], dtype=np.int64, count=k)].astype(np.int32)
                     times = np.fromiter((c for _, found in rare for c in found.values()), dtype=np.int64, count=k)
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array(own[at]), pa.array(flat, pa.binary()), pa.array(times), none(k, pa.int64()), none(k, pa.float64()), none(k, pa.float64()),
-                            pa.array(m.letters.spell(flat)), pa.array(tails), none(k, pa.int64()), none(k, pa.bool_()),
+                            pa.array(spelled), pa.array(tails), none(k, pa.int64()), none(k, pa.bool_()),
                         ],
                         _NAMES,
                     )
