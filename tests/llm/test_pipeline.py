@@ -12,7 +12,7 @@ SF_DIR = "/root/testdata/sf0.001"
 def test_pipeline_is_registered():
     assert driver.queries()["pipeline"] is corpus_pipeline.run
     names = [n.split("_")[0] for n in queries.QUERIES]
-    assert names == [f"op{i}" for i in range(1, 11)]
+    assert names == [f"op{i}" for i in range(1, 14)]
 
 
 def test_stages_over_the_documents(llm):

@@ -32,6 +32,16 @@ def usable(vector: Column) -> Column:
     return F.coalesce(vector.isNotNull() & fine, F.lit(False))
 
 
+def grid(vector: Column, scale: int) -> Column:
+    """floor(scale * x) of each component, as whole doubles: every finite one fits, and small ones compress well."""
+
+    def floor(x: Column) -> Column:
+        near = F.rint(x.cast("double") * scale)
+        return near - F.when(near > x.cast("double") * scale, 1.0).otherwise(0.0)
+
+    return F.transform(vector, floor)
+
+
 def exact(vectors: np.ndarray, others: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Both matrices of whole numbers in a type that keeps their products exact: doubles, 64-bit numbers, or Python's."""
     most = float(np.abs(vectors).max(initial=0)) * float(np.abs(others).max(initial=0)) * max(1, vectors.shape[1])
@@ -43,11 +53,10 @@ def exact(vectors: np.ndarray, others: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return whole[0], whole[1]
 
 
-def _matrix(column: pa.Array, width: int, scale: int) -> np.ndarray:
-    """floor(scale * x) of vectors as rows of doubles, shorter ones filled with zeros."""
+def _matrix(column: pa.Array, width: int) -> np.ndarray:
+    """Vectors as rows of doubles, shorter ones filled with zeros."""
     sizes = np.diff(column.offsets.to_numpy())
     values = column.values.to_numpy(zero_copy_only=False)[column.offsets[0].as_py() : column.offsets[-1].as_py()].astype(np.float64)
-    values = np.floor(values * scale)
     if len(sizes) and (sizes == width).all():
         return values.reshape(-1, width)
     out = np.zeros((len(sizes), width))
@@ -114,18 +123,18 @@ def top_scores(vectors: DataFrame, key: str, vector: str, is_query: Column, *, k
     slices of bounded size. The driver sees a bounded sample, ``PIVOTS`` pivots and ``k`` distances of each.
     """
     named = vectors.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{vector}`").alias("v")).where(F.col("id").isNotNull() & usable(F.col("v")))
-    numbered = named.select(F.monotonically_increasing_id().alias("row"), "id", F.col("v").cast("array<double>").alias("v"))
+    numbered = named.select(F.monotonically_increasing_id().alias("row"), "id", grid(F.col("v"), scale).alias("v"))
     rows = checkpointed(numbered.withColumn("query", F.coalesce(is_query, F.lit(False))))
     empty = "query_id long, rank int, vec_id long, score long"
     width = rows.agg(F.max(F.size("v"))).first()[0]
     if width is None:
         return rows.sparkSession.createDataFrame([], empty)
     sample = rows.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("v").toArrow().column("v").combine_chunks()
-    pivots = choose_pivots(_matrix(sample, width, scale), PIVOTS)
+    pivots = choose_pivots(_matrix(sample, width), PIVOTS)
 
     def grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            near, distance = _nearest(_matrix(batch.column("v"), width, scale), pivots)
+            near, distance = _nearest(_matrix(batch.column("v"), width), pivots)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(near.astype(np.int32)), pa.array(distance)], [*batch.schema.names, "cell", "distance"])
 
     cells = checkpointed(rows.mapInArrow(grouped, "row long, id long, v array<double>, query boolean, cell int, distance double"))
@@ -158,7 +167,7 @@ def top_scores(vectors: DataFrame, key: str, vector: str, is_query: Column, *, k
     def wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Data rows for each query group that may want them, and its blocks of queries."""
         for batch in batches:
-            x = _matrix(batch.column("v"), width, scale)
+            x = _matrix(batch.column("v"), width)
             highest = x @ pivots.T + reach[None, :] * np.sqrt((x**2).sum(axis=1))[:, None]
             # rounding is in proportion to the lengths of both vectors
             blur = 1e-9 * np.sqrt((x**2).sum(axis=1))[:, None] * (np.sqrt((pivots**2).sum(axis=1)) + np.maximum(reach, 0))[None, :]
@@ -185,8 +194,8 @@ def top_scores(vectors: DataFrame, key: str, vector: str, is_query: Column, *, k
         if not queries.num_rows or not data.num_rows:
             return pa.table({c: pa.array([], t) for c, t in columns.items()})
         data = data.sort_by([("id", "ascending"), ("row", "ascending")])
-        ids, places, x = data["id"].to_numpy(), data["row"].to_numpy(), _matrix(data["v"].combine_chunks(), width, scale)
-        q = _matrix(queries["v"].combine_chunks(), width, scale)
+        ids, places, x = data["id"].to_numpy(), data["row"].to_numpy(), _matrix(data["v"].combine_chunks(), width)
+        q = _matrix(queries["v"].combine_chunks(), width)
         x, q = exact(x, q)
         asking = list(zip(queries["row"].to_pylist(), queries["id"].to_pylist(), strict=True))
         found = []
