@@ -1,6 +1,8 @@
 """The plain upsert and the guarded update as keyed state: a stream of changes that looks nothing up in the tables.
 
-State holds, per customer, that the customer is known and the place of the last event applied. It starts from the keys of a table. A
+State holds, per customer, that the customer is known and the place of the last event applied. It starts from the keys of a table. Customers
+are kept in parts by a hash, one value of the state store for each, and a part's events are handled together: a call between the store
+and Python costs milliseconds, so there is one per part and batch, not one per customer. A
 batch's records give one change row per customer with a newer event, marked ``fresh`` where the customer was not known; events of
 unknown customers are rejects where the rule never inserts. As places are compared, not batches, an event that arrives late in
 another batch does not undo a newer one.
@@ -16,8 +18,9 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.query import StreamingQuery
@@ -39,19 +42,27 @@ PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 
 KEY = "customer_id"
 
+#: What a part's state holds of each of its customers, in order of their ids.
+KNOWN = np.dtype([("id", "<i8"), ("offset", "<i8"), ("partition", "<i4")])
+
 PLACES = {"offset": "bigint", "partition": "int", "first_offset": "bigint", "first_partition": "int"}
 
 
 @dataclass(frozen=True)
 class KeyedJob:
     """``name`` identifies the job's checkpoint. ``columns`` of ``table`` are written; with ``insert`` unknown customers get a row, else their
-    events are rejects."""
+    events are rejects. ``parts`` is the number of parts that the customers are kept in, fixed for a checkpoint: a part should have some
+    thousands of customers, at 20 bytes each."""
 
     name: str
     group: str
     table: str
     columns: tuple[str, ...]
     insert: bool
+    parts: int = 512
+
+    def part(self, customer: Column) -> Column:
+        return F.pmod(F.xxhash64(customer.cast("bigint")), F.lit(self.parts)).cast("bigint")
 
     def project(self, log: DataFrame) -> DataFrame:
         return p.project_staff(log) if self.insert else p.project_skin(log)
@@ -67,7 +78,7 @@ def skin_state(name: str, group: str) -> KeyedJob:
 
 def _schema(job: KeyedJob) -> dict[str, str]:
     """Columns of the rows that go in and come out."""
-    kinds = {"kind": "string", "id": "bigint", "topic": "string", **PLACES, "fresh": "boolean", "key": "string", "value": "string", "reason": "string"}
+    kinds = {"kind": "string", "part": "bigint", "id": "bigint", "topic": "string", **PLACES, "fresh": "boolean", "key": "string", "value": "string", "reason": "string"}
     return {**kinds, **{name: TABLES[job.table][name] for name in job.columns}}
 
 
@@ -76,12 +87,13 @@ def _ddl(columns: dict[str, str]) -> str:
 
 
 def _in_band(projected: DataFrame, job: KeyedJob) -> DataFrame:
-    """One row per record, with its kind. The id of a record that is no event is its partition."""
+    """One row per record, with its kind. Id and part of a record that is no event are its partition."""
     event = F.col("reason").isNull()
     if not job.insert:
         projected = projected.filter(F.col("reason").isNotNull() | (F.col(KEY) != 0))
     values = {
         "kind": F.when(event, EVENT).otherwise(BAD),
+        "part": F.when(event, job.part(F.col(KEY))).otherwise(F.col("partition").cast("bigint")),
         "id": F.when(event, F.col(KEY)).otherwise(F.col("partition").cast("bigint")),
         "first_offset": F.col("offset"),
         "first_partition": F.col("partition"),
@@ -96,7 +108,8 @@ def _in_band(projected: DataFrame, job: KeyedJob) -> DataFrame:
 def _ends(records: DataFrame, job: KeyedJob) -> DataFrame:
     """A row for every record's place, whatever it is, to be folded to the last offset of its partition."""
     first = [F.col("offset").alias("first_offset"), F.col("partition").alias("first_partition")]
-    ends = records.select(F.lit(END).alias("kind"), F.col("partition").cast("bigint").alias("id"), "topic", "offset", "partition", *first)
+    places = [F.col("partition").cast("bigint").alias(name) for name in ("part", "id")]
+    ends = records.select(F.lit(END).alias("kind"), *places, "topic", "offset", "partition", *first)
     missing = {name: kind for name, kind in _schema(job).items() if name not in ends.columns}
     ends = ends.withColumns({name: F.lit(None).cast(kind) for name, kind in missing.items()})
     return ends.select(*_schema(job))
@@ -119,16 +132,43 @@ def _prefold(frames: Iterator[pd.DataFrame], insert: bool, columns: list[str]) -
         yield pd.concat([part for part in out if len(part)])[columns] if len(rows) else rows[columns]
 
 
+def _placed(ids: np.ndarray, offsets: np.ndarray | int = -1, partitions: np.ndarray | int = -1) -> np.ndarray:
+    """Rows of ``KNOWN``; without a place, none of the customer's events is applied yet."""
+    rows = np.empty(len(ids), dtype=KNOWN)
+    rows["id"], rows["offset"], rows["partition"] = ids, offsets, partitions
+    return rows
+
+
+def _with(known: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """``known`` with ``rows`` in the place of what it has of their customers. Ids in ``rows`` are distinct."""
+    both = np.concatenate([known[~np.isin(known["id"], rows["id"])], rows])
+    return both[np.argsort(both["id"], kind="stable")]
+
+
+def _added(known: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """``known`` with the customers ``ids`` that it lacks."""
+    missing = np.setdiff1d(ids, known["id"])
+    return _with(known, _placed(missing)) if len(missing) else known
+
+
 class _LastWrite(StatefulProcessor):
-    def __init__(self, insert: bool, columns: list[str]):
+    """``joins``: customers may be added by rows of a batch, which can come after their events."""
+
+    def __init__(self, insert: bool, joins: bool, columns: list[str]):
         self.insert = insert
+        self.joins = joins
         self.columns = columns
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.place = handle.getValueState("place", "offset bigint, partition int")
+        self.state = handle.getValueState("known", "customers binary")
+
+    def _known(self) -> np.ndarray:
+        held = bytes(self.state.get()[0]) if self.state.exists() else b""
+        return np.frombuffer(held, dtype=KNOWN)
 
     def handleInitialState(self, key, initialState, timerValues) -> None:
-        self.place.update((-1, -1))
+        # called once for every Arrow batch of the part's rows
+        self.state.update((_added(self._known(), initialState["id"].to_numpy(dtype=np.int64)).tobytes(),))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         kind = key[0]
@@ -141,31 +181,44 @@ class _LastWrite(StatefulProcessor):
             yield from self._events(rows)
 
     def _events(self, rows) -> Iterator[pd.DataFrame]:
-        known = self.place.exists()
-        applied = tuple(self.place.get()) if known else (-1, -1)
-        unknown, newest = [], None
+        before = self._known()
+        known, unknown, newest = before, [], None
         for frame in rows:
             joining = frame["reason"] == JOIN
             if joining.any():
-                known = True
+                known = _added(known, frame.loc[joining, "id"].to_numpy(dtype=np.int64))
                 frame = frame[~joining]
-            if not known and not self.insert:
-                unknown.append(frame)  # of one batch, bounded by the intake cap
-            elif len(frame):
+            if not self.insert:
+                strange = ~frame["id"].isin(known["id"])
+                if self.joins:
+                    unknown.append(frame[strange])  # of one batch, bounded by the intake cap
+                elif strange.any():
+                    yield self._rejects(frame[strange])
+                frame = frame[~strange]
+            if len(frame):
                 newest = _last(frame if newest is None else pd.concat([newest, frame]), ["id"])
-        if unknown and not known:
-            yield pd.concat(unknown).assign(kind=REJECT, reason="unknown_customer")[self.columns]
-            return
         if unknown:
-            newest = _last(pd.concat([*unknown, *([] if newest is None else [newest])]), ["id"])
-        fresh = not known
-        if newest is not None and len(newest):
-            place = (int(newest["offset"].iloc[0]), int(newest["partition"].iloc[0]))
-            if place > applied:
-                self.place.update(place)
-                yield newest.assign(fresh=fresh)[self.columns]
-        elif known and not self.place.exists():
-            self.place.update(applied)
+            late = pd.concat(unknown)
+            strange = ~late["id"].isin(known["id"])
+            if strange.any():
+                yield self._rejects(late[strange])
+            if not strange.all():
+                late = late[~strange]
+                newest = _last(late if newest is None else pd.concat([newest, late]), ["id"])
+        if newest is not None:
+            ids, offsets, partitions = (newest[name].to_numpy(dtype=np.int64) for name in ("id", "offset", "partition"))
+            fresh = ~np.isin(ids, known["id"])
+            applied = _added(known, ids)
+            applied = applied[np.searchsorted(applied["id"], ids)]
+            newer = (offsets > applied["offset"]) | ((offsets == applied["offset"]) & (partitions > applied["partition"]))
+            if newer.any():
+                known = _with(known, _placed(ids[newer], offsets[newer], partitions[newer]))
+                yield newest.assign(fresh=fresh)[self.columns][newer]
+        if known is not before:
+            self.state.update((known.tobytes(),))
+
+    def _rejects(self, events: pd.DataFrame) -> pd.DataFrame:
+        return events.assign(kind=REJECT, reason="unknown_customer")[self.columns]
 
     def close(self) -> None:
         pass
@@ -180,13 +233,15 @@ def changes(records: DataFrame, job: KeyedJob, known: DataFrame, joining: DataFr
     rows = _in_band(job.project(records), job).unionByName(_ends(records, job))
     if joining is not None:
         places = [F.lit(0).cast(kind).alias(name) for name, kind in PLACES.items()]  # whole numbers stay whole in pandas only without nulls
-        added = joining.select(F.lit(EVENT).alias("kind"), F.col(KEY).cast("bigint").alias("id"), *places, F.lit(JOIN).alias("reason"))
+        customer = joining.filter(F.col(KEY).isNotNull()).select(F.lit(EVENT).alias("kind"), job.part(F.col(KEY)).alias("part"), F.col(KEY).cast("bigint").alias("id"), *places)
+        added = customer.withColumn("reason", F.lit(JOIN))
         rows = rows.unionByName(added, allowMissingColumns=True)
     insert = job.insert
     folded = rows.mapInPandas(lambda frames: _prefold(frames, insert, columns), _ddl(schema))
-    initial = known.select(F.lit(EVENT).alias("kind"), F.col(KEY).cast("bigint").alias("id")).distinct()
-    return folded.groupBy("kind", "id").transformWithStateInPandas(
-        _LastWrite(insert, columns), _ddl(schema), "Append", "None", initialState=initial.groupBy("kind", "id")
+    customers = known.filter(F.col(KEY).isNotNull()).select(F.col(KEY).cast("bigint").alias("id")).distinct()
+    initial = customers.select(F.lit(EVENT).alias("kind"), job.part(F.col("id")).alias("part"), "id")
+    return folded.groupBy("kind", "part").transformWithStateInPandas(
+        _LastWrite(insert, joining is not None, columns), _ddl(schema), "Append", "None", initialState=initial.groupBy("kind", "part")
     )
 
 
