@@ -234,6 +234,23 @@ def test_resumed_scan_opens_pending_ranges_only(spark):
         scan_ranges(spark, path, {"t": {0: 60, 1: 21}}, bits=3).count()
 
 
+def test_folders_of_a_laid_out_log_do_not_grow_with_it(spark, monkeypatch):
+    monkeypatch.setattr("tidemark.sources.records.MOST_FOLDERS", 8, raising=False)
+    path = scratch.new_path(spark, "ranges")
+    log = log_of(spark, [(part, off, {"a": off}) for part in range(2) for off in range(0, 256, 2)])
+    write_ranges(log.filter("offset < 200"), path, bits=2)
+    write_ranges(log.filter("offset >= 200"), path, bits=2)
+    folders = {name.rsplit("/", 1)[0] for name in scan_ranges(spark, path).inputFiles()}
+    assert len(folders) <= 2 * (8 + 2)
+    for starts in ({0: 0, 1: 3}, {0: 77, 1: 200}, {0: 198, 1: 255}, {0: 256, 1: 31}):
+        rows = scan_ranges(spark, path, {"t": starts}, bits=2)
+        want = [(part, off) for part in range(2) for off in range(0, 256, 2) if off >= starts[part]]
+        assert rows_of(rows, "partition", "offset") == sorted(want, key=repr)
+    done = [name for name in scan_ranges(spark, path).inputFiles() if "partition=0" in name]
+    _spoil(spark, done[0].rsplit("/", 1)[0].removeprefix("file://"))
+    assert scan_ranges(spark, path, {"t": {0: 256}}, bits=2).count() == 128
+
+
 def test_customer_batch_opens_the_buckets_it_hits_only(spark):
     base = table_of(spark, "base", [{"id": i, "customer_id": i} for i in range(1, 60)])
     oa = table_of(spark, "oa", [{"base_id": i, "customer_id": 77 if i == 5 else i, "customer_grade": 0} for i in range(1, 60)])

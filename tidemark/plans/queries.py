@@ -79,7 +79,8 @@ def resume_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The log laid out by ranges of 2^14 offsets, scanned from the ledger's offsets on."""
     path = new_path(spark, "ranges")
     write_ranges(logs.order_log(spark, sf_dir), path, bits=14)
-    return scan_ranges(spark, path, ledger.stored_offsets(_order_ledger(spark, sf_dir), GROUP), bits=14).select("key", *PLACE)
+    stored = ledger.stored_offsets(logs.prior_ledger(scan_ranges(spark, path, bits=14), GROUP), GROUP)
+    return scan_ranges(spark, path, stored, bits=14).select("key", *PLACE)
 
 
 def offset_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -76,22 +76,46 @@ def starting_offsets(stored: dict[str, dict[int, int]], partitions: dict[str, in
     return json.dumps(plan, sort_keys=True)
 
 
-# Offsets of one folder of a laid-out log: 2**RANGE_BITS.
+# Offsets of one range of a laid-out log: 2**RANGE_BITS.
 RANGE_BITS = 20
 
 
+# Folders that one call of ``write_ranges`` makes at most, next to one per topic partition.
+MOST_FOLDERS = 1024
+
+
+def _joined_bits(records: DataFrame, bits: int) -> int:
+    """The least power of two of neighbouring ranges to a folder with which ``records`` fill no more than ``MOST_FOLDERS``. One
+    number per topic partition is read on the way, a single one by the driver."""
+    first, last = F.shiftright(F.min("offset"), bits), F.shiftright(F.max("offset"), bits)
+    spans = records.groupBy("topic", "partition").agg((last - first).alias("span"))
+    span = spans.agg(F.sum(F.col("span").cast("decimal(38,0)"))).head()[0]
+    joined = 0
+    while span is not None and int(span) >> joined > MOST_FOLDERS:
+        joined += 1
+    return joined
+
+
 def write_ranges(records: DataFrame, path: str, bits: int = RANGE_BITS) -> None:
-    """Append ``records`` to a log laid out by topic, partition and range of offsets, so that a resumed scan opens what is pending only."""
-    placed = records.withColumn("range", F.shiftright("offset", bits))
-    # rebalancing gathers a range's rows in few files and splits a range that is too big
-    placed.hint("rebalance", "topic", "partition", "range").write.mode("append").partitionBy("topic", "partition", "range").parquet(path)
+    """Append ``records`` to a log laid out by topic, partition and range of offsets, so that a resumed scan opens what is pending only.
+
+    A folder goes by its last range. It has one range, or for records that span many, some neighbouring ones, so folders do not
+    grow in number with the log. Rows lie in order of their offsets, by which a scan skips what is done in a folder. ``records`` is read
+    twice, the first time for its offsets only.
+    """
+    joined = _joined_bits(records, bits)
+    last_range = F.shiftright("offset", bits).bitwiseOR(F.lit((1 << joined) - 1).cast("bigint"))
+    placed = records.withColumn("range", last_range)
+    # rebalancing gathers a folder's rows in few files and splits a folder that is too big
+    placed = placed.hint("rebalance", "topic", "partition", "range").sortWithinPartitions("topic", "partition", "range", "offset")
+    placed.write.mode("append").partitionBy("topic", "partition", "range").parquet(path)
 
 
 def scan_ranges(spark: SparkSession, path: str, stored: dict[str, dict[int, int]] | None = None, bits: int = RANGE_BITS) -> DataFrame:
     """Records of a laid-out log, from the ``stored`` offsets on (of ``ledger.stored_offsets``); partitions that are not stored are read whole.
 
-    The starts are a filter on the folders' columns, one literal per topic partition, so finished ranges are neither listed in the scan nor
-    opened; the offset filter is then pushed into the first pending range.
+    The starts are a filter on the folders' columns, one literal per topic partition, so folders whose last range is finished are neither listed
+    in the scan nor opened; the offset filter is then pushed into the first pending folder.
     """
     schema = T.StructType([*RECORD_SCHEMA, T.StructField("range", T.LongType())])
     log = spark.read.schema(schema).parquet(path)
