@@ -49,6 +49,15 @@ def test_bpe_with_full_tables(texts, library, monkeypatch):
     assert len(encoder.ids) <= 50
 
 
+def test_bpe_holds_one_text_s_result_at_a_time_and_a_unit_once(library):
+    encoder = bpe.Encoder(RANKS, public_tokenizers.PATTERN)
+    texts = ["alpha betagamma", " ", "qzxv betagamma", "qzxv  betagamma"]
+    made = encoder.encode(texts)
+    assert iter(made) is made
+    assert [ids for ids, _ in made] == [" ".join(map(str, library.encode_ordinary(t))) for t in texts]
+    assert "betagamma" in encoder.ids and " betagamma" not in encoder.pieces
+
+
 def test_bpe_query_on_edge_rows(edge, library):
     got = bpe.encode(edge, "doc_id", "text", ranks=RANKS, pattern=public_tokenizers.PATTERN, with_ids=True).collect()
     want = []

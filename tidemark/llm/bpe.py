@@ -18,6 +18,7 @@ import heapq
 import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +32,9 @@ LONG_PIECE = 256
 #: Pieces that one query encodes.
 CHUNK = 10_000
 #: Entries that a worker's tables keep, and those of a single task.
-MOST_UNITS, TASK_UNITS = 200_000, 80_000
+MOST_UNITS, TASK_UNITS = 400_000, 80_000
+#: Bytes of text whose new words are encoded together, with a worker's tables and with those of a single task.
+SLICE, TASK_SLICE = 16_000_000, 1_000_000
 #: Where a cut before a blank need not be a cut of the pattern: a blank that is followed by white space or the end.
 _UNSAFE = re.compile(r" (?=\s|$)")
 
@@ -138,48 +141,59 @@ class Encoder:
             made.update(zip((piece for piece, _ in part), self._merged([b for _, b in part]), strict=True))
         return made
 
-    def _joined(self, cuts: dict[str, list[str]]) -> dict[str, tuple[str, bytes]]:
-        """Ids and decoded bytes of texts that are cut into pieces."""
+    def _known(self, piece: str) -> tuple[str, bytes] | None:
+        """What the tables have of a piece, which may be a unit."""
+        if piece[0] == " " and (ids := self.ids.get(piece[1:])) is not None:
+            return ids, self.bytes[piece[1:]]
+        return self.pieces.get(piece)
+
+    def _joined(self, texts: set[str]) -> dict[str, tuple[str, bytes]]:
+        """Ids and decoded bytes of texts, each cut into its pieces."""
+        cuts = {text: self.find(text) for text in texts}
         found = {piece for pieces in cuts.values() for piece in pieces}
-        known = {piece: self.pieces[piece] for piece in found if piece in self.pieces}
-        new = self._encoded([piece for piece in found if piece not in known])
+        known = {piece: made for piece in found if (made := self._known(piece)) is not None}
+        found.difference_update(known)
+        new = self._encoded(list(found))
+        # a piece that is a unit by itself is kept as such
         if len(self.pieces) < self.most:
-            self.pieces.update(new)
+            self.pieces.update((piece, made) for piece, made in new.items() if piece not in cuts)
         known.update(new)
         return {
-            text: (" ".join([known[p][0] for p in pieces]), b"".join([known[p][1] for p in pieces])) for text, pieces in cuts.items()
+            text: known[pieces[0]] if len(pieces) == 1 else (" ".join([known[p][0] for p in pieces]), b"".join([known[p][1] for p in pieces]))
+            for text, pieces in cuts.items()
         }
 
-    def encode(self, texts: list[str]) -> list[tuple[str, bytes]]:
+    def encode(self, texts: list[str]) -> Iterator[tuple[str, bytes]]:
         """The ids of each text as decimal text, and the bytes they decode to. What is new in all of them is encoded together."""
-        cut = [None if _UNSAFE.search(text) else text.split(" ") for text in texts]
+        whole = [_UNSAFE.search(text) is not None for text in texts]
+        starts: set[str] = set()
         found: set[str] = set()
-        for words in cut:
-            if words is not None:
-                found.update(words)
+        for text, unsafe in zip(texts, whole, strict=True):
+            if unsafe:
+                starts.add(text)
+                continue
+            head, *tail = text.split(" ")
+            starts.add(head)
+            found.update(tail)
         found.difference_update(self.ids)
-        heads = {words[0] for words in cut if words is not None}
-        whole = {text for text, words in zip(texts, cut, strict=True) if words is None}
-        # a later word is matched with its blank, which is put before it as a key that no head or whole text has
-        made = self._joined({("", w): self.find(" " + w) for w in found} | {t: self.find(t) for t in heads | whole})
+        # a later word is matched with its blank
+        made = self._joined(starts | {" " + w for w in found})
         ids, decoded = self.ids, self.bytes
         for w in found:
-            ids[w], decoded[w] = made.pop(("", w))
-        out = []
-        for text, words in zip(texts, cut, strict=True):
-            if words is None:
-                out.append(made[text])
-                continue
-            head, tail = made[words[0]], words[1:]
+            # a whole text can be spelled like a unit
+            ids[w], decoded[w] = made[" " + w] if " " + w in starts else made.pop(" " + w)
+        for text, unsafe in zip(texts, whole, strict=True):
+            # cut again, as the words of all texts at once would take many times the texts' memory
+            head, *tail = (text,) if unsafe else text.split(" ")
+            first = made[head]
             if not tail:
-                out.append(head)
+                yield first
                 continue
             spelled = " ".join(map(ids.__getitem__, tail))
-            out.append((f"{head[0]} {spelled}" if head[0] else spelled, head[1] + b"".join(map(decoded.__getitem__, tail))))
+            yield f"{first[0]} {spelled}" if first[0] else spelled, first[1] + b"".join(map(decoded.__getitem__, tail))
         if len(ids) > self.most:  # what was met first stays: frequent words are among it
-            for w in list(ids)[self.most:]:
+            for w in list(islice(ids, self.most, None)):
                 del ids[w], decoded[w]
-        return out
 
 
 @lru_cache(maxsize=2)
@@ -200,17 +214,23 @@ def encode(
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(ranks, pattern) if keep_tables else Encoder(ranks, pattern, TASK_UNITS)
-        for batch in text_slices(batches, "text", 4_000_000):
+        for batch in text_slices(batches, "text", SLICE if keep_tables else TASK_SLICE):
             texts = [t or "" for t in batch.column("text").to_pylist()]
-            made = encoder.encode(texts)
+            sizes, hashes, decoded_hashes, made_ids = [], [], [], []
+            for ids, decoded in encoder.encode(texts):
+                sizes.append(ids.count(" ") + bool(ids))
+                hashes.append(hashlib.sha256(ids.encode()).hexdigest())
+                decoded_hashes.append(hashlib.sha256(decoded).hexdigest())
+                if with_ids:
+                    made_ids.append(np.fromstring(ids, dtype=np.int32, sep=" "))
             columns = {
                 "doc_id": batch.column("doc_id"),
-                "n_tokens": pa.array([ids.count(" ") + bool(ids) for ids, _ in made], pa.int64()),
-                "ids_sha256": pa.array([hashlib.sha256(ids.encode()).hexdigest() for ids, _ in made]),
-                "decoded_sha256": pa.array([hashlib.sha256(b).hexdigest() for _, b in made]),
+                "n_tokens": pa.array(sizes, pa.int64()),
+                "ids_sha256": pa.array(hashes, pa.string()),
+                "decoded_sha256": pa.array(decoded_hashes, pa.string()),
             }
             if with_ids:
-                columns["ids"] = pa.array([np.fromstring(ids, dtype=np.int32, sep=" ") for ids, _ in made], pa.list_(pa.int32()))
+                columns["ids"] = pa.array(made_ids, pa.list_(pa.int32()))
             yield pa.RecordBatch.from_pydict(columns)
         if not keep_tables:
             encoder.db.close()
