@@ -106,3 +106,22 @@ def test_state_has_one_value_per_part_not_per_customer(spark):
     assert rows_of(store.read("oa")) == rows_of(want)
     places = ("customer_id", "offset", "partition", "reason")
     assert rows_of(store.read_notes("rejects_skin"), *places) == rows_of(rejects, *places)
+
+
+def test_the_stream_is_read_once_and_folded_over_several_arrow_batches(spark):
+    log = log_of(spark, [(off % 2, off, {"customer_id_se": off % 3, "trace_staff_id": off, "recom_staff_id": 1, "serve_staff_id": 1}) for off in range(60)])
+    path = scratch.write_once(log.coalesce(1), "log")
+    known = spark.createDataFrame([], "customer_id bigint")
+    job = ks.staff_state("staff", "g")
+    changes = ks.changes(scan_log(spark, path, stream=True), job, known)
+    assert changes._jdf.queryExecution().analyzed().toString().count("StreamingRelation") == 1
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        schema = ks._schema(job)
+        rows = ks._in_band(job.project(scan_log(spark, path)), job)
+        found = rows.mapInArrow(lambda batches: ks._prefold(batches, True, schema), ks._ddl(schema))
+        assert rows_of(found, "kind", "id", "offset", "first_offset", "trace_staff_id") == [
+            ("end", 0, 58, 0, None), ("end", 1, 59, 1, None), ("event", 0, 57, 0, 57), ("event", 1, 58, 1, 58), ("event", 2, 59, 2, 59),
+        ]
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")

@@ -20,6 +20,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -45,6 +47,9 @@ KEY = "customer_id"
 #: What a part's state holds of each of its customers, in order of their ids.
 KNOWN = np.dtype([("id", "<i8"), ("offset", "<i8"), ("partition", "<i4")])
 
+#: A task folds so many rows, or so many bytes of them, at a time.
+FOLD_ROWS, FOLD_BYTES = 100_000, 32_000_000
+
 PLACES = {"offset": "bigint", "partition": "int", "first_offset": "bigint", "first_partition": "int"}
 
 
@@ -87,49 +92,86 @@ def _ddl(columns: dict[str, str]) -> str:
 
 
 def _in_band(projected: DataFrame, job: KeyedJob) -> DataFrame:
-    """One row per record, with its kind. Id and part of a record that is no event are its partition."""
+    """One row per record, with its kind, null where only its place counts. Id and part of a bad record are its partition."""
     event = F.col("reason").isNull()
+    kind = F.when(~event, BAD)
     if not job.insert:
-        projected = projected.filter(F.col("reason").isNotNull() | (F.col(KEY) != 0))
+        kind = kind.when(F.col(KEY) == 0, F.lit(None))
     values = {
-        "kind": F.when(event, EVENT).otherwise(BAD),
+        "kind": kind.otherwise(EVENT),
         "part": F.when(event, job.part(F.col(KEY))).otherwise(F.col("partition").cast("bigint")),
         "id": F.when(event, F.col(KEY)).otherwise(F.col("partition").cast("bigint")),
-        "first_offset": F.col("offset"),
-        "first_partition": F.col("partition"),
-        "fresh": F.lit(False),
         "key": F.when(~event, F.col("key")),
         "value": F.when(~event, F.col("value")),
     }
     rows = projected.withColumns(values)
-    return rows.select(*[F.col(name).cast(kind).alias(name) for name, kind in _schema(job).items()])
-
-
-def _ends(records: DataFrame, job: KeyedJob) -> DataFrame:
-    """A row for every record's place, whatever it is, to be folded to the last offset of its partition."""
-    first = [F.col("offset").alias("first_offset"), F.col("partition").alias("first_partition")]
-    places = [F.col("partition").cast("bigint").alias(name) for name in ("part", "id")]
-    ends = records.select(F.lit(END).alias("kind"), *places, "topic", "offset", "partition", *first)
-    missing = {name: kind for name, kind in _schema(job).items() if name not in ends.columns}
-    ends = ends.withColumns({name: F.lit(None).cast(kind) for name, kind in missing.items()})
-    return ends.select(*_schema(job))
-
-
-def _last(rows: pd.DataFrame, by: list[str]) -> pd.DataFrame:
-    """The last row of each group, with the place of the first one."""
-    rows = rows.sort_values(["offset", "partition"], kind="stable")
-    firsts = rows.sort_values(["first_offset", "first_partition"], kind="stable").drop_duplicates(by).set_index(by)[["first_offset", "first_partition"]]
-    last = rows.drop_duplicates(by, keep="last").drop(columns=["first_offset", "first_partition"])
-    return last.join(firsts, on=by)
-
-
-def _prefold(frames: Iterator[pd.DataFrame], insert: bool, columns: list[str]) -> Iterator[pd.DataFrame]:
-    """Per Arrow batch: ends to one row per partition and, where no event is reported one by one, events to one per customer. A hot
-    key is small before the shuffle."""
-    for rows in frames:
-        ends, events = rows["kind"] == END, rows["kind"] == EVENT
-        out = [rows[~ends & ~events], _last(rows[ends], ["topic", "partition"]), _last(rows[events], ["id"]) if insert else rows[events]]
-        yield pd.concat([part for part in out if len(part)])[columns] if len(rows) else rows[columns]
+    given = {name: type for name, type in _schema(job).items() if name in rows.columns}
+    return rows.select(*[F.col(name).cast(type).alias(name) for name, type in given.items()])
+
+
+def _ends_of(ids: np.ndarray, offsets: np.ndarray, partitions: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each id's first and last place are, both in order of the ids."""
+    order = np.lexsort((partitions, offsets, ids))
+    edges = np.flatnonzero(np.diff(ids[order]))
+    return order[np.r_[0, edges + 1]], order[np.r_[edges, len(order) - 1]]
+
+
+def _newest(events: pd.DataFrame) -> pd.DataFrame:
+    """The last event of each customer, with the place of the first one."""
+    ids = events["id"].to_numpy()
+    last = _ends_of(ids, events["offset"].to_numpy(), events["partition"].to_numpy())[1]
+    firsts = events[["first_offset", "first_partition"]]
+    first = _ends_of(ids, *(firsts[name].to_numpy() for name in firsts))[0]
+    return events.iloc[last].assign(**{name: firsts[name].to_numpy()[first] for name in firsts})
+
+
+def _last_place(ends: pd.DataFrame) -> pd.DataFrame:
+    """The last of the ends of each topic partition."""
+    return ends.sort_values("offset", kind="stable").drop_duplicates(["topic", "partition"], keep="last")
+
+
+def _folded(rows: pa.Table, insert: bool, schema: dict[str, str]) -> Iterator[pa.RecordBatch]:
+    """The rows' bad records as they are, the last offset of each topic partition and, where no event is reported one by one, the
+    last event of each customer."""
+    whole = {name: type for name, type in zip(rows.schema.names, rows.schema.types, strict=True)}
+    whole |= {"first_offset": whole["offset"], "first_partition": whole["partition"], "fresh": pa.bool_()}
+
+    def shaped(some: pa.Table, values: dict[str, pa.Array | pa.ChunkedArray]) -> Iterator[pa.RecordBatch]:
+        columns = {name: values[name] if name in values else some[name] if name in some.column_names else pa.nulls(some.num_rows, whole[name]) for name in schema}
+        yield from pa.table(columns).cast(pa.schema([(name, whole[name]) for name in schema])).to_batches()
+
+    def placed(some: pa.Table, offset: str = "offset") -> dict[str, pa.Array | pa.ChunkedArray]:
+        return {"first_offset": some[offset], "first_partition": some["partition"], "fresh": pa.repeat(pa.scalar(False), some.num_rows)}
+
+    bad = rows.filter(pc.equal(rows["kind"], BAD))
+    if bad.num_rows:
+        yield from shaped(bad, placed(bad))
+    ends = rows.group_by(["topic", "partition"]).aggregate([("offset", "max"), ("offset", "min")])
+    place = ends["partition"].cast(pa.int64())
+    kind = pa.repeat(pa.scalar(END), ends.num_rows)
+    yield from shaped(ends, {"kind": kind, "part": place, "id": place, "offset": ends["offset_max"], **placed(ends, "offset_min")})
+    events = rows.filter(pc.equal(rows["kind"], EVENT))
+    if not events.num_rows:
+        return
+    places = placed(events)
+    if insert:
+        first, last = _ends_of(*(events[name].to_numpy() for name in ("id", "offset", "partition")))
+        places = placed(events.take(first))
+        events = events.take(last)
+    yield from shaped(events, places)
+
+
+def _prefold(batches: Iterator[pa.RecordBatch], insert: bool, schema: dict[str, str]) -> Iterator[pa.RecordBatch]:
+    """Every so many rows of a task folded, so that a hot key is small before the shuffle."""
+    held, rows, size = [], 0, 0
+    for batch in batches:
+        held.append(batch)
+        rows, size = rows + batch.num_rows, size + batch.nbytes
+        if rows >= FOLD_ROWS or size >= FOLD_BYTES:
+            yield from _folded(pa.Table.from_batches(held), insert, schema)
+            held, rows, size = [], 0, 0
+    if rows:
+        yield from _folded(pa.Table.from_batches(held), insert, schema)
 
 
 def _placed(ids: np.ndarray, offsets: np.ndarray | int = -1, partitions: np.ndarray | int = -1) -> np.ndarray:
@@ -176,13 +218,13 @@ class _LastWrite(StatefulProcessor):
             for frame in rows:
                 yield frame[self.columns]
         elif kind == END:
-            yield _last(pd.concat(list(rows)), ["topic", "partition"])[self.columns]
+            yield _last_place(pd.concat(list(rows)))[self.columns]
         else:
             yield from self._events(rows)
 
     def _events(self, rows) -> Iterator[pd.DataFrame]:
         before = self._known()
-        known, unknown, newest = before, [], None
+        known, unknown, events, size, folded = before, [], [], 0, 0
         for frame in rows:
             joining = frame["reason"] == JOIN
             if joining.any():
@@ -196,16 +238,20 @@ class _LastWrite(StatefulProcessor):
                     yield self._rejects(frame[strange])
                 frame = frame[~strange]
             if len(frame):
-                newest = _last(frame if newest is None else pd.concat([newest, frame]), ["id"])
+                events.append(frame)
+                size += len(frame)
+            if size >= FOLD_ROWS + 2 * folded:  # not frame by frame: what is folded is sorted with every further fold
+                events = [_newest(pd.concat(events))]
+                size = folded = len(events[0])
         if unknown:
             late = pd.concat(unknown)
             strange = ~late["id"].isin(known["id"])
             if strange.any():
                 yield self._rejects(late[strange])
             if not strange.all():
-                late = late[~strange]
-                newest = _last(late if newest is None else pd.concat([newest, late]), ["id"])
-        if newest is not None:
+                events.append(late[~strange])
+        if events:
+            newest = _newest(pd.concat(events))
             ids, offsets, partitions = (newest[name].to_numpy(dtype=np.int64) for name in ("id", "offset", "partition"))
             fresh = ~np.isin(ids, known["id"])
             applied = _added(known, ids)
@@ -229,15 +275,12 @@ def changes(records: DataFrame, job: KeyedJob, known: DataFrame, joining: DataFr
     table guarding the rule has when the query first starts; ``joining`` is a stream of customers that are added later, known
     from the batch on in which they come, its events included."""
     schema = _schema(job)
-    columns = list(schema)
-    rows = _in_band(job.project(records), job).unionByName(_ends(records, job))
+    columns, insert = list(schema), job.insert
+    folded = _in_band(job.project(records), job).mapInArrow(lambda batches: _prefold(batches, insert, schema), _ddl(schema))
     if joining is not None:
         places = [F.lit(0).cast(kind).alias(name) for name, kind in PLACES.items()]  # whole numbers stay whole in pandas only without nulls
         customer = joining.filter(F.col(KEY).isNotNull()).select(F.lit(EVENT).alias("kind"), job.part(F.col(KEY)).alias("part"), F.col(KEY).cast("bigint").alias("id"), *places)
-        added = customer.withColumn("reason", F.lit(JOIN))
-        rows = rows.unionByName(added, allowMissingColumns=True)
-    insert = job.insert
-    folded = rows.mapInPandas(lambda frames: _prefold(frames, insert, columns), _ddl(schema))
+        folded = folded.unionByName(customer.withColumn("reason", F.lit(JOIN)), allowMissingColumns=True)
     customers = known.filter(F.col(KEY).isNotNull()).select(F.col(KEY).cast("bigint").alias("id")).distinct()
     initial = customers.select(F.lit(EVENT).alias("kind"), job.part(F.col("id")).alias("part"), "id")
     return folded.groupBy("kind", "part").transformWithStateInPandas(
