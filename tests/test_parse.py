@@ -1,5 +1,6 @@
 """Truth tables of the decodes and the reasons of bad records."""
 
+import re
 from decimal import Decimal
 
 import pytest
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import coerce, decode
 from tidemark.operators import project as p
 from tidemark.operators.envelope import first_images, valid_objects
+from tidemark.scratch import stage
 
 ORDER = {"order_id": 5, "customer_id": "7", "submit_time": "12"}
 
@@ -203,3 +205,11 @@ def test_decimals_keep_every_digit_or_are_bad(spark):
     want = ["1.23456", "0.1", "12345678901234567890.5", "1.123456789", None, None, "1500", None, "-7", "0.5", "5"]
     for i, text in enumerate(want):
         assert got[i] == ((Decimal(text), None) if text else (None, "bad_value")), texts[i]
+
+
+def test_the_jvm_compiles_every_method_of_the_order_projection(spark):
+    log = stage(log_of(spark, [(0, 0, {"order_id": 1, "customer_id": 2, "submit_time": 3, "ship_date": "2020-01-01", "sign_date": ""})]), "log")
+    plan = p.project_order(log)._jdf.queryExecution().executedPlan()
+    debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+    sizes = [int(size) for size in re.findall(r"maxMethodCodeSize:(\d+)", debug.codegenString(plan))]
+    assert sizes and max(sizes) < 8000

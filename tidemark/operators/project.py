@@ -93,20 +93,23 @@ def read_numbers(rows: DataFrame, image: str, numbers: Numbers) -> DataFrame:
 
 def add_day_epochs(rows: DataFrame, image: str, dates: list[str], zone: str) -> DataFrame:
     """Adds ``day``, INT epoch seconds of local midnight for the dates among the VARIANT leaves of the struct ``image``: 0 for
-    blank text, null for text that does not parse and for days outside INT."""
+    blank text, null for text that does not parse and for days outside INT; and ``bad_day``, whether one of them is null.
+
+    The count's lambda keeps the step of the local days out of whole-stage code generation, as in ``read_numbers``: all steps in one stage
+    made a method of more than 8,000 bytes, which the JVM does not compile.
+    """
     rows = rows.withColumn("date_raw", _struct({d: coerce.leaf_text(f"{image}.{d}") for d in dates}))
     rows = rows.withColumn("date_spelled", _struct({d: coerce.present(f"date_raw.{d}") for d in dates}))
     rows = rows.withColumn("date_txt", _struct({d: coerce.typed_millis(f"{image}.{d}", f"date_spelled.{d}") for d in dates}))
     rows = rows.withColumn("date_ms", _struct({d: coerce.instant_millis(f"date_txt.{d}") for d in dates}))
     days = {d: coerce.local_day(f"date_txt.{d}", f"date_ms.{d}", zone) for d in dates}
-    rows = rows.withColumn("date_num", _struct(days))
-    midnights = {
-        d: coerce.or_default(
-            f"date_txt.{d}", f"try_cast({coerce.midnight_seconds(f'date_num.{d}', zone)} AS INT)", 0
-        )
-        for d in dates
-    }
-    return rows.withColumn("day", _struct(midnights)).drop("date_raw", "date_spelled", "date_txt", "date_ms", "date_num")
+    count = coerce.present_count([f"date_txt.{d}" for d in dates])
+    rows = rows.withColumns({"date_num": _struct(days), "date_count": F.expr(count)})
+    rows = rows.withColumn("date_val", _struct({d: f"try_cast({coerce.midnight_seconds(f'date_num.{d}', zone)} AS INT)" for d in dates}))
+    midnights = {d: coerce.or_default(f"date_txt.{d}", f"date_val.{d}", 0) for d in dates}
+    bad = coerce.any_bad("date_count", [f"date_val.{d}" for d in dates])
+    rows = rows.withColumns({"day": _struct(midnights), "bad_day": F.expr(bad)})
+    return rows.drop("date_raw", "date_spelled", "date_txt", "date_ms", "date_num", "date_count", "date_val")
 
 
 def _struct(fields: dict[str, str]) -> Column:
@@ -173,7 +176,7 @@ def project_order(log: DataFrame, zone: str = DEFAULT_ZONE) -> DataFrame:
     parsed = read_numbers(parse_envelope(log, leaves([*ORDER_NUMBERS, *ORDER_DATES])), "img", ORDER_NUMBERS)
     timed = add_day_epochs(parsed, "img", ORDER_DATES, zone)
     submit_time, ship_time, sign_time = F.col("num.submit_time"), F.col("day.ship_date"), F.col("day.sign_date")
-    unread = _any_of(["num.submit_time IS NULL", *[f"day.{d} IS NULL" for d in ORDER_DATES]])
+    unread = _any_of(["num.submit_time IS NULL", "bad_day"])
     reason = F.coalesce(
         "reason",
         first_reason(
