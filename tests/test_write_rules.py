@@ -268,3 +268,18 @@ def test_gate_examples(spark):
     got, rejects = gate.gated_upsert(empty, events)
     assert rows_of(got, "order_id") == [(1,)]
     assert rows_of(rejects, "order_id") == [(0,)]
+
+
+def test_the_greatest_held_id_is_found_with_few_comparisons_to_an_event(spark):
+    rng = random.Random(4)
+    last = 400
+    spans = [(rng.randrange(1000), begin, rng.choice([None, min(last, begin + rng.randrange(1, 150))])) for begin in [0] * 3 + rng.sample(range(1, last), 120)]
+    asked = [(pos, rng.randrange(1000)) for pos in range(1, last + 1)]
+    held = spark.createDataFrame(spans, "order_id bigint, begin bigint, end bigint")
+    found = {r["pos"]: r["held"] for r in replay.greatest_held(spark.createDataFrame(asked, "pos bigint, order_id bigint"), held, last).collect()}
+    for pos, order in asked:
+        ids = [i for i, begin, end in spans if (begin < pos or begin == 0) and (end is None or pos <= end)]
+        # a smaller id will do where it is above the event's already
+        assert (order > found.get(pos, 0)) == (order > max(ids, default=0))
+        assert pos not in found or found[pos] in ids
+    assert 1 << replay.RANGE_BITS <= 64  # spans that begin or end in an event's range: two a position

@@ -26,8 +26,9 @@ CUSTOMER, ORDER = "customer_id", "order_id"
 # A range of positions: the rows of one key in it are one task's sort unit.
 CHUNK_BITS = 20
 
-# Ranges of positions in which events first look for a greater id together.
-RANGE_BITS = 10
+# Ranges of positions in which events first look for a greater id together. An open event is compared with the spans that begin or end
+# in its range, so a range is short; what covers whole ranges goes by blocks.
+RANGE_BITS = 6
 
 
 def positions(events: DataFrame) -> DataFrame:
