@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from edge_rows import EDGE_ROWS
@@ -103,6 +104,23 @@ def test_words_equal_the_library(texts):
         assert np.frombuffer(encoder.encode(text), "<u2").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_many_texts_cost_one_encoding_a_part(texts, monkeypatch):
+    tokenizer = Tokenizer.from_file(WORDS)
+    tokenizer.encode_special_tokens = True
+    monkeypatch.setattr(records, "WORDS_AT_ONCE", 100)
+    encoder, sent, plain = records.WordEncoder(WORDS), [], ["Alpha, beta alpha-BETA", None, "beta's ÉTÉ  été\nalpha," * 3, ""]
+    inner = encoder._tokenized
+    monkeypatch.setattr(encoder, "_tokenized", lambda parts: sent.extend(parts) or inner(parts))
+    cut = pa.array(["x y", *plain * 2, "z"]).slice(1, 8)
+    for _ in range(2):
+        got = [np.frombuffer(ids, "<u2").tolist() for ids in encoder.encode_all(cut)]
+        assert got == [tokenizer.encode(t or "", add_special_tokens=False).ids for t in plain] * 2
+    assert sorted(sent) == sorted(["alpha", ",", "beta", "-", "'s", "été"])
+    monkeypatch.setattr(records, "MOST_WORDS", 50)
+    got = [np.frombuffer(ids, "<u2").tolist() for ids in encoder.encode_all(pa.array(texts))]
+    assert got == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_record_files_of_edge_rows(llm, edge):
     folder = records.write(edge, "doc_id", "text", tokenizer=WORDS, end_id=1)
     index = llm.read.parquet(f"{folder}/index")

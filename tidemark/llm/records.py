@@ -11,22 +11,27 @@ repeated task leaves nothing half-written in sight.
 
 from __future__ import annotations
 
+import os
 import re
 import uuid
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.shared import shared_folder, text_slices
 
-#: Entries of a worker's table of known words; a full table is emptied.
+#: Entries of a worker's table of known parts of words; a full table is emptied.
 MOST_WORDS = 500_000
+#: Bytes of text that a task encodes at a time, of which it holds so many words at once in tables.
+TAKEN, WORDS_AT_ONCE = 16_000_000, 200_000
 #: A record is read in pieces of this many bytes.
 READ_BYTES = 8 << 20
 
@@ -134,69 +139,104 @@ def unframe(records: list[bytes]) -> list[bytes]:
     return payloads
 
 
+def _offsets(values: pa.LargeBinaryArray) -> np.ndarray:
+    return np.frombuffer(values.buffers()[1], dtype=np.int64)[values.offset : values.offset + len(values) + 1]
+
+
+def _binaries(values: list[bytes]) -> pa.LargeBinaryArray:
+    return pa.array(values, pa.large_binary())
+
+
 class WordEncoder:
-    """The library's tokenizer with a table of known words. White space separates words and gives no tokens, so a text's ids
-    are its words' ids in turn. Words of plain Latin letters are normalised and cut here and go straight to the
-    tokenizer's model, which is several times faster for short strings; all others go through its whole chain."""
+    """The library's tokenizer with a table of known parts of words. White space separates words and gives no tokens, so a text's ids
+    are its words' ids in turn. Arrow cuts many texts at once and tells their different words, each of which is encoded once.
+    Words of plain Latin letters are normalised and cut here and go straight to the tokenizer's model, many at a time, which
+    is several times faster for short strings; all others go through its whole chain."""
 
     def __init__(self, path: str):
-        import regex
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the threads
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.wide = self.tokenizer.get_vocab_size() > 1 << 16
-        self.words: dict[str, bytes] = {"": b""}
+        self.kind = "<u4" if self.tokenizer.get_vocab_size() > 1 << 16 else "<u2"
         self.parts: dict[str, bytes] = {}
         # the pattern of the file's pre-tokenizer, whose matches are its words; lower case and composed already
-        self.plain = re.compile("[\x21-\x7e\xa1-\xac\xae-\u024f]+").fullmatch
-        self.find = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+").findall
+        plain = "\x21-\x7e\xa1-\xac\xae-\u024f"
+        self.other = re.compile(f"^[{plain}]*[^\n{plain}].*$", re.M)
+        self.part = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+|\n"
         self.spell = self._byte_names()
+        # the model alone, for spelled parts in lines; a part's last token, and no other, has the suffix
+        self.model = Tokenizer(self.tokenizer.model)
+        self.model.pre_tokenizer = pre_tokenizers.Split("\n", "removed")
+        self.last = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
+        suffix = self.tokenizer.model.end_of_word_suffix
+        self.last[[i for t, i in self.tokenizer.get_vocab().items() if suffix and t.endswith(suffix)]] = True
 
     @staticmethod
     def _byte_names() -> dict[int, str]:
-        """The printable character that stands for each byte: itself where it is one, else the next from U+0100 on."""
+        """The printable character that stands for each byte: itself where it is one, else the next from U+0100 on. Line feeds stay."""
         own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         others = [b for b in range(256) if b not in set(own)]
-        return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(others)}
+        return {b: chr(256 + i) for i, b in enumerate(others) if b != 0x0A}
 
     def _packed(self, ids: list[int]) -> bytes:
-        return np.array(ids, dtype="<u4" if self.wide else "<u2").tobytes()
-
-    def _part(self, part: str) -> bytes:
-        if (known := self.parts.get(part)) is None:
-            spelled = "".join([self.spell[b] for b in part.encode()])
-            known = self._packed([t.id for t in self.tokenizer.model.tokenize(spelled)])
-            if len(self.parts) >= MOST_WORDS:
-                self.parts.clear()
-            if len(part) <= 64:
-                self.parts[part] = known
-        return known
-
-    def _word(self, word: str) -> bytes:
-        if self.plain(word):
-            return b"".join([self._part(p) for p in self.find(word.lower())])
-        return self._packed(self.tokenizer.encode(word, add_special_tokens=False).ids)
+        return np.array(ids, dtype=self.kind).tobytes()
+
+    def _tokenized(self, parts: list[str]) -> list[bytes]:
+        """The ids of each part, by the tokenizer's model."""
+        spelled, wide = list(parts), [i for i, p in enumerate(parts) if not p.isascii()]
+        for i, p in zip(wide, "\n".join([parts[i] for i in wide]).encode().decode("latin-1").translate(self.spell).split("\n"), strict=False):
+            spelled[i] = p
+        found = self.model.encode_batch_fast(["\n".join(spelled[i : i + 500]) for i in range(0, len(spelled), 500)], add_special_tokens=False)
+        ids = np.array(list(chain.from_iterable(f.ids for f in found)), dtype=self.kind)
+        ends = np.flatnonzero(self.last[ids]) + 1
+        if len(ends) != len(parts):  # some byte is no token
+            return [self._packed([t.id for t in self.tokenizer.model.tokenize(s)]) for s in spelled]
+        raw, cuts = ids.tobytes(), [0, *(ends * ids.itemsize).tolist()]
+        return [raw[a:b] for a, b in pairwise(cuts)]
+
+    def _words(self, words: pa.Array) -> pa.LargeBinaryArray:
+        """The ids of each of ``words``, packed."""
+        lines = pc.binary_join(pa.ListArray.from_arrays([0, len(words)], words), "\n")[0].as_py()
+        others, line, at = {}, 0, 0
+        for match in self.other.finditer(lines):
+            line, at = line + lines.count("\n", at, match.start()), match.start()
+            others[line] = self._packed(self.tokenizer.encode(match[0], add_special_tokens=False).ids)
+        if others:
+            lines = self.other.sub("", lines)
+        # a blank after each part; line feeds are parts, too, and end words
+        apart = pc.replace_substring_regex(pa.array([lines.lower() + "\n"], pa.large_string()), self.part, r"\0 ")
+        told = pc.split_pattern(apart, " ").flatten().dictionary_encode()
+        codes, parts = told.indices.to_numpy(), told.dictionary.to_numpy(zero_copy_only=False).tolist()
+        known = self.parts
+        found = list(map(known.get, parts))
+        new = [p for p, ids in zip(parts, found, strict=True) if ids is None and p not in ("", "\n")]
+        learned = dict(zip(new, self._tokenized(new), strict=True)) if new else {}
+        found = _binaries([ids if ids is not None else learned.get(p, b"") for p, ids in zip(parts, found, strict=True)])
+        if len(known) + len(new) > MOST_WORDS:
+            known.clear()
+        known.update(learned if max(map(len, new), default=0) <= 64 else {p: ids for p, ids in learned.items() if len(p) <= 64})
+        flat = found.take(told.indices)
+        ends = _offsets(flat)[1:][codes == parts.index("\n")]
+        words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(np.concatenate([[0], ends])), flat.buffers()[2]])
+        if others:
+            words = _binaries([others.get(i, ids) for i, ids in enumerate(words.to_pylist())])
+        return words
+
+    def encode_all(self, texts: pa.Array) -> list[bytes]:
+        """The ids of each text, packed; a null text is the empty text."""
+        cut = pc.split_pattern(pc.replace_substring(pc.fill_null(texts, ""), "\n", " "), " ")
+        told = cut.flatten().dictionary_encode()
+        words = [self._words(told.dictionary.slice(i, WORDS_AT_ONCE)) for i in range(0, len(told.dictionary), WORDS_AT_ONCE)]
+        ids = pa.concat_arrays([_binaries([]), *words]).take(told.indices)
+        raw, starts, offsets = ids.buffers()[2], _offsets(ids), cut.offsets.to_numpy()
+        cuts = starts[offsets - offsets[0]].tolist()
+        return [raw[a:b].to_pybytes() for a, b in pairwise(cuts)]
 
     def encode(self, text: str) -> bytes:
         """The ids of ``text``, packed."""
-        known = self.words
-        words = text.split(" ") if "\n" not in text else text.replace("\n", " ").split(" ")
-        try:
-            return b"".join([known[w] for w in words])
-        except KeyError:
-            pass
-        if len(known) > MOST_WORDS:
-            known.clear()
-            known[""] = b""
-        out = []
-        for w in words:
-            if (ids := known.get(w)) is None:
-                ids = self._word(w)
-                if len(w) <= 64:
-                    known[w] = ids
-            out.append(ids)
-        return b"".join(out)
+        return self.encode_all(pa.array([text], pa.string()))[0]
 
 
 @lru_cache(maxsize=2)
@@ -223,11 +263,11 @@ def write(docs: DataFrame, doc_id: str, text: str, *, tokenizer: str, end_id: in
         name = f"part-{part:06d}-{uuid.uuid4().hex}.records"
         system, path = pyarrow.fs.FileSystem.from_uri(folder)
         out, offset, before = None, 0, 0
-        for batch in text_slices(batches, "text"):
+        for batch in text_slices(batches, "text", TAKEN):
             if out is None:
                 system.create_dir(path, recursive=True)
                 out = system.open_output_stream(f"{path}/{name}")
-            ids = [encoder.encode(t or "") + end for t in batch.column("text").to_pylist()]
+            ids = [i + end for i in encoder.encode_all(batch.column("text"))]
             keys = batch.column("doc_id").to_pylist()
             records = frame([(k is not None).to_bytes(1) + (k or 0).to_bytes(8, "little", signed=True) + i for k, i in zip(keys, ids, strict=True)])
             out.write(b"".join(records))
@@ -275,14 +315,15 @@ def read(index: DataFrame, *, wide: bool = False, firsts: list[int] | None = Non
                 cuts = np.cumsum([0, *rows["size"][first:last]]).tolist()
                 payloads = unframe([block[a:b] for a, b in zip(cuts, cuts[1:], strict=False)])
                 ids = [np.frombuffer(p, dtype=kind, offset=_SIZE).astype("<u4") for p in payloads]
+                bounds = np.cumsum([0, *map(len, ids)])
                 starts = [(firsts[p] if firsts else 0) + b for p, b in zip(rows["part"][first:last], rows["before"][first:last], strict=True)]
                 yield pa.RecordBatch.from_pydict(
                     {
                         "doc_id": pa.array([int.from_bytes(p[1:_SIZE], "little", signed=True) if p[0] else None for p in payloads], pa.int64()),
                         "start": pa.array(starts, pa.int64()),
-                        "n_tokens": pa.array([len(i) for i in ids], pa.int64()),
+                        "n_tokens": pa.array(np.diff(bounds), pa.int64()),
                         "ids_crc32": pa.array([zlib.crc32(i.tobytes()) for i in ids], pa.int64()),
-                        "ids": pa.array(ids, pa.list_(pa.uint32())).cast(pa.list_(pa.int64())),
+                        "ids": pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(np.concatenate(ids).astype(np.int64))),
                     }
                 )
                 first = last
