@@ -3,6 +3,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from edge_rows import EDGE_ROWS
 
@@ -24,6 +25,19 @@ def test_probabilities_add_up_and_state_is_carried():
     assert np.exp(longer - gru.log_likelihood(weights, shape, [prefix])[0]).sum() == pytest.approx(1, abs=1e-4)
 
 
+def test_words_of_many_texts_are_those_of_each():
+    texts = ["left out", "  A b\tB\n", None, "", " ", "\x0b\x0cÉ K\u212a x\x1cy \u2003z\r", "last"]
+    found, sizes = lm.words(pa.array(texts).slice(1))
+    want = [(t or "").encode().lower().split() for t in texts[1:]]
+    assert found.to_pylist() == sum(want, []) and sizes.tolist() == list(map(len, want))
+    assert lm._last_bytes(found).tolist() == [w[-1] for w in sum(want, [])]
+    known = pa.array([lm.END, b"b", b"a"], pa.binary())
+    symbols = lm._symbols(2, np.arange(256), lm._places(found, known), lm._last_bytes(found))
+    assert symbols.tolist() == [1 if w == b"b" else 2 + w[-1] for w in sum(want, [])]
+    docs = lm._documents(symbols, sizes, 0)
+    assert list(map(len, docs)) == [len(w) + 1 for w in want] and all(d[-1] == 0 for d in docs)
+
+
 def test_training_learns_an_order():
     shape = gru.Shape(6, 1, 3, 8)
     docs = [np.array([0, 1, 2, 3, 4, 5] * 5, dtype=np.int32)] * 40

@@ -18,7 +18,12 @@ F32 = np.float32
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return F32(0.5) * np.tanh(F32(0.5) * x) + F32(0.5)
+    """In place."""
+    x *= F32(0.5)
+    np.tanh(x, out=x)
+    x *= F32(0.5)
+    x += F32(0.5)
+    return x
 
 
 @dataclass
@@ -119,14 +124,25 @@ def _step(p: dict, x: np.ndarray, h: np.ndarray, hidden: int) -> tuple:
     gates = _sigmoid(x[:, : 2 * hidden] + a[:, : 2 * hidden])
     r, z = gates[:, :hidden], gates[:, hidden:]
     inner = a[:, 2 * hidden :]
-    n = np.tanh(x[:, 2 * hidden :] + r * inner)
-    return n + z * (h - n), r, z, n, inner
+    n = r * inner
+    n += x[:, 2 * hidden :]
+    np.tanh(n, out=n)
+    out = h - n
+    out *= z
+    out += n
+    return out, r, z, n, inner
+
+
+def _bounded(logits: np.ndarray) -> np.ndarray:
+    """In place: logits above 80 would leave the range of 32 bits."""
+    if logits.size and logits.max() > 80:
+        np.minimum(logits, F32(80), out=logits)
+    return logits
 
 
 def _softmax(logits: np.ndarray) -> np.ndarray:
-    """Probabilities, in place; logits above 80 would leave the range of 32 bits."""
-    np.minimum(logits, F32(80), out=logits)
-    np.exp(logits, out=logits)
+    """Probabilities, in place."""
+    np.exp(_bounded(logits), out=logits)
     logits /= (logits @ np.ones(logits.shape[1], dtype=logits.dtype))[:, None]
     return logits
 
@@ -138,13 +154,33 @@ def _logits(state: np.ndarray, weights: np.ndarray, constants: np.ndarray) -> np
 
 
 def _log_probability(logits: np.ndarray, chosen: np.ndarray) -> np.ndarray:
-    """The log of the softmax at ``chosen``; logits above 80 would leave the range of 32 bits."""
-    np.minimum(logits, F32(80), out=logits)
-    out = logits[np.arange(len(chosen)), chosen].astype(np.float64)
+    """The log of the softmax at ``chosen``."""
+    out = _bounded(logits).take(_places(logits, chosen)).astype(np.float64)
     np.exp(logits, out=logits)
     return out - np.log(logits @ np.ones(logits.shape[1], dtype=logits.dtype))
 
 
+def _places(matrix: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """The flat places of one chosen column per row."""
+    return np.arange(len(chosen)) * matrix.shape[1] + chosen
+
+
+def _word_logits(p: dict, shape: Shape, state: np.ndarray, ranges: list[tuple[slice, slice]]) -> np.ndarray:
+    """The logits of the words of each range's class; what a smaller class lacks has no probability."""
+    out = np.empty((len(state), shape.per_class), dtype=state.dtype)
+    for at, span in ranges:
+        width = span.stop - span.start
+        np.matmul(state[at], p["word"][span].T, out=out[at, :width])
+        out[at, :width] += p["word0"][span]
+        if width < shape.per_class:
+            out[at, width:] = -np.inf
+    return out
+
+
+def _column_sums(matrix: np.ndarray) -> np.ndarray:
+    return np.ones(len(matrix), dtype=matrix.dtype) @ matrix
+
+
 def _classes(shape: Shape, target: np.ndarray) -> np.ndarray:
     return np.where(target < shape.words, target // shape.per_class, target - shape.words + shape.word_classes)
 
@@ -177,15 +213,14 @@ def log_likelihood(p: dict, shape: Shape, docs: list[np.ndarray], width: int = 5
             fresh = symbol == mark
             if fresh.any():
                 before = np.where(fresh[:, None], F32(0), before)
-            h = _step(p, p["input"][symbol], before, hidden)[0]
+            h = _step(p, p["input"].take(symbol, axis=0), before, hidden)[0]
             states.append(h)
         state, goal, of = np.concatenate(states), _cells(target, alive), _cells(doc, alive)
         cls, order, ranges = _by_class(shape, goal)
         found = _log_probability(_logits(state, p["cls"], p["cls0"]), cls)
-        state, goal, inside = state[order], goal[order], np.zeros(len(goal))
-        for at, span in ranges:
-            inside[at] = _log_probability(_logits(state[at], p["word"][span].T, p["word0"][span]), goal[at] - span.start)
-        found[order] += inside
+        order = order[: ranges[-1][0].stop if ranges else 0]
+        goal = goal.take(order)
+        found[order] += _log_probability(_word_logits(p, shape, state.take(order, axis=0), ranges), goal % shape.per_class)
         out += np.bincount(of, weights=found, minlength=len(docs))
     return out
 
@@ -199,42 +234,54 @@ def gradients(p: dict, shape: Shape, source: np.ndarray, target: np.ndarray, ali
         symbol = symbol[:n]
         go = (symbol != mark).astype(F32)[:, None]
         before = h[:n] * go
-        h, r, z, new, inner = _step(p, p["input"][symbol], before, hidden)
+        h, r, z, new, inner = _step(p, p["input"].take(symbol, axis=0), before, hidden)
         kept.append((symbol, go, before, h, r, z, new, inner))
-    state, goal = np.concatenate([k[3] for k in kept]), _cells(target, alive)
+    state, goals = np.concatenate([k[3] for k in kept]), _cells(target, alive)
+    goal = goals
     grads = {"word": np.zeros_like(p["word"]), "word0": np.zeros_like(p["word0"])}
     cls, order, ranges = _by_class(shape, goal)
     error = _softmax(_logits(state, p["cls"], p["cls0"]))
-    error[np.arange(len(goal)), cls] -= 1
-    grads["cls"], grads["cls0"] = state.T @ error, error.sum(axis=0)
+    error.reshape(-1)[_places(error, cls)] -= 1
+    grads["cls"], grads["cls0"] = (error.T @ state).T, _column_sums(error)
     back = error @ p["cls"].T
-    state, goal, inside = state[order], goal[order], np.zeros_like(back)
+    order = order[: ranges[-1][0].stop if ranges else 0]
+    state, goal = state.take(order, axis=0), goal.take(order)
+    error, inside = _softmax(_word_logits(p, shape, state, ranges)), np.empty_like(state)
+    error.reshape(-1)[_places(error, goal % shape.per_class)] -= 1
     for at, span in ranges:
-        error = _softmax(_logits(state[at], p["word"][span].T, p["word0"][span]))
-        error[np.arange(len(error)), goal[at] - span.start] -= 1
-        grads["word"][span], grads["word0"][span] = error.T @ state[at], error.sum(axis=0)
-        inside[at] = error @ p["word"][span]
+        own = error[at, : span.stop - span.start]
+        np.matmul(own.T, state[at], out=grads["word"][span])
+        grads["word0"][span] = _column_sums(own)
+        np.matmul(own, p["word"][span], out=inside[at])
     back[order] += inside
     ends = np.cumsum(alive)
     later = np.zeros((0, hidden), dtype=F32)
-    of_input, of_state = [], []
+    go, before, r, z, new, inner = (np.concatenate([k[i] for k in kept]) for i in (1, 2, 4, 5, 6, 7))
+    # what the gradient of a state becomes in the three sums of its step, but for the reset gate
+    to_new = (1 - z) * (1 - new * new)
+    to_z = (before - new) * z * (1 - z)
+    to_r = to_new * inner * r * (1 - r)
+    of_state = np.empty((len(goals), 3 * hidden), dtype=back.dtype)
+    turned = np.ascontiguousarray(p["state"].T)
     for i in range(len(kept) - 1, -1, -1):
-        _, go, before, _, r, z, new, inner = kept[i]
-        d = back[ends[i] - alive[i] : ends[i]]
+        at = slice(ends[i] - alive[i], ends[i])
+        d, outer = back[at], of_state[at]
         d[: len(later)] += later
-        dn = d * (1 - z) * (1 - new * new)
-        dz = d * (before - new) * z * (1 - z)
-        dr = dn * inner * r * (1 - r)
-        outer = np.concatenate([dr, dz, dn * r], axis=1)
-        of_state.append(outer)
-        of_input.append(np.concatenate([dr, dz, dn], axis=1))
-        later = (d * z + outer @ p["state"].T) * go
-    grads["state"] = np.concatenate([k[2] for k in reversed(kept)]).T @ np.concatenate(of_state)
-    symbols = np.concatenate([k[0] for k in reversed(kept)])
-    order = np.argsort(symbols, kind="stable")
-    rows, firsts = np.unique(symbols[order], return_index=True)
-    grads["input"] = np.add.reduceat(np.concatenate(of_input)[order], firsts, axis=0)
-    return grads, rows, h, len(goal)
+        np.multiply(d, to_r[at], out=outer[:, :hidden])
+        np.multiply(d, to_z[at], out=outer[:, hidden : 2 * hidden])
+        inward = np.multiply(d, to_new[at], out=to_new[at])
+        np.multiply(inward, r[at], out=outer[:, 2 * hidden :])
+        later = outer @ turned
+        later += d * z[at]
+        later *= go[at]
+    grads["state"] = before.T @ of_state
+    of_state[:, 2 * hidden :] = to_new
+    symbols = np.concatenate([k[0] for k in kept])
+    order = np.argsort(symbols.astype(np.int16) if mark < 1 << 15 else symbols, kind="stable")
+    symbols = symbols.take(order)
+    firsts = np.concatenate([[0], np.flatnonzero(np.diff(symbols)) + 1])
+    grads["input"] = np.add.reduceat(of_state.take(order, axis=0), firsts, axis=0)
+    return grads, symbols.take(firsts), h, len(goals)
 
 
 def train(p: dict, shape: Shape, docs: list[np.ndarray], squares: dict, rate: float = 0.4, width: int = 512, seed: int = 0) -> int:

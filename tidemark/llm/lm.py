@@ -14,14 +14,13 @@ join.
 from __future__ import annotations
 
 import uuid
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import repeat
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,9 +40,36 @@ SIDE = LETTERS + 2
 BACK, MOST_CELLS = 3.0, 1_000_000
 
 
-def words(text: str | None) -> list[bytes]:
-    """The words of a text between ASCII white space, A-Z in lower case."""
-    return (text or "").encode("utf-8", "surrogatepass").lower().split()
+def words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of many texts between ASCII white space, end to end, A-Z in lower case, and how many each text has; a null text is the empty text."""
+    cut = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    found = cut.flatten().cast(pa.binary())
+    # blanks at either end of a text leave an empty word
+    word = pc.binary_length(found).to_numpy() > 0
+    bounds = np.concatenate([[0], np.cumsum(word)])[cut.offsets.to_numpy() - cut.offsets[0].as_py()]
+    return found.filter(pa.array(word)), np.diff(bounds)
+
+
+def _last_bytes(some: pa.Array) -> np.ndarray:
+    if not len(some):
+        return np.zeros(0, dtype=np.uint8)
+    ends = np.frombuffer(some.buffers()[1], dtype=np.int32)[some.offset + 1 : some.offset + len(some) + 1]
+    return np.frombuffer(some.buffers()[2], dtype=np.uint8)[ends - 1]
+
+
+def _places(some: pa.Array, known: pa.Array) -> np.ndarray:
+    """The place of each word among the ``known`` ones, else -1."""
+    return pc.fill_null(pc.index_in(some, value_set=known), -1).to_numpy()
+
+
+def _documents(symbols: np.ndarray, sizes: np.ndarray, end: int) -> list[np.ndarray]:
+    """The symbols of each text and its end."""
+    last = np.cumsum(sizes + 1) - 1
+    out = np.full(len(symbols) + len(sizes), end, dtype=np.int32)
+    within = np.ones(len(out), dtype=bool)
+    within[last] = False
+    out[within] = symbols
+    return np.split(out, last[:-1] + 1)
 
 
 def _written(rows: DataFrame) -> DataFrame:
@@ -57,20 +83,19 @@ def word_counts(texts: DataFrame) -> DataFrame:
     """``word`` and ``c``, its count in the column ``text``, ends included."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: Counter[bytes] = Counter()
-
-        def flushed() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.int64())], ["word", "c"])
-            found.clear()
-            return out
+        def summed(tables: list[pa.Table]) -> pa.Table:
+            return pa.concat_tables(tables).group_by("word").aggregate([("c", "sum")]).rename_columns(["word", "c"])
 
-        for batch in batches:
-            for text in batch.column("text").to_pylist():
-                found.update(words(text))
-                found[END] += 1
-                if len(found) > 500_000:
-                    yield flushed()
-        yield flushed()
+        kept: list[pa.Table] = []
+        for batch in text_slices(batches, "text", TAKEN):
+            found = words(batch.column("text"))[0].value_counts()
+            kept.append(pa.table({"word": pa.concat_arrays([found.field(0), pa.array([END], pa.binary())]), "c": pa.concat_arrays([found.field(1), pa.array([batch.num_rows], pa.int64())])}))
+            if sum(map(len, kept)) > 500_000:
+                kept = [summed(kept)]
+                if len(kept[0]) > 500_000:
+                    yield from kept.pop().to_batches()
+        if kept:
+            yield from summed(kept).to_batches()
 
     return texts.select("text").mapInArrow(counted, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
@@ -154,14 +179,9 @@ class Model:
         return np.log10((1 - new) * known + new * 10.0 ** np.maximum(spelled, -300))
 
 
-def _symbols(model_words: int, tail_of: np.ndarray, head: dict[bytes, int], tokens: list[bytes]) -> np.ndarray:
-    """Symbols of words: the place among the modelled words, else the tail class."""
-    get = head.get
-    at = np.fromiter(map(get, tokens, repeat(-1)), dtype=np.int64, count=len(tokens))
-    beyond = np.flatnonzero((at < 0) | (at >= model_words))
-    if len(beyond):
-        at[beyond] = model_words + tail_of[np.fromiter((tokens[i][-1] for i in beyond.tolist()), dtype=np.int64, count=len(beyond))]
-    return at.astype(np.int32)
+def _symbols(modelled: int, tail_of: np.ndarray, places: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Symbols of words by their places among the known ones: that of a modelled word, else the tail class of the last byte."""
+    return np.where((places >= 0) & (places < modelled), places, modelled + tail_of[last]).astype(np.int32)
 
 
 def _letters(counts: DataFrame, by_last: np.ndarray, tail_of: np.ndarray) -> Letters:
@@ -252,14 +272,15 @@ def _trained(training: DataFrame, state: dict[str, dict], shape: gru.Shape, tail
     weights = state["w"]
     names = list(weights)
     flat = np.concatenate([state[k][n].ravel() for k in ("w", "s") for n in names])
-    piece = 4096
+    piece, inputs = 4096, sorted(inputs, key=inputs.__getitem__)
 
     def replica(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        half, seen = len(flat) // 2, 0
+        half, seen, known = len(flat) // 2, 0, pa.array(inputs, pa.binary())
         own, squares = _shaped(flat[:half], shape), _shaped(flat[half:], shape)
         for turn, batch in enumerate(text_slices(batches, "text", TAKEN)):
-            docs = [_symbols(shape.words, tail_of, inputs, [*words(t), END]) for t in batch.column("text").to_pylist()]
-            seen += gru.train(own, shape, docs, squares, seed=turn)
+            found, sizes = words(batch.column("text"))
+            symbols = _symbols(shape.words, tail_of, _places(found, known), _last_bytes(found))
+            seen += gru.train(own, shape, _documents(symbols, sizes, inputs.index(END)), squares, seed=turn)
         if seen:
             out = np.concatenate([part[n].ravel() for part in (own, squares) for n in names])
             blocks = [out[i : i + piece].astype(np.float64) for i in range(0, len(out), piece)]
@@ -324,48 +345,41 @@ def score(docs: DataFrame, doc_id: str, text: str, *, folds: int = 7, held_out:
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m, inner, base = shared.value
-        get = m.head.get
+        head, end = pa.array(list(m.head), pa.binary()), m.head[END]
         for batch in text_slices(batches, "text", TAKEN):
             for start in range(0, batch.num_rows, 10_000):
                 part = batch.slice(start, 10_000)
                 n = part.num_rows
-                documents, sums, knowns, within, rare = [], np.zeros(n), np.zeros(n, dtype=np.int64), np.zeros(n), []
-                for i, t in enumerate(part.column("text").to_pylist()):
-                    tokens = words(t)
-                    tokens.append(END)
-                    at = np.fromiter(map(get, tokens, repeat(-1)), dtype=np.int64, count=len(tokens))
-                    inside = at[at >= 0]
-                    sums[i], knowns[i], within[i] = base[inside].sum(), len(inside), inner[inside].sum()
-                    beyond = np.flatnonzero(at >= modelled)
-                    outside = np.flatnonzero(at < 0)
-                    if len(outside):
-                        rare.append((i, Counter([tokens[j] for j in outside.tolist()])))
-                    if len(beyond) or len(outside):
-                        both = np.concatenate([beyond, outside])
-                        at[both] = modelled + m.tail_of[np.fromiter([tokens[j][-1] for j in both.tolist()], dtype=np.int64, count=len(both))]
-                    documents.append(at.astype(np.int32))
+                found, sizes = words(part.column("text"))
+                at, last, document = _places(found, head), _last_bytes(found), np.repeat(np.arange(n, dtype=np.int32), sizes)
+                inside = at >= 0
+                outside = np.flatnonzero(~inside)
+                sums, within = (np.bincount(document, weights=np.append(each, 0.0)[at], minlength=n) + each[end] for each in (base, inner))
+                knowns = np.bincount(document[inside], minlength=n) + 1
+                documents = _documents(_symbols(modelled, m.tail_of, at, last), sizes, end)
+                # the words beyond the common ones, once per document
+                told = found.take(pa.array(outside)).dictionary_encode()
+                different = told.dictionary
+                pairs, times = np.unique(document[outside].astype(np.int64) * len(different) + told.indices.to_numpy(), return_counts=True)
                 chain = gru.log_likelihood(m.weights, m.shape, documents) / np.log(10) + within
                 own = part.column("row").to_numpy()
                 none = pa.nulls
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column("row"), pa.array([b" %d" % r for r in own.tolist()], pa.binary()), pa.array([len(d) for d in documents], pa.int64()), pa.array(knowns),
+                        part.column("row"), pa.array([b" %d" % r for r in own.tolist()], pa.binary()), pa.array(sizes + 1, pa.int64()), pa.array(knowns, pa.int64()),
                         pa.array(sums), pa.array(chain), none(n, pa.float64()), none(n, pa.int32()), part.column("doc_id"), part.column("held_out"),
                     ],
                     _NAMES,
                 )
-                flat = [w for _, found in rare for w in found]
-                if flat:
-                    at = np.repeat([i for i, _ in rare], [len(f) for _, f in rare])
-                    k = len(flat)
+                if len(pairs):
+                    k = len(pairs)
+                    document, rare = pairs // len(different), pairs % len(different)
                     # a word is spelled once, however many documents have it
-                    known = {w: i for i, w in enumerate(dict.fromkeys(flat))}
-                    spelled = m.letters.spell(list(known))[np.fromiter(map(known.__getitem__, flat), dtype=np.int64, count=k)]
-                    tails = m.tail_of[np.fromiter([w[-1] for w in flat], dtype=np.int64, count=k)].astype(np.int32)
-                    times = np.fromiter((c for _, found in rare for c in found.values()), dtype=np.int64, count=k)
+                    spelled = m.letters.spell(different.to_numpy(zero_copy_only=False).tolist())[rare]
+                    tails = m.tail_of[_last_bytes(different)][rare].astype(np.int32)
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array(own[at]), pa.array(flat, pa.binary()), pa.array(times), none(k, pa.int64()), none(k, pa.float64()), none(k, pa.float64()),
+                            pa.array(own[document]), different.take(pa.array(rare)), pa.array(times, pa.int64()), none(k, pa.int64()), none(k, pa.float64()), none(k, pa.float64()),
                             pa.array(spelled), pa.array(tails), none(k, pa.int64()), none(k, pa.bool_()),
                         ],
                         _NAMES,
