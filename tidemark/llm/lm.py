@@ -47,7 +47,7 @@ def words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     # blanks at either end of a text leave an empty word
     word = pc.binary_length(found).to_numpy() > 0
     bounds = np.concatenate([[0], np.cumsum(word)])[cut.offsets.to_numpy() - cut.offsets[0].as_py()]
-    return found.filter(pa.array(word)), np.diff(bounds)
+    return found if word.all() else found.filter(pa.array(word)), np.diff(bounds)
 
 
 def _last_bytes(some: pa.Array) -> np.ndarray:
@@ -87,10 +87,10 @@ def word_counts(texts: DataFrame) -> DataFrame:
             return pa.concat_tables(tables).group_by("word").aggregate([("c", "sum")]).rename_columns(["word", "c"])
 
         kept: list[pa.Table] = []
-        for batch in text_slices(batches, "text", TAKEN):
+        for batch in text_slices(batches, "text"):
             found = words(batch.column("text"))[0].value_counts()
             kept.append(pa.table({"word": pa.concat_arrays([found.field(0), pa.array([END], pa.binary())]), "c": pa.concat_arrays([found.field(1), pa.array([batch.num_rows], pa.int64())])}))
-            if sum(map(len, kept)) > 500_000:
+            if sum(map(len, kept)) > 1_000_000:
                 kept = [summed(kept)]
                 if len(kept[0]) > 500_000:
                     yield from kept.pop().to_batches()
@@ -278,9 +278,13 @@ def _trained(training: DataFrame, state: dict[str, dict], shape: gru.Shape, tail
         half, seen, known = len(flat) // 2, 0, pa.array(inputs, pa.binary())
         own, squares = _shaped(flat[:half], shape), _shaped(flat[half:], shape)
         for turn, batch in enumerate(text_slices(batches, "text", TAKEN)):
-            found, sizes = words(batch.column("text"))
-            symbols = _symbols(shape.words, tail_of, _places(found, known), _last_bytes(found))
-            seen += gru.train(own, shape, _documents(symbols, sizes, inputs.index(END)), squares, seed=turn)
+            docs = []
+            for part in text_slices([batch], "text"):
+                found, sizes = words(part.column("text"))
+                docs += _documents(_symbols(shape.words, tail_of, _places(found, known), _last_bytes(found)), sizes, inputs.index(END))
+            del found
+            pa.default_memory_pool().release_unused()
+            seen += gru.train(own, shape, docs, squares, seed=turn)
         if seen:
             out = np.concatenate([part[n].ravel() for part in (own, squares) for n in names])
             blocks = [out[i : i + piece].astype(np.float64) for i in range(0, len(out), piece)]
@@ -361,6 +365,8 @@ def score(docs: DataFrame, doc_id: str, text: str, *, folds: int = 7, held_out:
                 told = found.take(pa.array(outside)).dictionary_encode()
                 different = told.dictionary
                 pairs, times = np.unique(document[outside].astype(np.int64) * len(different) + told.indices.to_numpy(), return_counts=True)
+                del found, at, last, document, inside, outside, told
+                pa.default_memory_pool().release_unused()
                 chain = gru.log_likelihood(m.weights, m.shape, documents) / np.log(10) + within
                 own = part.column("row").to_numpy()
                 none = pa.nulls
